@@ -228,8 +228,9 @@ def similarity_gate(scored: DataFrame, score_col: str = "rouge_l",
 # ------------------------------------------------------- distillation records
 
 def word_ids(tok: Column, vocab_size: int = 1 << 20) -> Column:
-    """Default tokenizer id: stable hash of the word into ``vocab_size``."""
-    return F.transform(tok, lambda t: (F.xxhash64(t) % vocab_size + vocab_size) % vocab_size)
+    """Default tokenizer id: first 8 hex digits of md5(word) modulo
+    ``vocab_size`` (portable: any engine with md5 gives the same ids)."""
+    return F.transform(tok, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % vocab_size)
 
 
 def distill_examples(df: DataFrame, teacher_col: str = "teacher_answer",
