@@ -1 +1,62 @@
-"""Queries (registered on import)."""
+"""Queries: the streaming operators, run to completion with availableNow.
+Each returns the sink read back as a batch table, so it compares 1:1 with
+the batch SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vqaspark.plans import sql as S
+from vqaspark.plans.fixtures import sample_id
+from vqaspark.plans.q_data import _chat_sql
+from vqaspark.plans.registry import register
+from vqaspark.sources.tables import read_table
+from vqaspark.streaming import stream as ST
+
+
+@register("stream_prepare", f"""
+select (conv_id << 20) + turn as id, {_chat_sql('text', None)} as text
+from conversations where role = 'user' and text <> ''""")
+def q_stream_prepare(spark, sf):
+    conv = ST.table_stream(spark, sf, "conversations")
+    req = (conv.where(F.col("role") == "user")
+               .select(sample_id("conv_id", "turn").alias("id"), F.col("text").alias("question")))
+    sink, ckpt = ST.scratch_pair(spark, "stream-prepare")
+    return ST.run_append(ST.prepare_stream(req), sink, ckpt)
+
+
+@register("stream_log_windows", """
+select user_id as run_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as window_start,
+       count(*) as num_logs, round(sum(value), 6) as sum_loss
+from events group by user_id, date_trunc('day', ts)""")
+def q_stream_log_windows(spark, sf):
+    ev = ST.table_stream(spark, sf, "events")
+    log = ev.select(F.col("user_id").alias("run_id"), "ts", F.col("value").alias("loss"))
+    agg = ST.windowed_loss(log).select(
+        "run_id", F.date_format(F.col("window.start"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "num_logs", "sum_loss")
+    sink, ckpt = ST.scratch_pair(spark, "stream-windows")
+    out = ST.run_upserts(agg, ["run_id", "window_start"], sink, ckpt)
+    return out.select("run_id", "window_start", "num_logs", F.round("sum_loss", 6).alias("sum_loss"))
+
+
+@register("stream_exact_match", f"""
+select count(*) as num_samples,
+  cast(sum(case when {S.norm('teacher_answer')} = {S.norm('reference_answer')} then 1 else 0 end) as bigint) as matches,
+  round(sum(case when {S.norm('teacher_answer')} = {S.norm('reference_answer')} then 1 else 0 end) / count(*), 6)
+    as exact_match
+from ({S.ITEM_PREDS}) p""")
+def q_stream_exact_match(spark, sf):
+    li = ST.table_stream(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    part = read_table(spark, sf, "part").select("p_partkey", "p_name")
+    j = li.join(part, li.l_partkey == part.p_partkey)  # stream-static join
+    name, pk, ok = F.col("p_name"), F.col("l_partkey"), F.col("l_orderkey")
+    preds = j.select(
+        F.when(pk % 11 == 0, F.lit(None).cast("string")).when(pk % 11 == 1, F.lit("")).otherwise(name)
+         .alias("reference_answer"),
+        F.when(ok % 5 == 0, F.concat(F.lit(" "), F.upper(name), F.lit(" ")))
+         .when(ok % 5 == 1, F.split_part(name, F.lit(" "), F.lit(1))).otherwise(name).alias("teacher_answer"))
+    sink, ckpt = ST.scratch_pair(spark, "stream-em")
+    out = ST.run_complete(ST.running_exact_match(preds), sink, ckpt)
+    return out.select("num_samples", "matches",
+                      F.round(F.col("matches") / F.col("num_samples"), 6).alias("exact_match"))
