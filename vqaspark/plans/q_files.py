@@ -1 +1,132 @@
-"""Queries (registered on import)."""
+"""Queries: file sources and sinks, each a round trip through files that
+Spark writes from the given tables into the shared scratch folder."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from vqaspark.operators import prepare as P
+from vqaspark.operators.metrics import report as R
+from vqaspark.plans import fixtures as FX
+from vqaspark.plans import sql as S
+from vqaspark.plans.q_joins import _REQ_PATH_SQL, requests_with_paths
+from vqaspark.plans.q_metrics import q_all_metrics
+from vqaspark.plans.q_predict import q_compare_from_requests, q_predict_requests
+from vqaspark.plans.registry import ORACLE, register
+from vqaspark.session import scratch_path
+from vqaspark.sources import files as FI
+from vqaspark.sources import splits as SP
+from vqaspark.sources.tables import read_table
+
+
+@register("annotations_explode", f"""
+select s.id as ann_id, s.image_id, s.question, s.answer,
+       'training-images/' || coalesce(l.filename, printf('%012d.jpg', s.image_id)) as image_path
+from ({S.SAMPLES}) s left join ({S.LOOKUP}) l on s.image_id = l.image_id""")
+def q_annotations_explode(spark, sf):
+    path = scratch_path(spark, "annotations")
+    FI.write_annotation_shards(FX.vqa_samples(spark, sf), FX.image_lookup(spark, sf), path, rows_per_shard=100)
+    ann, imgs = FI.read_annotation_map(spark, path)
+    imgs = imgs.distinct()
+    ann = ann.select(F.col("ann_id").cast("bigint").alias("ann_id"), "image_id", "question", "answer")
+    j = ann.join(imgs, "image_id", "left")
+    return j.select("ann_id", "image_id", "question", "answer",
+                    P.image_path_column(F.col("image_id"), F.col("filename"), FX.IMAGES_ROOT).alias("image_path"))
+
+
+@register("requests_read", f"""
+select 'wrapped' as layout, id, image_id, image_path, question from ({_REQ_PATH_SQL}) r
+union all
+select 'list' as layout, id, image_id, image_path, question from ({_REQ_PATH_SQL}) r""")
+def q_requests_read(spark, sf):
+    req = requests_with_paths(spark, sf)
+    base = scratch_path(spark, "requests")
+    wrapped, listed = os.path.join(base, "wrapped"), os.path.join(base, "list")
+    # {"annotations": [...]} objects, one bounded shard per line
+    shards = max(1, -(-req.count() // 100))
+    (req.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(shards)))
+        .groupBy("_s").agg(F.collect_list(F.struct(
+            F.col("id"), F.col("image_id"), F.col("image_path"), F.col("question"))).alias("annotations"))
+        .select("annotations").write.mode("overwrite").json(wrapped))
+    # bare request objects (elements of the list layout), one per line
+    req.select("id", "image_path", "question").write.mode("overwrite").json(listed)
+    w = FI.read_requests(spark, wrapped, multi_line=False).withColumn("layout", F.lit("wrapped"))
+    lst = FI.read_requests(spark, listed, multi_line=False).withColumn("layout", F.lit("list"))
+    # the list layout carries ``id`` only; image_id = conversation of the id
+    lst = lst.withColumn("image_id", F.shiftright("id", 20))
+    cols = ["layout", "id", "image_id", "image_path", "question"]
+    return w.select(*cols).unionByName(lst.select(*cols))
+
+
+def _page_files(spark, sf):
+    """Write every page as a file named like an image (text writer,
+    partitioned by file name) and return the root."""
+    root = scratch_path(spark, "page-files")
+    p = read_table(spark, sf, "pages")
+    (p.select(F.format_string("%012d.jpg", F.col("page_id")).alias("fname"), F.col("html").alias("value"))
+      .write.mode("overwrite").partitionBy("fname").text(root))
+    return root
+
+
+@register("image_listing")
+def q_image_listing(spark, sf):
+    """Listing of written files (binaryFile, ``content`` pruned)."""
+    root = _page_files(spark, sf)
+    ls = FI.image_listing(spark, root, glob="*.txt")
+    return ls.select(F.regexp_extract("path", r"fname=([^/]+)/", 1).alias("name"), "length")
+
+
+@register("validate_images")
+def q_validate_images(spark, sf):
+    """Magic-byte validation of the written files (HTML text is no image,
+    so every file is flagged invalid)."""
+    root = _page_files(spark, sf)
+    ls = FI.image_listing(spark, root, glob="*.txt", with_content=True)
+    v = P.validate_images(ls)
+    return v.select(F.regexp_extract("path", r"fname=([^/]+)/", 1).alias("name"),
+                    "length", "image_format", "image_valid")
+
+
+_PRED_SCHEMA = ("id bigint, image_id bigint, image_path string, question string, "
+                "predicted_answer string, reference_answer string")
+
+
+@register("sink_predictions", ORACLE["predict_requests"])
+def q_sink_predictions(spark, sf):
+    path = scratch_path(spark, "predictions")
+    FI.save_predictions(q_predict_requests(spark, sf), path)
+    return spark.read.schema(_PRED_SCHEMA).json(path)
+
+
+@register("sink_comparisons", ORACLE["compare_from_requests"])
+def q_sink_comparisons(spark, sf):
+    path = scratch_path(spark, "comparisons")
+    FI.save_comparisons(q_compare_from_requests(spark, sf), path)
+    return spark.read.schema("id bigint, question string, teacher_answer string, "
+                             "student_answer string, match boolean").json(path)
+
+
+@register("eval_report", ORACLE["all_metrics"])
+def q_eval_report(spark, sf):
+    path = scratch_path(spark, "report")
+    FI.save_report(q_all_metrics(spark, sf), path)
+    return spark.read.schema("num_samples bigint, exact_match double, rouge_l double, "
+                             "bertscore_f1 double").json(path)
+
+
+@register("history_sink", f"select run_id, step, epoch, loss, eval_loss from ({S.TRAIN_LOG}) l")
+def q_history_sink(spark, sf):
+    path = scratch_path(spark, "history")
+    FI.history_sink(FX.train_log(spark, sf), path)
+    return spark.read.parquet(path).select("run_id", "step", "epoch", "loss", "eval_loss")
+
+
+@register("write_partitioned", f"select id, image_id, question, answer from ({S.DATASET}) d where split = 'test'")
+def q_write_partitioned(spark, sf):
+    path = scratch_path(spark, "splits")
+    SP.write_splits(FX.vqa_dataset(spark, sf), path)
+    # one partition directory read on its own (no other split is opened)
+    return spark.read.schema("id bigint, image_id bigint, question string, answer string") \
+        .parquet(os.path.join(path, "split=test"))
