@@ -31,13 +31,17 @@ def comparison_report(df: DataFrame, teacher: str = "teacher_answer", student: s
                       ref: str = "reference_answer", tokenizer: str = "ascii") -> DataFrame:
     """A10: one row per metric -- teacher, student, difference and student as
     a percentage of teacher."""
-    s = df.withColumn("_tem", em_flag(teacher, ref)).withColumn("_sem", em_flag(student, ref))
-    s = rouge_l_scores(s, teacher, ref, "_trl", tokenizer)
-    s = rouge_l_scores(s, student, ref, "_srl", tokenizer)
-    a = s.agg(F.avg("_tem").alias("t_em"), F.avg("_sem").alias("s_em"),
-              F.avg("_trl").alias("t_rl"), F.avg("_srl").alias("s_rl"))
-    long = a.selectExpr("stack(2, 'exact_match', t_em, s_em, 'rouge_l', t_rl, s_rl) as (metric, teacher, student)")
-    return long.select(
+    models = F.array(F.struct(F.lit("teacher").alias("model"), F.col(teacher).alias("pred")),
+                     F.struct(F.lit("student").alias("model"), F.col(student).alias("pred")))
+    # long format: both models go through one scoring stage (one UDF call)
+    long = df.select(F.col(ref).alias("_ref"), F.explode(models).alias("_m")).select("_m.model", "_m.pred", "_ref")
+    s = rouge_l_scores(long.withColumn("_em", em_flag("pred", "_ref")), "pred", "_ref", "_rl", tokenizer)
+    per_model = s.groupBy("model").agg(F.avg("_em").alias("em"), F.avg("_rl").alias("rl"))
+    wide = per_model.groupBy().pivot("model", ["teacher", "student"]).agg(
+        F.first("em").alias("em"), F.first("rl").alias("rl"))
+    rep = wide.selectExpr("stack(2, 'exact_match', teacher_em, student_em, "
+                          "'rouge_l', teacher_rl, student_rl) as (metric, teacher, student)")
+    return rep.select(
         "metric", F.round("teacher", 6).alias("teacher"), F.round("student", 6).alias("student"),
         F.round(F.col("student") - F.col("teacher"), 6).alias("difference"),
         F.round(F.when(F.col("teacher") != 0, F.col("student") / F.col("teacher") * 100.0), 6)

@@ -40,6 +40,28 @@ def lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
                       for x, y in zip(a, b)], dtype="int32")
 
 
+def f1_score(p, r) -> float:
+    p = p if p is not None else ()
+    r = r if r is not None else ()
+    if len(p) == 0 or len(r) == 0:
+        return 0.0
+    lcs = lcs_length(p, r)
+    if lcs == 0:
+        return 0.0
+    prec, rec = lcs / len(p), lcs / len(r)
+    return 2.0 * prec * rec / (prec + rec)
+
+
+@F.pandas_udf(T.DoubleType())
+def _rouge_f1(p: pd.Series, r: pd.Series) -> pd.Series:
+    return pd.Series([f1_score(x, y) for x, y in zip(p, r)], dtype="float64")
+
+
+# Marked non-deterministic only to stop the optimizer from copying the call
+# into a pushed-down filter (which would run the Python UDF twice per row).
+rouge_f1_udf = _rouge_f1.asNondeterministic()
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_udf(toks: pd.Series) -> pd.Series:
     from vqaspark.functions.porter import stem
@@ -54,23 +76,12 @@ def rouge_tokens(c, tokenizer: str = "ascii", stem: bool = False) -> Column:
     return stem_udf(t) if stem else t
 
 
-def f1_from_lcs(lcs: Column, n_pred: Column, n_ref: Column) -> Column:
-    p = lcs / n_pred
-    r = lcs / n_ref
-    return (F.when((n_pred == 0) | (n_ref == 0) | (lcs == 0), F.lit(0.0))
-             .otherwise(F.lit(2.0) * p * r / (p + r)))
-
-
 def rouge_l_scores(df: DataFrame, pred: str = "prediction", ref: str = "reference",
                    out: str = "rouge_l", tokenizer: str = "ascii", stem: bool = False) -> DataFrame:
     """Per-row ROUGE-L F1 (NULL text scores like an empty one: 0)."""
     pt = rouge_tokens(pred, tokenizer, stem)
     rt = rouge_tokens(ref, tokenizer, stem)
-    tmp = df.withColumn("_pt", pt).withColumn("_rt", rt)
-    tmp = tmp.withColumn("_lcs", lcs_udf("_pt", "_rt"))
-    return (tmp.withColumn(out, f1_from_lcs(F.col("_lcs").cast("double"),
-                                            F.size("_pt").cast("double"), F.size("_rt").cast("double")))
-               .drop("_pt", "_rt", "_lcs"))
+    return df.withColumn(out, rouge_f1_udf(pt, rt))
 
 
 def rouge_l(df: DataFrame, pred: str = "prediction", ref: str = "reference", group_by=None,

@@ -60,13 +60,22 @@ def q_requests_read(spark, sf):
     return w.select(*cols).unionByName(lst.select(*cols))
 
 
-def _page_files(spark, sf):
-    """Write every page as a file named like an image (text writer,
-    partitioned by file name) and return the root."""
+_PAGE_FILES: dict = {}
+
+
+def _page_files(spark, sf, pages_per_file: int = 25):
+    """Write the pages as text files of about ``pages_per_file`` pages each
+    (the blobs a binaryFile listing sees) and return the root.  Written once
+    per session and input directory, then reused."""
+    key = (id(spark), sf)
+    if key in _PAGE_FILES:
+        return _PAGE_FILES[key]
     root = scratch_path(spark, "page-files")
     p = read_table(spark, sf, "pages")
-    (p.select(F.format_string("%012d.jpg", F.col("page_id")).alias("fname"), F.col("html").alias("value"))
-      .write.mode("overwrite").partitionBy("fname").text(root))
+    n_files = max(1, -(-p.count() // pages_per_file))
+    (p.select(F.col("html").alias("value")).repartition(n_files)
+      .write.mode("overwrite").text(root))
+    _PAGE_FILES[key] = root
     return root
 
 
@@ -75,17 +84,17 @@ def q_image_listing(spark, sf):
     """Listing of written files (binaryFile, ``content`` pruned)."""
     root = _page_files(spark, sf)
     ls = FI.image_listing(spark, root, glob="*.txt")
-    return ls.select(F.regexp_extract("path", r"fname=([^/]+)/", 1).alias("name"), "length")
+    return ls.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
 
 
 @register("validate_images")
 def q_validate_images(spark, sf):
-    """Magic-byte validation of the written files (HTML text is no image,
-    so every file is flagged invalid)."""
+    """Magic-byte validation of the written blobs (HTML text is no image,
+    so every blob is flagged invalid)."""
     root = _page_files(spark, sf)
     ls = FI.image_listing(spark, root, glob="*.txt", with_content=True)
     v = P.validate_images(ls)
-    return v.select(F.regexp_extract("path", r"fname=([^/]+)/", 1).alias("name"),
+    return v.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
                     "length", "image_format", "image_valid")
 
 

@@ -139,13 +139,19 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 
-def history_sink(df: DataFrame, path: str, mode: str = "append", run_col: str | None = "run_id") -> int:
-    """Append training-history rows (partitioned by run when given)."""
-    cols = ([run_col] if run_col and run_col in df.columns else []) + [f.name for f in HISTORY_SCHEMA.fields]
+def history_sink(df: DataFrame, path: str, mode: str = "append", run_col: str | None = "run_id",
+                 partition_by_run: bool = False) -> int:
+    """Append training-history rows.  Rows are sorted by (run, step)
+    inside each file, so parquet min/max statistics let a reader skip row
+    groups of other runs; directory-per-run layout is opt-in because it
+    multiplies files (runs x tasks) and one hot run would fall on one task."""
+    has_run = bool(run_col and run_col in df.columns)
+    cols = ([run_col] if has_run else []) + [f.name for f in HISTORY_SCHEMA.fields]
     w = df.select(*cols)
+    w = w.sortWithinPartitions(*(([run_col] if has_run else []) + ["step"]))
     obs = Observation("history")
     writer = w.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
-    if run_col and run_col in df.columns:
+    if has_run and partition_by_run:
         writer = writer.partitionBy(run_col)
     writer.parquet(path)
     return int(obs.get["n"])
