@@ -210,7 +210,9 @@ IMAGE_MAGIC = {
 
 def validate_images(listing: DataFrame, content_col: str = "content") -> DataFrame:
     """A file is a valid image if it is non-empty and starts with a known
-    magic number.  Reads only the first 16 bytes of ``content``."""
+    magic number.  Reads only the first 16 bytes of ``content``.  (Spark's
+    file scans skip zero-byte files, so empty files never appear here; list
+    them with a filesystem tool if they must be reported.)"""
     head = F.hex(F.substring(F.col(content_col), 1, 16))
     fmt = F.lit(None).cast("string")
     for name, magic in reversed(list(IMAGE_MAGIC.items())):
