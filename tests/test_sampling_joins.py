@@ -117,3 +117,16 @@ def test_no_unpartitioned_window_in_index(spark):
     df = spark.range(0, 50)
     plan = O.with_index(df, "id")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_map_batches_and_single_predict(spark):
+    from pyspark.sql import types as T
+
+    from vqaspark.operators.udf import map_batches, map_rows, predict_single
+    df = spark.createDataFrame([(1, "a b"), (2, "c")], "id long, question string")
+    out = map_batches(df, lambda p: p.assign(n=p["question"].str.len()), "id long, question string, n long")
+    assert sorted((r["id"], r["n"]) for r in out.collect()) == [(1, 3), (2, 1)]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("upper", T.StringType())])
+    rows = map_rows(df, lambda r: {"id": r["id"], "upper": r["question"].upper()}, schema).collect()
+    assert sorted((r["id"], r["upper"]) for r in rows) == [(1, "A B"), (2, "C")]
+    assert predict_single(spark, FirstWordsModel(1), "x.jpg", "hello world") == "hello"
