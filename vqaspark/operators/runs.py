@@ -61,7 +61,7 @@ def checkpoint_retention(ckpts: DataFrame, keep: int = 2, run_col: str = "run_id
     c = (ckpts.withColumn("_n", checkpoint_step(name_col)).where(F.col("_n").isNotNull())
               .select(run_col, name_col, "_n").distinct())
     w = Window.partitionBy(run_col).orderBy(F.col("_n").desc())
-    return (c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)
+    return (c.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= keep)
              .select(run_col, name_col, F.col("_n").alias("step"), "rank"))
 
 

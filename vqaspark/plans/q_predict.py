@@ -97,8 +97,9 @@ def q_distill_examples(spark, sf):
     d = P.distill_examples(t)
     lab = F.filter("labels", lambda x: x != -100)
     return d.select(
-        "id", "prompt_len", F.size("input_ids").alias("seq_len"),
-        F.size(lab).alias("answer_tokens"),
+        "id", F.col("prompt_len").cast("bigint").alias("prompt_len"),
+        F.size("input_ids").cast("bigint").alias("seq_len"),
+        F.size(lab).cast("bigint").alias("answer_tokens"),
         F.aggregate(lab, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("label_sum"),
         F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("input_sum"))
 
