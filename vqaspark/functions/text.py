@@ -30,10 +30,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+PY_WHITESPACE = "".join(chr(cp) for cp in PY_WHITESPACE_CODEPOINTS)
+
+
 def py_strip(c) -> Column:
-    """Python ``str.strip()`` semantics (all Unicode whitespace, both ends)."""
-    ws = PY_WHITESPACE_CLASS
-    return F.regexp_replace(_c(c), f"^{ws}+|{ws}+$", "")
+    """Python ``str.strip()`` semantics (all Unicode whitespace, both ends):
+    ``trim(BOTH <set> FROM s)``, code-generated, no regex."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def normalize_answer(c) -> Column:
@@ -75,9 +78,7 @@ def ascii_tokens(c) -> Column:
     """ROUGE-compatible tokens: lower, every run of characters outside
     ``[a-z0-9]`` becomes a separator.  Cuts words at diacritics, exactly like
     the scorer the reference calls."""
-    return F.filter(
-        F.split(F.regexp_replace(F.lower(_c(c)), "[^a-z0-9]+", " "), " "),
-        lambda t: t != "")
+    return F.regexp_extract_all(F.lower(_c(c)), F.lit("([a-z0-9]+)"), 1)
 
 
 def unicode_tokens(c) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vqaspark.functions.text import normalize_answer, tokens
+from vqaspark.functions.text import tokens
 
 
 def lcs_length(a, b) -> int:
@@ -70,9 +70,10 @@ def stem_udf(toks: pd.Series) -> pd.Series:
 
 
 def rouge_tokens(c, tokenizer: str = "ascii", stem: bool = False) -> Column:
-    """Tokens as the scorer sees them: strip+lower (the reference normalises
-    before scoring), tokenise, optionally Porter-stem words over 3 chars."""
-    t = tokens(F.coalesce(normalize_answer(c), F.lit("")), tokenizer)
+    """Tokens as the scorer sees them (the reference strips and lower-cases
+    first; stripping cannot change tokens and the tokenisers lower-case, so
+    neither is repeated), optionally Porter-stemmed for words over 3 chars."""
+    t = tokens(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), tokenizer)
     return stem_udf(t) if stem else t
 
 
