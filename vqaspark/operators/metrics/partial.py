@@ -10,6 +10,7 @@ references of 200+ characters; both are kept as parameters.
 from __future__ import annotations
 
 import difflib
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,9 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+@lru_cache(maxsize=1 << 16)
+def _short_ratio(p: str, r: str, autojunk: bool) -> float:
+    return difflib.SequenceMatcher(None, p, r, autojunk=autojunk).ratio()
+
+
 def ratio(pred, ref, autojunk: bool = True) -> float:
+    """``SequenceMatcher(None, pred, ref).ratio()`` after strip+lower.  Short
+    pairs (answers repeat a lot) are memoised per Python worker; long texts
+    are scored directly, whole."""
     p = str(pred).strip().lower()
     r = str(ref).strip().lower()
+    if len(p) + len(r) <= 256:
+        return _short_ratio(p, r, autojunk)
     return difflib.SequenceMatcher(None, p, r, autojunk=autojunk).ratio()
 
 
