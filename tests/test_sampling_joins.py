@@ -130,3 +130,22 @@ def test_map_batches_and_single_predict(spark):
     rows = map_rows(df, lambda r: {"id": r["id"], "upper": r["question"].upper()}, schema).collect()
     assert sorted((r["id"], r["upper"]) for r in rows) == [(1, "A B"), (2, "C")]
     assert predict_single(spark, FirstWordsModel(1), "x.jpg", "hello world") == "hello"
+
+
+def test_qa_pairs_join_equals_window(spark):
+    from vqaspark.operators.prepare import qa_pairs
+    from vqaspark.sources.tables import read_table
+    conv = read_table(spark, SF01, "conversations")
+    a = sorted(map(tuple, qa_pairs(conv).collect()))
+    b = sorted(map(tuple, qa_pairs(conv, dense_turns=False).collect()))
+    assert a == b and len(a) == 233
+
+
+def test_retention_limits_before_shuffle(spark):
+    from vqaspark.operators.runs import checkpoint_retention
+    df = spark.createDataFrame([(r, f"checkpoint-{s}") for r in range(3) for s in range(50)],
+                               "run_id long, name string")
+    out = checkpoint_retention(df, keep=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert out.count() == 6

@@ -52,16 +52,23 @@ def token_best_matches(vectors: DataFrame, block: int = 256, sample_col: str = "
                        F.col(vec_col).cast("array<double>").alias("vec"))
     # ceil(tokens / block) hash blocks per (sample, side): dense, about
     # ``block`` tokens each, whatever the positions look like
-    n = v.groupBy("sample_id", "side").agg(F.count(F.lit(1)).alias("_n"))
-    v = (v.join(n, ["sample_id", "side"])
-          .withColumn("blk", F.pmod(F.xxhash64("pos"), F.ceil(F.col("_n") / F.lit(block)))))
-    blocks = v.groupBy("sample_id", "side", "blk").agg(
+    n = v.groupBy("sample_id").agg(
+        F.ceil(F.count_if(F.col("side") == "pred") / F.lit(block)).alias("_npb"),
+        F.ceil(F.count_if(F.col("side") == "ref") / F.lit(block)).alias("_nrb"))
+    v = (v.join(n, "sample_id")
+          .withColumn("blk", F.pmod(F.xxhash64("pos"),
+                                    F.when(F.col("side") == "pred", F.col("_npb")).otherwise(F.col("_nrb")))))
+    blocks = v.groupBy("sample_id", "side", "blk", "_npb", "_nrb").agg(
         F.collect_list("pos").alias("poss"), F.collect_list("vec").alias("vecs"))
+    # every (pred block, ref block) tile gets its own join key, so one large
+    # sample becomes many independent, evenly hashed tiles (no skewed key)
     pred = blocks.where(F.col("side") == "pred").select(
-        "sample_id", F.col("poss").alias("ppos"), F.col("vecs").alias("pvec"))
+        "sample_id", F.col("blk").alias("pb"), F.explode(F.sequence(F.lit(0), F.col("_nrb") - 1)).alias("rb"),
+        F.col("poss").alias("ppos"), F.col("vecs").alias("pvec"))
     ref = blocks.where(F.col("side") == "ref").select(
-        "sample_id", F.col("poss").alias("rpos"), F.col("vecs").alias("rvec"))
-    tiles = pred.join(ref, "sample_id")
+        "sample_id", F.col("blk").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("_npb") - 1)).alias("pb"),
+        F.col("poss").alias("rpos"), F.col("vecs").alias("rvec"))
+    tiles = pred.join(ref, ["sample_id", "pb", "rb"]).select("sample_id", "ppos", "pvec", "rpos", "rvec")
     best = tiles.mapInPandas(_tiles, _TILE_OUT)
     return best.groupBy("sample_id", "side", "pos").agg(F.max("best").alias("best"))
 

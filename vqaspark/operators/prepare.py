@@ -130,12 +130,24 @@ def resolve_max_samples(max_samples: int | None) -> int | None:
     return max_samples if max_samples else None
 
 
-def qa_pairs(conversations: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+def qa_pairs(conversations: DataFrame, key: str = "conv_id", order: str = "turn",
+             dense_turns: bool = True) -> DataFrame:
     """M8: a user turn followed by an assistant turn becomes (question, answer).
 
-    ``lead`` over a window partitioned by conversation: a conversation is one
-    task's worth of turns, never the whole table.
+    With ``dense_turns`` (turns numbered 0, 1, 2, ... per conversation, as
+    chat logs are) "the next turn" is ``turn + 1``, so the pairing is an
+    equi-join of user rows to assistant rows on ``(conversation, turn)``:
+    hash-partitioned on both columns, a conversation with a huge number of
+    turns still spreads over all tasks.  ``dense_turns=False`` uses ``lead``
+    over a window partitioned by conversation (any numbering; one
+    conversation per task).
     """
+    if dense_turns:
+        users = (conversations.where(F.col("role") == "user")
+                 .select(key, order, F.col("text").alias("question")))
+        answers = (conversations.where(F.col("role") == "assistant")
+                   .select(key, (F.col(order) - 1).alias(order), F.col("text").alias("answer")))
+        return users.join(answers, [key, order]).select(key, order, "question", "answer")
     w = Window.partitionBy(key).orderBy(order)
     return (conversations
             .select(key, order, "role", F.col("text").alias("question"),
