@@ -207,7 +207,32 @@ def q_bleu(spark, sf):
     return BL.bleu(bleu_pairs(spark, sf), max_n=4)
 
 
-@register("bleu_by_item", None)
+def _bleu_grouped_sql(max_n=2):
+    grams = []
+    for n in range(1, max_n + 1):
+        for side, col in (("h", "hyp"), ("r", "ref")):
+            grams.append(
+                f"select sample_id, {n} as n, unnest(list_transform(range(1, len({col}) - {n} + 2), "
+                f"lambda i: array_to_string(list_slice({col}, i, i + {n} - 1), ' '))) as g, '{side}' as s from t")
+    union = "\nunion all\n".join(grams)
+    return f"""
+with b as (select item_id as sample_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as ref from benchmark),
+t as (select sample_id, ref, list_filter(ref, lambda x, i: i % 5 <> 0) as hyp from b),
+grams as ({union}),
+c as (select sample_id, n, g, count(*) filter (where s = 'h') as hc, count(*) filter (where s = 'r') as rc
+      from grams group by sample_id, n, g),
+pn as (select sample_id, n, sum(least(hc, rc)) as clipped, sum(hc) as total from c group by sample_id, n),
+l as (select sample_id, sum(len(hyp)) as hyp_len, sum(len(ref)) as ref_len from t group by sample_id),
+p as (select sample_id, count(*) filter (where clipped > 0) as nz,
+             sum(case when clipped > 0 then ln(clipped / total) end) as sl from pn group by sample_id)
+select l.sample_id, cast(hyp_len as bigint) as hyp_len, cast(ref_len as bigint) as ref_len,
+  round(case when coalesce(nz, 0) < {max_n} then 0.0 else
+    (case when hyp_len > ref_len then 1.0 when hyp_len = 0 then 0.0 else exp(1 - ref_len / hyp_len) end)
+    * exp(sl / {max_n}) end, 6) as bleu
+from l left join p on l.sample_id = p.sample_id"""
+
+
+@register("bleu_by_item", _bleu_grouped_sql(2))
 def q_bleu_by_item(spark, sf):
     """Sentence-level BLEU-2 per benchmark item (grouped form)."""
     return BL.bleu(bleu_pairs(spark, sf), max_n=2, group_by="sample_id")
