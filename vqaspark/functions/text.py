@@ -78,12 +78,12 @@ def ascii_tokens(c) -> Column:
     """ROUGE-compatible tokens: lower, every run of characters outside
     ``[a-z0-9]`` becomes a separator.  Cuts words at diacritics, exactly like
     the scorer the reference calls."""
-    return F.regexp_extract_all(F.lower(_c(c)), F.lit("([a-z0-9]+)"), 1)
+    return F.regexp_extract_all(F.lower(_c(c)), F.lit("[a-z0-9]+"), 0)
 
 
 def unicode_tokens(c) -> Column:
     """Lower-cased runs of letters/digits (keeps Vietnamese words whole)."""
-    return F.regexp_extract_all(F.lower(_c(c)), F.lit("([\\p{L}\\p{N}]+)"), 1)
+    return F.regexp_extract_all(F.lower(_c(c)), F.lit("[\\p{L}\\p{N}]+"), 0)
 
 
 def tokens(c, tokenizer: str = "ascii") -> Column:
