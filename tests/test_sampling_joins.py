@@ -149,3 +149,11 @@ def test_retention_limits_before_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert out.count() == 6
+
+
+def test_first_n_large_path_equals_topk(spark):
+    df = O.with_shuffle_key(spark.range(0, 2000), "id")
+    small = [r["id"] for r in O.first_n(df, 150, ["shuffle_key", "id"]).collect()]
+    large = O.first_n(df, 150, ["shuffle_key", "id"], topk_max=10)
+    assert "TakeOrdered" not in large._jdf.queryExecution().executedPlan().toString()
+    assert sorted(small) == sorted(r["id"] for r in large.collect())

@@ -106,21 +106,22 @@ def prepare_dataset(df: DataFrame, max_samples: int | None = None, shuffle: bool
     """M5: messages -> rendered text -> seeded shuffle -> first ``max_samples``.
 
     ``images`` is the one-element image list; original columns are kept.  With
-    ``max_samples`` the top-n is a TakeOrderedAndProject on the md5 key (no
-    global sort); without it the full shuffled order is a range-partitioned
-    sort, only run when the caller asks for ordered output.
+    ``max_samples`` the first n by md5 key come from ``first_n`` (top-k for
+    small n, the distributed positional index for large n; never a global
+    sort into one task).
     """
     msgs = vqa_messages(F.col("question"), F.col("answer"))
     img = F.col(image_col) if image_col in df.columns else F.lit(None).cast("string")
     out = (df.withColumn("images", F.array(img))
              .withColumn("text", template.render(msgs, True)))
+    from vqaspark.operators.sampling import first_n
     if shuffle:
         out = out.withColumn("shuffle_key", shuffle_key(id_col, seed))
         if max_samples is not None:
-            return out.orderBy("shuffle_key", id_col).limit(max(0, int(max_samples)))
+            return first_n(out, max_samples, ["shuffle_key", id_col])
         return out
     if max_samples is not None:
-        return out.orderBy(id_col).limit(max(0, int(max_samples)))
+        return first_n(out, max_samples, [id_col])
     return out
 
 
@@ -175,7 +176,8 @@ def valid_requests(df: DataFrame, path_col: str = "image_path",
 def limit_then_filter(df: DataFrame, limit: int | None, order_col: str = "id") -> DataFrame:
     """The first ``limit`` requests (0/None = all) and *then* P3."""
     if limit:
-        df = df.orderBy(order_col).limit(int(limit))
+        from vqaspark.operators.sampling import first_n
+        df = first_n(df, int(limit), [order_col])
     return valid_requests(df)
 
 

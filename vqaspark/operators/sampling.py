@@ -15,6 +15,22 @@ from vqaspark.functions.hashing import hash_bucket, shuffle_key
 from vqaspark.session import reliable_checkpoint
 
 
+# Above this many rows a top-n is not merged in one task (TakeOrderedAndProject
+# gathers n rows per partition into a single final task); the positional
+# index is used instead, fully distributed.
+TOPK_MAX = 100_000
+
+
+def first_n(df: DataFrame, n: int, order_cols, topk_max: int = TOPK_MAX) -> DataFrame:
+    """The first ``n`` rows in ``order_cols`` order, exact, for any ``n``."""
+    n = max(0, int(n))
+    if isinstance(order_cols, str):
+        order_cols = [order_cols]
+    if n <= topk_max:
+        return df.orderBy(*order_cols).limit(n)
+    return with_index(df, order_cols, out="_first_n_pos").where(F.col("_first_n_pos") < n).drop("_first_n_pos")
+
+
 def with_shuffle_key(df: DataFrame, id_col: str = "id", seed: int = 42,
                      out: str = "shuffle_key") -> DataFrame:
     """O1: add the md5(seed:id) key; ordering by it is the seeded shuffle."""
@@ -22,10 +38,9 @@ def with_shuffle_key(df: DataFrame, id_col: str = "id", seed: int = 42,
 
 
 def sample_n(df: DataFrame, n: int, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """O2: the first ``n`` rows of the seeded shuffle (TakeOrderedAndProject:
-    each task keeps its own top n, the driver merges n x tasks rows)."""
-    return (with_shuffle_key(df, id_col, seed)
-            .orderBy("shuffle_key", id_col).limit(max(0, int(n))))
+    """O2: the first ``n`` rows of the seeded shuffle (``first_n``: top-k for
+    small n, distributed positional index for large n)."""
+    return first_n(with_shuffle_key(df, id_col, seed), n, ["shuffle_key", id_col])
 
 
 def hash_split(df: DataFrame, id_col: str = "id", seed: int = 42,
