@@ -75,7 +75,10 @@ def with_index(df: DataFrame, order_cols, out: str = "index",
     if isinstance(order_cols, str):
         order_cols = [order_cols]
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at least one range partition per input split, so partitions stay
+    # around the scan's split size however large the input is
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              df.rdd.getNumPartitions())
     ranged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_pid", F.spark_partition_id())
