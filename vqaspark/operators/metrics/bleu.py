@@ -13,10 +13,17 @@ from pyspark.sql import functions as F
 
 
 def ngrams(toks: Column, n: int) -> Column:
-    """All n-grams of a token array, joined with single spaces."""
-    return F.when(F.size(toks) >= n, F.transform(
-        F.sequence(F.lit(1), F.size(toks) - F.lit(n - 1)),
-        lambda i: F.array_join(F.slice(toks, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    """All n-grams of a token array, joined with single spaces.
+
+    Built from ``n`` shifted slices zipped together, so the lambda only sees
+    its own element (a row-level array referenced inside a lambda would be
+    recomputed for every n-gram)."""
+    if n == 1:
+        return toks
+    k = F.greatest(F.size(toks) - F.lit(n - 1), F.lit(0))
+    shifted = [F.slice(toks, j + 1, k) for j in range(n)]
+    zipped = F.arrays_zip(*shifted)
+    return F.transform(zipped, lambda z: F.concat_ws(" ", *[z[str(j)] for j in range(n)]))
 
 
 def _tagger(n: int, side: str):

@@ -12,24 +12,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_log_softmax(df: DataFrame, src: str, out: str, temperature: float = 1.0) -> DataFrame:
-    """Add ``out`` = log_softmax(src / T).  The log-sum-exp is its own column
-    first, so each element costs O(1) instead of re-reducing the array."""
-    x = F.col(src)
-    if temperature != 1.0:
-        x = F.transform(x, lambda v: v / F.lit(float(temperature)))
-    m, lse = f"{out}_max", f"{out}_lse"
-    df = df.withColumn(f"{out}_x", x).withColumn(m, F.array_max(f"{out}_x"))
-    df = df.withColumn(lse, F.col(m) + F.log(F.aggregate(
-        f"{out}_x", F.lit(0.0), lambda acc, v: acc + F.exp(v - F.col(m)))))
-    return (df.withColumn(out, F.transform(f"{out}_x", lambda v: v - F.col(lse)))
-              .drop(f"{out}_x", m, lse))
-
-
-def kl_token(t_logp: Column, s_logp: Column) -> Column:
-    """sum_v p_t(v) * (log p_t(v) - log p_s(v))"""
-    return F.aggregate(F.zip_with(t_logp, s_logp, lambda a, b: F.exp(a) * (a - b)),
-                       F.lit(0.0), lambda acc, v: acc + v)
+def log_sum_exp(arr: Column, temperature: float = 1.0) -> Column:
+    """log(sum(exp(x / T))) with the row maximum subtracted, in one pass.
+
+    Per-row scalars (the maximum) ride in the fold's initial state, which is
+    evaluated once per row; an expression referenced inside a lambda would be
+    re-evaluated for every element once the optimizer inlines it."""
+    t = float(temperature)
+    init = F.struct(F.array_max(arr).alias("m"), F.lit(0.0).alias("s"))
+    return F.aggregate(
+        arr, init,
+        lambda st, v: F.struct(st["m"].alias("m"), (st["s"] + F.exp((v - st["m"]) / t)).alias("s")),
+        lambda st: st["m"] / t + F.log(st["s"]))
+
+
+def kl_token(t: Column, s: Column, temperature: float = 1.0) -> Column:
+    """KL(softmax(t/T) || softmax(s/T)) for one token, O(vocab)."""
+    tt = float(temperature)
+    init = F.struct(log_sum_exp(t, tt).alias("lt"), log_sum_exp(s, tt).alias("ls"), F.lit(0.0).alias("acc"))
+    pairs = F.zip_with(t, s, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+    def step(st, e):
+        lpt = e["a"] / tt - st["lt"]
+        lps = e["b"] / tt - st["ls"]
+        return F.struct(st["lt"].alias("lt"), st["ls"].alias("ls"),
+                        (st["acc"] + F.exp(lpt) * (lpt - lps)).alias("acc"))
+    return F.aggregate(pairs, init, step, lambda st: st["acc"])
 
 
 def _prepare(df: DataFrame, teacher: str, student: str, label: str | None, mask_value: int) -> DataFrame:
@@ -47,8 +55,7 @@ def kd_kl_loss(df: DataFrame, teacher: str = "teacher_logits", student: str = "s
                temperature: float = 1.0, digits: int | None = 6) -> DataFrame:
     """KL(teacher || student) batchmean per group, over unmasked tokens."""
     p = _prepare(df, teacher, student, label, mask_value)
-    p = with_log_softmax(with_log_softmax(p, "_t", "_tl", temperature), "_s", "_sl", temperature)
-    p = p.withColumn("_kl", kl_token(F.col("_tl"), F.col("_sl")))
+    p = p.withColumn("_kl", kl_token(F.col("_t"), F.col("_s"), temperature))
     g = p.groupBy() if group_by is None else p.groupBy(group_by)
     loss = F.sum("_kl") / F.count(F.lit(1))
     return g.agg(F.count(F.lit(1)).alias("num_tokens"),
@@ -64,13 +71,11 @@ def kd_combined_loss(df: DataFrame, teacher: str = "teacher_logits", student: st
     (times T^2 when ``scale_t2``); CE is the student's cross-entropy of the
     label index at T = 1."""
     p = _prepare(df, teacher, student, label, mask_value)
-    p = with_log_softmax(with_log_softmax(p, "_t", "_tT", temperature), "_s", "_sT", temperature)
-    p = with_log_softmax(p, "_s", "_s1")
-    kd = kl_token(F.col("_tT"), F.col("_sT"))
+    kd = kl_token(F.col("_t"), F.col("_s"), temperature)
     if scale_t2:
         kd = kd * F.lit(float(temperature) ** 2)
     p = (p.withColumn("_kd", kd)
-          .withColumn("_ce", -F.element_at(F.col("_s1"), F.col(label).cast("int") + 1)))
+          .withColumn("_ce", log_sum_exp(F.col("_s")) - F.element_at(F.col("_s"), F.col(label).cast("int") + 1)))
     p = p.withColumn("_tok", F.lit(float(alpha)) * F.col("_kd") + F.lit(1.0 - float(alpha)) * F.col("_ce"))
     g = p.groupBy() if group_by is None else p.groupBy(group_by)
     n = F.count(F.lit(1))

@@ -260,7 +260,9 @@ def distill_examples(df: DataFrame, teacher_col: str = "teacher_answer",
     ids = word_ids(T.split_words(full))
     prompt_len = F.size(T.split_words(prompt))
     pad = F.greatest(F.lit(0), F.lit(max_length) - F.size(ids))
-    labels = F.transform(ids, lambda x, i: F.when(i < prompt_len, F.lit(-100).cast("bigint")).otherwise(x))
+    # no lambda: a per-row value inside one would be re-evaluated per token
+    labels = F.concat(F.array_repeat(F.lit(-100).cast("bigint"), F.least(prompt_len, F.size(ids))),
+                      F.slice(ids, prompt_len + 1, F.greatest(F.size(ids) - prompt_len, F.lit(0))))
     return (df.withColumn("full_text", full)
               .withColumn("prompt_len", prompt_len)
               .withColumn("input_ids", F.concat(ids, F.array_repeat(F.lit(pad_id).cast("bigint"), pad)))
