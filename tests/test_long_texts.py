@@ -44,7 +44,7 @@ def test_partial_match_query_equals_difflib(spark):
 
     import __spark_entry__ as E
     from vqaspark.plans.fixtures import item_preds
-    key = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    key = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     got = sorted((tuple(r[k] for k in key), r["partial_match"] if r["partial_match"] is not None else -1.0)
                  for r in E.queries()["partial_match_pairs"](spark, SF0001).collect())
     exp = []

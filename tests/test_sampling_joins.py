@@ -157,3 +157,10 @@ def test_first_n_large_path_equals_topk(spark):
     large = O.first_n(df, 150, ["shuffle_key", "id"], topk_max=10)
     assert "TakeOrdered" not in large._jdf.queryExecution().executedPlan().toString()
     assert sorted(small) == sorted(r["id"] for r in large.collect())
+
+
+def test_align_predictions_rejects_duplicate_keys(spark):
+    p = spark.createDataFrame([(1, "a"), (1, "b")], "sample_id long, prediction string")
+    r = spark.createDataFrame([(1, "a")], "sample_id long, reference string")
+    with pytest.raises(ValueError):
+        J.align_predictions(p, r, "sample_id")

@@ -53,17 +53,21 @@ def image_manifest_counts(samples: DataFrame, listing: DataFrame,
 
 def align_predictions(preds: DataFrame, refs: DataFrame, key, check: bool = True,
                       pred_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
-    """Predictions <-> references on ``key``.  With ``check`` the two
-    key sets must be equal (the reference's length check), verified by one
-    full-outer count; a mismatch raises ``ValueError``."""
+    """Predictions <-> references on ``key``.  With ``check`` every key
+    must occur exactly once on each side (the reference's equal-length,
+    position-aligned lists), verified in one job: per-key counts of both
+    sides (map-side partial counts) joined full-outer; any key with a count
+    other than 1 on either side raises ``ValueError``."""
     key = [key] if isinstance(key, str) else list(key)
     if check:
-        p = preds.select(*key).withColumn("_p", F.lit(1))
-        r = refs.select(*key).withColumn("_r", F.lit(1))
-        unmatched = (p.join(r, key, "full_outer")
-                      .where(F.col("_p").isNull() | F.col("_r").isNull()).limit(1).count())
-        if unmatched:
-            raise ValueError("Predictions and references must have same length")
+        p = preds.groupBy(*key).agg(F.count(F.lit(1)).alias("_p"))
+        r = refs.groupBy(*key).agg(F.count(F.lit(1)).alias("_r"))
+        bad = (p.join(r, key, "full_outer")
+                .where(~((F.coalesce("_p", F.lit(0)) == 1) & (F.coalesce("_r", F.lit(0)) == 1)))
+                .limit(1).count())
+        if bad:
+            raise ValueError("Predictions and references must have same length "
+                             "and one row per key")
     return preds.select(*key, pred_col).join(refs.select(*key, ref_col), key, "inner")
 
 

@@ -4,7 +4,7 @@ The reference works on (image, question, answer) records, model predictions,
 training logs and logits.  None of those ship with the test data, so each is
 derived here, by Spark, from the given tables; every derivation is a plain
 projection/join whose work grows with the tables.  The same derivations are
-written in SQL in ``plans/oracle.py``.
+written in SQL in ``plans/sql.py``.
 """
 
 from __future__ import annotations
@@ -78,7 +78,8 @@ def image_files(spark: SparkSession, sf: str, root: str = IMAGES_ROOT) -> DataFr
 def item_preds(spark: SparkSession, sf: str) -> DataFrame:
     """Short answers with NULL, empty, padded, upper-cased, shortened and
     longer variants (one row per lineitem)."""
-    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                   "l_quantity")
     part = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey)
     pk, ok = F.col("l_partkey"), F.col("l_orderkey")
@@ -90,12 +91,13 @@ def item_preds(spark: SparkSession, sf: str) -> DataFrame:
     student = (F.when(ok % 3 == 0, F.split_part(name, F.lit(" "), F.lit(2)))
                 .when(ok % 3 == 1, F.concat(name, F.lit(" "), F.lower(F.col("p_type"))))
                 .otherwise(name))
-    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                     ref.alias("reference_answer"), teacher.alias("teacher_answer"),
                     student.alias("student_answer"))
 
 
-ITEM_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# (order, line, part, supplier, quantity) is unique in every test scale.
+ITEM_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
 def train_log(spark: SparkSession, sf: str, eval_every: int = 50) -> DataFrame:

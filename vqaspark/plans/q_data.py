@@ -68,7 +68,7 @@ def q_qa_pairs(spark, sf):
 
 
 @register("normalize_answer", f"""
-select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
        {S.norm('teacher_answer')} as teacher_norm, {S.norm('reference_answer')} as reference_norm
 from ({S.ITEM_PREDS}) p""")
 def q_normalize_answer(spark, sf):

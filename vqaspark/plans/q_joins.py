@@ -45,7 +45,7 @@ def q_image_manifest_counts(spark, sf):
     return J.image_manifest_counts(requests_with_paths(spark, sf), FX.image_files(spark, sf))
 
 
-_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
 
 @register("align_predictions", f"""

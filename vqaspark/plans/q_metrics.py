@@ -19,7 +19,7 @@ from vqaspark.plans import sql as S
 from vqaspark.plans.registry import register
 from vqaspark.sources.tables import read_table
 
-_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
 
 def _em_sql(p, r):

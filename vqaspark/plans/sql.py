@@ -41,7 +41,7 @@ select distinct 'training-images/' || name as path from (
 """
 
 ITEM_PREDS = """
-select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
   case when l_partkey % 11 = 0 then null when l_partkey % 11 = 1 then '' else p_name end as reference_answer,
   case when l_orderkey % 5 = 0 then concat(' ', upper(p_name), ' ')
        when l_orderkey % 5 = 1 then split_part(p_name, ' ', 1) else p_name end as teacher_answer,
