@@ -63,3 +63,21 @@ def test_split_image_stats_approx(spark):
     approx = {r["split"]: r["unique_images"] for r in ST.split_image_stats(ds, approx=True).collect()}
     for k, v in exact.items():
         assert abs(approx[k] - v) <= max(2, 0.1 * v)
+
+
+def test_all_metrics_with_bertscore_has_no_cross_join(spark):
+    from vqaspark.operators.metrics import bert as B
+    preds = spark.createDataFrame([("a b", "a b"), ("c", "d")], "prediction string, reference string")
+    vec = spark.createDataFrame([(0, "pred", 0, [1.0, 0.0]), (0, "ref", 1, [1.0, 0.0])],
+                                "sample_id long, side string, pos long, vector array<double>")
+    out = R.all_metrics(preds, bert=B.bertscore(vec))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    r = out.first()
+    assert (r["num_samples"], r["exact_match"], r["bertscore_f1"]) == (2, 0.5, 1.0)
+
+
+def test_bleu_plan_has_no_cross_join(spark):
+    df = spark.createDataFrame([(1, ["a", "b"], ["a", "b"])], "sample_id long, hyp_tokens array<string>, ref_tokens array<string>")
+    plan = BL.bleu(df, max_n=2)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

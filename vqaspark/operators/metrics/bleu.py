@@ -34,13 +34,13 @@ def _tagger(n: int, side: str):
 
 def bleu(df: DataFrame, hyp: str = "hyp_tokens", ref: str = "ref_tokens", sample_col: str = "sample_id",
          max_n: int = 4, group_by=None) -> DataFrame:
-    """Corpus BLEU-``max_n`` per group (one row when ``group_by`` is None)."""
-    if group_by is None:
-        # one corpus: a constant key keeps every step an equi-join
-        df = df.withColumn("_corpus", F.lit(0))
-        gcols, drop = ["_corpus"], True
-    else:
-        gcols, drop = ([group_by] if isinstance(group_by, str) else list(group_by)), False
+    """Corpus BLEU-``max_n`` per group (one row when ``group_by`` is None).
+
+    Hypothesis and reference lengths are the unigram counts, so the corpus
+    statistics come from the same n-gram aggregation; only the grouped form
+    joins them back to the groups (an equi-join on the group keys, so groups
+    without any token still get a row)."""
+    gcols = [] if group_by is None else ([group_by] if isinstance(group_by, str) else list(group_by))
     items = []
     for n in range(1, max_n + 1):
         for side, col in (("h", hyp), ("r", ref)):
@@ -50,19 +50,20 @@ def bleu(df: DataFrame, hyp: str = "hyp_tokens", ref: str = "ref_tokens", sample
     counts = grams.groupBy(*gcols, sample_col, "n", "g").agg(
         F.count_if(F.col("s") == "h").alias("hc"), F.count_if(F.col("s") == "r").alias("rc"))
     per_n = counts.groupBy(*gcols, "n").agg(
-        F.sum(F.least("hc", "rc")).alias("clipped"), F.sum("hc").alias("total"))
-    lengths = df.groupBy(*gcols).agg(F.sum(F.size(hyp)).alias("hyp_len"),
-                                     F.sum(F.size(ref)).alias("ref_len"))
+        F.sum(F.least("hc", "rc")).alias("clipped"), F.sum("hc").alias("total"), F.sum("rc").alias("rtotal"))
     logp = F.when(F.col("clipped") > 0, F.log(F.col("clipped") / F.col("total")))
-    prec = per_n.groupBy(*gcols).agg(
+    stats = (per_n.groupBy(*gcols) if gcols else per_n.groupBy()).agg(
+        F.coalesce(F.max(F.when(F.col("n") == 1, F.col("total"))), F.lit(0)).alias("hyp_len"),
+        F.coalesce(F.max(F.when(F.col("n") == 1, F.col("rtotal"))), F.lit(0)).alias("ref_len"),
         F.count_if(F.col("clipped") > 0).alias("_nonzero"),
         F.sum(logp).alias("_sumlog"))
-    out = lengths.join(prec, gcols, "left")
+    if gcols:
+        groups = df.select(*gcols).distinct()
+        stats = groups.join(stats, gcols, "left").fillna(0, subset=["hyp_len", "ref_len", "_nonzero"])
     c, r = F.col("hyp_len").cast("double"), F.col("ref_len").cast("double")
     bp = F.when(c > r, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(F.exp(F.lit(1.0) - r / c))
     score = F.when(F.coalesce(F.col("_nonzero"), F.lit(0)) < max_n, F.lit(0.0)).otherwise(
         bp * F.exp(F.col("_sumlog") / F.lit(float(max_n))))
-    keep = [] if drop else gcols
-    return out.select(*keep, F.col("hyp_len").cast("bigint").alias("hyp_len"),
-                      F.col("ref_len").cast("bigint").alias("ref_len"),
-                      F.round(score, 6).alias("bleu"))
+    return stats.select(*gcols, F.col("hyp_len").cast("bigint").alias("hyp_len"),
+                        F.col("ref_len").cast("bigint").alias("ref_len"),
+                        F.round(score, 6).alias("bleu"))
