@@ -26,14 +26,14 @@ def q_stream_prepare(spark, sf):
 
 
 @register("stream_log_windows", """
-select user_id as run_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as window_start,
+select user_id as run_id, cast(epoch(date_trunc('day', ts)) as bigint) as window_start,
        count(*) as num_logs, round(sum(value), 6) as sum_loss
 from events group by user_id, date_trunc('day', ts)""")
 def q_stream_log_windows(spark, sf):
     ev = ST.table_stream(spark, sf, "events")
     log = ev.select(F.col("user_id").alias("run_id"), "ts", F.col("value").alias("loss"))
     agg = ST.windowed_loss(log).select(
-        "run_id", F.date_format(F.col("window.start"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "run_id", F.unix_seconds(F.col("window.start")).alias("window_start"),
         "num_logs", "sum_loss")
     sink, ckpt = ST.scratch_pair(spark, "stream-windows")
     out = ST.run_upserts(agg, ["run_id", "window_start"], sink, ckpt)

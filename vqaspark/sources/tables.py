@@ -21,7 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise ValueError(f"unknown table {name!r}; known: {TABLES}")
     df = spark.read.parquet(table_path(sf_dir, name))
     if name == "events":
-        # Stored as a naive timestamp (TIMESTAMP_NTZ); watermarks and windows
-        # need TIMESTAMP, so cast once at the source (session TZ is UTC).
-        df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+        df = df.withColumn("ts", ntz_as_utc("ts"))
     return df
+
+
+def ntz_as_utc(c: str):
+    """Naive (TIMESTAMP_NTZ) wall-clock values as UTC instants, whatever the
+    session time zone: watermarks and windows need TIMESTAMP, and a plain
+    cast would read the wall clock in the session's zone."""
+    return F.concat(F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).cast("timestamp")

@@ -35,7 +35,8 @@ def file_stream(spark: SparkSession, directory: str, glob: str = "*.parquet",
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
     df = file_stream(spark, sf_dir, f"{name}.parquet", max_files_per_trigger=max_files_per_trigger)
     if name == "events":
-        df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+        from vqaspark.sources.tables import ntz_as_utc
+        df = df.withColumn("ts", ntz_as_utc("ts"))
     return df
 
 
