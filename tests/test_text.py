@@ -51,3 +51,15 @@ def test_shuffle_key_and_bucket_are_row_local(spark):
     import hashlib
     assert a[5][0] == hashlib.md5(b"42:5").hexdigest()
     assert a[5][1] == int(hashlib.md5(b"42:5").hexdigest()[:8], 16) % 100
+
+
+def test_nfc_nfd_left_as_is(spark):
+    import unicodedata
+
+    from vqaspark.operators.metrics.exact import exact_match
+    nfc = unicodedata.normalize("NFC", "mèo")
+    nfd = unicodedata.normalize("NFD", "mèo")
+    assert nfc != nfd
+    df = spark.createDataFrame([(nfc, nfd), (nfc, nfc)], "prediction string, reference string")
+    # like str.strip().lower(): no Unicode normalisation, so the two forms differ
+    assert exact_match(df).first()["exact_match"] == 0.5

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vqaspark.operators.metrics.exact import em_flag
-from vqaspark.operators.metrics.rouge import rouge_l_scores
+from vqaspark.operators.metrics.rouge import rouge_f1_udf, rouge_l_scores, rouge_tokens
 
 
 def all_metrics(df: DataFrame, pred: str = "prediction", ref: str = "reference", group_by=None,
@@ -35,11 +35,17 @@ def comparison_report(df: DataFrame, teacher: str = "teacher_answer", student: s
                       ref: str = "reference_answer", tokenizer: str = "ascii") -> DataFrame:
     """A10: one row per metric -- teacher, student, difference and student as
     a percentage of teacher."""
-    models = F.array(F.struct(F.lit("teacher").alias("model"), F.col(teacher).alias("pred")),
-                     F.struct(F.lit("student").alias("model"), F.col(student).alias("pred")))
-    # long format: both models go through one scoring stage (one UDF call)
-    long = df.select(F.col(ref).alias("_ref"), F.explode(models).alias("_m")).select("_m.model", "_m.pred", "_ref")
-    s = rouge_l_scores(long.withColumn("_em", em_flag("pred", "_ref")), "pred", "_ref", "_rl", tokenizer)
+    # tokens and match flags first (the reference is tokenised once), then
+    # one long row per (sample, model) so both models share one UDF stage
+    base = df.select(rouge_tokens(ref, tokenizer).alias("_rt"),
+                     em_flag(teacher, ref).alias("_tem"), em_flag(student, ref).alias("_sem"),
+                     rouge_tokens(teacher, tokenizer).alias("_ttok"),
+                     rouge_tokens(student, tokenizer).alias("_stok"))
+    models = F.array(
+        F.struct(F.lit("teacher").alias("model"), F.col("_tem").alias("_em"), F.col("_ttok").alias("_pt")),
+        F.struct(F.lit("student").alias("model"), F.col("_sem").alias("_em"), F.col("_stok").alias("_pt")))
+    long = base.select("_rt", F.explode(models).alias("_m")).select("_m.model", "_m._em", "_m._pt", "_rt")
+    s = long.withColumn("_rl", rouge_f1_udf(F.col("_pt"), F.col("_rt")))
     per_model = s.groupBy("model").agg(F.avg("_em").alias("em"), F.avg("_rl").alias("rl"))
     wide = per_model.groupBy().pivot("model", ["teacher", "student"]).agg(
         F.first("em").alias("em"), F.first("rl").alias("rl"))
