@@ -164,3 +164,24 @@ def test_align_predictions_rejects_duplicate_keys(spark):
     r = spark.createDataFrame([(1, "a")], "sample_id long, reference string")
     with pytest.raises(ValueError):
         J.align_predictions(p, r, "sample_id")
+
+
+def test_predict_split_runs_model_once_and_routes(spark, tmp_path):
+    df = spark.createDataFrame([(i, "p", "x" * (13 if i % 4 == 0 else 3) + " y") for i in range(20)],
+                               "id long, image_path string, question string")
+    ok, dead = PR.predict_split(df, FirstWordsModel(1, fail_modulo=13), str(tmp_path / "pred"))
+    n_bad = sum(1 for i in range(20) if len("x" * (13 if i % 4 == 0 else 3) + " y") % 13 == 0)
+    assert dead.count() == n_bad and ok.count() == 20 - n_bad
+
+
+def test_predict_from_requests_file(spark, tmp_path):
+    import json
+    p = tmp_path / "req.json"
+    p.write_text(json.dumps({"annotations": [
+        {"image_id": 1, "image_path": "a.jpg", "question": "what color", "answer": "red"},
+        {"image_id": 2, "image_path": "", "question": "skipped"},
+        {"image_id": 3, "image_path": "c.jpg", "question": "how many"}]}))
+    out = PR.predict_from_requests(spark, str(p), FirstWordsModel(1)).orderBy("image_id").collect()
+    assert [(r["image_id"], r["predicted_answer"], r["reference_answer"]) for r in out] == \
+        [(1, "what", "red"), (3, "how", None)]
+    assert PR.predict_from_requests(spark, str(p), FirstWordsModel(1), limit=1).count() == 1

@@ -148,3 +148,29 @@ def synthetic_labels(labelled: DataFrame, unlabelled: DataFrame, teacher_factory
     base = labelled.withColumn("source", F.lit("labelled"))
     cols = [id_col, "question", "answer", "source"]
     return base.select(*cols).unionByName(labelled_new.select(*cols))
+
+
+def predict_split(df: DataFrame, model_factory: Callable, path: str, **kw):
+    """Run the model once and route rows: predictions are written to
+    ``path`` partitioned by ``status`` (ok / error) and read back as
+    ``(ok, dead_letter)``.  Both outputs come from one model pass, and the
+    written table is the recovery point if an executor is lost later."""
+    err = kw.get("error_col", "error")
+    out = predict(df, model_factory, **kw).withColumn(
+        "status", F.when(F.col(err).isNull(), F.lit("ok")).otherwise(F.lit("error")))
+    out.write.mode("overwrite").partitionBy("status").parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    return (table.where(F.col("status") == "ok").drop("status", err),
+            table.where(F.col("status") == "error").drop("status"))
+
+
+def predict_from_requests(spark, path: str, model_factory: Callable, limit: int | None = None,
+                          multi_line: bool = True, **kw) -> DataFrame:
+    """U3 ``predict_from_json``: request file (either layout) -> first
+    ``limit`` requests -> drop invalid ones -> predict -> prediction records
+    (rows the model failed on are left out, as in the reference; use
+    ``predict_split`` to keep them)."""
+    from vqaspark.operators.prepare import limit_then_filter
+    from vqaspark.sources.files import read_requests
+    req = limit_then_filter(read_requests(spark, path, multi_line=multi_line), limit, "id")
+    return to_prediction_records(predict_ok(req, model_factory, **kw))
