@@ -185,3 +185,18 @@ def test_predict_from_requests_file(spark, tmp_path):
     assert [(r["image_id"], r["predicted_answer"], r["reference_answer"]) for r in out] == \
         [(1, "what", "red"), (3, "how", None)]
     assert PR.predict_from_requests(spark, str(p), FirstWordsModel(1), limit=1).count() == 1
+
+
+def test_align_predictions_lazy_check(spark):
+    p = spark.createDataFrame([(1, "a"), (2, "b")], "sample_id long, prediction string")
+    r = spark.createDataFrame([(1, "a"), (2, "c")], "sample_id long, reference string")
+    good = J.align_predictions(p, r, "sample_id", check="lazy")
+    plan = good._jdf.queryExecution().executedPlan().toString()  # before execution: initial plan only
+    assert plan.count("Exchange hashpartitioning") == 2  # one per side, none for the join
+    assert sorted(map(tuple, good.collect())) == [(1, "a", "a"), (2, "b", "c")]
+    bad = J.align_predictions(p, r.where("sample_id = 1"), "sample_id", check="lazy")
+    with pytest.raises(Exception, match="one row per key"):
+        bad.collect()
+    dup = J.align_predictions(p.unionByName(p), r, "sample_id", check="lazy")
+    with pytest.raises(Exception, match="one row per key"):
+        dup.collect()

@@ -8,7 +8,7 @@ literal table of a few rows, is broadcast explicitly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,8 +57,12 @@ def align_predictions(preds: DataFrame, refs: DataFrame, key, check: bool = True
     must occur exactly once on each side (the reference's equal-length,
     position-aligned lists), verified in one job: per-key counts of both
     sides (map-side partial counts) joined full-outer; any key with a count
-    other than 1 on either side raises ``ValueError``."""
+    other than 1 on either side raises ``ValueError``.  ``check="lazy"``
+    folds the same check into the join itself (one shuffle per side; the
+    error is raised when the result is computed)."""
     key = [key] if isinstance(key, str) else list(key)
+    if check == "lazy":
+        return _align_lazy(preds, refs, key, pred_col, ref_col)
     if check:
         p = preds.groupBy(*key).agg(F.count(F.lit(1)).alias("_p"))
         r = refs.groupBy(*key).agg(F.count(F.lit(1)).alias("_r"))
@@ -71,6 +75,23 @@ def align_predictions(preds: DataFrame, refs: DataFrame, key, check: bool = True
     return preds.select(*key, pred_col).join(refs.select(*key, ref_col), key, "inner")
 
 
+ALIGN_ERROR = "Predictions and references must have same length and one row per key"
+
+
+def _align_lazy(preds: DataFrame, refs: DataFrame, key, pred_col: str, ref_col: str) -> DataFrame:
+    """One pass: each side is counted per key by a window (its only shuffle,
+    hash-partitioned by the key); the full outer join reuses that
+    partitioning, and a row with a missing side or a repeated key makes the
+    job fail with ``ALIGN_ERROR`` when the result is computed."""
+    w = Window.partitionBy(*key)
+    p = preds.select(*key, pred_col).withColumn("_np", F.count(F.lit(1)).over(w))
+    r = refs.select(*key, ref_col).withColumn("_nr", F.count(F.lit(1)).over(w))
+    j = p.join(r, key, "full_outer")
+    ok = (F.coalesce(F.col("_np"), F.lit(0)) == 1) & (F.coalesce(F.col("_nr"), F.lit(0)) == 1)
+    return (j.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(ALIGN_ERROR)).cast("boolean")))
+             .select(*key, pred_col, ref_col))
+
+
 def compare_models(teacher: DataFrame, student: DataFrame, key, how: str = "inner",
                    teacher_col: str = "teacher_answer", student_col: str = "student_answer",
                    extra_cols=()) -> DataFrame:

@@ -54,7 +54,7 @@ def q_align_predictions(spark, sf):
     p = FX.item_preds(spark, sf)
     preds = p.select(*FX.ITEM_KEY, F.col("teacher_answer").alias("prediction"))
     refs = p.select(*FX.ITEM_KEY, F.col("reference_answer").alias("reference"))
-    return J.align_predictions(preds, refs, FX.ITEM_KEY)
+    return J.align_predictions(preds, refs, FX.ITEM_KEY, check="lazy")
 
 
 @register("compare_models", f"""
