@@ -76,3 +76,27 @@ def test_bertscore_tiles_equal_brute_force(spark):
             assert got[sid]["precision"] == pytest.approx(P, abs=1e-12)
             assert got[sid]["recall"] == pytest.approx(R, abs=1e-12)
             assert got[sid]["f1"] == pytest.approx(2 * P * R / (P + R), abs=1e-12)
+
+
+def test_bertscore_from_text_with_encoder(spark):
+    from vqaspark.operators.metrics import report as R
+    df = spark.createDataFrame([(1, "hai con mèo", "hai con mèo"), (2, "một cái ghế", "ba chú chó")],
+                               "sample_id long, prediction string, reference string")
+    vec = B.text_token_vectors(df, B.HashingEncoder(32))
+    assert vec.count() == 12
+    s = {r["sample_id"]: r["f1"] for r in B.bertscore_samples(vec).collect()}
+    assert s[1] == pytest.approx(1.0) and s[2] < 0.9
+    m = R.all_metrics(df, bert=B.bertscore(vec)).first()
+    assert m["exact_match"] == 0.5 and m["bertscore_f1"] == pytest.approx((1.0 + s[2]) / 2, abs=1e-6)
+
+
+def test_bertscore_from_text_equals_token_table_path(spark):
+    df = spark.createDataFrame([(1, "hai con mèo đen", "hai con mèo"), (2, "một cái ghế", "ba chú chó nhỏ"),
+                                (3, "", "x")], "sample_id long, prediction string, reference string")
+    a = {r["sample_id"]: (r["precision"], r["recall"], r["f1"])
+         for r in B.bertscore_from_text(df, B.HashingEncoder(16), chunk=2).collect()}
+    vec = B.text_token_vectors(df, B.HashingEncoder(16))
+    b = {r["sample_id"]: (r["precision"], r["recall"], r["f1"]) for r in B.bertscore_samples(vec).collect()}
+    assert a[3] == (None, None, None) and 3 not in b
+    for k in (1, 2):
+        assert a[k] == pytest.approx(b[k], abs=2e-6)

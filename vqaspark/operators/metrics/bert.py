@@ -94,3 +94,121 @@ def bertscore(vectors: DataFrame, block: int = 256, **cols) -> DataFrame:
                  F.round(F.avg("precision"), 6).alias("bertscore_precision"),
                  F.round(F.avg("recall"), 6).alias("bertscore_recall"),
                  F.round(F.avg("f1"), 6).alias("bertscore_f1"))
+
+
+# ------------------------------------------------------------ text -> vectors
+
+_VEC_OUT = "sample_id bigint, side string, pos bigint, vector array<double>"
+
+
+class HashingEncoder:
+    """Deterministic stand-in for a contextual encoder: lower-cased word
+    tokens, each mapped to a fixed pseudo-random unit vector made from the
+    word's BLAKE2b digest.  Real use passes a factory that loads a BERT-style model with
+    the same interface: ``encoder(list[str]) -> list[(tokens, matrix)]``."""
+
+    def __init__(self, dim: int = 64):
+        self.dim = dim
+        self.cache_key = f"hashing-encoder:{dim}"
+
+    def __call__(self):
+        import hashlib
+        import re
+
+        dim = self.dim
+        tok = re.compile(r"[^\W_]+")
+
+        memo: dict = {}
+
+        def vec(word):
+            v = memo.get(word)
+            if v is None:
+                raw = b"".join(hashlib.blake2b(word.encode("utf-8"), digest_size=64,
+                                               salt=i.to_bytes(16, "little")).digest()
+                               for i in range(-(-dim // 64)))
+                v = np.frombuffer(raw, dtype=np.uint8)[:dim].astype(np.float64) - 127.5
+                v = v / np.linalg.norm(v)
+                if len(memo) < 1 << 18:
+                    memo[word] = v
+            return v
+
+        def encode(texts):
+            out = []
+            for t in texts:
+                words = tok.findall((t or "").lower())
+                out.append((words, np.array([vec(w) for w in words]).reshape(len(words), dim)))
+            return out
+        return encode
+
+    def __repr__(self):
+        return self.cache_key
+
+
+def text_token_vectors(df: DataFrame, encoder_factory, id_col: str = "sample_id",
+                       pred_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
+    """Encode predictions and references into the token-vector table that
+    ``bertscore`` reads (one row per token).  The encoder is built once per
+    Python worker and sees Arrow batches of texts."""
+    from vqaspark.operators.predict import _factory_key, _load
+    key = _factory_key(encoder_factory)
+    texts = df.select(F.col(id_col).cast("bigint").alias("sample_id"),
+                      F.explode(F.array(F.struct(F.lit("pred").alias("side"), F.col(pred_col).alias("text")),
+                                        F.struct(F.lit("ref").alias("side"), F.col(ref_col).alias("text"))))
+                       .alias("t")).select("sample_id", "t.side", "t.text")
+
+    def run(batches):
+        enc = _load(encoder_factory, key)
+        for pdf in batches:
+            rows = {"sample_id": [], "side": [], "pos": [], "vector": []}
+            for sid, side, (words, mat) in zip(pdf["sample_id"], pdf["side"], enc(list(pdf["text"]))):
+                for i in range(len(words)):
+                    rows["sample_id"].append(int(sid))
+                    rows["side"].append(side)
+                    rows["pos"].append(i)
+                    rows["vector"].append(mat[i].tolist())
+            yield pd.DataFrame(rows)
+    return texts.mapInPandas(run, _VEC_OUT)
+
+
+def _greedy_prf(p: np.ndarray, r: np.ndarray, chunk: int):
+    """Greedy-matching P/R/F1 of two token matrices, in row chunks so the
+    similarity matrix never exceeds ``chunk x len(r)``."""
+    if len(p) == 0 or len(r) == 0:
+        return None, None, None
+    p = p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-300)
+    r = r / np.maximum(np.linalg.norm(r, axis=1, keepdims=True), 1e-300)
+    best_p = np.empty(len(p))
+    best_r = np.full(len(r), -np.inf)
+    for s in range(0, len(p), chunk):
+        sim = p[s:s + chunk] @ r.T
+        best_p[s:s + chunk] = sim.max(axis=1)
+        np.maximum(best_r, sim.max(axis=0), out=best_r)
+    prec, rec = float(best_p.mean()), float(best_r.mean())
+    f1 = 0.0 if prec + rec == 0 else 2 * prec * rec / (prec + rec)
+    return prec, rec, f1
+
+
+def bertscore_from_text(df: DataFrame, encoder_factory, id_col: str = "sample_id",
+                        pred_col: str = "prediction", ref_col: str = "reference",
+                        chunk: int = 2048, digits: int | None = 6) -> DataFrame:
+    """Per-pair BERTScore from text: each row is encoded (the encoder sees
+    the batch's texts at once) and matched in place -- no token table, no
+    shuffle.  Pairs with an empty side get NULL scores."""
+    from vqaspark.operators.predict import _factory_key, _load
+    key = _factory_key(encoder_factory)
+    src = df.select(F.col(id_col).cast("bigint").alias("sample_id"),
+                    F.col(pred_col).alias("_p"), F.col(ref_col).alias("_r"))
+
+    def run(batches):
+        enc = _load(encoder_factory, key)
+        for pdf in batches:
+            ep = enc(list(pdf["_p"]))
+            er = enc(list(pdf["_r"]))
+            res = [_greedy_prf(a[1], b[1], chunk) for a, b in zip(ep, er)]
+            out = pd.DataFrame({"sample_id": pdf["sample_id"].astype("int64"),
+                                "precision": [x[0] for x in res], "recall": [x[1] for x in res],
+                                "f1": [x[2] for x in res]})
+            if digits is not None:
+                out[["precision", "recall", "f1"]] = out[["precision", "recall", "f1"]].astype("float64").round(digits)
+            yield out
+    return src.mapInPandas(run, "sample_id bigint, precision double, recall double, f1 double")

@@ -169,6 +169,16 @@ def q_bertscore(spark, sf):
     return B.bertscore(FX.token_vectors(spark, sf), block=16)
 
 
+@register("bertscore_text")
+def q_bertscore_text(spark, sf):
+    """BERTScore from text (question vs answer of every QA pair) with the
+    pluggable encoder (deterministic hashing stand-in); rows-only check, the
+    matching itself is the oracle-checked ``bertscore`` operator."""
+    qa = FX.qa(spark, sf).select(FX.sample_id("conv_id", "turn").alias("sample_id"),
+                                 F.col("answer").alias("prediction"), F.col("question").alias("reference"))
+    return B.bertscore_from_text(qa, B.HashingEncoder(64))
+
+
 # ------------------------------------------------------------------ BLEU
 
 def bleu_pairs(spark, sf):
