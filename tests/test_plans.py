@@ -6,7 +6,7 @@ import sys
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from plan_report import summarise  # noqa: E402
+from plan_report import plan_facts  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,8 +15,7 @@ def test_every_query_plan_is_scale_safe(spark):
     import __spark_entry__ as E
     bad = []
     for name, fn in sorted(E.queries().items()):
-        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
-        s = summarise(plan)
+        s = plan_facts(fn(spark, SF))
         if s["unpartitioned_window"]:
             bad.append((name, "unpartitioned window"))
         if "BatchEvalPython" in s["python"]:
@@ -31,9 +30,11 @@ def test_detector_flags_known_bad_plans(spark):
     from pyspark.sql import functions as F
     df = spark.range(10)
     bad = df.withColumn("rn", F.row_number().over(Window.orderBy("id")))
-    assert summarise(bad._jdf.queryExecution().executedPlan().toString())["unpartitioned_window"]
+    assert plan_facts(bad)["unpartitioned_window"]
     good = df.withColumn("rn", F.row_number().over(Window.partitionBy(F.col("id") % 2).orderBy("id")))
-    assert not summarise(good._jdf.queryExecution().executedPlan().toString())["unpartitioned_window"]
+    assert not plan_facts(good)["unpartitioned_window"]
+    no_order = df.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    assert not plan_facts(no_order)["unpartitioned_window"]
     cross = df.crossJoin(spark.range(3).withColumnRenamed("id", "x"))
-    j = summarise(cross._jdf.queryExecution().executedPlan().toString())["joins"]
+    j = plan_facts(cross)["joins"]
     assert any("NestedLoop" in x or "Cartesian" in x for x in j)
