@@ -24,14 +24,17 @@ def lcs_length(a, b) -> int:
         a, b = b, a
     # bit i of masks[t] is set when a[i] == t
     masks: dict = {}
+    get = masks.get
     for i, t in enumerate(a):
-        masks[t] = masks.get(t, 0) | (1 << i)
+        masks[t] = get(t, 0) | (1 << i)
     full = (1 << len(a)) - 1
     v = full
     for t in b:
-        u = v & masks.get(t, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+        m = get(t)
+        if m is not None:  # a token absent from ``a`` leaves the row unchanged
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return len(a) - v.bit_count()
 
 
 @F.pandas_udf(T.IntegerType())
