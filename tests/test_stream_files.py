@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from vqaspark.operators import prepare as P
@@ -140,3 +142,16 @@ def test_entry_contract(spark):
     assert 0 < len(rows) <= 100
     assert set(E.oracle_sql()) <= set(E.queries())
     assert {"id", "text", "shuffle_key"} <= set(df.columns)
+
+
+def test_stream_exact_match_equals_batch_on_item_predictions(spark, tmpdir_fresh):
+    from vqaspark.operators.metrics.exact import exact_match
+    from vqaspark.plans.fixtures import item_preds
+    src = os.path.join(tmpdir_fresh, "preds")
+    item_preds(spark, "/root/testdata/sf0.001").repartition(6).write.parquet(src)
+    s = ST.file_stream(spark, src, max_files_per_trigger=2)
+    out = ST.run_complete(ST.running_exact_match(s), os.path.join(tmpdir_fresh, "o"),
+                          os.path.join(tmpdir_fresh, "c")).first()
+    b = exact_match(spark.read.parquet(src), "teacher_answer", "reference_answer").first()
+    assert out["num_samples"] == b["num_samples"] == 6000
+    assert out["matches"] / out["num_samples"] == pytest.approx(b["exact_match"])
