@@ -200,3 +200,14 @@ def test_align_predictions_lazy_check(spark):
     dup = J.align_predictions(p.unionByName(p), r, "sample_id", check="lazy")
     with pytest.raises(Exception, match="one row per key"):
         dup.collect()
+
+
+def test_get_sample_small_and_large_paths_agree(spark):
+    df = spark.range(0, 500).select((F.col("id") * 37 % 500).alias("id"), F.col("id").alias("v"))
+    for k in (0, 7, 499):
+        small = O.get_sample(df, k).collect()
+        large = O.get_sample(df, k, topk_max=0).collect()
+        assert len(small) == 1 and small[0]["id"] == k and sorted(small[0].asDict().items()) == \
+            sorted(large[0].asDict().items())
+    assert O.get_sample(df, 500).count() == 0
+    assert O.get_sample(df, 500, topk_max=0).count() == 0

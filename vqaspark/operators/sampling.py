@@ -97,9 +97,26 @@ def with_index(df: DataFrame, order_cols, out: str = "index",
                   .drop("_pid", "_mid"))
 
 
-def get_sample(df: DataFrame, index: int, order_cols="id") -> DataFrame:
-    """The row at ``index`` (0-based) in ``order_cols`` order."""
-    return with_index(df, order_cols).where(F.col("index") == int(index))
+def get_sample(df: DataFrame, index: int, order_cols="id", topk_max: int = TOPK_MAX) -> DataFrame:
+    """The row at ``index`` (0-based) in ``order_cols`` order.  A small
+    index is the last of the first ``index + 1`` rows (a top-k, no full
+    pass); a large one uses the distributed positional index."""
+    index = int(index)
+    if isinstance(order_cols, str):
+        order_cols = [order_cols]
+    if index < 0:
+        raise ValueError("index must be >= 0")
+    if index + 1 <= topk_max:
+        head = df.orderBy(*order_cols).limit(index + 1)
+        cols = df.columns
+        # one aggregate over the <= index + 1 head rows: the last one and the
+        # count (fewer rows than index + 1 = out of range, no row)
+        agg = head.agg(F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_r"),
+                       F.count(F.lit(1)).alias("_n"))
+        return (agg.where(F.col("_n") == index + 1)
+                   .select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+                   .withColumn("index", F.lit(index).cast("bigint")))
+    return with_index(df, order_cols).where(F.col("index") == index)
 
 
 def assign_batches(df: DataFrame, batch_size: int, order_cols="id",
