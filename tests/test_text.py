@@ -1,7 +1,5 @@
 """Literal cases for the string expressions."""
 
-from pyspark.sql import functions as F
-
 from vqaspark.functions import text as T
 from vqaspark.functions.hashing import hash_bucket, shuffle_key
 

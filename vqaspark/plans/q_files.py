@@ -8,7 +8,6 @@ import os
 from pyspark.sql import functions as F
 
 from vqaspark.operators import prepare as P
-from vqaspark.operators.metrics import report as R
 from vqaspark.plans import fixtures as FX
 from vqaspark.plans import sql as S
 from vqaspark.plans.q_joins import _REQ_PATH_SQL, requests_with_paths

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.functions import text as T
 from vqaspark.operators import predict as PR
 from vqaspark.operators import prepare as P
 from vqaspark.operators.models import FirstWordsModel
