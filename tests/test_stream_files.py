@@ -155,3 +155,19 @@ def test_stream_exact_match_equals_batch_on_item_predictions(spark, tmpdir_fresh
     b = exact_match(spark.read.parquet(src), "teacher_answer", "reference_answer").first()
     assert out["num_samples"] == b["num_samples"] == 6000
     assert out["matches"] / out["num_samples"] == pytest.approx(b["exact_match"])
+
+
+def test_header_only_validation_matches_full_read(spark, tmpdir_fresh):
+    root = os.path.join(tmpdir_fresh, "imgs")
+    os.makedirs(root)
+    with open(os.path.join(root, "a.jpg"), "wb") as f:
+        f.write(bytes.fromhex("FFD8FFE000104A464946") + b"\x00" * 5000)
+    with open(os.path.join(root, "b.jpg"), "wb") as f:
+        f.write(bytes.fromhex("89504E470D0A1A0A") + b"\x01" * 100)
+    with open(os.path.join(root, "c.jpg"), "wb") as f:
+        f.write(b"GIF? no, text")
+    full = {os.path.basename(r["path"]): (r["image_format"], r["image_valid"])
+            for r in P.validate_images(FI.image_listing(spark, root, with_content=True)).collect()}
+    head = {os.path.basename(r["path"]): (r["image_format"], r["image_valid"])
+            for r in P.validate_images(FI.image_listing(spark, root), header_only=True).collect()}
+    assert full == head == {"a.jpg": ("jpeg", True), "b.jpg": ("png", True), "c.jpg": (None, False)}
