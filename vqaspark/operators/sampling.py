@@ -71,6 +71,10 @@ def with_index(df: DataFrame, order_cols, out: str = "index",
     partition, (2) offset + position inside the partition.  The checkpoint
     pins the partition layout so both passes see the same one, and cuts
     lineage so a lost executor recomputes from it, not from the source.
+
+    ``order_cols`` should be unique (ids; md5 key + id; scan order): rows
+    sharing one order value cannot be split across range partitions, and
+    their relative positions would be undefined anyway.
     """
     if isinstance(order_cols, str):
         order_cols = [order_cols]
