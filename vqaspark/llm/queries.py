@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from vqaspark.llm import huffman, tokens
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
 from vqaspark.sources.tables import read_table
 
 
+@register("op2_bpe_tree")
+def op2(spark, sf_dir):
+    return tokens.digests(read_table(spark, sf_dir, "documents"))
+
+
+@register("op4_huffman_ids")
+def op4(spark, sf_dir):
+    path = huffman.store_documents(read_table(spark, sf_dir, "documents"))
+    return huffman.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op5_quality_classifier")
 def op5(spark, sf_dir):
     return qc.quality_classifier(read_table(spark, sf_dir, "documents"))
