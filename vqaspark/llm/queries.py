@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import huffman, near_dup, tokens
+from vqaspark.llm import huffman, mixing, near_dup, tokens
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -32,6 +32,11 @@ def op7(spark, sf_dir):
     return qr.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+@register("op8_mix_sources")
+def op8(spark, sf_dir):
+    return mixing.mix_counts(read_table(spark, sf_dir, "documents"))
+
+
 @register("op10_minhash_bayes")
 def op10(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), k=2)
