@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import huffman, mixing, near_dup, tokens
+from vqaspark.llm import huffman, licenses, mixing, near_dup, tokens
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -40,3 +40,8 @@ def op8(spark, sf_dir):
 @register("op10_minhash_bayes")
 def op10(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), k=2)
+
+
+@register("op9_license_scan")
+def op9(spark, sf_dir):
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
