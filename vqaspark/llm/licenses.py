@@ -170,8 +170,11 @@ def scan_texts(col: pa.Array) -> list[pa.Array]:
     base_labels, labels, score = [""] * n, [""] * n, np.zeros(n)
     expressions, permissive = [None] * n, [None] * n
     tag = phrases.index(TAG)
-    for d in np.unique(doc):
-        here = np.flatnonzero(doc == d)
+    order = np.argsort(doc, kind="stable")
+    found_in = np.unique(doc)
+    cuts = np.append(np.searchsorted(doc[order], found_in), len(order))
+    for k, d in enumerate(found_in):
+        here = order[cuts[k]:cuts[k + 1]]
         base, more, doubt, found, ok = set(), set(), 1.0, [], None
         seen = set()
         for j in here:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import huffman, licenses, mixing, near_dup, tokens
+from vqaspark.llm import huffman, licenses, mixing, near_dup, tokens, url_filters
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -45,3 +45,9 @@ def op10(spark, sf_dir):
 @register("op9_license_scan")
 def op9(spark, sf_dir):
     return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op6_url_filters", url_filters.ORACLE)
+def op6(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filters.filter_urls(url_filters.captures_of(pages), url_filters.derived_list(pages))
