@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import huffman, licenses, mixing, near_dup, tokens, url_filters
+from vqaspark.llm import huffman, licenses, mixing, near_dup, neighbours, tokens, url_filters
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -51,3 +51,8 @@ def op9(spark, sf_dir):
 def op6(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     return url_filters.filter_urls(url_filters.captures_of(pages), url_filters.derived_list(pages))
+
+
+@register("op3_nn_descent")
+def op3(spark, sf_dir):
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
