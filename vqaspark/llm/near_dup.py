@@ -9,10 +9,19 @@ posterior probability that its similarity reaches the threshold is below
 ``MISS``.  Survivors are verified exactly on full shingle sets.
 
 No bucket's pairs are all listed.  Each bucket first tests its members against
-one pivot (its smallest id), which connects groups of copies; buckets that
-still hold several components test members against the pivot's nearest copy;
-only what is still unconnected in a bucket is then compared across components,
-so no link that could join two components goes untested.
+one pivot (its smallest id), which connects groups of copies.  Buckets that
+still hold several components measure their members exactly against a centre
+(the pivot's nearest copy).  For the rest a bound holds: let x not be linked
+with the centre o, let a = |x & o| for each member, and let x and y share w
+shingles outside o.  Then |x & y| <= min(a_x, a_y) + w, so a link needs
+
+    w >= 0.8 / 1.8 * (|x| + |y|) - min(a_x, a_y).
+
+Pairs with a positive right side must share one of their rarest shingles
+outside o (a prefix filter, as |y| >= 0.8 |x|); for the others the sizes leave
+a narrow window.  Both are equi-joins within a centre's members.  So no link
+that could join two components goes untested, and copies that drifted from
+their original are not compared with all the other copies.
 """
 
 from __future__ import annotations
@@ -21,7 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,21 +201,7 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, tex
 
     left = write_scratch(with_sig.mapInArrow(test, "p long, x long"), "op10-pairs")
 
-    # Full sets of the documents that are still in a pair.  A repeated id brings
-    # one row per distinct text; the digest tells which one is the representative.
-    wanted = left.select(F.col("p").alias("rep")).unionByName(left.select(F.col("x").alias("rep"))).distinct()
-    text = (docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("__t"))
-            .join(wanted, "rep"))
-
-    def full(col):
-        sets, offsets = shingle_sets(col, k)
-        data = np.ascontiguousarray(sets).view(np.uint8)
-        return [pa.Array.from_buffers(pa.binary(), len(col), [
-            None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(data)])]
-
-    sets = map_text(text, "__t", full, [T.StructField("s", T.BinaryType())]).drop("__t").dropDuplicates(["rep", "s"])
-    both = (left.join(sets.withColumnRenamed("rep", "p").withColumnRenamed("s", "sp"), "p")
-            .join(sets.withColumnRenamed("rep", "x").withColumnRenamed("s", "sx"), "x").select("p", "x", "sp", "sx"))
+    both = _with_sets(left, docs, id_col, text_col, k)
 
     def exact(batches):
         for b in batches:
@@ -224,6 +219,83 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, tex
     return both.mapInArrow(exact, "p long, x long, shared double")
 
 
+def _with_sets(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(p, x, sp, sx): the pairs (stored) with their full sets, made from the
+    texts of the documents that are in a pair.  A repeated id brings a row for
+    each of its texts."""
+    wanted = pairs.select(F.col("p").alias("rep")).unionByName(pairs.select(F.col("x").alias("rep"))).distinct()
+    text = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("__t")).join(wanted, "rep")
+
+    def full(col):
+        sets, offsets = shingle_sets(col, k)
+        data = np.ascontiguousarray(sets).view(np.uint8)
+        return [pa.Array.from_buffers(pa.binary(), len(col), [
+            None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(data)])]
+
+    sets = map_text(text, "__t", full, [T.StructField("s", T.BinaryType())]).drop("__t").dropDuplicates(["rep", "s"])
+    return (pairs.select("p", "x").join(sets.withColumnRenamed("rep", "p").withColumnRenamed("s", "sp"), "p")
+            .join(sets.withColumnRenamed("rep", "x").withColumnRenamed("s", "sx"), "x").select("p", "x", "sp", "sx"))
+
+
+def _measured(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int]) -> DataFrame:
+    """(o, x, size, a, linked, outside) for centres p = o: size of x, of its
+    part in o, and its shingles outside o."""
+    num, den = threshold
+
+    def measure(batches):
+        for b in batches:
+            cols = [[], [], [], []]
+            for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                o, x = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                out = np.setdiff1d(x, o, assume_unique=True)
+                common = len(x) - len(out)
+                for c, v in zip(cols, (len(x), common, den * common >= num * (len(o) + len(out)), out.view(np.int64).tolist())):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                 pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.list_(pa.int64()))],
+                names=["o", "x", "size", "a", "linked", "outside"])
+
+    return _with_sets(pairs, docs, id_col, text_col, k).mapInArrow(
+        measure, "o long, x long, size long, a long, linked boolean, outside array<long>")
+
+
+def _uncertain(info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(p, x) pairs that the bound does not rule out, of members of one centre
+    in different components ``c``, one of them not linked with the centre."""
+    num, den = threshold
+    # Shared shingles needed, as integers: (num + den) * (a + w) >= num * (|x| + |y|).
+    def needed(size, other, a):
+        return F.lit(num) * (size + other) - F.lit(num + den) * a
+
+    # 1. Prefix filter on shingles outside the centre, rarest first.
+    least = F.ceil(F.lit(num) * F.col("size") / F.lit(den))                    # |y| of a link, at least
+    w = F.ceil(needed(F.col("size"), least, F.col("a")) / F.lit(num + den))     # shared outside, at least
+    flat = info.select("o", "x", "c", "linked", "size", "a", F.explode("outside").alias("sh"),
+                       (F.size("outside") - F.greatest(w, F.lit(1)) + 1).alias("len"))
+    often = flat.groupBy("o", "sh").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("o", "x").orderBy("n", "sh")
+    prefix = (flat.where("len > 0").join(often, ["o", "sh"]).withColumn("r", F.row_number().over(order))
+              .where("r <= len and n > 1").select("o", "sh", "x", "c", "linked", "size", "a"))
+    prefix = write_scratch(prefix, "op10-prefix")
+    y = prefix.select("o", "sh", *[F.col(c).alias(f"{c}2") for c in ("x", "c", "linked", "size", "a")])
+    apart = (F.col("c") != F.col("c2")) & (F.col("x") < F.col("x2")) & ~(F.col("linked") & F.col("linked2"))
+    sizes = (F.lit(num) * F.greatest("size", "size2") <= F.lit(den) * F.least("size", "size2"))
+    one = prefix.join(y, ["o", "sh"]).where(apart & sizes)
+    # 2. No shingle outside the centre has to be shared: only possible for sizes in a window.
+    step = F.lit(0.005)
+    bucket = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / step)
+    far = info.where("not linked").withColumn("top", F.lit(num + den) * F.col("a") / F.lit(num) - F.col("size"))
+    far = far.where(F.col("top") >= least).select(
+        "o", "x", "c", "linked", "size", "a", F.explode(F.sequence(
+            F.floor(F.log(F.greatest(least, F.lit(1)).cast("double")) / step), F.floor(F.log(F.col("top")) / step))).alias("b"))
+    y2 = info.select("o", bucket.alias("b"), *[F.col(c).alias(f"{c}2") for c in ("x", "c", "linked", "size", "a")])
+    none = needed(F.col("size"), F.col("size2"), F.least("a", "a2")) <= 0
+    two = far.join(y2, ["o", "b"]).where((F.col("c") != F.col("c2")) & sizes & none)
+    pair = [F.least("x", "x2").alias("p"), F.greatest("x", "x2").alias("x")]
+    return one.select(*pair).unionByName(two.select(*pair)).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id
@@ -264,26 +336,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return write_scratch(rows.join(mixed, "key"), "op10-mixed")
 
     rest = labelled()
-    # Second pivot: the copy nearest to the first one, wherever it lies.
+    # Centre of a bucket: the copy nearest to its pivot, wherever it lies.
     near = links.groupBy("p").agg(F.max_by("x", F.struct("shared", -F.col("x"))).alias("o"))
-    second = (rest.join(near, "p").where("rep <> o").select(F.least("o", "rep").alias("p"), F.greatest("o", "rep").alias("x"))
-              .distinct())
-    seen = tried.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x"))
-    second = write_scratch(second.join(seen, ["p", "x"], "left_anti"), "op10-tried")
-    if second.limit(1).count():
-        edges = edges.unionByName(verified(second).select(F.col("p").alias("u"), F.col("x").alias("v")))
-        comp = components(edges)
-        rest = labelled()
-        seen = seen.unionByName(second)
-    # What shares a bucket and is not connected yet.
-    other = rest.select("key", F.col("rep").alias("y"), F.col("c").alias("cy"))
-    third = (rest.join(other, "key").where("c < cy")
-             .select(F.least("rep", "y").alias("p"), F.greatest("rep", "y").alias("x")).distinct()
-             .join(seen, ["p", "x"], "left_anti"))
-    third = write_scratch(third, "op10-tried")
-    if third.limit(1).count():
-        edges = edges.unionByName(verified(third).select(F.col("p").alias("u"), F.col("x").alias("v")))
+    centred = rest.join(near, "p", "left").withColumn("o", F.coalesce("o", "p"))
+    members = write_scratch(centred.select(F.col("o").alias("p"), F.col("rep").alias("x")).distinct(), "op10-tried")
+    if members.limit(1).count():
+        info = write_scratch(_measured(members, docs, id_col, text_col, k, threshold), "op10-centres")
+        edges = edges.unionByName(info.where("linked").select(F.col("o").alias("u"), F.col("x").alias("v")))
         comp = components(edges)
+        c = F.coalesce("component", "x").alias("c")
+        named = info.join(comp.withColumnRenamed("u", "x"), "x", "left").select(*info.columns, c)
+        split = named.groupBy("o").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("o")
+        last = write_scratch(_uncertain(write_scratch(named.join(split, "o"), "op10-centres"), threshold), "op10-tried")
+        if last.limit(1).count():
+            edges = edges.unionByName(verified(last).select(F.col("p").alias("u"), F.col("x").alias("v")))
+            comp = components(edges)
 
     named = (classes.select("d", "rep").join(comp.withColumnRenamed("u", "rep"), "rep", "left")
              .select("d", F.coalesce("component", "rep").alias("component_id")))
