@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import huffman, licenses, mixing, near_dup, neighbours, tokens, url_filters
+from vqaspark.llm import huffman, licenses, lm_score, mixing, near_dup, neighbours, tokens, url_filters
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -56,3 +56,8 @@ def op6(spark, sf_dir):
 @register("op3_nn_descent")
 def op3(spark, sf_dir):
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
+@register("op1_lm_context_mixing")
+def op1(spark, sf_dir):
+    return lm_score.lm_scores(read_table(spark, sf_dir, "documents"))
