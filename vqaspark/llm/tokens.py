@@ -26,9 +26,9 @@ from pyspark.sql import types as T
 
 from vqaspark.llm.base import Words, map_text, parts, slices, text_bytes
 
-LEAF_CHARS = 32_768      # longer texts are halved
+LEAF_CHARS = 65_536      # longer texts are halved
 WINDOW_CHARS = 64        # first window on each side of a cut; doubles until both sides agree
-CACHE_PIECES = 800_000   # pieces remembered per Python worker (some 160 MB)
+CACHE_PIECES = 400_000   # pieces remembered per Python worker (some 80 MB)
 
 # Fixed value: the splitting pattern of the tokenizer file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
