@@ -18,7 +18,6 @@ import os
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -163,7 +162,7 @@ def count_ids(ids: DataFrame, ids_col: str = "ids") -> np.ndarray:
     return out
 
 
-_DOC = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n_tokens", T.LongType()),
+_DOC = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("doc", T.LongType()), T.StructField("n_tokens", T.LongType()),
                      T.StructField("bits", T.BinaryType()), T.StructField("checks", T.BinaryType())])
 _BLOCK = ("part int, seq int, n_docs int, n_tokens long, docs binary, no_id binary, counts binary, "
           "word_offsets binary, check_offsets binary, checks binary, bits binary")
@@ -179,10 +178,20 @@ def write_ids(ids: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     """Store documents (an integer id, packed ids) in ascending id order.
 
     Null ids sort first; repeated ids are ordered by their tokens; null token
-    lists count as empty.  ``ids`` is read twice: pass stored rows."""
+    lists count as empty.  ``ids`` is read several times: pass stored rows."""
     spark = ids.sparkSession
     lengths = code_lengths(count_ids(ids, ids_col))
     code = Code(lengths)
+    # Parts are ranges of ids.  Their bounds come from the ids alone, so that rows
+    # are coded once; null ids are in the first part.
+    n_parts = parts(spark, 0, 1)
+    bounds = ids.agg(F.percentile_approx(F.col(id_col).cast("long"), [i / n_parts for i in range(1, n_parts)],
+                                         50 * n_parts)).first()[0] if n_parts > 1 else None
+    bounds = np.unique(np.array(bounds or [], np.int64))
+
+    def part_of(docs):
+        p = np.searchsorted(bounds, docs.fill_null(0).to_numpy(), side="right")
+        return pa.array(np.where(np.asarray(docs.is_null()), 0, p).astype(np.int32))
 
     def bits(batches):
         for b in batches:
@@ -193,40 +202,45 @@ def write_ids(ids: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 offsets = np.concatenate([[0], np.cumsum(size[lo:hi] // 4)])
                 words, word0, checks, check0 = code.encode(flat, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets)), _cut(words, word0),
-                     _cut(checks, check0)], names=_DOC.names)
+                    [part_of(b.column(0).slice(lo, hi - lo)), b.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets)),
+                     _cut(words, word0), _cut(checks, check0)], names=_DOC.names)
 
     coded = ids.select(F.col(id_col).cast("long").alias("doc"), F.col(ids_col).alias("ids")).mapInArrow(bits, _DOC)
-    ordered = (coded.repartitionByRange(parts(spark, 0, 1), "doc", "n_tokens", "bits")
-               .sortWithinPartitions("doc", "n_tokens", "bits"))
+    ordered = coded.repartition(n_parts, "part").sortWithinPartitions("part", "doc", "n_tokens", "bits")
 
     def blocks(batches):
-        part, seq, held, n = TaskContext.get().partitionId(), 0, [], 0
+        part, seq, held, n = None, 0, [], 0
 
         def close():
-            docs = pa.concat_arrays([h.column(0) for h in held])
-            counts = np.concatenate([h.column(1).to_numpy() for h in held])
-            size = np.concatenate([pc.binary_length(h.column(2)).to_numpy() for h in held]).astype(np.int64)
-            n_checks = np.concatenate([pc.binary_length(h.column(3)).to_numpy() for h in held]).astype(np.int64)
+            docs = pa.concat_arrays([h.column(1) for h in held])
+            counts = np.concatenate([h.column(2).to_numpy() for h in held])
+            size = np.concatenate([pc.binary_length(h.column(3)).to_numpy() for h in held]).astype(np.int64)
+            n_checks = np.concatenate([pc.binary_length(h.column(4)).to_numpy() for h in held]).astype(np.int64)
             row = [part, seq, len(docs), int(counts.sum()),
                    pc.fill_null(docs, 0).to_numpy().astype("<i8").tobytes(),
                    np.asarray(docs.is_null()).astype(np.uint8).tobytes(), counts.astype("<i8").tobytes(),
                    np.cumsum(size // 4).astype("<i8").tobytes(), np.cumsum(n_checks // 4).astype("<i8").tobytes(),
-                   b"".join(x for h in held for x in h.column(3).to_pylist()),
-                   b"".join(x for h in held for x in h.column(2).to_pylist())]
+                   b"".join(x for h in held for x in h.column(4).to_pylist()),
+                   b"".join(x for h in held for x in h.column(3).to_pylist())]
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema=schema)
 
         schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64())]
                            + [(c, pa.binary()) for c in ("docs", "no_id", "counts", "word_offsets", "check_offsets",
                                                          "checks", "bits")])
         for b in batches:
-            for lo, hi in slices(b.column(1).to_numpy(), BLOCK_TOKENS):
-                s = b.slice(lo, hi - lo)
-                held.append(s)
-                n += int(pc.sum(s.column(1)).as_py() or 0)
-                if n >= BLOCK_TOKENS:
-                    yield close()
-                    seq, held, n = seq + 1, [], 0
+            p = b.column(0).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(p)) + 1, [len(p)]]) if len(p) else [0]
+            for a, z in zip(edges[:-1], edges[1:]):
+                if part != p[a]:
+                    if held:
+                        yield close()
+                    part, seq, held, n = int(p[a]), 0, [], 0
+                for lo, hi in slices(b.column(2).to_numpy()[a:z], BLOCK_TOKENS):
+                    held.append(b.slice(a + lo, hi - lo))
+                    n += int(pc.sum(held[-1].column(2)).as_py() or 0)
+                    if n >= BLOCK_TOKENS:
+                        yield close()
+                        seq, held, n = seq + 1, [], 0
         if held:
             yield close()
 
