@@ -3,10 +3,9 @@ removal -> mixing to target weights -> tokens."""
 
 from __future__ import annotations
 
-from vqaspark.llm import quality_classifier, quality_rules
-from vqaspark.session import ship_package
+from vqaspark.llm import mixing, near_dup, quality_classifier, quality_rules, tokens
+from vqaspark.session import scratch_path, ship_package
 from vqaspark.sources.tables import read_table
-from vqaspark.llm.base import scratch_path
 
 
 def classify(spark, docs, sf_dir):
@@ -21,7 +20,26 @@ def rules(spark, docs, sf_dir):
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality_classifier", classify), ("quality_rules", rules)]
+def near_duplicates(spark, docs, sf_dir):
+    """Operator 10: one document of each group of near copies stays."""
+    ship_package(spark)
+    return near_dup.keep_one(docs)
+
+
+def mix(spark, docs, sf_dir):
+    """Operator 8: sources are repeated or cut to their target weights."""
+    ship_package(spark)
+    return mixing.mix_documents(docs)
+
+
+def encode(spark, docs, sf_dir):
+    """Operator 2: the mix as token ids (little-endian unsigned 32-bit)."""
+    ship_package(spark)
+    return tokens.encode(docs.select("doc_id", "source", "lang", "text")).drop("text")
+
+
+STAGES = [("quality_classifier", classify), ("quality_rules", rules), ("near_duplicates", near_duplicates),
+          ("mix_sources", mix), ("bpe_encode", encode)]
 
 #: Trained models and hash-based draws are not SQL; tests compare each stage with brute force.
 ORACLE_SQL = None
