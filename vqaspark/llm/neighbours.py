@@ -370,7 +370,7 @@ def walk(starts: DataFrame, graph: DataFrame, vectors: DataFrame, blocks: int, s
                 return _table([], pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("members", pa.binary()), ("wanted", pa.binary())]))
             got = got.to_pylist()
             ids = np.concatenate([_i8(m["ids"]) for m in got]) if got else np.zeros(0, np.int64)
-            members = (np.concatenate([_i8(m["members"]) for m in got]) if got else np.zeros(0, np.int64)).reshape(len(ids), -1)
+            members = (np.concatenate([_i8(m["members"]) for m in got]) if got else np.zeros(0, np.int64)).reshape(len(ids), K + REVERSE)
             order = np.argsort(ids)
             q = _i8(own.to_pylist()[0]["q"])
             want = np.unique(np.concatenate([members.ravel(), q]))
@@ -390,7 +390,7 @@ def walk(starts: DataFrame, graph: DataFrame, vectors: DataFrame, blocks: int, s
             r = own.to_pylist()[0]
             ids, x, _ = _known(got.to_pylist())
             eids = _i8(r["eids"])
-            mem = _i8(r["emem"]).reshape(len(eids), -1)
+            mem = _i8(r["emem"]).reshape(len(eids), K + REVERSE)
             q, found, score, looked = _i8(r["q"]), _i8(r["found"]), _f4(r["score"]), _i8(r["looked"])
             # found and looked hold pairs (query number, node) after the first hop.
             if not len(looked):
