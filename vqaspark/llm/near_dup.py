@@ -11,7 +11,7 @@ posterior probability that its similarity reaches the threshold is below
 No bucket's pairs are all listed.  Each bucket first tests its members against
 one pivot (its smallest id), which connects groups of copies.  Buckets that
 still hold several components measure their members exactly against a centre
-(the pivot's nearest copy).  For the rest a bound holds: let x not be linked
+(the best linked member of the bucket's main component).  For the rest a bound holds: let x not be linked
 with the centre o, let a = |x & o| for each member, and let x and y share w
 shingles outside o.  Then |x & y| <= min(a_x, a_y) + w, so a link needs
 
@@ -336,9 +336,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return write_scratch(rows.join(mixed, "key"), "op10-mixed")
 
     rest = labelled()
-    # Centre of a bucket: the copy nearest to its pivot, wherever it lies.
-    near = links.groupBy("p").agg(F.max_by("x", F.struct("shared", -F.col("x"))).alias("o"))
-    centred = rest.join(near, "p", "left").withColumn("o", F.coalesce("o", "p"))
+    # Centre of a bucket: the member with most links of its most frequent component.
+    ends = links.select(F.col("p").alias("u")).unionByName(links.select(F.col("x").alias("u")))
+    centres = (ends.groupBy("u").agg(F.count(F.lit(1)).alias("n")).join(comp, "u")
+               .groupBy(F.col("component").alias("c")).agg(F.max_by("u", F.struct("n", -F.col("u"))).alias("o")))
+    main = (rest.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+            .agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("c")))
+    centred = rest.select("key", "rep").join(main.join(centres, "c", "left").select("key", F.coalesce("o", "c").alias("o")), "key")
     members = write_scratch(centred.select(F.col("o").alias("p"), F.col("rep").alias("x")).distinct(), "op10-tried")
     if members.limit(1).count():
         info = write_scratch(_measured(members, docs, id_col, text_col, k, threshold), "op10-centres")
