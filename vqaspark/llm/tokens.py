@@ -28,7 +28,7 @@ from vqaspark.llm.base import Words, map_text, parts, slices, text_bytes
 
 LEAF_CHARS = 65_536      # longer texts are halved
 WINDOW_CHARS = 64        # first window on each side of a cut; doubles until both sides agree
-CACHE_PIECES = 400_000   # pieces remembered per Python worker (some 80 MB)
+CACHE_PIECES = 300_000   # pieces remembered per Python worker (some 60 MB)
 
 # Fixed value: the splitting pattern of the tokenizer file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -118,7 +118,6 @@ class WordEncoder:
             raise ValueError(f"{path}: not a tokenizer that lowers case and splits words from marks")
         self.byte_char = _byte_chars()
         self.known: dict[bytes, bytes] = {}
-        self.tokens = None
 
     def _piece(self, piece: bytes) -> bytes:
         """Ids of one piece as little-endian unsigned 32-bit integers."""
@@ -153,20 +152,39 @@ class WordEncoder:
         at += np.arange(len(at), dtype=np.int32)
         return flat[at], np.concatenate([[0], ends])[w.first]
 
+
+class Decoder:
+    """Token strings by id.  Only these are kept: a worker that decodes does
+    not load the merges."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec.get("decoder") is not None:
+            raise ValueError(f"{path}: only files without a decoder (tokens joined by spaces)")
+        names = dict(spec["model"]["vocab"]) | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        tokens = [None] * (max(names.values()) + 1)
+        for token, i in names.items():
+            tokens[i] = token
+        self.tokens = pa.array(tokens, pa.string())
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
-        """The tokens of each text joined by single spaces: what ``decode`` of a
-        file without decoder gives.  With a decoder, the library is asked."""
-        if self.tok.decoder is not None:
-            lists = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
-            return pa.array(self.tok.decode_batch(lists, skip_special_tokens=False), pa.string())
-        if self.tokens is None:
-            size = self.tok.get_vocab_size()
-            self.tokens = pa.array([self.tok.id_to_token(i) for i in range(size)], pa.string())
+        """The tokens of each text joined by single spaces, as the library's
+        ``decode`` does for a file without decoder."""
         lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
                                          self.tokens.take(pa.array(ids.astype(np.int32))))
         return pc.binary_join(lists, " ")
 
 
+_DECODERS: dict[str, Decoder] = {}
+
+
+def decoder(path: str) -> Decoder:
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
+
+
 def _has(buf: np.ndarray, a: int, b: int) -> bool:
     return bool(((buf[:-1] == a) & (buf[1:] == b)).any())
 
@@ -317,7 +335,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", path: str | None = None, ou
                 part = pc.fill_null(col.slice(lo, hi - lo), b"")
                 ids = np.frombuffer(b"".join(part.to_pylist()), "<u4")
                 offsets = np.concatenate([[0], np.cumsum(length[lo:hi] // 4)])
-                text = encoder(path).decode(ids, offsets)
+                text = decoder(path).decode(ids, offsets)
                 if col.slice(lo, hi - lo).null_count:
                     text = pc.if_else(col.slice(lo, hi - lo).is_null(), pa.scalar(None, pa.string()), text)
                 yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo) for c in b.columns] + [text],
