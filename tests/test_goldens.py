@@ -29,7 +29,7 @@ def test_qa_pairs_and_manifest_goldens(spark, q):
 
 
 def test_hash_split_dev_golden(spark, q):
-    assert q["hash_split"](spark, SF).where(F.col("split") == "dev").count() == 101
+    assert q["hash_split"](spark, SF).where(F.col("split") == "dev").count() == 96
 
 
 def test_checkpoint_numeric_vs_text_golden(spark, q):

@@ -103,13 +103,35 @@ def test_predict_isolates_row_errors(spark):
     assert all(r["predicted_answer"] == " ".join(r["question"].split()[:2]) for r in good)
 
 
+def test_predict_keeps_ids_and_messages(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, "p", "one two three"), (None, "p", "four five six")],
+                               "id long, image_path string, question string").coalesce(1)
+    assert {r["id"] for r in PR.predict(df, FirstWordsModel(2)).collect()} == {big, None}
+    out = PR.predict_pair(df, FirstWordsModel(2, fail_modulo=13), FirstWordsModel(1)).collect()
+    assert {r["id"] for r in out} == {big, None}
+    bad = [r for r in out if r["teacher_error"]]
+    assert [r["teacher_error"] for r in bad] == ["ValueError: model failed on input"] * 2
+    assert all(r["student_error"] is None and not r["match"] for r in out)
+    assert PR.pair_dead_letter(df, FirstWordsModel(2, fail_modulo=13), FirstWordsModel(1)).count() == 2
+    from vqaspark.operators.udf import map_batches, map_rows
+    assert {r["id"] for r in map_batches(df, lambda p: p, "id long, question string").collect()} == {big, None}
+    assert {r["id"] for r in map_rows(df, lambda r: {"id": r["id"]}, __import__("pyspark").sql.types.StructType.fromDDL("id long")).collect()} == {big, None}
+
+
+def test_split_fractions_of_any_fineness(spark):
+    from vqaspark.operators.sampling import hash_split
+    n = {r["split"]: r["count"] for r in hash_split(spark.range(40_000), fractions=(0.995, 0.0025, 0.0025)).groupBy("split").count().collect()}
+    assert 60 < n["dev"] < 140 and 60 < n["test"] < 140
+
+
 def test_predict_filter_runs_before_model(spark):
     df = spark.createDataFrame([(1, "p", ""), (2, "p", "q a b")], "id long, image_path string, question string")
     from vqaspark.operators.prepare import valid_requests
     out = PR.predict_ok(valid_requests(df), FirstWordsModel(1))
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the validity filter sits below the Python stage
-    assert plan.index("MapInPandas") < plan.rindex("Filter")
+    assert plan.index("ArrowEvalPython") < plan.rindex("Filter")
     assert [r["predicted_answer"] for r in out.collect()] == ["q"]
 
 
@@ -133,12 +155,19 @@ def test_map_batches_and_single_predict(spark):
 
 
 def test_qa_pairs_join_equals_window(spark):
-    from vqaspark.operators.prepare import qa_pairs
+    from vqaspark.operators.prepare import _lead_pairs, qa_pairs
     from vqaspark.sources.tables import read_table
     conv = read_table(spark, SF01, "conversations")
     a = sorted(map(tuple, qa_pairs(conv).collect()))
-    b = sorted(map(tuple, qa_pairs(conv, dense_turns=False).collect()))
+    b = sorted(map(tuple, _lead_pairs(conv, "conv_id", "turn").collect()))
     assert a == b and len(a) == 233
+    # gaps, repeats and dense conversations side by side
+    rows = [(1, t, r, f"{t}{r}") for t, r in [(0, "user"), (2, "assistant"), (5, "user"), (9, "assistant")]]
+    rows += [(2, t, r, f"{t}{r}") for t, r in [(1, "user"), (1, "system"), (3, "assistant")]]
+    rows += [(3, t, r, f"{t}{r}") for t, r in [(0, "user"), (1, "assistant"), (2, "user")]] + [(None, 0, "user", "x"), (4, None, "user", "x")]
+    odd = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(map(tuple, qa_pairs(odd).collect()))
+    assert [r for r in got if r[0] != 2] == [(1, 0, "0user", "2assistant"), (1, 5, "5user", "9assistant"), (3, 0, "0user", "1assistant")]
 
 
 def test_retention_limits_before_shuffle(spark):
@@ -154,7 +183,7 @@ def test_retention_limits_before_shuffle(spark):
 def test_first_n_large_path_equals_topk(spark):
     df = O.with_shuffle_key(spark.range(0, 2000), "id")
     small = [r["id"] for r in O.first_n(df, 150, ["shuffle_key", "id"]).collect()]
-    large = O.first_n(df, 150, ["shuffle_key", "id"], topk_max=10)
+    large = O.first_n(df, 150, ["shuffle_key", "id"], distributed=True)
     assert "TakeOrdered" not in large._jdf.queryExecution().executedPlan().toString()
     assert sorted(small) == sorted(r["id"] for r in large.collect())
 
@@ -206,8 +235,8 @@ def test_get_sample_small_and_large_paths_agree(spark):
     df = spark.range(0, 500).select((F.col("id") * 37 % 500).alias("id"), F.col("id").alias("v"))
     for k in (0, 7, 499):
         small = O.get_sample(df, k).collect()
-        large = O.get_sample(df, k, topk_max=0).collect()
+        large = O.get_sample(df, k, distributed=True).collect()
         assert len(small) == 1 and small[0]["id"] == k and sorted(small[0].asDict().items()) == \
             sorted(large[0].asDict().items())
     assert O.get_sample(df, 500).count() == 0
-    assert O.get_sample(df, 500, topk_max=0).count() == 0
+    assert O.get_sample(df, 500, distributed=True).count() == 0

@@ -70,10 +70,19 @@ def test_annotation_map_multiline_file(spark, tmpdir_fresh):
     path = os.path.join(tmpdir_fresh, "train.json")
     with open(path, "w", encoding="utf-8") as f:
         json.dump(doc, f, ensure_ascii=False, indent=2)
-    ann, imgs = FI.read_annotation_map(spark, path, multi_line=True)
-    rows = sorted((r["ann_id"], r["image_id"], r["question"], r["answer"]) for r in ann.collect())
-    assert rows == [("100", 7, "Màu gì?", "đỏ"), ("101", 9, "q2", "a2")]
-    assert sorted((r["image_id"], r["filename"]) for r in imgs.collect()) == [(7, "a.jpg"), (8, "b.jpg")]
+    # another split reuses image id 7: each file has its own lookup
+    with open(os.path.join(tmpdir_fresh, "dev.json"), "w", encoding="utf-8") as f:
+        json.dump({"images": {"7": "dev.jpg"}, "annotations": {"9": {"image_id": 7, "question": "q", "answer": "a"}}}, f)
+    ann = FI.read_annotation_map(spark, os.path.join(tmpdir_fresh, "*.json"), multi_line=True)
+    rows = sorted((r["ann_id"], r["image_id"], r["question"], r["answer"], r["filename"]) for r in ann.collect())
+    assert rows == [("100", 7, "Màu gì?", "đỏ", "a.jpg"), ("101", 9, "q2", "a2", None), ("9", 7, "q", "a", "dev.jpg")]
+    assert ann.select("*")._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    with open(os.path.join(tmpdir_fresh, "cut.json"), "w", encoding="utf-8") as f:
+        f.write(json.dumps(doc)[:60])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        FI.read_annotation_map(spark, os.path.join(tmpdir_fresh, "cut.json"), multi_line=True).collect()
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        FI.read_requests(spark, os.path.join(tmpdir_fresh, "cut.json")).collect()
 
 
 def test_requests_both_layouts(spark, tmpdir_fresh):
@@ -88,6 +97,12 @@ def test_requests_both_layouts(spark, tmpdir_fresh):
     assert [(r["id"], r["image_path"], r["answer"]) for r in w] == [(1, "x.jpg", None), (2, "", "a")]
     lst = FI.read_requests(spark, d2).collect()
     assert [(r["id"], r["question"], r["answer"]) for r in lst] == [(5, "q5", "a5")]
+    # four questions about one image stay four requests, in file order
+    with open(d2, "w") as f:
+        json.dump([{"image_id": 5, "image_path": "y.jpg", "question": f"q{i}"} for i in (3, 1, 2, 0)], f)
+    same = FI.read_requests(spark, d2)
+    assert same.select("sample_id").distinct().count() == 4
+    assert [r["question"] for r in P.limit_then_filter(same, 2, "sample_id").orderBy("sample_id").collect()] == ["q3", "q1"]
     # P3 drops the empty path; P4 limit applies before it
     both = FI.read_requests(spark, d1)
     assert P.limit_then_filter(both, 1, "id").count() == 1
@@ -166,8 +181,21 @@ def test_header_only_validation_matches_full_read(spark, tmpdir_fresh):
         f.write(bytes.fromhex("89504E470D0A1A0A") + b"\x01" * 100)
     with open(os.path.join(root, "c.jpg"), "wb") as f:
         f.write(b"GIF? no, text")
+    with open(os.path.join(root, "a b 100%.jpg"), "wb") as f:
+        f.write(b"GIF89a....")
+    with open(os.path.join(root, "w.jpg"), "wb") as f:
+        f.write(b"RIFF\x00\x00\x00\x00WAVEfmt ")
+    with open(os.path.join(root, "x.jpg"), "wb") as f:
+        f.write(b"RIFF\x00\x00\x00\x00WEBPVP8 ")
     full = {os.path.basename(r["path"]): (r["image_format"], r["image_valid"])
             for r in P.validate_images(FI.image_listing(spark, root, with_content=True)).collect()}
     head = {os.path.basename(r["path"]): (r["image_format"], r["image_valid"])
-            for r in P.validate_images(FI.image_listing(spark, root), header_only=True).collect()}
-    assert full == head == {"a.jpg": ("jpeg", True), "b.jpg": ("png", True), "c.jpg": (None, False)}
+            for r in P.validate_images(FI.image_listing(spark, root, with_header=True), header_only=True).collect()}
+    assert full == head == {"a.jpg": ("jpeg", True), "b.jpg": ("png", True), "c.jpg": (None, False), "a b 100%.jpg": ("gif", True),
+                            "w.jpg": (None, False), "x.jpg": ("webp", True)}
+    from vqaspark.operators import joins as J
+    listing = FI.image_listing(spark, root)
+    names = ["a.jpg", "a b 100%.jpg", "no.jpg"]
+    samples = spark.createDataFrame([(os.path.join(root, n),) for n in names], "image_path string")
+    assert {os.path.basename(r[0]) for r in J.image_exists(samples, listing).collect()} == set(names[:2])
+    assert [os.path.basename(r[0]) for r in J.image_missing(samples, listing).collect()] == ["no.jpg"]

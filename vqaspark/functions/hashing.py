@@ -25,3 +25,23 @@ def hash_bucket(id_col, seed: int = 42, buckets: int = 100) -> Column:
     """First 8 hex digits of the shuffle key as an integer, modulo ``buckets``."""
     head = F.substring(shuffle_key(id_col, seed), 1, 8)
     return (F.conv(head, 16, 10).cast("bigint") % F.lit(buckets)).cast("bigint")
+
+
+HASH_RANGE = 1 << 32
+
+
+def hash_value(id_col, seed: int = 42) -> Column:
+    """First 8 hex digits of the shuffle key as an integer below 2^32."""
+    return F.conv(F.substring(shuffle_key(id_col, seed), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_choice(id_col, fractions, names, seed: int = 42) -> Column:
+    """One of ``names`` with the given ``fractions``: the full 32-bit hash is
+    compared with ``fraction * 2^32``, so fractions of any fineness hold."""
+    from math import ceil
+    h, expr, edge = hash_value(id_col, seed), None, 0.0
+    for frac, name in zip(fractions[:-1], names[:-1]):
+        edge += frac
+        cond = h < F.lit(ceil(round(edge * HASH_RANGE, 3)))
+        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
+    return F.lit(names[-1]) if expr is None else expr.otherwise(names[-1])

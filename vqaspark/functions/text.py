@@ -49,7 +49,8 @@ def clean_text(c, lowercase: bool = False, remove_special: bool = False) -> Colu
     letters, digits nor whitespace.  Diacritics are letters, so they stay."""
     out = _c(c)
     if remove_special:
-        out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\p{M}\\s]", "")
+        # every whitespace character Python knows stays, not only ASCII ones
+        out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\p{M}" + PY_WHITESPACE_CLASS[1:-1] + "]", "")
     if lowercase:
         out = F.lower(out)
     return out

@@ -26,27 +26,39 @@ def attach_image_paths(samples: DataFrame, lookup: DataFrame, root: str,
              .drop("_lk_id", "_lk_name"))
 
 
+def plain_path(c) -> "F.Column":
+    """One form for a path: ``file:`` scheme and repeated slashes after it are
+    dropped and ``%XX`` of a URI is decoded, so that a listing's
+    ``file:/a/b%20c`` and a plain ``/a/b c`` compare equal.  Other schemes keep
+    their ``scheme://bucket`` prefix."""
+    col = F.col(c) if isinstance(c, str) else c
+    is_uri = F.regexp_like(col, F.lit("^[a-zA-Z][a-zA-Z0-9+.-]*:/"))
+    # "+" is a plain character in a path; url_decode would make it a space
+    decoded = F.try_url_decode(F.regexp_replace(col, F.lit("\\+"), F.lit("%2B")))
+    return F.when(is_uri, F.regexp_replace(F.coalesce(decoded, col), F.lit("^file:/+"), F.lit("/"))).otherwise(col)
+
+
 def _listing_paths(listing: DataFrame, path_col: str = "path") -> DataFrame:
-    return listing.select(F.col(path_col).alias("_file_path")).distinct()
+    return listing.select(plain_path(path_col).alias("_file_path"))
 
 
 def image_exists(samples: DataFrame, listing: DataFrame, path_col: str = "image_path") -> DataFrame:
     """Samples whose image file is in the listing (left semi join)."""
     files = _listing_paths(listing)
-    return samples.join(files, samples[path_col] == files["_file_path"], "left_semi")
+    return samples.join(files, plain_path(samples[path_col]) == files["_file_path"], "left_semi")
 
 
 def image_missing(samples: DataFrame, listing: DataFrame, path_col: str = "image_path") -> DataFrame:
     """Samples whose image file is absent (left anti join)."""
     files = _listing_paths(listing)
-    return samples.join(files, samples[path_col] == files["_file_path"], "left_anti")
+    return samples.join(files, plain_path(samples[path_col]) == files["_file_path"], "left_anti")
 
 
 def image_manifest_counts(samples: DataFrame, listing: DataFrame,
                           path_col: str = "image_path") -> DataFrame:
     """Kept and missing counts in one aggregate over one join."""
-    files = _listing_paths(listing).withColumn("_exists", F.lit(True))
-    j = samples.join(files, samples[path_col] == files["_file_path"], "left")
+    files = _listing_paths(listing).distinct().withColumn("_exists", F.lit(True))
+    j = samples.join(files, plain_path(samples[path_col]) == files["_file_path"], "left")
     return j.agg(F.count_if(F.col("_exists").isNotNull()).alias("kept"),
                  F.count_if(F.col("_exists").isNull()).alias("missing"))
 
@@ -120,14 +132,12 @@ REGISTRY_SCHEMA = T.StructType([
 
 
 def model_registry(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows or MODEL_REGISTRY_ROWS, REGISTRY_SCHEMA)
+    """The catalogue; only the literal one (three rows) is marked for broadcast."""
+    if rows:
+        return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    return F.broadcast(spark.createDataFrame(MODEL_REGISTRY_ROWS, REGISTRY_SCHEMA))
 
 
-def model_registry_join(df: DataFrame, registry: DataFrame, model_col: str = "model_id",
-                        max_rows: int = 10000) -> DataFrame:
-    """Attach registry attributes.  The registry is broadcast only after
-    checking it is a small dimension table (``max_rows``); otherwise AQE
-    chooses the strategy."""
-    n = registry.limit(max_rows + 1).count()
-    reg = F.broadcast(registry) if n <= max_rows else registry
-    return df.join(reg, df[model_col] == reg["model_id"], "left").drop(reg["model_id"])
+def model_registry_join(df: DataFrame, registry: DataFrame, model_col: str = "model_id") -> DataFrame:
+    """Attach registry attributes; Spark picks the join from the sizes."""
+    return df.join(registry, df[model_col] == registry["model_id"], "left").drop(registry["model_id"])

@@ -2,24 +2,28 @@
 
 A model is any picklable factory returning a callable
 ``pandas.DataFrame -> sequence of answers`` (columns: image path, question).
-``mapInPandas`` streams Arrow batches to it; the factory runs at most once per
-Python worker (module-level cache, worker reuse on), never per row.
+An iterator pandas UDF over these two columns streams Arrow batches to it, so
+every other column (ids above all) stays in the JVM untouched; the factory
+runs at most once per Python worker (module-level cache, worker reuse on).
 
 Row errors are isolated: if a batch call raises, the batch is retried row by
-row and failing rows come out with an ``error`` instead of being dropped, so
-the caller can route them to a dead-letter table.
+row and failing rows come out with an ``error`` (class) and its message
+instead of being dropped, so the caller can route them to a dead-letter table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Iterator, Tuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MODEL_CACHE: dict = {}
+_ANSWER = T.StructType([T.StructField("answer", T.StringType()), T.StructField("error", T.StringType()),
+                        T.StructField("message", T.StringType())])
 
 
 def _load(factory: Callable, key: str):
@@ -34,62 +38,70 @@ def _factory_key(factory) -> str:
     return getattr(factory, "cache_key", None) or f"{type(factory).__module__}.{type(factory).__qualname__}:{factory!r}"
 
 
-def _run_batch(model, pdf: pd.DataFrame) -> tuple[list, list]:
+def _run_batch(model, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Answers of one batch; rows the model raises on carry class and message."""
     try:
         answers = list(model(pdf))
         if len(answers) != len(pdf):
             raise ValueError(f"model returned {len(answers)} answers for {len(pdf)} rows")
-        return [None if a is None else str(a) for a in answers], [None] * len(pdf)
+        rows = [(None if a is None else str(a), None, None) for a in answers]
     except Exception:  # noqa: BLE001 - isolate the failing rows
-        out, err = [], []
+        rows = []
         for i in range(len(pdf)):
             try:
                 a = list(model(pdf.iloc[i:i + 1]))[0]
-                out.append(None if a is None else str(a))
-                err.append(None)
+                rows.append((None if a is None else str(a), None, None))
             except Exception as e:  # noqa: BLE001
-                out.append(None)
-                err.append(type(e).__name__)
-        return out, err
+                rows.append((None, type(e).__name__, str(e)))
+    return pd.DataFrame(rows, columns=["answer", "error", "message"], dtype=object)
 
 
-def predict(df: DataFrame, model_factory: Callable, question_col: str = "question",
-            image_col: str = "image_path", out: str = "predicted_answer",
-            batch_size: int = 32, error_col: str = "error") -> DataFrame:
-    """Add ``out`` (answer) and ``error_col`` (exception class or NULL)."""
+def _answers(model_factory: Callable, batch_size: int) -> Callable[..., Column]:
     key = _factory_key(model_factory)
-    in_fields = df.schema.fields
-    schema = T.StructType(in_fields + [T.StructField(out, T.StringType()),
-                                       T.StructField(error_col, T.StringType())])
-    names = [f.name for f in in_fields]
 
-    def run(batches):
+    @F.pandas_udf(_ANSWER)
+    def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = _load(model_factory, key)
-        for pdf in batches:
-            answers, errors = [], []
-            for start in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[start:start + batch_size]
-                view = pd.DataFrame({"image_path": chunk[image_col] if image_col in chunk else None,
-                                     "question": chunk[question_col]})
-                a, e = _run_batch(model, view.reset_index(drop=True))
-                answers += a
-                errors += e
-            res = pdf[names].copy()
-            res[out] = answers
-            res[error_col] = errors
-            yield res
-
-    return df.mapInPandas(run, schema)
+        for image, question in batches:
+            view = pd.DataFrame({"image_path": image, "question": question})
+            parts = [_run_batch(model, view.iloc[i:i + batch_size].reset_index(drop=True))
+                     for i in range(0, len(view), batch_size)]
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=["answer", "error", "message"])
+
+    return run
+
+
+def _with_answers(df: DataFrame, models: dict[str, Callable], question_col: str, image_col: str,
+                  batch_size: int) -> DataFrame:
+    """Append a struct column for each model.  ``explode`` of one element keeps
+    filters on the answers above the model call (it runs once per row) and lets
+    filters on other columns through to the scan."""
+    image = F.col(image_col).cast("string") if image_col in df.columns else F.lit(None).cast("string")
+    for name, factory in models.items():
+        answer = _answers(factory, batch_size)(image, F.col(question_col))
+        df = df.select("*", F.explode(F.array(answer)).alias(name))
+    return df
+
+
+def predict(df: DataFrame, model_factory: Callable, question_col: str = "question",
+            image_col: str = "image_path", out: str = "predicted_answer",
+            batch_size: int = 32, error_col: str = "error") -> DataFrame:
+    """Add ``out`` (answer), ``error_col`` (exception class or NULL) and
+    ``<error_col>_message``."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return _with_answers(df, {"_p": model_factory}, question_col, image_col, batch_size).select(
+        *cols, F.col("_p.answer").alias(out), F.col("_p.error").alias(error_col),
+        F.col("_p.message").alias(f"{error_col}_message"))
 
 
 def predict_ok(df: DataFrame, model_factory: Callable, **kw) -> DataFrame:
     """Prediction records of rows the model answered."""
     err = kw.get("error_col", "error")
-    return predict(df, model_factory, **kw).where(F.col(err).isNull()).drop(err)
+    return predict(df, model_factory, **kw).where(F.col(err).isNull()).drop(err, f"{err}_message")
 
 
 def dead_letter(df: DataFrame, model_factory: Callable, **kw) -> DataFrame:
-    """The rows the model failed on, with the error class."""
+    """The rows the model failed on, with the error class and message."""
     err = kw.get("error_col", "error")
     return predict(df, model_factory, **kw).where(F.col(err).isNotNull())
 
@@ -97,33 +109,26 @@ def dead_letter(df: DataFrame, model_factory: Callable, **kw) -> DataFrame:
 def predict_pair(df: DataFrame, teacher_factory: Callable, student_factory: Callable,
                  question_col: str = "question", image_col: str = "image_path",
                  batch_size: int = 32) -> DataFrame:
-    """Teacher and student on the same rows in one pass (one Python
-    stage, no join): adds ``teacher_answer``, ``student_answer``, ``match``."""
-    tk, sk = _factory_key(teacher_factory), _factory_key(student_factory)
-    in_fields = df.schema.fields
-    names = [f.name for f in in_fields]
-    schema = T.StructType(in_fields + [T.StructField("teacher_answer", T.StringType()),
-                                       T.StructField("student_answer", T.StringType())])
-
-    def run(batches):
-        teacher = _load(teacher_factory, tk)
-        student = _load(student_factory, sk)
-        for pdf in batches:
-            ta, sa = [], []
-            for start in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[start:start + batch_size]
-                view = pd.DataFrame({"image_path": chunk[image_col] if image_col in chunk else None,
-                                     "question": chunk[question_col]}).reset_index(drop=True)
-                ta += _run_batch(teacher, view)[0]
-                sa += _run_batch(student, view)[0]
-            res = pdf[names].copy()
-            res["teacher_answer"] = ta
-            res["student_answer"] = sa
-            yield res
-
+    """Teacher and student on the same rows in one pass (no join): adds
+    ``teacher_answer``, ``student_answer``, ``teacher_error``,
+    ``student_error`` (class and message, NULL if it answered) and ``match``
+    (false unless both answered alike)."""
     from vqaspark.operators.metrics.exact import agree_flag
-    return (df.mapInPandas(run, schema)
-              .withColumn("match", agree_flag("teacher_answer", "student_answer")))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    both = _with_answers(df, {"_t": teacher_factory, "_s": student_factory}, question_col, image_col, batch_size)
+
+    def error(m):
+        return F.when(F.col(f"{m}.error").isNotNull(), F.concat_ws(": ", f"{m}.error", f"{m}.message"))
+
+    return (both.select(*cols, F.col("_t.answer").alias("teacher_answer"), F.col("_s.answer").alias("student_answer"),
+                        error("_t").alias("teacher_error"), error("_s").alias("student_error"))
+            .withColumn("match", agree_flag("teacher_answer", "student_answer")))
+
+
+def pair_dead_letter(df: DataFrame, teacher_factory: Callable, student_factory: Callable, **kw) -> DataFrame:
+    """Rows on which the teacher, the student or both failed."""
+    return predict_pair(df, teacher_factory, student_factory, **kw).where(
+        "teacher_error is not null or student_error is not null")
 
 
 def to_prediction_records(df: DataFrame, id_col: str = "id",
@@ -160,7 +165,7 @@ def predict_split(df: DataFrame, model_factory: Callable, path: str, **kw):
         "status", F.when(F.col(err).isNull(), F.lit("ok")).otherwise(F.lit("error")))
     out.write.mode("overwrite").partitionBy("status").parquet(path)
     table = df.sparkSession.read.parquet(path)
-    return (table.where(F.col("status") == "ok").drop("status", err),
+    return (table.where(F.col("status") == "ok").drop("status", err, f"{err}_message"),
             table.where(F.col("status") == "error").drop("status"))
 
 
@@ -172,5 +177,5 @@ def predict_from_requests(spark, path: str, model_factory: Callable, limit: int
     ``predict_split`` to keep them)."""
     from vqaspark.operators.prepare import limit_then_filter
     from vqaspark.sources.files import read_requests
-    req = limit_then_filter(read_requests(spark, path, multi_line=multi_line), limit, "id")
+    req = limit_then_filter(read_requests(spark, path, multi_line=multi_line), limit, "sample_id")
     return to_prediction_records(predict_ok(req, model_factory, **kw))

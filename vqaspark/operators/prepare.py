@@ -102,13 +102,13 @@ def render_chat(df: DataFrame, messages: str = "messages", out: str = "text",
 
 def prepare_dataset(df: DataFrame, max_samples: int | None = None, shuffle: bool = True,
                     seed: int = 42, id_col: str = "id", image_col: str = "image_path",
-                    template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
+                    template: ChatTemplate = DEFAULT_TEMPLATE, distributed: bool = False) -> DataFrame:
     """M5: messages -> rendered text -> seeded shuffle -> first ``max_samples``.
 
     ``images`` is the one-element image list; original columns are kept.  With
-    ``max_samples`` the first n by md5 key come from ``first_n`` (top-k for
-    small n, the distributed positional index for large n; never a global
-    sort into one task).
+    ``max_samples`` the first n by md5 key come from ``first_n`` (a top-k, or
+    with ``distributed`` the positional index; never a global sort into one
+    task).
     """
     msgs = vqa_messages(F.col("question"), F.col("answer"))
     img = F.col(image_col) if image_col in df.columns else F.lit(None).cast("string")
@@ -118,10 +118,10 @@ def prepare_dataset(df: DataFrame, max_samples: int | None = None, shuffle: bool
     if shuffle:
         out = out.withColumn("shuffle_key", shuffle_key(id_col, seed))
         if max_samples is not None:
-            return first_n(out, max_samples, ["shuffle_key", id_col])
+            return first_n(out, max_samples, ["shuffle_key", id_col], distributed)
         return out
     if max_samples is not None:
-        return first_n(out, max_samples, [id_col])
+        return first_n(out, max_samples, [id_col], distributed)
     return out
 
 
@@ -131,24 +131,31 @@ def resolve_max_samples(max_samples: int | None) -> int | None:
     return max_samples if max_samples else None
 
 
-def qa_pairs(conversations: DataFrame, key: str = "conv_id", order: str = "turn",
-             dense_turns: bool = True) -> DataFrame:
+def qa_pairs(conversations: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
     """M8: a user turn followed by an assistant turn becomes (question, answer).
 
-    With ``dense_turns`` (turns numbered 0, 1, 2, ... per conversation, as
-    chat logs are) "the next turn" is ``turn + 1``, so the pairing is an
-    equi-join of user rows to assistant rows on ``(conversation, turn)``:
-    hash-partitioned on both columns, a conversation with a huge number of
-    turns still spreads over all tasks.  ``dense_turns=False`` uses ``lead``
-    over a window partitioned by conversation (any numbering; one
-    conversation per task).
+    Numbering is checked per conversation (two map-side combined counts).
+    Where turns are consecutive without repeats, as chat logs are, "the next
+    turn" is ``turn + 1``: an equi-join on ``(conversation, turn)``, over which
+    a conversation with a huge number of turns still spreads.  The other
+    conversations use ``lead`` (any numbering; a conversation per task).
+    Rows with a null conversation or turn pair with nothing.
     """
-    if dense_turns:
-        users = (conversations.where(F.col("role") == "user")
-                 .select(key, order, F.col("text").alias("question")))
-        answers = (conversations.where(F.col("role") == "assistant")
-                   .select(key, (F.col(order) - 1).alias(order), F.col("text").alias("answer")))
-        return users.join(answers, [key, order]).select(key, order, "question", "answer")
+    c = conversations.where(F.col(key).isNotNull() & F.col(order).isNotNull())
+    turns = c.groupBy(key, order).agg(F.count(F.lit(1)).alias("_n"))
+    span = turns.groupBy(key).agg((F.max(order) - F.min(order) + 1 == F.count(F.lit(1))).alias("_step"),
+                                  (F.max("_n") == 1).alias("_once"))
+    odd = span.where(~(F.col("_step") & F.col("_once"))).select(key)
+    users = (c.where(F.col("role") == "user")
+             .select(key, order, F.col("text").alias("question")))
+    answers = (c.where(F.col("role") == "assistant")
+               .select(key, (F.col(order) - 1).alias(order), F.col("text").alias("answer")))
+    dense = (users.join(answers, [key, order]).join(odd, key, "left_anti")
+             .select(key, order, "question", "answer"))
+    return dense.unionByName(_lead_pairs(c.join(odd, key, "left_semi"), key, order))
+
+
+def _lead_pairs(conversations: DataFrame, key: str, order: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order)
     return (conversations
             .select(key, order, "role", F.col("text").alias("question"),
@@ -217,50 +224,27 @@ IMAGE_MAGIC = {
     "jpeg": "FFD8FF",
     "png": "89504E470D0A1A0A",
     "gif": "474946383",
-    "webp": "52494646",
     "bmp": "424D",
 }
 
 
 def _magic_format(head: Column) -> Column:
-    fmt = F.lit(None).cast("string")
+    # a RIFF container is an image only if its bytes 8-11 say WEBP
+    webp = F.startswith(head, F.lit("52494646")) & (F.substring(head, 17, 8) == "57454250")
+    fmt = F.when(webp, F.lit("webp"))
     for name, magic in reversed(list(IMAGE_MAGIC.items())):
         fmt = F.when(F.startswith(head, F.lit(magic)), F.lit(name)).otherwise(fmt)
     return fmt
 
 
-def read_headers(listing: DataFrame, path_col: str = "path", nbytes: int = 16) -> DataFrame:
-    """First ``nbytes`` of every listed file, read on the executors through
-    ``pyarrow.fs`` (local, S3, HDFS, GCS): a header check touches a few bytes
-    per file instead of the whole image.  Unreadable files get NULL."""
-    import pandas as pd
-
-    def run(batches):
-        from pyarrow import fs as pafs
-        for pdf in batches:
-            heads = []
-            for p in pdf[path_col]:
-                uri = p.replace("file:/", "file:///", 1) if p.startswith("file:/") and not p.startswith("file:///") else p
-                try:
-                    filesystem, inner = pafs.FileSystem.from_uri(uri)
-                    with filesystem.open_input_file(inner) as f:
-                        heads.append(f.read(nbytes))
-                except Exception:  # noqa: BLE001 - reported as an invalid image
-                    heads.append(None)
-            yield pdf.assign(header=pd.Series(heads, dtype=object))
-    from pyspark.sql import types as PT
-    schema = PT.StructType(list(listing.schema.fields) + [PT.StructField("header", PT.BinaryType())])
-    return listing.mapInPandas(run, schema)
-
-
 def validate_images(listing: DataFrame, content_col: str = "content", header_only: bool = False) -> DataFrame:
     """A file is a valid image if it is non-empty and starts with a known
-    magic number.  With ``header_only`` only the first 16 bytes of each file
-    are read (``read_headers``, from a listing without ``content``);
-    otherwise the listing's ``content`` column is used.  (Spark's file scans
-    skip zero-byte files, so empty files never appear here.)"""
+    magic number.  ``header_only`` takes the listing's ``header`` column
+    (``image_listing(with_header=True)``: Spark's own file system opens the
+    file, whatever its scheme or name, and the 16 bytes are cut in the scan's
+    projection).  A file that cannot be opened fails the read: an I/O error is
+    not an invalid image.  (Spark's file scans skip zero-byte files.)"""
     if header_only:
-        listing = read_headers(listing.drop(content_col) if content_col in listing.columns else listing)
         content_col = "header"
     fmt = _magic_format(F.hex(F.substring(F.col(content_col), 1, 16)))
     out = (listing.withColumn("image_format", fmt)
@@ -274,6 +258,15 @@ def similarity_gate(scored: DataFrame, score_col: str = "rouge_l",
     return scored.where(F.col(score_col) >= threshold)
 
 
+def gate_pass_rate(scored: DataFrame, score_col: str = "rouge_l", threshold: float = 0.7) -> DataFrame:
+    """How many rows the gate sees and keeps, and their share (0 for an
+    empty input)."""
+    kept = F.count_if(F.col(score_col) >= threshold)
+    n = F.count(F.lit(1))
+    return scored.agg(n.alias("num_samples"), kept.alias("num_kept"),
+                      F.coalesce(kept / F.when(n > 0, n), F.lit(0.0)).alias("pass_rate"))
+
+
 # ------------------------------------------------------- distillation records
 
 def word_ids(tok: Column, vocab_size: int = 1 << 20) -> Column:

@@ -58,9 +58,10 @@ def checkpoint_retention(ckpts: DataFrame, keep: int = 2, run_col: str = "run_id
     Window partitioned by run; Spark plans the rank filter as a
     WindowGroupLimit, so each task keeps only ``keep`` rows per run before
     the shuffle."""
-    c = (ckpts.withColumn("_n", checkpoint_step(name_col)).where(F.col("_n").isNotNull())
+    c = (ckpts.where(F.col(name_col).startswith("checkpoint-"))
+              .withColumn("_n", checkpoint_step(name_col)).where(F.col("_n").isNotNull())
               .select(run_col, name_col, "_n").distinct())
-    w = Window.partitionBy(run_col).orderBy(F.col("_n").desc())
+    w = Window.partitionBy(run_col).orderBy(F.col("_n").desc(), F.col(name_col))
     return (c.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= keep)
              .select(run_col, name_col, F.col("_n").alias("step"), "rank"))
 

@@ -11,22 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vqaspark.functions.hashing import hash_bucket, shuffle_key
+from vqaspark.functions.hashing import hash_choice, shuffle_key
 from vqaspark.session import reliable_checkpoint
 
 
-# Above this many rows a top-n is not merged in one task (TakeOrderedAndProject
-# gathers n rows per partition into a single final task); the positional
-# index is used instead, fully distributed.
-TOPK_MAX = 100_000
+def first_n(df: DataFrame, n: int, order_cols, distributed: bool = False) -> DataFrame:
+    """The first ``n`` rows in ``order_cols`` order, for any ``n``; the order
+    columns must be unique together (end them with an id), or tied rows at the
+    cut are picked arbitrarily.
 
-
-def first_n(df: DataFrame, n: int, order_cols, topk_max: int = TOPK_MAX) -> DataFrame:
-    """The first ``n`` rows in ``order_cols`` order, exact, for any ``n``."""
+    A top-k by default (n rows per partition meet in one task).
+    ``distributed`` takes the same rows by the positional index, for an ``n``
+    that one task should not merge; the caller chooses, never the size."""
     n = max(0, int(n))
     if isinstance(order_cols, str):
         order_cols = [order_cols]
-    if n <= topk_max:
+    if not distributed:
         return df.orderBy(*order_cols).limit(n)
     return with_index(df, order_cols, out="_first_n_pos").where(F.col("_first_n_pos") < n).drop("_first_n_pos")
 
@@ -37,10 +37,9 @@ def with_shuffle_key(df: DataFrame, id_col: str = "id", seed: int = 42,
     return df.withColumn(out, shuffle_key(id_col, seed))
 
 
-def sample_n(df: DataFrame, n: int, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """O2: the first ``n`` rows of the seeded shuffle (``first_n``: top-k for
-    small n, distributed positional index for large n)."""
-    return first_n(with_shuffle_key(df, id_col, seed), n, ["shuffle_key", id_col])
+def sample_n(df: DataFrame, n: int, id_col: str = "id", seed: int = 42, distributed: bool = False) -> DataFrame:
+    """O2: the first ``n`` rows of the seeded shuffle (see ``first_n``)."""
+    return first_n(with_shuffle_key(df, id_col, seed), n, ["shuffle_key", id_col], distributed)
 
 
 def hash_split(df: DataFrame, id_col: str = "id", seed: int = 42,
@@ -52,15 +51,7 @@ def hash_split(df: DataFrame, id_col: str = "id", seed: int = 42,
         raise ValueError("fractions and names must have the same length")
     if abs(sum(fractions) - 1.0) > 1e-9:
         raise ValueError("fractions must sum to 1")
-    b = hash_bucket(id_col, seed, 100)
-    expr = None
-    edge = 0.0
-    for frac, name in zip(fractions[:-1], names[:-1]):
-        edge += frac * 100
-        cond = b < int(round(edge))
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    expr = F.lit(names[-1]) if expr is None else expr.otherwise(names[-1])
-    return df.withColumn(out, expr)
+    return df.withColumn(out, hash_choice(id_col, fractions, names, seed))
 
 
 def with_index(df: DataFrame, order_cols, out: str = "index",
@@ -79,48 +70,44 @@ def with_index(df: DataFrame, order_cols, out: str = "index",
     if isinstance(order_cols, str):
         order_cols = [order_cols]
     spark = df.sparkSession
-    # at least one range partition per input split, so partitions stay
-    # around the scan's split size however large the input is
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              df.rdd.getNumPartitions())
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = reliable_checkpoint(ranged)
-    counts = {r["_pid"]: r["n"] for r in ranged.groupBy("_pid").agg(F.count("*").alias("n")).collect()}
+    # One number per partition; their running sums come back as a small table.
+    counts = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count("*").alias("n")).collect())
     offsets, acc = [], 0
-    for pid in range(max(counts) + 1 if counts else 0):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    if not offsets:
-        return ranged.drop("_pid", "_mid").withColumn(out, F.lit(None).cast("bigint"))
-    offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    for pid, rows in counts:
+        offsets.append((pid, acc))
+        acc += rows
+    first = spark.createDataFrame(offsets, "_pid int, _first bigint")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (ranged.withColumn(out, F.element_at(offset_arr, F.col("_pid") + 1) + local)
-                  .drop("_pid", "_mid"))
+    cols = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return ranged.join(F.broadcast(first), "_pid").select(*cols, (F.col("_first") + local).alias(out))
 
 
-def get_sample(df: DataFrame, index: int, order_cols="id", topk_max: int = TOPK_MAX) -> DataFrame:
-    """The row at ``index`` (0-based) in ``order_cols`` order.  A small
-    index is the last of the first ``index + 1`` rows (a top-k, no full
-    pass); a large one uses the distributed positional index."""
+def get_sample(df: DataFrame, index: int, order_cols="id", distributed: bool = False) -> DataFrame:
+    """The row at ``index`` (0-based) in ``order_cols`` order (unique
+    together).  By default the last of the first ``index + 1`` rows (a top-k,
+    no full pass); ``distributed`` uses the positional index instead."""
     index = int(index)
     if isinstance(order_cols, str):
         order_cols = [order_cols]
     if index < 0:
         raise ValueError("index must be >= 0")
-    if index + 1 <= topk_max:
-        head = df.orderBy(*order_cols).limit(index + 1)
-        cols = df.columns
-        # one aggregate over the <= index + 1 head rows: the last one and the
-        # count (fewer rows than index + 1 = out of range, no row)
-        agg = head.agg(F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_r"),
-                       F.count(F.lit(1)).alias("_n"))
-        return (agg.where(F.col("_n") == index + 1)
-                   .select(*[F.col(f"_r.{c}").alias(c) for c in cols])
-                   .withColumn("index", F.lit(index).cast("bigint")))
-    return with_index(df, order_cols).where(F.col("index") == index)
+    if distributed:
+        return with_index(df, order_cols).where(F.col("index") == index)
+    head = df.orderBy(*order_cols).limit(index + 1)
+    cols = df.columns
+    # one aggregate over the <= index + 1 head rows: the last one and the
+    # count (fewer rows than index + 1 = out of range, no row)
+    agg = head.agg(F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_r"),
+                   F.count(F.lit(1)).alias("_n"))
+    return (agg.where(F.col("_n") == index + 1)
+               .select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+               .withColumn("index", F.lit(index).cast("bigint")))
 
 
 def assign_batches(df: DataFrame, batch_size: int, order_cols="id",
@@ -130,7 +117,7 @@ def assign_batches(df: DataFrame, batch_size: int, order_cols="id",
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     idx = with_index(df, order_cols)
-    return (idx.withColumn(out, F.floor(F.col("index") / F.lit(batch_size)).cast("bigint"))
+    return (idx.withColumn(out, F.expr(f"index div {int(batch_size)}"))
                .withColumn("batch_pos", (F.col("index") % F.lit(batch_size)).cast("bigint")))
 
 

@@ -11,21 +11,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vqaspark.operators.predict import predict
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema,
                 input_cols=None, remove_columns=()) -> DataFrame:
-    """Apply ``fn`` to each pandas batch; ``schema`` describes its output."""
+    """Apply ``fn`` to each pandas batch; ``schema`` describes its output.
+
+    Integers of a column with nulls arrive as Python ints and ``None`` (never
+    as floats, which would change ids above 2^53)."""
     cols = list(input_cols) if input_cols else [c for c in df.columns if c not in set(remove_columns)]
+    out = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(out)
 
     def run(batches):
-        for pdf in batches:
-            yield fn(pdf)
-    return df.select(*cols).mapInPandas(run, schema)
+        for b in batches:
+            res = fn(b.to_pandas(integer_object_nulls=True))
+            yield pa.RecordBatch.from_pandas(res[arrow.names], schema=arrow, preserve_index=False)
+    return df.select(*cols).mapInArrow(run, out)
 
 
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType,
@@ -35,7 +43,7 @@ def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType,
 
     def batch_fn(pdf: pd.DataFrame) -> pd.DataFrame:
         out = [fn(r) for r in pdf.to_dict("records")]
-        return pd.DataFrame(out, columns=names)
+        return pd.DataFrame(out, columns=names, dtype=object)
     return map_batches(df, batch_fn, schema, input_cols, remove_columns)
 
 
@@ -44,5 +52,5 @@ def predict_single(spark: SparkSession, model_factory, image_path: str, question
     df = spark.createDataFrame([(0, image_path, question)], "id long, image_path string, question string")
     row = predict(df, model_factory).first()
     if row["error"] is not None:
-        raise RuntimeError(f"model failed: {row['error']}")
+        raise RuntimeError(f"model failed: {row['error']}: {row['error_message']}")
     return row["predicted_answer"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vqaspark.functions.hashing import hash_bucket
+from vqaspark.functions.hashing import hash_choice
 from vqaspark.operators.prepare import qa_pairs
 from vqaspark.sources.tables import read_table
 
@@ -39,8 +39,7 @@ def vqa_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_of(id_col: str = "id", seed: int = SPLIT_SEED):
-    b = hash_bucket(id_col, seed, 100)
-    return F.when(b < 80, "train").when(b < 90, "dev").otherwise("test")
+    return hash_choice(id_col, (0.8, 0.1, 0.1), ("train", "dev", "test"), seed)
 
 
 def vqa_dataset(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,12 +16,17 @@ from vqaspark.sources import splits as SP
 from vqaspark.sources.tables import read_table
 
 
-def _materialized_splits(spark, sf):
+def _written_splits(spark, sf) -> str:
     """Write the derived dataset split-partitioned to the shared scratch
-    folder and read it back through the S1 reader."""
+    folder and return its path."""
     path = scratch_path(spark, "vqa-splits")
     SP.write_splits(FX.vqa_dataset(spark, sf), path)
-    return SP.load_splits(spark, path)
+    return path
+
+
+def _materialized_splits(spark, sf):
+    """The written dataset through the S1 reader."""
+    return SP.load_splits(spark, _written_splits(spark, sf))
 
 
 @register("load_splits", f"select id, image_id, question, answer, split from ({S.DATASET}) d")
@@ -31,7 +36,9 @@ def q_load_splits(spark, sf):
 
 @register("get_split", f"select id, image_id, question, answer from ({S.DATASET}) d where split = 'dev'")
 def q_get_split(spark, sf):
-    return SP.get_split(_materialized_splits(spark, sf), "dev").select("id", "image_id", "question", "answer")
+    path = _written_splits(spark, sf)
+    known = SP.stored_splits(spark, path)
+    return SP.get_split(SP.load_splits(spark, path), "dev", known=known).select("id", "image_id", "question", "answer")
 
 
 @register("split_stats", f"""
@@ -78,7 +85,7 @@ def q_normalize_answer(spark, sf):
 
 
 @register("clean_text", f"""
-select id, lower(regexp_replace(question, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\s]', '', 'g')) as question_clean
+select id, lower(regexp_replace(question, '[^\\p{{L}}\\p{{N}}\\p{{M}}{S.WS[1:-1]}]', '', 'g')) as question_clean
 from ({S.SAMPLES}) s""")
 def q_clean_text(spark, sf):
     s = FX.vqa_samples(spark, sf)

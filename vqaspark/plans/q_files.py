@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from vqaspark.operators import joins as J
 from vqaspark.operators import prepare as P
 from vqaspark.plans import fixtures as FX
 from vqaspark.plans import sql as S
@@ -27,12 +28,9 @@ from ({S.SAMPLES}) s left join ({S.LOOKUP}) l on s.image_id = l.image_id""")
 def q_annotations_explode(spark, sf):
     path = scratch_path(spark, "annotations")
     FI.write_annotation_shards(FX.vqa_samples(spark, sf), FX.image_lookup(spark, sf), path, rows_per_shard=100)
-    ann, imgs = FI.read_annotation_map(spark, path)
-    imgs = imgs.distinct()
-    ann = ann.select(F.col("ann_id").cast("bigint").alias("ann_id"), "image_id", "question", "answer")
-    j = ann.join(imgs, "image_id", "left")
-    return j.select("ann_id", "image_id", "question", "answer",
-                    P.image_path_column(F.col("image_id"), F.col("filename"), FX.IMAGES_ROOT).alias("image_path"))
+    ann = FI.read_annotation_map(spark, path)
+    return ann.select(F.col("ann_id").cast("bigint").alias("ann_id"), "image_id", "question", "answer",
+                      P.image_path_column(F.col("image_id"), F.col("filename"), FX.IMAGES_ROOT).alias("image_path"))
 
 
 @register("requests_read", f"""
@@ -50,51 +48,70 @@ def q_requests_read(spark, sf):
             F.col("id"), F.col("image_id"), F.col("image_path"), F.col("question"))).alias("annotations"))
         .select("annotations").write.mode("overwrite").json(wrapped))
     # bare request objects (elements of the list layout), one per line
-    req.select("id", "image_path", "question").write.mode("overwrite").json(listed)
+    req.select("id", "image_id", "image_path", "question").write.mode("overwrite").json(listed)
     w = FI.read_requests(spark, wrapped, multi_line=False).withColumn("layout", F.lit("wrapped"))
     lst = FI.read_requests(spark, listed, multi_line=False).withColumn("layout", F.lit("list"))
-    # the list layout carries ``id`` only; image_id = conversation of the id
-    lst = lst.withColumn("image_id", F.shiftright("id", 20))
     cols = ["layout", "id", "image_id", "image_path", "question"]
     return w.select(*cols).unionByName(lst.select(*cols))
 
 
-_PAGE_FILES: dict = {}
+PAGE_BUCKETS = 7
 
 
-def _page_files(spark, sf, pages_per_file: int = 25):
-    """Write the pages as text files of about ``pages_per_file`` pages each
-    (the blobs a binaryFile listing sees) and return the root.  Written once
-    per session and input directory, then reused."""
-    key = (id(spark), sf)
-    if key in _PAGE_FILES:
-        return _PAGE_FILES[key]
+def _page_files(spark, sf):
+    """Write the pages as text files (the blobs a binaryFile listing sees), some with the ASCII magic of a GIF,
+    in folders by ``bucket``, and return the root."""
     root = scratch_path(spark, "page-files")
     p = read_table(spark, sf, "pages")
-    n_files = max(1, -(-p.count() // pages_per_file))
-    (p.select(F.col("html").alias("value")).repartition(n_files)
-      .write.mode("overwrite").text(root))
-    _PAGE_FILES[key] = root
+    (p.select((F.col("page_id") % PAGE_BUCKETS).alias("bucket"),
+              F.concat(F.when(F.col("page_id") % PAGE_BUCKETS < 3, F.lit("GIF89a")).otherwise(""),
+                       F.coalesce("html", F.lit(""))).alias("value"))
+      .repartition("bucket").write.mode("overwrite").partitionBy("bucket").text(root))
     return root
 
 
-@register("image_listing")
+_PAGE_BYTES = f"""
+select page_id % {PAGE_BUCKETS} as bucket,
+       sum(octet_length(encode(coalesce(html, ''))) + 1 + case when page_id % {PAGE_BUCKETS} < 3 then 6 else 0 end) as n
+from pages group by 1"""
+
+
+def _by_bucket(listing):
+    return listing.withColumn("bucket", F.regexp_extract("path", r"/bucket=(\d+)/[^/]+$", 1).cast("bigint"))
+
+
+@register("image_listing", f"select cast(bucket as bigint) as bucket, cast(n as bigint) as length from ({_PAGE_BYTES}) b")
 def q_image_listing(spark, sf):
-    """Listing of written files (binaryFile, ``content`` pruned)."""
-    root = _page_files(spark, sf)
-    ls = FI.image_listing(spark, root, glob="*.txt")
-    return ls.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
+    """Listing of written files (binaryFile, ``content`` pruned): bytes by folder."""
+    ls = FI.image_listing(spark, _page_files(spark, sf), glob="*.txt")
+    return _by_bucket(ls).groupBy("bucket").agg(F.sum("length").alias("length"))
 
 
-@register("validate_images")
+@register("validate_images", f"""
+select cast(bucket as bigint) as bucket, case when bucket < 3 then 'gif' end as image_format, bucket < 3 as image_valid,
+       cast(n as bigint) as length from ({_PAGE_BYTES}) b""")
 def q_validate_images(spark, sf):
-    """Magic-byte validation of the written blobs (HTML text is no image,
-    so every blob is flagged invalid)."""
+    """Magic-byte validation: files that begin with a GIF header are valid,
+    the others are HTML text."""
+    ls = FI.image_listing(spark, _page_files(spark, sf), glob="*.txt", with_header=True)
+    v = _by_bucket(P.validate_images(ls, header_only=True))
+    return v.groupBy("bucket", "image_format", "image_valid").agg(F.sum("length").alias("length"))
+
+
+@register("listed_images_exist", f"""
+select page_id, page_id % {PAGE_BUCKETS} < {PAGE_BUCKETS} - 2 as found from pages""")
+def q_listed_images_exist(spark, sf):
+    """Listing (URIs) joined with plain paths: pages of two folders point to
+    files that were never written."""
     root = _page_files(spark, sf)
-    ls = FI.image_listing(spark, root, glob="*.txt")
-    v = P.validate_images(ls, header_only=True)  # 16 bytes per file, not the whole blob
-    return v.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-                    "length", "image_format", "image_valid")
+    ls = _by_bucket(FI.image_listing(spark, root, glob="*.txt")).where(F.col("bucket") < PAGE_BUCKETS - 2)
+    first = ls.groupBy("bucket").agg(F.min("path").alias("path"))
+    pages = read_table(spark, sf, "pages").select("page_id", (F.col("page_id") % PAGE_BUCKETS).alias("bucket"))
+    plain = J.plain_path("path")
+    samples = pages.join(first, "bucket", "left").select(
+        "page_id", F.coalesce(plain, F.concat(F.lit("/nowhere/"), F.col("bucket").cast("string"))).alias("image_path"))
+    return (J.image_exists(samples, ls).select("page_id", F.lit(True).alias("found"))
+            .unionByName(J.image_missing(samples, ls).select("page_id", F.lit(False).alias("found"))))
 
 
 _PRED_SCHEMA = ("id bigint, image_id bigint, image_path string, question string, "
@@ -131,10 +148,14 @@ def q_history_sink(spark, sf):
     return spark.read.parquet(path).select("run_id", "step", "epoch", "loss", "eval_loss")
 
 
-@register("write_partitioned", f"select id, image_id, question, answer from ({S.DATASET}) d where split = 'test'")
+@register("write_partitioned", f"select id, image_id, question, answer, split from ({S.DATASET}) d")
 def q_write_partitioned(spark, sf):
     path = scratch_path(spark, "splits")
     SP.write_splits(FX.vqa_dataset(spark, sf), path)
-    # one partition directory read on its own (no other split is opened)
-    return spark.read.schema("id bigint, image_id bigint, question string, answer string") \
-        .parquet(os.path.join(path, "split=test"))
+    # each partition directory read on its own (no other split is opened)
+    out = spark.createDataFrame([], "id bigint, image_id bigint, question string, answer string, split string")
+    for name in SP.stored_splits(spark, path):
+        one = spark.read.schema("id bigint, image_id bigint, question string, answer string").parquet(
+            os.path.join(path, f"split={name}"))
+        out = out.unionByName(one.withColumn("split", F.lit(name)))
+    return out

@@ -82,10 +82,12 @@ from ({_LONG_SQL}) l left join reg on l.model_id = reg.model_id
 group by l.model_id, reg.params, reg.purpose""")
 def q_model_registry_join(spark, sf):
     p = FX.item_preds(spark, sf)
-    # one scan: each row becomes a (model, answer) row per model
+    # one scan, each row a (model, answer) row per model; two rows per model
+    # are left before the catalogue is joined
     models = F.array(F.struct(F.lit("7B-trained").alias("model_id"), F.col("teacher_answer").alias("answer")),
                      F.struct(F.lit("2B-distilled").alias("model_id"), F.col("student_answer").alias("answer")))
     long = (p.select(*FX.ITEM_KEY, "reference_answer", F.explode(models).alias("_m"))
              .select(*FX.ITEM_KEY, "_m.model_id", "_m.answer", "reference_answer"))
-    j = J.model_registry_join(long, J.model_registry(spark))
-    return exact_match(j, "answer", "reference_answer", group_by=["model_id", "params", "purpose"])
+    per_model = exact_match(long, "answer", "reference_answer", group_by=["model_id"])
+    return J.model_registry_join(per_model, J.model_registry(spark)).select(
+        "model_id", "params", "purpose", "num_samples", "exact_match")

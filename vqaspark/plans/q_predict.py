@@ -55,11 +55,11 @@ def q_predict_requests(spark, sf):
 
 
 @register("predict_dead_letter", f"""
-select id, 'ValueError' as error from ({_REQ_PATH_SQL}) r
+select id, 'ValueError' as error, 'model failed on input' as error_message from ({_REQ_PATH_SQL}) r
 where image_path <> '' and question <> '' and length(question) % 13 = 0""")
 def q_predict_dead_letter(spark, sf):
     req = P.valid_requests(requests_with_paths(spark, sf))
-    return PR.dead_letter(req, FLAKY).select("id", "error")
+    return PR.dead_letter(req, FLAKY).select("id", "error", "error_message")
 
 
 @register("compare_from_requests", f"""
@@ -73,6 +73,16 @@ def q_compare_from_requests(spark, sf):
         "id", "question", "teacher_answer", "student_answer", "match")
 
 
+@register("compare_dead_letter", f"""
+select id, {first_words_sql('question', 2)} as student_answer, 'ValueError: model failed on input' as teacher_error,
+       cast(null as varchar) as student_error, false as match
+from ({_REQ_PATH_SQL}) r where image_path <> '' and question <> '' and length(question) % 13 = 0""")
+def q_compare_dead_letter(spark, sf):
+    req = P.valid_requests(requests_with_paths(spark, sf))
+    return PR.pair_dead_letter(req, FLAKY, STUDENT).select(
+        "id", "student_answer", "teacher_error", "student_error", "match")
+
+
 def _distill_sql():
     prompt = ("'<|im_start|>system' || chr(10) || 'You are a helpful assistant.<|im_end|>' || chr(10) || "
               "'<|im_start|>user' || chr(10) || '<|vision_start|><|image_pad|><|vision_end|>' || question || "

@@ -15,13 +15,13 @@ from ({QA}) qa
 """
 
 
-def bucket(id_expr: str, seed: int = 42) -> str:
-    return (f"(cast('0x' || substr(md5('{seed}:' || cast({id_expr} as varchar)), 1, 8) as bigint) % 100)")
+def hash_value(id_expr: str, seed: int = 42) -> str:
+    return f"cast('0x' || substr(md5('{seed}:' || cast({id_expr} as varchar)), 1, 8) as bigint)"
 
 
 def split_case(id_expr: str) -> str:
-    b = bucket(id_expr)
-    return f"case when {b} < 80 then 'train' when {b} < 90 then 'dev' else 'test' end"
+    h = hash_value(id_expr)     # 0.8 and 0.9 of 2^32
+    return f"case when {h} < 3435973837 then 'train' when {h} < 3865470567 then 'dev' else 'test' end"
 
 
 DATASET = f"select *, {split_case('id')} as split from ({SAMPLES}) s"

@@ -41,48 +41,59 @@ REQUEST_FILE = T.StructType(REQUEST.fields + [
 # ------------------------------------------------------------------ readers
 
 def read_annotation_map(spark: SparkSession, path: str, multi_line: bool = False,
-                        num_partitions: int | None = None):
+                        num_partitions: int | None = None) -> DataFrame:
     """Files of ``{"images": {id: filename}, "annotations": {ann_id:
     {image_id, question, answer}}}`` objects (one per line, or one per file
     with ``multi_line=True``).
 
-    Returns ``(annotations, images)``: one row per annotation and one row per
-    image-map entry.  A multi-line file is read by one task, so the exploded
-    rows are re-spread over ``num_partitions`` before any further work.
+    One row per annotation: ``file``, ``ann_id``, ``image_id``, ``question``,
+    ``answer`` and ``filename``, looked up in the object's own image map (files
+    of different splits reuse image ids).  One scan; a malformed file fails
+    the read.  A multi-line file is read by one task, so the exploded rows are
+    re-spread over ``num_partitions`` before any further work.
     """
-    raw = spark.read.schema(ANNOTATION_FILE).option("multiLine", multi_line).json(path)
-    ann = (raw.select(F.explode("annotations").alias("ann_id", "a"))
-              .select("ann_id", "a.image_id", "a.question", "a.answer"))
-    imgs = (raw.select(F.explode("images").alias("image_key", "filename"))
-               .select(F.col("image_key").cast("bigint").alias("image_id"), "filename"))
+    raw = (spark.read.schema(ANNOTATION_FILE).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+           .select(F.col("_metadata.file_path").alias("file"), "images", "annotations"))
+    ann = (raw.select("file", "images", F.explode("annotations").alias("ann_id", "a"))
+              .select("file", "ann_id", "a.image_id", "a.question", "a.answer",
+                      F.try_element_at("images", F.col("a.image_id").cast("string")).alias("filename")))
     if multi_line:
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         ann = ann.repartition(n)
-    return ann, imgs
+    return ann
 
 
 def read_requests(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Request files in either layout -- ``{"annotations": [...]}`` or a
-    bare list of request objects (Spark reads a top-level array as rows)."""
-    raw = spark.read.schema(REQUEST_FILE).option("multiLine", multi_line).json(path)
+    bare list of request objects (Spark reads a top-level array as rows).
+
+    ``sample_id`` = file and position keeps requests apart that ask about one
+    image: (``file``, ``position``) orders them as they stand in the file.
+    Of a list, rows are numbered in the order of the file's one task.  ``id`` is the
+    file's own, else ``image_id`` (not unique).  A malformed file fails the
+    read.  One scan."""
+    raw = (spark.read.schema(REQUEST_FILE).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+                   F.monotonically_increasing_id().alias("_row"), "*"))
     cols = [f.name for f in REQUEST.fields]
-    listed = raw.where(F.col("annotations").isNull()).select(*cols)
-    wrapped = (raw.where(F.col("annotations").isNotNull())
-                  .select(F.explode("annotations").alias("r")).select(*[f"r.{c}" for c in cols]))
-    out = listed.unionByName(wrapped)
+    one = F.array(F.struct(*[F.col(c).alias(c) for c in cols]))
+    out = raw.select("file", "_block", "_row", F.posexplode(F.coalesce("annotations", one)).alias("_at", "r"))
+    out = out.select(F.struct("file", "_block", "_row", "_at").alias("sample_id"), "file",
+                     *[F.col(f"r.{c}").alias(c) for c in cols])
     # the list form documents ``id``; the dict form ``image_id``
     return out.withColumn("id", F.coalesce("id", "image_id"))
 
 
 def image_listing(spark: SparkSession, root: str, glob: str = "*.jpg",
-                  recursive: bool = True, with_content: bool = False) -> DataFrame:
+                  recursive: bool = True, with_content: bool = False, with_header: bool = False) -> DataFrame:
     """Files under ``root`` (path, length, modificationTime).  The
     ``content`` column is pruned unless asked for, so listing never reads
-    the bytes."""
+    the bytes; ``with_header`` adds the first 16 of them."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", str(recursive).lower()).load(root))
     cols = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
-    return df.select(*cols)
+    head = [F.substring("content", 1, 16).alias("header")] if with_header else []
+    return df.select(*cols, *head)
 
 
 # -------------------------------------------------------------------- sinks

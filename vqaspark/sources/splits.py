@@ -40,12 +40,22 @@ def available_splits(df: DataFrame, split_col: str = "split") -> list[str]:
     return sorted(r[0] for r in df.select(split_col).distinct().collect())
 
 
+def stored_splits(spark: SparkSession, path: str, split_col: str = "split") -> list[str]:
+    """Split names of a written dataset, from its partition directories (no
+    job over the data; any file system the session can list)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{split_col}="))
+
+
 def get_split(df: DataFrame, name: str, split_col: str = "split",
-              check: bool = True) -> DataFrame:
-    """One split; an unknown name raises ``ValueError`` listing the
-    available splits."""
+              check: bool = True, known: list[str] | None = None) -> DataFrame:
+    """One split; an unknown name raises ``ValueError`` with the names
+    there are (``known``, e.g. ``stored_splits(spark, path)``; without it they
+    are read from the data)."""
     if check:
-        avail = available_splits(df, split_col)
+        avail = available_splits(df, split_col) if known is None else known
         if name not in avail:
-            raise ValueError(f"Split '{name}' not found. Available splits: {avail}")
+            raise ValueError(f"no split {name!r}; there are: {', '.join(avail) or 'none'}")
     return df.where(F.col(split_col) == name)

@@ -28,5 +28,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ntz_as_utc(c: str):
     """Naive (TIMESTAMP_NTZ) wall-clock values as UTC instants, whatever the
     session time zone: watermarks and windows need TIMESTAMP, and a plain
-    cast would read the wall clock in the session's zone."""
+    cast would read the wall clock in the session's zone.  In a UTC session
+    the cast is the same, and filters on it reach the scan."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z"):
+        return F.col(c).cast("timestamp")
     return F.concat(F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).cast("timestamp")
