@@ -8,6 +8,7 @@ import pytest
 from vqaspark.operators import runs as RU
 from vqaspark.operators.metrics import bert as B
 from vqaspark.operators.metrics import kd as KD
+from vqaspark.operators.metrics import report as R
 
 
 def test_latest_checkpoint_is_numeric(spark):
@@ -97,6 +98,25 @@ def test_bertscore_from_text_equals_token_table_path(spark):
          for r in B.bertscore_from_text(df, B.HashingEncoder(16), chunk=2).collect()}
     vec = B.text_token_vectors(df, B.HashingEncoder(16))
     b = {r["sample_id"]: (r["precision"], r["recall"], r["f1"]) for r in B.bertscore_samples(vec).collect()}
-    assert a[3] == (None, None, None) and 3 not in b
+    assert a[3] == b[3] == (0.0, 0.0, 0.0)
     for k in (1, 2):
         assert a[k] == pytest.approx(b[k], abs=2e-6)
+
+
+def test_bertscore_one_sided_samples_string_ids_and_groups(spark):
+    rows = [("a", "pred", 0, [1.0, 0.0], "x"), ("a", "ref", 0, [1.0, 0.0], "x"), ("b", "pred", 0, [1.0, 0.0], "x"),
+            ("c", "ref", 0, [0.0, 1.0], "y"), ("c", "pred", 0, [0.0, 2.0], "y")]
+    vec = spark.createDataFrame(rows, "sample_id string, side string, pos long, vector array<double>, grp string")
+    assert {r["sample_id"]: r["f1"] for r in B.bertscore_samples(vec).collect()} == {"a": 1.0, "b": 0.0, "c": 1.0}
+    r = B.bertscore(vec).first()
+    assert (r["num_samples"], r["bertscore_f1"]) == (3, 0.666667)
+    by = {r["grp"]: r["bertscore_f1"] for r in B.bertscore(vec, group_by="grp").collect()}
+    assert by == {"x": 0.5, "y": 1.0}
+    df = spark.createDataFrame([("u", "u", "x"), ("v", "w", "y")], "prediction string, reference string, grp string")
+    m = {r["grp"]: r["bertscore_f1"] for r in R.all_metrics(df, group_by="grp", bert=B.bertscore(vec, group_by="grp")).collect()}
+    assert m == by
+    assert R.evaluate(df, "exact_match").first()["exact_match"] == 0.5
+    assert R.evaluate(df, "bertscore_f1", vectors=vec, group_by="grp").count() == 2
+    assert R.evaluate(df, "rouge_l", group_by="grp").count() == 2
+    with pytest.raises(ValueError):
+        R.evaluate(df, "no such metric")

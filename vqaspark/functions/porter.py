@@ -1,4 +1,6 @@
-"""Porter (1980) suffix-stripping stemmer, used by ROUGE-L with stemming.
+"""Porter suffix-stripping stemmer with the published extensions (irregular
+forms, ``-ies``/``-ied`` of short words, ``-y`` after a consonant, four more
+endings), used by ROUGE-L with stemming.
 
 Applied inside the Arrow UDF that scores a batch, memoised per worker, so a
 word is stemmed once per Python worker rather than once per occurrence.
@@ -12,10 +14,10 @@ from functools import lru_cache
 # order the paper lists them (suffix, replacement).
 STEP2 = [
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
-    ("izer", "ize"), ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
+    ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
     ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
     ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
-    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
 ]
 STEP3 = [
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
@@ -26,6 +28,14 @@ STEP4 = [
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 ]
 
+# Words whose stem the rules would miss.
+IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed",
+    "exceed": "exceed", "succeed": "succeed",
+}
+
 _VOWELS = set("aeiou")
 
 
@@ -58,6 +68,8 @@ def _double_cons(w: str) -> bool:
 
 
 def _cvc(w: str) -> bool:
+    if len(w) == 2:
+        return not _is_cons(w, 0) and _is_cons(w, 1)
     if len(w) < 3:
         return False
     return (_is_cons(w, len(w) - 3) and not _is_cons(w, len(w) - 2)
@@ -75,20 +87,24 @@ def _replace(w: str, rules, min_m: int) -> str:
 @lru_cache(maxsize=1 << 18)
 def stem(word: str) -> str:
     w = word
+    if w in IRREGULAR:
+        return IRREGULAR[w]
     if len(w) <= 2:
         return w
     # step 1a
     if w.endswith("sses"):
         w = w[:-2]
     elif w.endswith("ies"):
-        w = w[:-2]
+        w = w[:-1] if len(w) == 4 else w[:-2]
     elif w.endswith("ss"):
         pass
     elif w.endswith("s"):
         w = w[:-1]
     # step 1b
     extra = False
-    if w.endswith("eed"):
+    if w.endswith("ied"):
+        w = w[:-1] if len(w) == 4 else w[:-2]
+    elif w.endswith("eed"):
         if _measure(w[:-3]) > 0:
             w = w[:-1]
     elif w.endswith("ed") and _has_vowel(w[:-2]):
@@ -103,10 +119,15 @@ def stem(word: str) -> str:
         elif _measure(w) == 1 and _cvc(w):
             w += "e"
     # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
+    if w.endswith("y") and len(w) > 2 and _is_cons(w, len(w) - 2):
         w = w[:-1] + "i"
     # steps 2 and 3
-    w = _replace(w, STEP2, 0)
+    if w.endswith("alli") and _measure(w[:-4]) > 0:
+        w = _replace(w[:-4] + "al", STEP2, 0)      # -alli may leave another ending of step 2
+    elif w.endswith("logi") and _measure(w[:-3]) > 0:
+        w = w[:-1]
+    else:
+        w = _replace(w, STEP2, 0)
     w = _replace(w, STEP3, 0)
     # step 4
     for suf in STEP4:

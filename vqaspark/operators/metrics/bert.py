@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TILE_OUT = "sample_id bigint, side string, pos bigint, best double"
+_TILE_OUT = "sample_id {}, side string, pos bigint, best double"
 
 
 def _unit(rows):
@@ -47,7 +47,7 @@ def _tiles(batches):
 def token_best_matches(vectors: DataFrame, block: int = 256, sample_col: str = "sample_id",
                        side_col: str = "side", pos_col: str = "pos", vec_col: str = "vector") -> DataFrame:
     """Best cosine per token (``sample_id, side, pos, best``)."""
-    v = vectors.select(F.col(sample_col).cast("bigint").alias("sample_id"), F.col(side_col).alias("side"),
+    v = vectors.select(F.col(sample_col).alias("sample_id"), F.col(side_col).alias("side"),
                        F.col(pos_col).cast("bigint").alias("pos"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
     # ceil(tokens / block) hash blocks per (sample, side): dense, about
@@ -55,7 +55,8 @@ def token_best_matches(vectors: DataFrame, block: int = 256, sample_col: str = "
     n = v.groupBy("sample_id").agg(
         F.ceil(F.count_if(F.col("side") == "pred") / F.lit(block)).alias("_npb"),
         F.ceil(F.count_if(F.col("side") == "ref") / F.lit(block)).alias("_nrb"))
-    v = (v.join(n, "sample_id")
+    # a one-sided sample has no tile (``bertscore_samples`` scores it 0)
+    v = (v.join(n.where("_npb > 0 and _nrb > 0"), "sample_id")
           .withColumn("blk", F.pmod(F.xxhash64("pos"),
                                     F.when(F.col("side") == "pred", F.col("_npb")).otherwise(F.col("_nrb")))))
     blocks = v.groupBy("sample_id", "side", "blk", "_npb", "_nrb").agg(
@@ -69,16 +70,22 @@ def token_best_matches(vectors: DataFrame, block: int = 256, sample_col: str = "
         "sample_id", F.col("blk").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("_npb") - 1)).alias("pb"),
         F.col("poss").alias("rpos"), F.col("vecs").alias("rvec"))
     tiles = pred.join(ref, ["sample_id", "pb", "rb"]).select("sample_id", "ppos", "pvec", "rpos", "rvec")
-    best = tiles.mapInPandas(_tiles, _TILE_OUT)
+    best = tiles.mapInPandas(_tiles, _TILE_OUT.format(v.schema["sample_id"].dataType.simpleString()))
     return best.groupBy("sample_id", "side", "pos").agg(F.max("best").alias("best"))
 
 
 def bertscore_samples(vectors: DataFrame, block: int = 256, digits: int | None = 6, **cols) -> DataFrame:
-    """Per sample precision, recall and F1."""
+    """Per sample precision, recall and F1; a sample with an empty side scores
+    0, as an empty answer does in the other metrics.  Sample ids may have any
+    type."""
     best = token_best_matches(vectors, block, **cols)
     s = best.groupBy("sample_id").agg(
         F.avg(F.when(F.col("side") == "pred", F.col("best"))).alias("precision"),
         F.avg(F.when(F.col("side") == "ref", F.col("best"))).alias("recall"))
+    ids = vectors.select(F.col(cols.get("sample_col", "sample_id")).alias("sample_id")).where(
+        "sample_id is not null").distinct()
+    s = ids.join(s, "sample_id", "left").select(
+        "sample_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision", "recall")])
     f1 = F.when((F.col("precision") + F.col("recall")) == 0, F.lit(0.0)).otherwise(
         F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
     s = s.withColumn("f1", f1)
@@ -87,10 +94,15 @@ def bertscore_samples(vectors: DataFrame, block: int = 256, digits: int | None =
     return s
 
 
-def bertscore(vectors: DataFrame, block: int = 256, **cols) -> DataFrame:
-    """Mean F1 over samples (plus mean P and R)."""
+def bertscore(vectors: DataFrame, block: int = 256, group_by: str | None = None, **cols) -> DataFrame:
+    """Mean F1 over samples (plus mean P and R), optionally per value of a
+    column of ``vectors`` that is constant within a sample."""
     s = bertscore_samples(vectors, block, digits=None, **cols)
-    return s.agg(F.count(F.lit(1)).alias("num_samples"),
+    if group_by is not None:
+        of = vectors.groupBy(F.col(cols.get("sample_col", "sample_id")).alias("sample_id")).agg(
+            F.first(group_by).alias(group_by))
+        s = s.join(of, "sample_id")
+    return (s.groupBy() if group_by is None else s.groupBy(group_by)).agg(F.count(F.lit(1)).alias("num_samples"),
                  F.round(F.avg("precision"), 6).alias("bertscore_precision"),
                  F.round(F.avg("recall"), 6).alias("bertscore_recall"),
                  F.round(F.avg("f1"), 6).alias("bertscore_f1"))
@@ -174,7 +186,7 @@ def _greedy_prf(p: np.ndarray, r: np.ndarray, chunk: int):
     """Greedy-matching P/R/F1 of two token matrices, in row chunks so the
     similarity matrix never exceeds ``chunk x len(r)``."""
     if len(p) == 0 or len(r) == 0:
-        return None, None, None
+        return 0.0, 0.0, 0.0
     p = p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-300)
     r = r / np.maximum(np.linalg.norm(r, axis=1, keepdims=True), 1e-300)
     best_p = np.empty(len(p))
@@ -193,7 +205,7 @@ def bertscore_from_text(df: DataFrame, encoder_factory, id_col: str = "sample_id
                         chunk: int = 2048, digits: int | None = 6) -> DataFrame:
     """Per-pair BERTScore from text: each row is encoded (the encoder sees
     the batch's texts at once) and matched in place -- no token table, no
-    shuffle.  Pairs with an empty side get NULL scores."""
+    shuffle.  Pairs with an empty side score 0."""
     from vqaspark.operators.predict import _factory_key, _load
     key = _factory_key(encoder_factory)
     src = df.select(F.col(id_col).cast("bigint").alias("sample_id"),

@@ -1,16 +1,17 @@
-"""Score once, aggregate once (A7); teacher/student report (A10)."""
+"""Score once, aggregate once (A7); one metric by name (A11); teacher/student
+report (A10)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vqaspark.operators.metrics.exact import em_flag
-from vqaspark.operators.metrics.rouge import rouge_f1_udf, rouge_l_scores, rouge_tokens
+from vqaspark.operators.metrics.exact import agree_flag, check_metric, em_flag, exact_match
+from vqaspark.operators.metrics.rouge import rouge_f1_udf, rouge_l, rouge_l_scores, rouge_tokens
 
 
 def all_metrics(df: DataFrame, pred: str = "prediction", ref: str = "reference", group_by=None,
-                tokenizer: str = "ascii", stem: bool = False, bert: DataFrame | None = None) -> DataFrame:
+                tokenizer: str = "ascii", stem: bool = True, bert: DataFrame | None = None) -> DataFrame:
     """Exact match and ROUGE-L from one scoring stage and one aggregate.
     BERTScore needs token vectors; pass ``bert`` (output of
     ``bertscore``) to attach its F1, otherwise the column is NULL."""
@@ -31,28 +32,55 @@ def all_metrics(df: DataFrame, pred: str = "prediction", ref: str = "reference",
     return out.join(bert.select(group_by, "bertscore_f1"), group_by, "left")
 
 
+def evaluate(df: DataFrame, metric: str, pred: str = "prediction", ref: str = "reference", group_by=None,
+             vectors: DataFrame | None = None, **kw) -> DataFrame:
+    """One metric by name; an unknown name fails before any job.
+    ``bertscore_f1`` is computed from token ``vectors``."""
+    check_metric(metric)
+    if metric == "exact_match":
+        return exact_match(df, pred, ref, group_by)
+    if metric == "rouge_l":
+        return rouge_l(df, pred, ref, group_by, **kw)
+    if metric == "partial_match":
+        from vqaspark.operators.metrics.partial import partial_match
+        return partial_match(df, pred, ref, **kw)
+    if vectors is None:
+        raise ValueError("bertscore_f1 needs token vectors")
+    from vqaspark.operators.metrics.bert import bertscore
+    return bertscore(vectors, group_by=group_by, **kw)
+
+
 def comparison_report(df: DataFrame, teacher: str = "teacher_answer", student: str = "student_answer",
-                      ref: str = "reference_answer", tokenizer: str = "ascii") -> DataFrame:
-    """A10: one row per metric -- teacher, student, difference and student as
-    a percentage of teacher."""
-    # tokens and match flags first (the reference is tokenised once), then
-    # one long row per (sample, model) so both models share one UDF stage
-    base = df.select(rouge_tokens(ref, tokenizer).alias("_rt"),
-                     em_flag(teacher, ref).alias("_tem"), em_flag(student, ref).alias("_sem"),
-                     rouge_tokens(teacher, tokenizer).alias("_ttok"),
-                     rouge_tokens(student, tokenizer).alias("_stok"))
-    models = F.array(
-        F.struct(F.lit("teacher").alias("model"), F.col("_tem").alias("_em"), F.col("_ttok").alias("_pt")),
-        F.struct(F.lit("student").alias("model"), F.col("_sem").alias("_em"), F.col("_stok").alias("_pt")))
-    long = base.select("_rt", F.explode(models).alias("_m")).select("_m.model", "_m._em", "_m._pt", "_rt")
-    s = long.withColumn("_rl", rouge_f1_udf(F.col("_pt"), F.col("_rt")))
-    per_model = s.groupBy("model").agg(F.avg("_em").alias("em"), F.avg("_rl").alias("rl"))
-    wide = per_model.groupBy().pivot("model", ["teacher", "student"]).agg(
-        F.first("em").alias("em"), F.first("rl").alias("rl"))
-    rep = wide.selectExpr("stack(2, 'exact_match', teacher_em, student_em, "
-                          "'rouge_l', teacher_rl, student_rl) as (metric, teacher, student)")
+                      ref: str = "reference_answer", tokenizer: str = "ascii", stem: bool = True,
+                      bert: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """A10: one row per metric -- teacher, student, difference, student as a
+    percentage of teacher -- with the models' agreement and the sample count.
+
+    One pass: the reference is tokenised once and every row is scored for both
+    models, then one aggregate.  ``bert`` = (teacher, student) outputs of
+    ``bertscore`` adds the third metric."""
+    rt = rouge_tokens(ref, tokenizer, stem)
+    rows = df.select(em_flag(teacher, ref).alias("_tem"), em_flag(student, ref).alias("_sem"),
+                     F.when(agree_flag(teacher, student), 1.0).otherwise(0.0).alias("_agree"),
+                     rt.alias("_rt"), rouge_tokens(teacher, tokenizer, stem).alias("_tt"),
+                     rouge_tokens(student, tokenizer, stem).alias("_st"))
+    one = rows.select("_tem", "_sem", "_agree", rouge_f1_udf("_tt", "_rt").alias("_trl"), rouge_f1_udf("_st", "_rt").alias("_srl"))
+    wide = one.agg(F.count(F.lit(1)).alias("num_samples"), F.avg("_agree").alias("agreement"),
+                   *[F.avg(c).alias(c) for c in ("_tem", "_sem", "_trl", "_srl")])
+    rep = wide.selectExpr("num_samples", "agreement", "stack(2, 'exact_match', _tem, _sem, "
+                          "'rouge_l', _trl, _srl) as (metric, teacher, student)")
+    if bert is not None:
+        names = ["num_samples", "agreement", "teacher", "student"]
+        none = [F.lit(None).cast(t).alias(n) for n, t in zip(names, ("bigint", "double", "double", "double"))]
+        sides = [b.select(*[F.col("bertscore_f1").alias(n) if n == side else c for n, c in zip(names, none)])
+                 for side, b in zip(("teacher", "student"), bert)]
+        parts = wide.select("num_samples", "agreement", *none[2:]).unionByName(sides[0]).unionByName(sides[1])
+        third = parts.agg(*[F.max(n).alias(n) for n in names]).select(
+            "num_samples", "agreement", F.lit("bertscore_f1").alias("metric"), "teacher", "student")
+        rep = rep.unionByName(third)
     return rep.select(
         "metric", F.round("teacher", 6).alias("teacher"), F.round("student", 6).alias("student"),
         F.round(F.col("student") - F.col("teacher"), 6).alias("difference"),
         F.round(F.when(F.col("teacher") != 0, F.col("student") / F.col("teacher") * 100.0), 6)
-         .alias("student_pct_of_teacher"))
+         .alias("student_pct_of_teacher"),
+        F.round("agreement", 6).alias("agreement"), "num_samples")

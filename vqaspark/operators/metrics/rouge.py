@@ -104,8 +104,8 @@ def rouge_tokens(c, tokenizer: str = "ascii", stem: bool = False) -> Column:
 
 
 def rouge_l_scores(df: DataFrame, pred: str = "prediction", ref: str = "reference",
-                   out: str = "rouge_l", tokenizer: str = "ascii", stem: bool = False) -> DataFrame:
-    """Per-row ROUGE-L F1 (NULL text scores like an empty one: 0)."""
+                   out: str = "rouge_l", tokenizer: str = "ascii", stem: bool = True) -> DataFrame:
+    """Per-row ROUGE-L F1 on stemmed tokens, as the scorer is used (``stem=False``: words as they are; NULL text scores like an empty one: 0)."""
     pt = rouge_tokens(pred, tokenizer, stem)
     rt = rouge_tokens(ref, tokenizer, stem)
     # One generated row: filters on the score stay above the UDF (one call per
@@ -115,7 +115,7 @@ def rouge_l_scores(df: DataFrame, pred: str = "prediction", ref: str = "referenc
 
 
 def rouge_l(df: DataFrame, pred: str = "prediction", ref: str = "reference", group_by=None,
-            tokenizer: str = "ascii", stem: bool = False) -> DataFrame:
+            tokenizer: str = "ascii", stem: bool = True) -> DataFrame:
     """Mean ROUGE-L F1 (0.0 for an empty input)."""
     s = rouge_l_scores(df, pred, ref, "_score", tokenizer, stem)
     g = s.groupBy() if group_by is None else s.groupBy(group_by)

@@ -131,9 +131,10 @@ def logits(spark: SparkSession, sf: str) -> DataFrame:
     return t.join(s, "pos")
 
 
-def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """BERTScore input: sample = label, side = pred (even ids) / ref (odd)."""
+def token_vectors(spark: SparkSession, sf: str, width: int = 32) -> DataFrame:
+    """BERTScore input: a sample is ``width`` consecutive ids (answers are
+    short, however many there are), side = pred (even ids) / ref (odd)."""
     e = read_table(spark, sf, "embeddings")
-    return e.select(F.col("label").cast("bigint").alias("sample_id"),
+    return e.select(F.expr(f"vec_id div {int(width)}").alias("sample_id"),
                     F.when(F.col("vec_id") % 2 == 0, "pred").otherwise("ref").alias("side"),
                     F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"))

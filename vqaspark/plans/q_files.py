@@ -133,11 +133,11 @@ def q_sink_comparisons(spark, sf):
                              "student_answer string, match boolean").json(path)
 
 
-@register("eval_report", ORACLE["all_metrics"])
+@register("eval_report", f"select '7B-trained' as model, m.* from ({ORACLE['all_metrics']}) m")
 def q_eval_report(spark, sf):
     path = scratch_path(spark, "report")
-    FI.save_report(q_all_metrics(spark, sf), path)
-    return spark.read.schema("num_samples bigint, exact_match double, rouge_l double, "
+    FI.save_report(q_all_metrics(spark, sf).select(F.lit("7B-trained").alias("model"), "*"), path)
+    return spark.read.schema("model string, num_samples bigint, exact_match double, rouge_l double, "
                              "bertscore_f1 double").json(path)
 
 

@@ -89,7 +89,7 @@ select conv_id, turn, round({rouge_sql('answer', 'question')}, 6) as rouge_l
 from (select conv_id, turn, {tok_sql('question')} as question_t, {tok_sql('answer')} as answer_t
       from ({S.QA}) q) sub_""")
 def q_rouge_l_pairs(spark, sf):
-    s = RG.rouge_l_scores(FX.qa(spark, sf), "answer", "question")
+    s = RG.rouge_l_scores(FX.qa(spark, sf), "answer", "question", stem=False)
     return s.select("conv_id", "turn", F.round("rouge_l", 6).alias("rouge_l"))
 
 
@@ -98,7 +98,7 @@ select count(*) as num_samples, round(coalesce(avg({rouge_sql('teacher_answer',
 from (select {tok_sql('teacher_answer')} as teacher_answer_t, {tok_sql('reference_answer')} as reference_answer_t
       from ({S.ITEM_PREDS}) p) sub_""")
 def q_rouge_l(spark, sf):
-    r = RG.rouge_l(FX.item_preds(spark, sf), "teacher_answer", "reference_answer")
+    r = RG.rouge_l(FX.item_preds(spark, sf), "teacher_answer", "reference_answer", stem=False)
     return r.select("num_samples", F.round("rouge_l", 6).alias("rouge_l"))
 
 
@@ -114,7 +114,7 @@ def long_pairs(spark, sf):
 def q_rouge_l_long(spark, sf):
     """Full-document ROUGE-L (texts up to ~20k words); checked against a
     plain DP on a small fixture in tests, no SQL oracle."""
-    s = RG.rouge_l_scores(long_pairs(spark, sf), "prediction", "reference", tokenizer="unicode")
+    s = RG.rouge_l_scores(long_pairs(spark, sf), "prediction", "reference", tokenizer="unicode", stem=False)
     return s.select("doc_id", F.round("rouge_l", 6).alias("rouge_l"))
 
 
@@ -135,38 +135,42 @@ def q_partial_match_pairs(spark, sf):
 
 # ------------------------------------------------------------- BERTScore
 
-_TV_SQL = """
-select cast(label as bigint) as sample_id, case when vec_id % 2 = 0 then 'pred' else 'ref' end as side,
-       vec_id as pos, cast(embedding as double[]) as v
-from embeddings"""
-
-_BERT_SAMPLES_SQL = f"""
-with tv as ({_TV_SQL}),
-pairs as (
+# Greedy matching in SQL; samples of ``width`` consecutive embeddings.
+def _bert_sql(width: int = 32, name: str = "") -> str:
+    return f"""
+tv{name} as (
+  select vec_id // {width} as sample_id, case when vec_id % 2 = 0 then 'pred' else 'ref' end as side,
+         vec_id as pos, cast(embedding as double[]) as v
+  from embeddings),
+pairs{name} as (
   select p.sample_id, p.pos as ppos, r.pos as rpos,
          list_dot_product(p.v, r.v) / (sqrt(list_dot_product(p.v, p.v)) * sqrt(list_dot_product(r.v, r.v))) as sim
-  from tv p join tv r on p.sample_id = r.sample_id and p.side = 'pred' and r.side = 'ref'),
-pb as (select sample_id, ppos, max(sim) as best from pairs group by sample_id, ppos),
-rb as (select sample_id, rpos, max(sim) as best from pairs group by sample_id, rpos),
-pr as (select sample_id, avg(best) as precision from pb group by sample_id),
-rr as (select sample_id, avg(best) as recall from rb group by sample_id),
-s as (select pr.sample_id, precision, recall,
-             case when precision + recall = 0 then 0.0 else 2 * precision * recall / (precision + recall) end as f1
-      from pr join rr on pr.sample_id = rr.sample_id)
-"""
+  from tv{name} p join tv{name} r on p.sample_id = r.sample_id and p.side = 'pred' and r.side = 'ref'),
+pb{name} as (select sample_id, ppos, max(sim) as best from pairs{name} group by sample_id, ppos),
+rb{name} as (select sample_id, rpos, max(sim) as best from pairs{name} group by sample_id, rpos),
+pr{name} as (select sample_id, avg(best) as precision from pb{name} group by sample_id),
+rr{name} as (select sample_id, avg(best) as recall from rb{name} group by sample_id),
+s{name} as (select i.sample_id, coalesce(precision, 0.0) as precision, coalesce(recall, 0.0) as recall,
+             case when coalesce(precision, 0.0) + coalesce(recall, 0.0) = 0 then 0.0
+                  else 2 * precision * recall / (precision + recall) end as f1
+      from (select distinct sample_id from tv{name}) i left join pr{name} on pr{name}.sample_id = i.sample_id
+      left join rr{name} on rr{name}.sample_id = i.sample_id)"""
+
+
+_BERT_SAMPLES_SQL = f"with {_bert_sql()}"
 
 
 @register("bertscore_samples", _BERT_SAMPLES_SQL + """
 select sample_id, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1 from s""")
 def q_bertscore_samples(spark, sf):
-    return B.bertscore_samples(FX.token_vectors(spark, sf), block=16)
+    return B.bertscore_samples(FX.token_vectors(spark, sf))
 
 
 @register("bertscore", _BERT_SAMPLES_SQL + """
 select count(*) as num_samples, round(avg(precision), 6) as bertscore_precision,
        round(avg(recall), 6) as bertscore_recall, round(avg(f1), 6) as bertscore_f1 from s""")
 def q_bertscore(spark, sf):
-    return B.bertscore(FX.token_vectors(spark, sf), block=16)
+    return B.bertscore(FX.token_vectors(spark, sf))
 
 
 @register("bertscore_text")
@@ -251,32 +255,59 @@ def q_bleu_by_item(spark, sf):
 # --------------------------------------------------------- combined / report
 
 @register("all_metrics", f"""
+with {_bert_sql()}
 select count(*) as num_samples,
   round(coalesce(avg({_em_sql('teacher_answer', 'reference_answer')}), 0.0), 6) as exact_match,
   round(coalesce(avg({rouge_sql('teacher_answer', 'reference_answer')}), 0.0), 6) as rouge_l,
-  cast(null as double) as bertscore_f1
+  (select round(avg(f1), 6) from s) as bertscore_f1
 from (select teacher_answer, reference_answer, {tok_sql('teacher_answer')} as teacher_answer_t,
              {tok_sql('reference_answer')} as reference_answer_t from ({S.ITEM_PREDS}) p) sub_""")
 def q_all_metrics(spark, sf):
-    return R.all_metrics(FX.item_preds(spark, sf), "teacher_answer", "reference_answer")
+    # SQL has no stemmer; stemmed scores are checked by goldens and ``rouge_l_stemmed``
+    return R.all_metrics(FX.item_preds(spark, sf), "teacher_answer", "reference_answer", stem=False,
+                         bert=B.bertscore(FX.token_vectors(spark, sf)))
 
 
 @register("comparison_report", f"""
-with x as (select teacher_answer, student_answer, reference_answer,
+with {_bert_sql()}, {_bert_sql(16, "16")},
+x as (select teacher_answer, student_answer, reference_answer,
              {tok_sql('teacher_answer')} as teacher_answer_t, {tok_sql('student_answer')} as student_answer_t,
              {tok_sql('reference_answer')} as reference_answer_t from ({S.ITEM_PREDS}) p),
 a as (select avg({_em_sql('teacher_answer', 'reference_answer')}) as t_em,
              avg({_em_sql('student_answer', 'reference_answer')}) as s_em,
              avg({rouge_sql('teacher_answer', 'reference_answer')}) as t_rl,
-             avg({rouge_sql('student_answer', 'reference_answer')}) as s_rl from x),
+             avg({rouge_sql('student_answer', 'reference_answer')}) as s_rl,
+             avg(case when lower(teacher_answer) = lower(student_answer) then 1.0 else 0.0 end) as agreement,
+             count(*) as num_samples from x),
 l as (select 'exact_match' as metric, t_em as teacher, s_em as student from a
-      union all select 'rouge_l', t_rl, s_rl from a)
+      union all select 'rouge_l', t_rl, s_rl from a
+      union all select 'bertscore_f1', (select round(avg(f1), 6) from s), (select round(avg(f1), 6) from s16))
 select metric, round(teacher, 6) as teacher, round(student, 6) as student,
        round(student - teacher, 6) as difference,
-       round(case when teacher <> 0 then student / teacher * 100.0 end, 6) as student_pct_of_teacher
+       round(case when teacher <> 0 then student / teacher * 100.0 end, 6) as student_pct_of_teacher,
+       round((select agreement from a), 6) as agreement, (select num_samples from a) as num_samples
 from l""")
 def q_comparison_report(spark, sf):
-    return R.comparison_report(FX.item_preds(spark, sf))
+    bert = (B.bertscore(FX.token_vectors(spark, sf)), B.bertscore(FX.token_vectors(spark, sf, 16)))
+    return R.comparison_report(FX.item_preds(spark, sf), stem=False, bert=bert)
+
+
+@register("rouge_l_stemmed")
+def q_rouge_l_stemmed(spark, sf):
+    """Mean ROUGE-L on stemmed tokens (the default); SQL has no stemmer."""
+    return RG.rouge_l(FX.item_preds(spark, sf), "student_answer", "reference_answer").select(
+        "num_samples", F.round("rouge_l", 6).alias("rouge_l"))
+
+
+@register("gate_pass_rate", f"""
+select count(*) as num_samples, count(*) filter (where rl >= 0.7) as num_kept,
+       round(count(*) filter (where rl >= 0.7) / count(*), 6) as pass_rate from (
+  select {rouge_sql('student_answer', 'teacher_answer')} as rl
+  from (select *, {tok_sql('student_answer')} as student_answer_t, {tok_sql('teacher_answer')} as teacher_answer_t
+        from ({S.ITEM_PREDS}) p) y) x""")
+def q_gate_pass_rate(spark, sf):
+    s = RG.rouge_l_scores(FX.item_preds(spark, sf), "student_answer", "teacher_answer", stem=False)
+    return P.gate_pass_rate(s).withColumn("pass_rate", F.round("pass_rate", 6))
 
 
 @register("similarity_gate", f"""
@@ -286,7 +317,7 @@ select {_KEY}, round(rl, 6) as rouge_l from (
         from ({S.ITEM_PREDS}) p) y) x
 where rl >= 0.7""")
 def q_similarity_gate(spark, sf):
-    s = RG.rouge_l_scores(FX.item_preds(spark, sf), "student_answer", "teacher_answer")
+    s = RG.rouge_l_scores(FX.item_preds(spark, sf), "student_answer", "teacher_answer", stem=False)
     return P.similarity_gate(s).select(*FX.ITEM_KEY, F.round("rouge_l", 6).alias("rouge_l"))
 
 
