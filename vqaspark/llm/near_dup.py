@@ -8,9 +8,10 @@ compared batch by batch; after each batch, the pair is dropped once the
 posterior probability that its similarity reaches the threshold is below
 ``MISS``.  Survivors are verified exactly on full shingle sets.
 
-No bucket's pairs are all listed.  Each bucket first tests its members against
-one pivot (its smallest id), which connects groups of copies.  Buckets that
-still hold several components measure their members exactly against a centre
+Each bucket first tests its members against one pivot (its smallest id), which
+connects groups of copies.  Of buckets that still hold several components,
+those of up to ``FEW`` members test their unconnected pairs.  Larger ones never
+list their pairs: they measure their members exactly against a centre
 (the best linked member of the bucket's main component).  For the rest a bound holds: let x not be linked
 with the centre o, let a = |x & o| for each member, and let x and y share w
 shingles outside o.  Then |x & y| <= min(a_x, a_y) + w, so a link needs
@@ -19,7 +20,9 @@ shingles outside o.  Then |x & y| <= min(a_x, a_y) + w, so a link needs
 
 Pairs with a positive right side must share one of their rarest shingles
 outside o (a prefix filter, as |y| >= 0.8 |x|); for the others the sizes leave
-a narrow window.  Both are equi-joins within a centre's members.  So no link
+a narrow window.  Both are equi-joins within a centre's members, with a
+sharper bound from folded bitmaps of what each member lacks of o and has
+outside of it as part of the join's condition.  So no link
 that could join two components goes untested, and copies that drifted from
 their original are not compared with all the other copies.
 """
@@ -39,6 +42,8 @@ from vqaspark.llm.base import Words, hash_binary, map_text, mix64, slices, write
 BANDS, ROWS = 36, 5      # a pair of similarity 0.8 shares no band with probability 6e-7
 CHECKED = 96             # MinHash values kept (16 bits each) for the sequential test
 BATCH = 16
+FEW = 16                 # members of a bucket whose unconnected pairs are simply tested
+FOLD = 8                 # 64-bit words of a folded bitmap
 MISS = 1e-7              # chosen probability of dropping a true pair after a batch
 
 _A = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
@@ -238,60 +243,80 @@ def _with_sets(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
 
 
 def _measured(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """(o, x, size, a, linked, outside) for centres p = o: size of x, of its
-    part in o, and its shingles outside o."""
+    """(o, x, size, a, whole, linked, lacks, has, outside) for centres p = o:
+    sizes of x, of its part in o and of o; folded bitmaps of o's shingles that
+    x lacks and of x's shingles outside o; and the latter themselves."""
     num, den = threshold
 
+    def fold(v):
+        bits = np.zeros(64 * FOLD, np.uint8)
+        bits[v % np.uint64(64 * FOLD)] = 1
+        return np.packbits(bits).view(np.int64).tolist()
+
     def measure(batches):
         for b in batches:
-            cols = [[], [], [], []]
-            for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                o, x = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                out = np.setdiff1d(x, o, assume_unique=True)
-                common = len(x) - len(out)
-                for c, v in zip(cols, (len(x), common, den * common >= num * (len(o) + len(out)), out.view(np.int64).tolist())):
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.list_(pa.int64()))],
-                names=["o", "x", "size", "a", "linked", "outside"])
-
+            rows = []
+            for i, x, s, t in zip(*(b.column(c).to_pylist() for c in range(4))):
+                o, v = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                out = np.setdiff1d(v, o, assume_unique=True)
+                lack = np.setdiff1d(o, v, assume_unique=True)
+                common = len(v) - len(out)
+                rows.append({"o": i, "x": x, "size": len(v), "a": common, "whole": len(o),
+                             "linked": den * common >= num * (len(o) + len(out)), "lacks": fold(lack), "has": fold(out),
+                             "outside": out.view(np.int64).tolist()})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    schema = pa.schema([("o", pa.int64()), ("x", pa.int64()), ("size", pa.int64()), ("a", pa.int64()), ("whole", pa.int64()),
+                        ("linked", pa.bool_()), ("lacks", pa.list_(pa.int64())), ("has", pa.list_(pa.int64())),
+                        ("outside", pa.list_(pa.int64()))])
     return _with_sets(pairs, docs, id_col, text_col, k).mapInArrow(
-        measure, "o long, x long, size long, a long, linked boolean, outside array<long>")
+        measure, "o long, x long, size long, a long, whole long, linked boolean, lacks array<long>, has array<long>, outside array<long>")
 
 
 def _uncertain(info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """(p, x) pairs that the bound does not rule out, of members of one centre
     in different components ``c``, one of them not linked with the centre."""
     num, den = threshold
-    # Shared shingles needed, as integers: (num + den) * (a + w) >= num * (|x| + |y|).
-    def needed(size, other, a):
-        return F.lit(num) * (size + other) - F.lit(num + den) * a
-
-    # 1. Prefix filter on shingles outside the centre, rarest first.
+    facts = ["x", "c", "linked", "size", "a", "n_out", "lacks", "has"]
+    info = info.withColumn("n_out", F.size("outside"))
+
+    def bits(c):
+        return sum((F.bit_count(x) for x in c), F.lit(0))
+
+    def possible():
+        """Whether what both can share, at most, is enough for a link."""
+        lack, lack2, has, has2 = ([F.col(c)[i] for i in range(FOLD)] for c in ("lacks", "lacks2", "has", "has2"))
+        # Folding only merges bits: the union of what they lack is at least this.
+        missing = F.greatest(bits([a.bitwiseOR(b) for a, b in zip(lack, lack2)]),
+                             F.col("whole") - F.col("a"), F.col("whole") - F.col("a2"))
+        both = bits([a.bitwiseAND(b) for a, b in zip(has, has2)])
+        # A shared shingle sets the same bit in both; merged bits hide some of either's.
+        shared = F.least(both + F.col("n_out") - bits(has), both + F.col("n_out2") - bits(has2), F.col("n_out"), F.col("n_out2"))
+        return F.lit(num + den) * (F.col("whole") - missing + shared) >= F.lit(num) * (F.col("size") + F.col("size2"))
+
+    apart = (F.col("c") != F.col("c2")) & ~(F.col("linked") & F.col("linked2"))
     least = F.ceil(F.lit(num) * F.col("size") / F.lit(den))                    # |y| of a link, at least
-    w = F.ceil(needed(F.col("size"), least, F.col("a")) / F.lit(num + den))     # shared outside, at least
-    flat = info.select("o", "x", "c", "linked", "size", "a", F.explode("outside").alias("sh"),
-                       (F.size("outside") - F.greatest(w, F.lit(1)) + 1).alias("len"))
-    often = flat.groupBy("o", "sh").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("o", "x").orderBy("n", "sh")
-    prefix = (flat.where("len > 0").join(often, ["o", "sh"]).withColumn("r", F.row_number().over(order))
-              .where("r <= len and n > 1").select("o", "sh", "x", "c", "linked", "size", "a"))
-    prefix = write_scratch(prefix, "op10-prefix")
-    y = prefix.select("o", "sh", *[F.col(c).alias(f"{c}2") for c in ("x", "c", "linked", "size", "a")])
-    apart = (F.col("c") != F.col("c2")) & (F.col("x") < F.col("x2")) & ~(F.col("linked") & F.col("linked2"))
-    sizes = (F.lit(num) * F.greatest("size", "size2") <= F.lit(den) * F.least("size", "size2"))
-    one = prefix.join(y, ["o", "sh"]).where(apart & sizes)
+    # 1. Prefix filter on shingles outside the centre, rarest first: those nobody shares come
+    #    first of all, so only their number counts.
+    w = F.ceil((F.lit(num) * (F.col("size") + least) - F.lit(num + den) * F.col("a")) / F.lit(num + den))
+    flat = info.select("o", "x", "n_out", (F.col("n_out") - F.greatest(w, F.lit(1)) + 1).alias("len"), F.explode("outside").alias("sh"))
+    often = flat.groupBy("o", "sh").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    member = Window.partitionBy("o", "x")
+    prefix = (flat.join(often, ["o", "sh"]).withColumn("alone", F.col("n_out") - F.count(F.lit(1)).over(member))
+              .withColumn("r", F.row_number().over(member.orderBy("n", "sh"))).where("alone + r <= len").select("o", "x", "sh"))
+    prefix = write_scratch(prefix.join(info.select("o", "whole", *facts), ["o", "x"]), "op10-prefix")
+    y = prefix.select("o", "sh", *[F.col(c).alias(f"{c}2") for c in facts])
+    one = prefix.join(y, ["o", "sh"]).where(apart & (F.col("x") < F.col("x2")) & possible())
     # 2. No shingle outside the centre has to be shared: only possible for sizes in a window.
     step = F.lit(0.005)
     bucket = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / step)
     far = info.where("not linked").withColumn("top", F.lit(num + den) * F.col("a") / F.lit(num) - F.col("size"))
     far = far.where(F.col("top") >= least).select(
-        "o", "x", "c", "linked", "size", "a", F.explode(F.sequence(
+        "o", "whole", *facts, F.explode(F.sequence(
             F.floor(F.log(F.greatest(least, F.lit(1)).cast("double")) / step), F.floor(F.log(F.col("top")) / step))).alias("b"))
-    y2 = info.select("o", bucket.alias("b"), *[F.col(c).alias(f"{c}2") for c in ("x", "c", "linked", "size", "a")])
-    none = needed(F.col("size"), F.col("size2"), F.least("a", "a2")) <= 0
-    two = far.join(y2, ["o", "b"]).where((F.col("c") != F.col("c2")) & sizes & none)
+    y2 = info.select("o", bucket.alias("b"), *[F.col(c).alias(f"{c}2") for c in facts])
+    none = F.lit(num) * (F.col("size") + F.col("size2")) <= F.lit(num + den) * F.least("a", "a2")
+    two = far.join(y2, ["o", "b"]).where(apart & none & possible())
     pair = [F.least("x", "x2").alias("p"), F.greatest("x", "x2").alias("x")]
     return one.select(*pair).unionByName(two.select(*pair)).distinct()
 
@@ -329,32 +354,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = links.select(F.col("p").alias("u"), F.col("x").alias("v")).unionByName(same_id)
     comp = components(edges)
 
-    def labelled():
-        c = F.coalesce("component", "rep")
-        rows = inside.join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("key", "p", "rep", c.alias("c"))
-        mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        return write_scratch(rows.join(mixed, "key"), "op10-mixed")
-
-    rest = labelled()
-    # Centre of a bucket: the member with most links of its most frequent component.
+    c = F.coalesce("component", "rep")
+    rows = inside.join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("key", "rep", c.alias("c"))
+    mixed = (rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
+             .where("lo <> hi and m > 2").select("key", "m"))        # of two members, the pair was tested
+    rest = write_scratch(rows.join(mixed, "key"), "op10-mixed")
+    seen = tried.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x"))
+    few = rest.where(F.col("m") <= FEW)
+    other = few.select("key", F.col("rep").alias("y"), F.col("c").alias("cy"))
+    pairs = (few.join(other, "key").where("c < cy").select(F.least("rep", "y").alias("p"), F.greatest("rep", "y").alias("x"))
+             .distinct().join(seen, ["p", "x"], "left_anti"))
+    # Centre of a large bucket: the member with most links of its most frequent component.
+    many = rest.where(F.col("m") > FEW)
     ends = links.select(F.col("p").alias("u")).unionByName(links.select(F.col("x").alias("u")))
     centres = (ends.groupBy("u").agg(F.count(F.lit(1)).alias("n")).join(comp, "u")
                .groupBy(F.col("component").alias("c")).agg(F.max_by("u", F.struct("n", -F.col("u"))).alias("o")))
-    main = (rest.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+    main = (many.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
             .agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("c")))
-    centred = rest.select("key", "rep").join(main.join(centres, "c", "left").select("key", F.coalesce("o", "c").alias("o")), "key")
+    centred = many.select("key", "rep").join(main.join(centres, "c", "left").select("key", F.coalesce("o", "c").alias("o")), "key")
     members = write_scratch(centred.select(F.col("o").alias("p"), F.col("rep").alias("x")).distinct(), "op10-tried")
+    more = [pairs]
     if members.limit(1).count():
         info = write_scratch(_measured(members, docs, id_col, text_col, k, threshold), "op10-centres")
         edges = edges.unionByName(info.where("linked").select(F.col("o").alias("u"), F.col("x").alias("v")))
         comp = components(edges)
-        c = F.coalesce("component", "x").alias("c")
-        named = info.join(comp.withColumnRenamed("u", "x"), "x", "left").select(*info.columns, c)
-        split = named.groupBy("o").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("o")
-        last = write_scratch(_uncertain(write_scratch(named.join(split, "o"), "op10-centres"), threshold), "op10-tried")
-        if last.limit(1).count():
-            edges = edges.unionByName(verified(last).select(F.col("p").alias("u"), F.col("x").alias("v")))
-            comp = components(edges)
+        of = info.join(comp.withColumnRenamed("u", "x"), "x", "left").select(*info.columns, F.coalesce("component", "x").alias("c"))
+        split = of.groupBy("o").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("o")
+        more.append(_uncertain(write_scratch(of.join(split, "o"), "op10-centres"), threshold))
+    last = more[0] if len(more) == 1 else more[0].unionByName(more[1]).distinct()
+    last = write_scratch(last, "op10-tried")
+    if last.limit(1).count():
+        edges = edges.unionByName(verified(last).select(F.col("p").alias("u"), F.col("x").alias("v")))
+        comp = components(edges)
 
     named = (classes.select("d", "rep").join(comp.withColumnRenamed("u", "rep"), "rep", "left")
              .select("d", F.coalesce("component", "rep").alias("component_id")))
