@@ -34,6 +34,19 @@ def test_stream_windows_equal_batch_over_many_microbatches(spark, tmpdir_fresh):
     a = sorted((r["run_id"], r["ws"], r["num_logs"], round(r["sum_loss"], 6)) for r in out.collect())
     b = sorted((r["run_id"], r["ws"], r["num_logs"], round(r["sum_loss"], 6)) for r in batch.collect())
     assert a == b
+    # rows far behind the watermark are an error, not a smaller count; without one none is lost
+    late = os.path.join(tmpdir_fresh, "late")
+    for i, day in enumerate((10, 20, 1)):
+        d = spark.createDataFrame([(1, f"2024-01-{day:02d} 00:00:00", 1.0)], "run_id long, t string, loss double")
+        d.select("run_id", F.col("t").cast("timestamp").alias("ts"), "loss").coalesce(1).write.mode("append").parquet(late)
+    for mark, n in (("1 hour", None), (None, 3)):
+        agg = ST.windowed_loss(ST.file_stream(spark, late), mark).select("run_id", F.col("window.start").alias("ws"), "num_logs")
+        where = [os.path.join(tmpdir_fresh, f"{x}-{n}") for x in ("s", "c")]
+        if n is None:
+            with pytest.raises(RuntimeError, match="too late"):
+                ST.run_upserts(agg, ["run_id", "ws"], *where)
+        else:
+            assert ST.run_upserts(agg, ["run_id", "ws"], *where).agg(F.sum("num_logs")).first()[0] == n
     batches = {os.path.basename(p) for p in os.listdir(os.path.join(tmpdir_fresh, "sink"))}
     assert len([x for x in batches if x.startswith("batch_id=")]) >= 5
 

@@ -32,7 +32,7 @@ from events group by user_id, date_trunc('day', ts)""")
 def q_stream_log_windows(spark, sf):
     ev = ST.table_stream(spark, sf, "events")
     log = ev.select(F.col("user_id").alias("run_id"), "ts", F.col("value").alias("loss"))
-    agg = ST.windowed_loss(log).select(
+    agg = ST.windowed_loss(log, watermark=None).select(
         "run_id", F.unix_seconds(F.col("window.start")).alias("window_start"),
         "num_logs", "sum_loss")
     sink, ckpt = ST.scratch_pair(spark, "stream-windows")

@@ -49,8 +49,13 @@ def _await(query) -> None:
 # ---------------------------------------------------------------- T1
 
 def prepare_stream(requests: DataFrame, template=DEFAULT_TEMPLATE) -> DataFrame:
-    """Stateless P3 filter + prompt messages + chat render on a stream."""
-    ok = requests.where((F.col("question") != "") & F.col("question").isNotNull())
+    """Stateless P3 filter (question, and ``image_path`` where requests
+    carry one) + prompt messages + chat render on a stream."""
+    from vqaspark.operators.prepare import valid_requests
+    if "image_path" in requests.columns:
+        ok = valid_requests(requests)
+    else:
+        ok = requests.where(F.col("question") != "")
     return ok.select("id", template.render(vqa_messages(F.col("question")), True).alias("text"))
 
 
@@ -66,21 +71,30 @@ def run_append(stream_df: DataFrame, sink: str, checkpoint: str) -> DataFrame:
 
 # ---------------------------------------------------------------- T2
 
-def windowed_loss(log_stream: DataFrame, window: str = "1 day", watermark: str = "1 hour",
+def windowed_loss(log_stream: DataFrame, watermark: str | None, window: str = "1 day",
                   run_col: str = "run_id") -> DataFrame:
-    """Tumbling-window loss statistics per run with a watermark (state
-    for windows older than the watermark is dropped)."""
-    return (log_stream.withWatermark("ts", watermark)
+    """Tumbling-window loss statistics per run.  ``watermark`` is the
+    caller's to choose: how late rows may come (state of older windows is
+    dropped, and rows for them too: see ``run_upserts``), or ``None`` to keep
+    every window open and lose no row, for input in any order."""
+    marked = log_stream if watermark is None else log_stream.withWatermark("ts", watermark)
+    return (marked
                       .groupBy(F.window("ts", window), run_col)
                       .agg(F.count(F.lit(1)).alias("num_logs"),
                            F.sum("loss").alias("sum_loss")))
 
 
-def run_upserts(agg_stream: DataFrame, key_cols, sink: str, checkpoint: str) -> DataFrame:
+def late_rows(query) -> int:
+    """Rows that the watermark dropped, over the batches the query reports."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_upserts(agg_stream: DataFrame, key_cols, sink: str, checkpoint: str, late: str = "fail") -> DataFrame:
     """Run an aggregation in ``update`` mode; each micro-batch's changed rows
     go to ``<sink>/batch_id=<n>`` (overwrite = idempotent on replay).  The
     returned table keeps, per key, the row of the latest batch, so windows
-    still open at the end of the input are reported too."""
+    still open at the end of the input are reported too.  Rows that came too
+    late for the watermark raise, unless ``late="ignore"``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
@@ -88,6 +102,8 @@ def run_upserts(agg_stream: DataFrame, key_cols, sink: str, checkpoint: str) ->
                    .option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True).start())
     _await(q)
+    if late != "ignore" and late_rows(q):
+        raise RuntimeError(f"{late_rows(q)} rows came too late for the watermark and were not counted")
     spark = agg_stream.sparkSession
     out = spark.read.parquet(sink)
     vals = [c for c in out.columns if c not in list(key_cols) + ["batch_id"]]
@@ -107,16 +123,19 @@ def running_exact_match(pred_stream: DataFrame, pred: str = "teacher_answer",
 
 
 def run_complete(agg_stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
-    """Run a small aggregation in ``complete`` mode; every batch rewrites the
-    sink with the full current result."""
+    """Run a small aggregation in ``complete`` mode; every batch writes the full
+    current result under its own ``batch_id`` (a replay overwrites only
+    itself), so readers always find the last whole one."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+        batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     q = (agg_stream.writeStream.outputMode("complete").foreachBatch(write)
                    .option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True).start())
     _await(q)
-    return agg_stream.sparkSession.read.parquet(sink)
+    out = agg_stream.sparkSession.read.parquet(sink)
+    last = out.agg(F.max("batch_id").alias("b")).first()["b"]
+    return out.where(F.col("batch_id") == last).drop("batch_id")
 
 
 def scratch_pair(spark: SparkSession, name: str):
