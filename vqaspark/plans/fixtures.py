@@ -121,11 +121,11 @@ def checkpoints(spark: SparkSession, sf: str) -> DataFrame:
 
 def logits(spark: SparkSession, sf: str) -> DataFrame:
     """Per answer token: teacher logits = embedding of ``vec_id``, student
-    logits = embedding of ``vec_id + 1``, target label = the row's label,
-    sample = label.  An equi-join on ``vec_id + 1`` (no unpartitioned lead)."""
+    logits = embedding of ``vec_id + 1``, target label = the row's label (-100,
+    a masked prompt token, on every fifth row), sample = label.  An equi-join on ``vec_id + 1`` (no unpartitioned lead)."""
     e = read_table(spark, sf, "embeddings")
     t = e.select(F.col("vec_id").alias("pos"), F.col("label").alias("sample_id"),
-                 F.col("label").alias("label"),
+                 F.when(F.col("vec_id") % 5 == 0, -100).otherwise(F.col("label")).alias("label"),
                  F.col("embedding").alias("teacher_logits"))
     s = e.select((F.col("vec_id") - 1).alias("pos"), F.col("embedding").alias("student_logits"))
     return t.join(s, "pos")

@@ -126,6 +126,18 @@ def q_validate_text(spark, sf):
     return P.validate_text(c, cols=("question", "text")).select("id", "text_issue")
 
 
+@register("validate_utf8", f"""
+select doc_id, case when doc_id % 10 = 0 then 'raw:invalid_utf8' when text is null then 'raw:null'
+                    when regexp_replace(text, '^{S.WS}+|{S.WS}+$', '', 'g') = '' then 'raw:blank' end as text_issue
+from documents""")
+def q_validate_utf8(spark, sf):
+    """Encoding check on binary input: every tenth text gets a broken sequence."""
+    d = read_table(spark, sf, "documents")
+    broken = F.concat(F.coalesce("text", F.lit("")).cast("binary"), F.unhex(F.lit("C328")))
+    raw = F.when(F.col("doc_id") % 10 == 0, broken).otherwise(F.col("text").cast("binary"))
+    return P.validate_text(d.select("doc_id", raw.alias("raw")), cols=("raw",), binary=True).select("doc_id", "text_issue")
+
+
 # Messages are compared flattened: roles, part types and texts.
 _MSG_SQL = f"""
 select id, 2 as n_messages, 'user,assistant' as roles, 'image,text|text' as part_types,
@@ -243,6 +255,20 @@ def q_preview_topk(spark, sf):
     return O.preview_topk(s, 5, "id")
 
 
+@register("dataset_to_json_positions", """
+select case when item_id % 3 = 0 then row_number() over (order by item_id) - 1 else item_id + 1000000 end as id,
+       coalesce(text, '') as question, '' as answer from benchmark""")
+def q_dataset_to_json_positions(spark, sf):
+    """Missing ids become positions in a stated order, whatever the file layout."""
+    from vqaspark.sources.files import dataset_to_json
+    path = scratch_path(spark, "dataset-json")
+    b = read_table(spark, sf, "benchmark")
+    rows = b.select(F.when(F.col("item_id") % 3 != 0, F.col("item_id") + 1000000).alias("id"),
+                    F.col("text").alias("question"), "item_id")
+    dataset_to_json(rows, path, order_cols="item_id")
+    return spark.read.schema("id bigint, question string, answer string").json(path)
+
+
 @register("dataset_to_json_rows", f"""
 select coalesce(id, 0) as id, coalesce(question, '') as question, coalesce(answer, '') as answer
 from ({S.SAMPLES}) s""")

@@ -126,13 +126,17 @@ def save_report(df: DataFrame, path: str) -> int:
     return write_json(df.coalesce(1), path, name="report")
 
 
-def dataset_to_json(df: DataFrame, path: str) -> int:
+def dataset_to_json(df: DataFrame, path: str, order_cols=None) -> int:
     """Keep id/question/answer (drop images); missing values become
-    ``''`` and a missing id becomes the row's position in the input."""
+    ``''`` and a missing id becomes the row's position: in ``order_cols``
+    order (unique together), or without them in scan order, which changes with
+    the file layout."""
+    if order_cols is None:
+        df, order_cols = df.withColumn("_order", F.monotonically_increasing_id()), "_order"
     if "id" not in df.columns:
-        df = with_index(df.withColumn("_order", F.monotonically_increasing_id()), "_order", out="id")
+        df = with_index(df, order_cols, out="id")
     elif df.where(F.col("id").isNull()).limit(1).count() > 0:
-        df = with_index(df.withColumn("_order", F.monotonically_increasing_id()), "_order", out="_pos")
+        df = with_index(df, order_cols, out="_pos")
         df = df.withColumn("id", F.coalesce("id", "_pos"))
     q = F.col("question") if "question" in df.columns else F.lit(None)
     a = F.col("answer") if "answer" in df.columns else F.lit(None)
