@@ -11,9 +11,9 @@ posterior probability that its similarity reaches the threshold is below
 Each bucket first tests its members against one pivot (its smallest id), which
 connects groups of copies.  Of buckets that still hold several components,
 those of up to ``FEW`` members test their unconnected pairs.  Larger ones never
-list their pairs: they measure their members exactly against a centre
-(the best linked member of the bucket's main component).  For the rest a bound holds: let x not be linked
-with the centre o, let a = |x & o| for each member, and let x and y share w
+list their pairs: together with the buckets they share members with, they
+measure their members exactly against one centre (the best linked of them
+all).  For the rest a bound holds: let x not be linked with the centre o, let a = |x & o| for each member, and let x and y share w
 shingles outside o.  Then |x & y| <= min(a_x, a_y) + w, so a link needs
 
     w >= 0.8 / 1.8 * (|x| + |y|) - min(a_x, a_y).
@@ -355,7 +355,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = components(edges)
 
     c = F.coalesce("component", "rep")
-    rows = inside.join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("key", "rep", c.alias("c"))
+    rows = inside.join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("key", "p", "rep", c.alias("c"))
     mixed = (rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where("lo <> hi and m > 2").select("key", "m"))        # of two members, the pair was tested
     rest = write_scratch(rows.join(mixed, "key"), "op10-mixed")
@@ -364,15 +364,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = few.select("key", F.col("rep").alias("y"), F.col("c").alias("cy"))
     pairs = (few.join(other, "key").where("c < cy").select(F.least("rep", "y").alias("p"), F.greatest("rep", "y").alias("x"))
              .distinct().join(seen, ["p", "x"], "left_anti"))
-    # Centre of a large bucket: the member with most links of its most frequent component.
+    # Large buckets that share members form a cluster; its centre is the member with most links.
     many = rest.where(F.col("m") > FEW)
+    cluster = components(many.select(F.col("p").alias("u"), F.col("rep").alias("v")))
     ends = links.select(F.col("p").alias("u")).unionByName(links.select(F.col("x").alias("u")))
-    centres = (ends.groupBy("u").agg(F.count(F.lit(1)).alias("n")).join(comp, "u")
-               .groupBy(F.col("component").alias("c")).agg(F.max_by("u", F.struct("n", -F.col("u"))).alias("o")))
-    main = (many.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
-            .agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("c")))
-    centred = many.select("key", "rep").join(main.join(centres, "c", "left").select("key", F.coalesce("o", "c").alias("o")), "key")
-    members = write_scratch(centred.select(F.col("o").alias("p"), F.col("rep").alias("x")).distinct(), "op10-tried")
+    degree = cluster.join(ends.groupBy("u").agg(F.count(F.lit(1)).alias("n")), "u", "left")
+    centres = degree.groupBy("component").agg(F.max_by("u", F.struct(F.coalesce("n", F.lit(0)), -F.col("u"))).alias("o"))
+    members = write_scratch(cluster.join(centres, "component").select(F.col("o").alias("p"), F.col("u").alias("x")), "op10-tried")
     more = [pairs]
     if members.limit(1).count():
         info = write_scratch(_measured(members, docs, id_col, text_col, k, threshold), "op10-centres")
