@@ -349,10 +349,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .join(alive.select("doc", "d").distinct(), "doc").join(classes.select("d", "rep"), "d")
                .select(F.col("doc").alias("u"), F.col("rep").alias("v")))
 
-    tried = write_scratch(inside.where("rep <> p").select("p", F.col("rep").alias("x")).distinct(), "op10-tried")
-    links = verified(tried)
+    # A member is first tested against the pivot it shares most buckets with; its other pivots
+    # only matter if they are still in another component then.
+    tried = write_scratch(inside.where("rep <> p").groupBy("p", F.col("rep").alias("x")).agg(F.count(F.lit(1)).alias("n")),
+                          "op10-tried")
+    first = tried.groupBy("x").agg(F.max_by("p", F.struct("n", -F.col("p"))).alias("p")).select("p", "x")
+    links = verified(first)
     edges = links.select(F.col("p").alias("u"), F.col("x").alias("v")).unionByName(same_id)
     comp = components(edges)
+    cp, cx = (comp.select(F.col("u").alias(n), F.col("component").alias(f"c{n}")) for n in ("p", "x"))
+    second = (tried.select("p", "x").join(first, ["p", "x"], "left_anti").join(cp, "p", "left").join(cx, "x", "left")
+              .where(F.coalesce("cp", "p") != F.coalesce("cx", "x")).select("p", "x"))
+    second = write_scratch(second, "op10-tried")
+    if second.limit(1).count():
+        links = links.unionByName(verified(second))
+        edges = edges.unionByName(links.select(F.col("p").alias("u"), F.col("x").alias("v")))
+        comp = components(edges)
 
     c = F.coalesce("component", "rep")
     rows = inside.join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("key", "p", "rep", c.alias("c"))
