@@ -245,6 +245,18 @@ def test_url_filters_over_time(spark):
     assert url_filters.filter_urls(caps.limit(0), entries).count() == 0
 
 
+def test_url_filters_long_hosts_and_deep_paths(spark):
+    host, path = "a.b.c.d.e.f.org", "g.org/1/2/3/4/5"
+    entries = spark.createDataFrame([(host, "block", 10), (path, "block", 10), ("g.org/1/2/3/4", "allow", 10), ("e.f.org", "allow", 10)],
+                                    "pattern string, action string, day int")
+    urls = [(1, f"http://{host}/x"), (2, f"http://z.{host}"), (3, "http://b.c.d.e.f.org"), (4, f"http://{path}"), (5, f"http://{path}/6/7?q"),
+            (6, "http://g.org/1/2/3/4/x"), (7, "http://g.org/1/2/3")]
+    out = url_filters.filter_urls(spark.createDataFrame([(*u, 12) for u in urls], "page_id long, url string, fetch_day int"), entries)
+    assert sorted((r.page_id, r.n_active, r.rule, r.blocked) for r in out.collect()) == [
+        (1, 2, host, True), (2, 2, host, True), (3, 1, "e.f.org", False), (4, 2, path, True), (5, 2, path, True),
+        (6, 1, "g.org/1/2/3/4", False), (7, 0, None, False)]
+
+
 def test_url_filters_against_oracle(spark):
     import duckdb
     sf = "/root/testdata/sf0.01"

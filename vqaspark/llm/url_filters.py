@@ -7,7 +7,7 @@ intervals that were valid when it was fetched.
 
 Patterns are hosts (which cover their subdomains) or host/path prefixes, so a
 capture meets a bounded set of keys: its host and parent domains, and its
-path's leading segments.  Both sides of the equi-join also carry a time
+path's leading segments, as deep as the deepest entry.  Both sides of the equi-join also carry a time
 bucket: intervals are cut into buckets, and a capture only meets the intervals
 of its own.  A hot host is a hot key of the captures alone, whose rows any
 skewed join partition can split; nothing is gathered by host.
@@ -23,7 +23,7 @@ from vqaspark.functions.hashing import shuffle_key
 BUCKET_DAYS = 64
 FIRST_DAY, LAST_DAY = 19000, 19999       # days since 1970 that the derived lists and captures cover
 MAX_LABELS = 6                           # domain labels and
-MAX_SEGMENTS = 3                         # path segments that patterns may have
+MAX_SEGMENTS = 3                         # path segments of the derived list's patterns (a caller's may have any number)
 
 HOST = "(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = "(?i)^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -46,16 +46,24 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, HOST, 1))
 
 
-def keys_of(url: Column) -> Column:
-    """Patterns that cover a URL: its host, parent domains of two labels or
-    more, and its host with up to MAX_SEGMENTS leading path segments."""
+def depth_of(entries: DataFrame) -> tuple[int, int]:
+    """Most domain labels and most path segments of any pattern."""
+    parts = F.split("pattern", "/")
+    d = entries.agg(F.max(F.size(F.split(parts[0], "\\."))).alias("n"), F.max(F.size(parts) - 1).alias("m")).first()
+    return max(d["n"] or 0, 1), max(d["m"] or 0, 0)
+
+
+def keys_of(url: Column, max_labels: int, max_segments: int) -> Column:
+    """Patterns of up to so many labels and path segments that cover a URL: its
+    host, parent domains of two labels or more, and its host with leading path
+    segments.  With the depth of a list, these are all that the list can have."""
     host = host_of(url)
     labels = F.split(host, "\\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.greatest(n - F.lit(MAX_LABELS), F.lit(0)), F.greatest(n - 2, F.lit(0))),
+    domains = F.transform(F.sequence(F.greatest(n - F.lit(max_labels), F.lit(0)), F.greatest(n - 2, F.lit(0))),
                           lambda i: F.array_join(F.slice(labels, i + 1, F.greatest(n - i, F.lit(1))), "."))
     segments = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda s: s != "")
-    paths = F.transform(F.sequence(F.lit(0), F.least(F.size(segments), F.lit(MAX_SEGMENTS))),
+    paths = F.transform(F.sequence(F.lit(0), F.least(F.size(segments), F.lit(max_segments))),
                         lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))
     paths = F.filter(paths, lambda p: ~p.endswith("/"))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(
@@ -70,11 +78,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     The most specific active pattern decides (longest; ties: smallest name).
     Null or malformed URLs and null days meet no entry: 0, null, false.  Rows that
     repeat an id with the same url and day each get the same result; an empty
-    list blocks nothing; other columns are not read."""
+    list blocks nothing; other columns are not read.  Keys go as deep as the
+    entries do, so no entry is out of reach of a long host or path."""
     c = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("u"), F.col(day_col).cast("int").alias("t"))
     # A capture of one url and day is looked up once, however often it was crawled.
     distinct = c.where("u is not null and t is not null").select("u", "t").distinct()
-    looked = (distinct.withColumn("pattern", F.explode(keys_of(F.col("u"))))
+    looked = (distinct.withColumn("pattern", F.explode(keys_of(F.col("u"), *depth_of(entries))))
               .withColumn("bucket", F.floor(F.col("t") / bucket_days)))
     end = captures.agg(F.max(F.col(day_col).cast("int")).alias("end")).first()["end"]
     end = F.lit(-1 if end is None else end)          # open intervals need no buckets after the last capture
@@ -107,7 +116,7 @@ def day_of(key: Column, seed: int) -> Column:
 def derived_list(pages: DataFrame) -> DataFrame:
     """A dated list made from the hosts of the table: some hosts, parent
     domains and path prefixes are blocked on one day and allowed on another."""
-    hosts = pages.where("url is not null").select(F.explode(keys_of(F.col("url"))).alias("pattern")).distinct()
+    hosts = pages.where("url is not null").select(F.explode(keys_of(F.col("url"), MAX_LABELS, MAX_SEGMENTS)).alias("pattern")).distinct()
     pick = F.conv(F.substring(shuffle_key(F.col("pattern"), 1), 1, 7), 16, 10).cast("long") % 10
     some = hosts.withColumn("k", pick).where("k < 4")
     first = some.select("pattern", F.lit("block").alias("action"), day_of(F.col("pattern"), 2).alias("day"))
