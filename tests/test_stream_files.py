@@ -212,3 +212,12 @@ def test_header_only_validation_matches_full_read(spark, tmpdir_fresh):
     samples = spark.createDataFrame([(os.path.join(root, n),) for n in names], "image_path string")
     assert {os.path.basename(r[0]) for r in J.image_exists(samples, listing).collect()} == set(names[:2])
     assert [os.path.basename(r[0]) for r in J.image_missing(samples, listing).collect()] == ["no.jpg"]
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_page_files_follow_the_pages(spark, sf):
+    from vqaspark.plans import q_files as Q
+    pages = Q.read_table(spark, sf, "pages").count()
+    files = Q._by_bucket(Q.FI.image_listing(spark, Q._page_files(spark, sf), glob="*.txt"))
+    assert files.count() >= pages / Q.PAGES_PER_FILE
+    assert files.select("bucket", "part").distinct().count() == files.count()

@@ -56,17 +56,22 @@ def q_requests_read(spark, sf):
 
 
 PAGE_BUCKETS = 7
+PAGES_PER_FILE = 25
+
+
+def _part():
+    return F.floor(F.col("page_id") / (PAGE_BUCKETS * PAGES_PER_FILE))
 
 
 def _page_files(spark, sf):
     """Write the pages as text files (the blobs a binaryFile listing sees), some with the ASCII magic of a GIF,
-    in folders by ``bucket``, and return the root."""
+    25 to a file (``bucket``, ``part``) so that the files follow the input in number and not in size, and return the root."""
     root = scratch_path(spark, "page-files")
     p = read_table(spark, sf, "pages")
-    (p.select((F.col("page_id") % PAGE_BUCKETS).alias("bucket"),
+    (p.select((F.col("page_id") % PAGE_BUCKETS).alias("bucket"), _part().alias("part"),
               F.concat(F.when(F.col("page_id") % PAGE_BUCKETS < 3, F.lit("GIF89a")).otherwise(""),
                        F.coalesce("html", F.lit(""))).alias("value"))
-      .repartition("bucket").write.mode("overwrite").partitionBy("bucket").text(root))
+      .repartition("bucket", "part").write.mode("overwrite").partitionBy("bucket", "part").text(root))
     return root
 
 
@@ -77,7 +82,9 @@ from pages group by 1"""
 
 
 def _by_bucket(listing):
-    return listing.withColumn("bucket", F.regexp_extract("path", r"/bucket=(\d+)/[^/]+$", 1).cast("bigint"))
+    at = r"/bucket=(\d+)/part=(\d+)/[^/]+$"
+    return (listing.withColumn("bucket", F.regexp_extract("path", at, 1).cast("bigint"))
+            .withColumn("part", F.regexp_extract("path", at, 2).cast("bigint")))
 
 
 @register("image_listing", f"select cast(bucket as bigint) as bucket, cast(n as bigint) as length from ({_PAGE_BYTES}) b")
@@ -105,11 +112,11 @@ def q_listed_images_exist(spark, sf):
     files that were never written."""
     root = _page_files(spark, sf)
     ls = _by_bucket(FI.image_listing(spark, root, glob="*.txt")).where(F.col("bucket") < PAGE_BUCKETS - 2)
-    first = ls.groupBy("bucket").agg(F.min("path").alias("path"))
-    pages = read_table(spark, sf, "pages").select("page_id", (F.col("page_id") % PAGE_BUCKETS).alias("bucket"))
+    first = ls.groupBy("bucket", "part").agg(F.min("path").alias("path"))
+    pages = read_table(spark, sf, "pages").select("page_id", (F.col("page_id") % PAGE_BUCKETS).alias("bucket"), _part().alias("part"))
     plain = J.plain_path("path")
-    samples = pages.join(first, "bucket", "left").select(
-        "page_id", F.coalesce(plain, F.concat(F.lit("/nowhere/"), F.col("bucket").cast("string"))).alias("image_path"))
+    samples = pages.join(first, ["bucket", "part"], "left").select(
+        "page_id", F.coalesce(plain, F.concat(F.lit("/nowhere/"), F.col("bucket").cast("string"), F.lit("/"), F.col("part").cast("string"))).alias("image_path"))
     return (J.image_exists(samples, ls).select("page_id", F.lit(True).alias("found"))
             .unionByName(J.image_missing(samples, ls).select("page_id", F.lit(False).alias("found"))))
 
