@@ -65,6 +65,39 @@ def test_lm_learns_and_holds_out(spark):
     assert strange < mine
 
 
+def test_lm_learns_phrases(spark):
+    """The order of words matters: a held-out text made of a passage that is
+    frequent in training texts scores above the same words scrambled."""
+    ids = list(range(140))
+    held = [i for i in ids if zlib.crc32(str(i).encode()) % 7 == 2]
+    passage = prose(1000, 40).split()
+    text = {i: prose(i, 40) + " " + " ".join(passage) + " " + prose(i + 500, 40) for i in ids}
+    text |= {held[0]: " ".join(passage), held[1]: " ".join(sorted(passage))}
+    df = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_score.lm_scores(df).collect()}
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 1e-9
+    assert got[held[0]].score > got[held[1]].score / 3
+
+
+def test_phrase_counts_against_brute_force(spark, edge, texts):
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    blocks = lm_score.pack_blocks(edge.select(F.col("doc_id").alias("doc"), F.col("text").alias("t"), held.alias("held"))).persist()
+    want = Counter()
+    for i, t in texts:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2:
+            s = [None, None, *words(t), 0]
+            want.update(zip(s[1:], s[2:]))
+            want.update(zip(s, s[1:], s[2:]))
+    keys, counts = {}, {}
+    for r in blocks.collect():
+        one, two, _ = lm_score._phrases_of(r.asDict())
+        keys[r.block] = np.unique(np.concatenate([one, two]))
+    for r in lm_score.phrase_counts(blocks, 5).collect():
+        cuts = lm_score._cuts(keys[r.block], 5)
+        counts.update(zip(keys[r.block][cuts[r.owner]:cuts[r.owner + 1]].tolist(), lm_score._unplanes(r.counts).tolist()))
+    assert sorted(n for n in counts.values() if n) == sorted(want.values())
+
+
 def test_spelled_probabilities_sum_to_at_most_one():
     """All words of up to two letters of a three-letter alphabet, and the end."""
     counts = np.zeros(258, np.int64)
