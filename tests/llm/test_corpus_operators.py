@@ -347,6 +347,12 @@ def test_neighbours_ties_go_to_smaller_ids(spark):
     assert [r.vec_id for r in out] == list(range(20))
 
 
+def test_neighbours_ties_of_distinct_vectors(spark):
+    rows = [(i, [1.0, math.cos(i), math.sin(i)], "c") for i in range(36)] + [(99, [1.0, 0.0, 0.0], "c")]
+    out = neighbours.nearest(vectors(spark, rows), lambda i: i == 99).orderBy("rank").collect()
+    assert [r.vec_id for r in out] == list(range(20))
+
+
 # -- pipeline and registry ----------------------------------------------------
 
 def test_pipeline_stages_on_edges(spark, edge, empty):

@@ -482,11 +482,11 @@ def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "e
     found = walk(asked.select(F.col("q").alias("vec_id")), graph, vectors, blocks)
     found = found.unionByName(asked.select("q", F.col("q").alias("node"))).distinct()     # a query's equals are candidates too
     own = members.join(nodes.select("v", F.col("vec_id").alias("node")), "v").select("node", "vec_id", "v")
-    cand = found.join(nodes.select(F.col("vec_id").alias("node"), "v"), "node").select("q", "node", "v")
+    cand = found.join(nodes.select(F.col("vec_id").alias("node"), "first_id", "v"), "node").select("q", "node", "first_id", "v")
     product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    scored = asked.join(cand, "q").select("query_id", "node", product.alias("score"))
-    # Only nodes that can be among the best are expanded to their rows.
-    best = scored.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "node")))
+    scored = asked.join(cand, "q").select("query_id", "node", "first_id", product.alias("score"))
+    # Only nodes that can be among the best are expanded to their rows; of equal ones, those with the smallest ids.
+    best = scored.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "first_id")))
     listed = (best.where(F.col("r") <= top + 1).select("query_id", "node", "score")
               .join(own.select("node", "vec_id"), "node").where("vec_id <> query_id").groupBy("query_id", "vec_id")
               .agg(F.max("score").alias("score")))
