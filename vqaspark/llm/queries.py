@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import huffman, licenses, lm_score, mixing, near_dup, neighbours, tokens, url_filters
+from vqaspark.llm import huffman, licenses, lm_score, mixing, near_dup, neighbours, resync, tokens, url_filters
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -61,3 +61,9 @@ def op3(spark, sf_dir):
 @register("op1_lm_context_mixing")
 def op1(spark, sf_dir):
     return lm_score.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_overlap_resync")
+def op12(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resync.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
