@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vqaspark.llm import hard_negatives, huffman, licenses, lm_score, mixing, near_dup, neighbours, resync, tokens, url_filters
+from vqaspark.llm import align, hard_negatives, huffman, licenses, lm_score, mixing, near_dup, neighbours, resync, tokens, url_filters
 from vqaspark.llm import quality_classifier as qc
 from vqaspark.llm import quality_rules as qr
 from vqaspark.llm.registry import register
@@ -74,3 +74,8 @@ def op13(spark, sf_dir):
     rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
         F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
     return hard_negatives.hard_negatives(rows, lambda i: i % 100 == 0)
+
+
+@register("op11_token_alignment")
+def op11(spark, sf_dir):
+    return align.align_documents(read_table(spark, sf_dir, "documents"), keep_groups=False, keep=["doc_id"])
