@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections import Counter
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vqaspark.llm.base import text_bytes, text_slices, write_scratch
+from vqaspark.llm.base import per_text, text_bytes, text_slices, write_scratch
 from vqaspark.llm.tokens import tokenizer_path
 
-BLOCK_BYTES = 16 << 20   # text of one block; one longer text is a block
-ENCODE_AT_ONCE = 4_096   # segments given to a library in one call
+BLOCK_BYTES = 8 << 20    # text of one block; one longer text is a block
+ENCODE_AT_ONCE = 4_096   # segments given to a library, and aligned, in one call
+MANY = 4_096             # links of one group from which equal ones are counted together
 
 SPACE = "▁"         # a space in the pieces of the second tokenizer
 
@@ -55,14 +56,18 @@ class ByteTokens:
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
         names = {t["content"]: t["id"] for t in spec["added_tokens"]} | spec["model"]["vocab"]
-        self.bytes = [b""] * (max(names.values()) + 1)
+        spelled = [b""] * (max(names.values()) + 1)
         for token, i in names.items():
-            self.bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+            spelled[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        self.bytes, self.length = pa.array(spelled, pa.binary()), np.asarray([len(x) for x in spelled])
 
     def encode(self, segments: list[str]) -> list[list[int]]:
         """Ids of segments, each with its leading space."""
         return [e.ids for e in self.tok.encode_batch_fast(segments, add_special_tokens=False)]
 
+    def encode_joined(self, segments: str) -> list[int]:
+        return self.tok.encode_batch_fast([segments], add_special_tokens=False)[0].ids
+
 
 class PieceTokens:
     """A sentence-piece file, which adds the leading space itself."""
@@ -73,7 +78,8 @@ class PieceTokens:
         pieces = [self.sp.id_to_piece(i) for i in range(self.sp.vocab_size())]
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError(f"{path}: pieces with a space after another character; texts cannot be cut at spaces")
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        spelled = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.bytes, self.length = pa.array(spelled, pa.binary()), np.asarray([len(x) for x in spelled])
         self.space = [self.sp.piece_to_id(SPACE)]
 
     def encode(self, segments: list[str]) -> list[list[int]]:
@@ -81,6 +87,9 @@ class PieceTokens:
         out = self.sp.encode([s[1:] for s in segments], num_threads=1)
         return [ids if len(s) > 1 else self.space for s, ids in zip(segments, out)]
 
+    def encode_joined(self, segments: str) -> list[int]:
+        return self.sp.encode(segments[1:])
+
 
 _LOADED: dict[tuple, tuple] = {}
 
@@ -91,59 +100,67 @@ def loaded(paths: tuple[str, str]) -> tuple[ByteTokens, PieceTokens]:
     return _LOADED[paths]
 
 
-def ends_of(ids: list[int], lengths: list[int]) -> dict[int, int]:
+def ends_of(ids: np.ndarray, lengths: np.ndarray) -> dict[int, int]:
     """Cumulative byte end -> number of tokens up to there (of tokens without
     bytes, the last counts)."""
-    out, at = {}, 0
-    for n, i in enumerate(ids, 1):
-        at += lengths[i]
-        out[at] = n
-    return out
+    return dict(zip(np.cumsum(lengths[ids]).tolist(), range(1, len(ids) + 1)))
 
 
-def align(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Groups of two id lists over the same bytes, cut where both end a token."""
+def align(a: np.ndarray, b: np.ndarray, a_lengths: np.ndarray, b_lengths: np.ndarray):
+    """Where two id lists over the same bytes are cut: their common ends in
+    order, and the number of tokens of each list up to them."""
     x, y = ends_of(a, a_lengths), ends_of(b, b_lengths)
-    out, i, j = [], 0, 0
-    for end in sorted(x.keys() & y.keys()):
-        out.append((a[i:x[end]], b[j:y[end]]))
-        i, j = x[end], y[end]
-    return out
-
-
-def links(groups) -> Counter:
-    """How often each (A id, B id) is linked: all pairs of occurrences within a group."""
-    out = Counter()
-    for a, b in groups:
-        if len(a) == len(b) == 1:
-            out[a[0], b[0]] += 1
-        else:
-            right = Counter(b)
-            for i, n in Counter(a).items():
-                for j, m in right.items():
-                    out[i, j] += n * m
+    ends = sorted(x.keys() & y.keys())
+    return (np.asarray(ends, np.int64), np.fromiter(map(x.__getitem__, ends), np.int64, len(ends)),
+            np.fromiter(map(y.__getitem__, ends), np.int64, len(ends)))
+
+
+def links(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs of tokens within the groups that end at ``i`` and ``j``: the
+    group, the pair (A id * 2^32 + B id) and how often it stands for a link.
+    Groups of many pairs give each pair of ids once, with its number."""
+    i0, j0 = np.append(0, i[:-1]).astype(np.int64), np.append(0, j[:-1]).astype(np.int64)
+    na, nb = i - i0, j - j0
+    many = na * nb > MANY
+    n = np.where(many, 0, na * nb)
+    group = np.repeat(np.arange(len(n)), n)
+    k = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+    pair = a[i0[group] + k // nb[group]] << 32 | b[j0[group] + k % nb[group]]
+    times = np.ones(len(pair), np.int64)
+    for g in np.flatnonzero(many):
+        x, nx = np.unique(a[i0[g]:i[g]], return_counts=True)
+        y, ny = np.unique(b[j0[g]:j[g]], return_counts=True)
+        group = np.append(group, np.full(len(x) * len(y), g))
+        pair = np.append(pair, (x[:, None] << 32 | y[None]).ravel())
+        times = np.append(times, (nx[:, None] * ny[None]).ravel())
+    if many.any():
+        order = np.argsort(group, kind="stable")
+        group, pair, times = group[order], pair[order], times[order]
+    return group, pair, times
+
+
+def spell(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[str]:
+    """Each group as ``a1,a2|b1``."""
+    x, y = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    out, i0, j0 = [], 0, 0
+    for i1, j1 in zip(i.tolist(), j.tolist()):
+        out.append(f"{x[i0]}|{y[j0]}" if i1 - i0 == 1 == j1 - j0 else ",".join(x[i0:i1]) + "|" + ",".join(y[j0:j1]))
+        i0, j0 = i1, j1
     return out
 
 
-def spell(groups) -> bytes:
-    return ";".join([",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups]).encode()
-
-
 # -- segments -----------------------------------------------------------------
 
-def _cuts(buf: np.ndarray) -> np.ndarray:
-    """Where a space stands after a byte that is certainly no white space."""
-    at = np.flatnonzero(buf[1:] == 0x20) + 1
+def _closed(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the byte before each place certainly ends no white space."""
     last = buf[at - 1]
     safe = (last > 0x20) & (last < 0x7F)
     wide = np.flatnonzero((last >= 0x80) & (at >= 3))
-    p = at[wide]
-    two, three = buf[p - 2], buf[p - 3]
+    two, three = buf[at[wide] - 2], buf[at[wide] - 3]
     # White space beyond ASCII is U+0085, U+00A0 and characters that begin with the bytes
     # E1 9A, E2 80, E2 81 or E3 80; all that begin so are left alone.
-    doubt = (two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3) & np.isin(two, (0x9A, 0x80, 0x81)))
-    safe[wide] = ~doubt
-    return at[safe]
+    safe[wide] = ~((two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3) & np.isin(two, (0x9A, 0x80, 0x81))))
+    return safe
 
 
 def segments(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -152,7 +169,11 @@ def segments(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     joined = pc.binary_join_element_wise(pa.scalar(""), col, pa.scalar(" "))
     buf, offs = text_bytes(joined)
     empty = np.diff(offs) == 1
-    starts = np.union1d(_cuts(buf), offs[:-1]) if len(buf) else np.zeros(0, np.int64)
+    spaces = np.flatnonzero(buf[1:] == 0x20) + 1
+    start = np.zeros(len(buf), bool)
+    start[spaces[_closed(buf, spaces)]] = True
+    start[offs[:-1]] = True
+    starts = np.flatnonzero(start)
     arr = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(np.append(starts, len(buf)).astype(np.int32)),
                                                            pa.py_buffer(np.ascontiguousarray(buf))])
     first = np.append(np.searchsorted(starts, offs[:-1]), len(starts))
@@ -166,36 +187,90 @@ def segments(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.asarray(d.indices).astype(np.int64), first, d.dictionary
 
 
+def _spells(texts: pa.Array, ids: list[list[int]], token: pa.Array) -> np.ndarray:
+    """Whether the tokens' bytes, joined, are each text's."""
+    want, at = text_bytes(texts)
+    flat = np.fromiter(chain.from_iterable(ids), np.int64)
+    got = token.take(pa.array(flat))
+    got_bytes, ends = text_bytes(got)
+    per = ends[np.concatenate([[0], np.cumsum([len(x) for x in ids])])]
+    out = np.diff(per) == np.diff(at)
+    if out.all():
+        differ = np.flatnonzero(want != got_bytes)
+        out[np.searchsorted(at, differ, side="right") - 1] = False
+        return out
+    for k in np.flatnonzero(out):
+        out[k] = np.array_equal(want[at[k]:at[k + 1]], got_bytes[per[k]:per[k + 1]])
+    return out
+
+
+def _in_one(texts: pa.Array, tokens, ids: list[int]) -> np.ndarray | None:
+    """Ids of texts encoded as one string, or None if they do not spell it or
+    a token spans two texts."""
+    want, at = text_bytes(texts)
+    flat = np.asarray(ids, np.int64)
+    got, ends = text_bytes(tokens.bytes.take(pa.array(flat)))
+    cut = np.searchsorted(ends, at)
+    return flat if np.array_equal(want, got) and np.array_equal(ends[np.minimum(cut, len(ends) - 1)], at) else None
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order (by sorting: no hash table beside them)."""
+    v = np.sort(values)
+    keep = np.ones(len(v), bool)
+    keep[1:] = v[1:] != v[:-1]
+    return v[keep]
+
+
 class Block:
     """Texts of one block, aligned through their distinct segments."""
 
     def __init__(self, col: pa.Array, paths: tuple[str, str]):
-        left, right = loaded(paths)
         self.codes, self.first, uniq = segments(col)
+        buf, at = text_bytes(uniq)
+        closed = _closed(buf, at[1:]) if len(uniq) else np.zeros(0, bool)
+        # Segments that end in white space (a text's last) go to the end: they are encoded one by one.
+        order = np.argsort(~closed, kind="stable")
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        self.codes, uniq, alone = back[self.codes], uniq.take(pa.array(order)), int(closed.sum())
         n = len(uniq)
-        self.n_a, self.n_b, self.n_groups, self.n_links = (np.zeros(n, np.int64) for _ in range(4))
+        self.n_a, self.n_b, self.n_groups = (np.zeros(n, np.int64) for _ in range(3))
         self.good = np.ones(n, bool)
-        self.spelled: list[bytes] = []
-        a_len, b_len = [len(x) for x in left.bytes], [len(x) for x in right.bytes]
-        pair, mult, size = [], [], np.zeros(n, np.int64)
-        for lo in range(0, n, ENCODE_AT_ONCE):
-            text = uniq.slice(lo, ENCODE_AT_ONCE).to_pylist()
-            for k, (s, a, b) in enumerate(zip(text, left.encode(text), right.encode(text)), lo):
-                raw = s.encode()
-                if b"".join([left.bytes[i] for i in a]) != raw or b"".join([right.bytes[i] for i in b]) != raw:
-                    self.good[k] = False
-                    self.spelled.append(b"")
-                    continue
-                groups = align(a, b, a_len, b_len)
-                met = links(groups)
-                self.spelled.append(spell(groups))
-                self.n_a[k], self.n_b[k], self.n_groups[k], self.n_links[k] = len(a), len(b), len(groups), sum(met.values())
-                size[k] = len(met)
-                pair += [(i << 32) | j for i, j in met]
-                mult += met.values()
-        self.mult = np.asarray(mult, np.int64)
-        self.pairs, self.pair_at = np.unique(np.asarray(pair, np.int64), return_inverse=True)
-        self.at = np.concatenate([[0], np.cumsum(size)])
+        self.spelled: list[str] = []
+        self._parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for lo, hi, joined in [(0, alone, True), (alone, n, False)]:
+            for x in range(lo, hi, ENCODE_AT_ONCE):
+                self._add(uniq.slice(x, min(ENCODE_AT_ONCE, hi - x)), x, joined, *loaded(paths))
+        owner, pair, self.mult = (np.concatenate([np.zeros(0, np.int64), *(p[i] for p in self._parts)]) for i in range(3))
+        del self._parts
+        self.at = np.searchsorted(owner, np.arange(n + 1))
+        self.n_links = per_text(self.mult, self.at)
+        self.pairs = _distinct(pair)
+        self.pair_at = np.searchsorted(self.pairs, pair).astype(np.int32)
+
+    def _add(self, part: pa.Array, lo: int, joined: bool, left: ByteTokens, right: PieceTokens) -> None:
+        """Encode and align some segments, in one string if they allow it."""
+        text, at = part.to_pylist(), text_bytes(part)[1]
+        good = np.ones(len(text), bool)
+        ids = [_in_one(part, t, t.encode_joined("".join(text))) if joined else None for t in (left, right)]
+        if any(x is None for x in ids):
+            ids = [t.encode(text) for t in (left, right)]
+            good = _spells(part, ids[0], left.bytes) & _spells(part, ids[1], right.bytes)
+            ids = [np.fromiter(chain.from_iterable([i for i, g in zip(x, good) if g]), np.int64) for x in ids]
+        a, b = ids
+        own = lo + np.flatnonzero(good)
+        self.good[lo:lo + len(text)] = good
+        ends, i, j = align(a, b, left.length, right.length)
+        close = np.cumsum(np.diff(at)[good])                                  # where segments end
+        owner = np.searchsorted(close, ends, side="left")
+        last = np.searchsorted(ends, close)                                   # a segment's end ends a group
+        self.n_a[own], self.n_b[own] = np.diff(i[last], prepend=0), np.diff(j[last], prepend=0)
+        self.n_groups[own] = np.bincount(owner, minlength=len(own))
+        group, pair, times = links(a, b, i, j)
+        self._parts.append((own[owner[group]], pair, times))
+        spelled = iter(spell(a, b, i, j))
+        self.spelled += [";".join(islice(spelled, k)) for k in self.n_groups[lo:lo + len(text)].tolist()]
 
     def spans(self):
         return zip(self.first[:-1].tolist(), self.first[1:].tolist())
@@ -209,16 +284,19 @@ class Block:
         cum = np.concatenate([[0], np.cumsum(per_segment[self.codes])])
         return np.where(valid, cum[self.first[1:]] - cum[self.first[:-1]], 0)
 
-    def groups(self, valid: np.ndarray) -> list[bytes]:
-        codes, spelled = self.codes.tolist(), self.spelled
-        return [b";".join([spelled[c] for c in codes[x:y]]) if ok else b"" for (x, y), ok in zip(self.spans(), valid)]
+    def groups(self, valid: np.ndarray):
+        """Each text's groups, one text at a time."""
+        spelled = self.spelled
+        for (x, y), ok in zip(self.spans(), valid):
+            yield ";".join([spelled[c] for c in self.codes[x:y].tolist()]).encode() if ok else b""
 
     def distinct(self, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each valid text's distinct segments: text, segment, times."""
         doc = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         n = max(len(self.good), 1)
-        keys, times = np.unique((doc * n + self.codes)[valid[doc]], return_counts=True)
-        return keys // n, keys % n, times
+        keys = np.sort((doc * n + self.codes)[valid[doc]])
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[first] // n, keys[first] % n, np.diff(first, append=len(keys))
 
     def documents(self, doc: np.ndarray, seg: np.ndarray) -> np.ndarray:
         """In how many texts each pair is linked."""
@@ -226,7 +304,7 @@ class Block:
         ends = np.cumsum(n)
         at = np.repeat(self.at[seg] - (ends - n), n) + np.arange(n.sum())
         width = max(len(self.pairs), 1)
-        once = np.unique(np.repeat(doc, n) * width + self.pair_at[at])
+        once = _distinct(np.repeat(doc, n) * width + self.pair_at[at])
         return np.bincount(once % width, minlength=len(self.pairs))
 
 
@@ -250,7 +328,7 @@ def _aligned(docs: DataFrame, paths: tuple[str, str], keep_groups: bool) -> Data
     def one(cols: list, text: pa.Array, number: int):
         k = Block(text, paths)
         ok = k.valid()
-        spelled = k.groups(ok)
+        spelled = [(hashlib.sha256(g).hexdigest() if v else "", g if keep_groups else None) for g, v in zip(k.groups(ok), ok)]
         doc, seg, times = k.distinct(ok)
         first = np.searchsorted(doc, np.arange(len(ok) + 1))
         step = np.diff(seg, prepend=0)
@@ -259,14 +337,13 @@ def _aligned(docs: DataFrame, paths: tuple[str, str], keep_groups: bool) -> Data
         n = len(ok)
         values = {
             "n_a": k.total(k.n_a, ok), "n_b": k.total(k.n_b, ok), "n_groups": k.total(k.n_groups, ok), "n_links": k.total(k.n_links, ok),
-            "groups_sha256": [hashlib.sha256(g).hexdigest() if v else "" for g, v in zip(spelled, ok)],
-            "groups": spelled if keep_groups else [None] * n, "block": np.full(n, number),
+            "groups_sha256": [d for d, _ in spelled], "groups": [g for _, g in spelled], "block": np.full(n, number),
             "segs": [_bytes(step[x:y], "<i4") for x, y in cut], "times": [_bytes(times[x:y], "<i4") for x, y in cut]}
         res = [pa.array(values[c], _ARROW[t]) if c in values else pa.nulls(n, _ARROW[t]) for c, t in plain]
         names = [f.name for f in others] + [c for c, _ in plain]
         yield pa.RecordBatch.from_arrays(cols + res, names=names)
         own = {"block": [number], "pairs": [_bytes(k.pairs, "<i8")], "docs": [_bytes(k.documents(doc, seg), "<i4")],
-               "seg_at": [_bytes(np.diff(k.at), "<i4")], "seg_pairs": [_bytes(k.pair_at, "<i4")], "seg_mult": [_bytes(k.mult, "<i4")]}
+               "seg_at": [_bytes(np.diff(k.at), "<i4")], "seg_pairs": [_bytes(k.pair_at, "<i4")], "seg_mult": [_bytes(k.mult, "<i8")]}
         yield pa.RecordBatch.from_arrays([pa.nulls(1, c.type) for c in cols] + [
             pa.array(own[c], _ARROW[t]) if c in own else pa.nulls(1, _ARROW[t]) for c, t in plain], names=names)
 
@@ -353,7 +430,7 @@ def align_documents(docs: DataFrame, text_col: str = "text", a_path: str | None
         at = got.column("at").to_numpy()
         n[at], best[at] = got.column("n").to_numpy(), got.column("best").to_numpy(zero_copy_only=False)
         size = np.frombuffer(b["seg_at"], "<i4").astype(np.int64)
-        pair, mult = np.frombuffer(b["seg_pairs"], "<i4"), np.frombuffer(b["seg_mult"], "<i4").astype(np.int64)
+        pair, mult = np.frombuffer(b["seg_pairs"], "<i4"), np.frombuffer(b["seg_mult"], "<i8")
         edge = np.concatenate([[0], np.cumsum(size)])
         def per_segment(x):
             cum = np.concatenate([[0], np.cumsum(x[pair] * mult)])
