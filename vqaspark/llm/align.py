@@ -30,11 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vqaspark.llm.base import per_text, text_bytes, text_slices, write_scratch
+from vqaspark.llm.base import arrow_rows, per_text, text_bytes, text_slices, write_scratch
 from vqaspark.llm.tokens import tokenizer_path
 
 BLOCK_BYTES = 8 << 20    # text of one block; one longer text is a block
 ENCODE_AT_ONCE = 4_096   # segments given to a library, and aligned, in one call
+ARROW_ROWS = 1_000       # documents handed to a task at once
 MANY = 4_096             # links of one group from which equal ones are counted together
 
 SPACE = "▁"         # a space in the pieces of the second tokenizer
@@ -356,8 +357,11 @@ def _aligned(docs: DataFrame, paths: tuple[str, str], keep_groups: bool) -> Data
                 held.append((cols, text))
                 size += int(text_bytes(text)[1][-1])
                 if size >= BLOCK_BYTES * 3 // 4:
-                    yield from one(*_merged(held), number)
-                    number, held, size = number + 1, [], 0
+                    cols, text = _merged(held)
+                    held, size = [], 0
+                    yield from one(cols, text, number)
+                    number += 1
+                    pa.default_memory_pool().release_unused()
         if held:
             yield from one(*_merged(held), number)
 
@@ -408,7 +412,8 @@ def align_documents(docs: DataFrame, text_col: str = "text", a_path: str | None
     # The caller's columns travel as one struct: no name can clash.
     slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row") if kept else F.lit(0).alias("__row"),
                        F.col(f"`{text_col}`").alias("__text"))
-    table = write_scratch(_aligned(slim, paths, keep_groups), "op11-aligned")
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        table = write_scratch(_aligned(slim, paths, keep_groups), "op11-aligned")
     blocks = table.where("pairs is not null")
     asked = _pairs(blocks)
     replies = (asked.select("block", "at", "a", "b").join(pair_counts(asked), ["a", "b"]).select("block", "at", "n", "best"))

@@ -4,6 +4,7 @@ word splitting with numpy, and scratch tables in the cluster's shared folder."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -203,6 +204,19 @@ def write_scratch(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark, rows: int):
+    """Hand at most ``rows`` rows to Python at once in the jobs run inside:
+    with long texts, the session's default of 10,000 is a lot of memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def parts(spark, rows_or_bytes: float, per_part: float, least: int | None = None) -> int:
     """Partitions for an amount of work; at least the session's shuffle count."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
