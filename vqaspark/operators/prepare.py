@@ -240,10 +240,10 @@ def _magic_format(head: Column) -> Column:
 def validate_images(listing: DataFrame, content_col: str = "content", header_only: bool = False) -> DataFrame:
     """A file is a valid image if it is non-empty and starts with a known
     magic number.  ``header_only`` takes the listing's ``header`` column
-    (``image_listing(with_header=True)``: Spark's own file system opens the
-    file, whatever its scheme or name, and the 16 bytes are cut in the scan's
-    projection).  A file that cannot be opened fails the read: an I/O error is
-    not an invalid image.  (Spark's file scans skip zero-byte files.)"""
+    (``image_listing(with_header=True)``: 16 bytes of each file by ranged
+    reads, whatever its length; empty files are listed and invalid).  A file
+    that cannot be opened fails the read: an I/O error is not an invalid
+    image.  (``binaryFile`` listings skip zero-byte files.)"""
     if header_only:
         content_col = "header"
     fmt = _magic_format(F.hex(F.substring(F.col(content_col), 1, 16)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vqaspark.operators.sampling import with_index
+from vqaspark.sources.headers import file_system, read_headers
 
 ANNOTATION = T.StructType([
     T.StructField("image_id", T.LongType()),
@@ -88,7 +89,15 @@ def image_listing(spark: SparkSession, root: str, glob: str = "*.jpg",
                   recursive: bool = True, with_content: bool = False, with_header: bool = False) -> DataFrame:
     """Files under ``root`` (path, length, modificationTime).  The
     ``content`` column is pruned unless asked for, so listing never reads
-    the bytes; ``with_header`` adds the first 16 of them."""
+    the bytes; ``with_header`` adds the first 16 of them by ranged reads (see
+    ``headers``).  Only a store that Arrow's file systems cannot open is read
+    by ``binaryFile``, which loads whole files of up to 2 GB."""
+    if with_header and not with_content:
+        try:
+            file_system(root)
+            return read_headers(spark, root, glob, recursive)
+        except ValueError:
+            pass
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", str(recursive).lower()).load(root))
     cols = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
