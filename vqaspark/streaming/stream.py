@@ -11,10 +11,12 @@ the file sink with a checkpoint, or ``foreachBatch`` writes keyed by batch id
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from vqaspark.functions.text import normalize_answer
 from vqaspark.operators.prepare import DEFAULT_TEMPLATE, vqa_messages
@@ -84,9 +86,37 @@ def windowed_loss(log_stream: DataFrame, watermark: str | None, window: str = "1
                            F.sum("loss").alias("sum_loss")))
 
 
-def late_rows(query) -> int:
-    """Rows that the watermark dropped, over the batches the query reports."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+class DroppedRows(StreamingQueryListener):
+    """Adds up the rows that the watermark drops, over all batches of the
+    queries it hears of (a query itself keeps only its last progress reports)."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end_of(self, run_id) -> threading.Event:
+        return self._ended.setdefault(str(run_id), threading.Event())
+
+    def onQueryStarted(self, event):
+        self._end_of(event.runId)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        self.rows[str(p.runId)] = self.rows.get(str(p.runId), 0) + int(dropped)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self._end_of(event.runId).set()
+
+    def total(self, query, timeout: float = 120) -> int:
+        """Rows dropped in a finished query.  Reports come in order, so the
+        last has been heard once the end is."""
+        if not self._end_of(query.runId).wait(timeout):
+            raise RuntimeError("the stream's reports did not arrive")
+        return self.rows.get(str(query.runId), 0)
 
 
 def run_upserts(agg_stream: DataFrame, key_cols, sink: str, checkpoint: str, late: str = "fail") -> DataFrame:
@@ -94,23 +124,69 @@ def run_upserts(agg_stream: DataFrame, key_cols, sink: str, checkpoint: str, lat
     go to ``<sink>/batch_id=<n>`` (overwrite = idempotent on replay).  The
     returned table keeps, per key, the row of the latest batch, so windows
     still open at the end of the input are reported too.  Rows that came too
-    late for the watermark raise, unless ``late="ignore"``."""
+    late for the watermark, in any batch, raise, unless ``late="ignore"``
+    (``run_windows`` keeps them as data)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
-    q = (agg_stream.writeStream.outputMode("update").foreachBatch(write)
-                   .option("checkpointLocation", checkpoint)
-                   .trigger(availableNow=True).start())
-    _await(q)
-    if late != "ignore" and late_rows(q):
-        raise RuntimeError(f"{late_rows(q)} rows came too late for the watermark and were not counted")
     spark = agg_stream.sparkSession
+    dropped = DroppedRows()
+    spark.streams.addListener(dropped)
+    try:
+        q = (agg_stream.writeStream.outputMode("update").foreachBatch(write)
+                       .option("checkpointLocation", checkpoint)
+                       .trigger(availableNow=True).start())
+        _await(q)
+        if late != "ignore" and dropped.total(q):
+            raise RuntimeError(f"{dropped.total(q)} rows came too late for the watermark and were not counted")
+    finally:
+        spark.streams.removeListener(dropped)
     out = spark.read.parquet(sink)
     vals = [c for c in out.columns if c not in list(key_cols) + ["batch_id"]]
     latest = out.groupBy(*key_cols).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
     return latest.select(*key_cols, *[F.col(f"_v.{c}").alias(c) for c in vals])
 
 
+def run_windows(log_stream: DataFrame, watermark: str, sink: str, checkpoint: str, window: str = "1 day",
+                run_col: str = "run_id") -> tuple[DataFrame, DataFrame]:
+    """T2 with the late rows kept: (windows as ``windowed_loss`` has them, late
+    rows as they came with the ``batch_id`` and ``watermark`` that refused them).
+
+    A batch's watermark is the latest event time of the batches before it, less
+    ``watermark``; rows whose window ended by then are late.  Each batch writes
+    its late rows, the sums of its other rows by window, and its latest event
+    time under its own ``batch_id``: a replayed batch finds the same watermark
+    and overwrites what it wrote.  Sums of open windows lie in the sink, not in
+    a state store, so memory does not grow with the windows.  Rows without an
+    event time belong to no window and are kept with the late ones."""
+    spark = log_stream.sparkSession
+    at = {k: os.path.join(sink, k) for k in ("sums", "late", "marks")}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        mine = {k: os.path.join(p, f"batch_id={batch_id}") for k, p in at.items()}
+        own = batch.sparkSession
+        before = None
+        if batch_id > 0:
+            marks = own.read.schema("latest timestamp, batch_id long").option("basePath", at["marks"]).parquet(at["marks"])
+            before = marks.where(F.col("batch_id") < batch_id).agg(
+                F.unix_micros(F.max("latest") - F.expr(f"interval {watermark}")).alias("w")).first()["w"]
+        mark = F.timestamp_micros(F.lit(before).cast("long"))
+        timed = batch.withColumn("window", F.window("ts", window))
+        late = F.coalesce(F.col("window.end") <= mark, F.lit(False))
+        (timed.where(~late).groupBy("window", run_col).agg(F.count(F.lit(1)).alias("num_logs"), F.sum("loss").alias("sum_loss"))
+              .write.mode("overwrite").parquet(mine["sums"]))
+        refused = (timed.where(late).drop("window")
+                   .unionByName(batch.where(F.col("ts").isNull())).withColumn("watermark", mark))
+        refused.write.mode("overwrite").parquet(mine["late"])
+        batch.agg(F.max("ts").alias("latest")).write.mode("overwrite").parquet(mine["marks"])
+
+    q = (log_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _await(q)
+    sums = spark.read.parquet(at["sums"])
+    windows = sums.groupBy("window", run_col).agg(F.sum("num_logs").alias("num_logs"), F.sum("sum_loss").alias("sum_loss"))
+    return windows, spark.read.parquet(at["late"])
+
+
 # ---------------------------------------------------------------- T3
 
 def running_exact_match(pred_stream: DataFrame, pred: str = "teacher_answer",
