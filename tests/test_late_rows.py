@@ -51,8 +51,10 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
     root, sink, ckpt = str(tmp_path / "in"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
     _files(spark, root, DAYS[:4])
     ST.run_windows(ST.file_stream(spark, root), "1 day", sink, ckpt)
-    last = sorted(os.listdir(os.path.join(ckpt, "commits")), key=lambda x: (len(x), x))
-    os.remove(os.path.join(ckpt, "commits", [x for x in last if not x.startswith(".")][-1]))     # as if it died before the commit
+    done = os.path.join(ckpt, "commits")
+    last = max(int(x) for x in os.listdir(done) if x.isdigit())
+    for name in (str(last), f".{last}.crc"):              # as if it died before the commit
+        os.remove(os.path.join(done, name))
     _files(spark, root, DAYS[4:])
     windows, late = ST.run_windows(ST.file_stream(spark, root), "1 day", sink, ckpt)
     assert windows.agg(F.sum("num_logs")).first()[0] + late.count() == len(DAYS)
