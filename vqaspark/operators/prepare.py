@@ -105,10 +105,12 @@ def prepare_dataset(df: DataFrame, max_samples: int | None = None, shuffle: bool
                     template: ChatTemplate = DEFAULT_TEMPLATE, distributed: bool = False) -> DataFrame:
     """M5: messages -> rendered text -> seeded shuffle -> first ``max_samples``.
 
-    ``images`` is the one-element image list; original columns are kept.  With
-    ``max_samples`` the first n by md5 key come from ``first_n`` (a top-k, or
-    with ``distributed`` the positional index; never a global sort into one
-    task).
+    ``images`` is the one-element image list; original columns are kept.  The
+    rows come in the order of the seeded shuffle, (md5(seed:id), id): all of
+    them by a distributed sort (``sources.ordered.store_shuffled`` stores that
+    order once for many readers), or with ``max_samples`` the first n by
+    ``first_n`` (a top-k, or with ``distributed`` the positional index).
+    Without ``shuffle`` and ``max_samples`` they stay as they are.
     """
     msgs = vqa_messages(F.col("question"), F.col("answer"))
     img = F.col(image_col) if image_col in df.columns else F.lit(None).cast("string")
@@ -119,7 +121,7 @@ def prepare_dataset(df: DataFrame, max_samples: int | None = None, shuffle: bool
         out = out.withColumn("shuffle_key", shuffle_key(id_col, seed))
         if max_samples is not None:
             return first_n(out, max_samples, ["shuffle_key", id_col], distributed)
-        return out
+        return out.orderBy("shuffle_key", id_col)
     if max_samples is not None:
         return first_n(out, max_samples, [id_col], distributed)
     return out

@@ -12,6 +12,7 @@ from vqaspark.plans import fixtures as FX
 from vqaspark.plans import sql as S
 from vqaspark.plans.registry import register
 from vqaspark.session import scratch_path
+from vqaspark.sources import ordered as OR
 from vqaspark.sources import splits as SP
 from vqaspark.sources.tables import read_table
 
@@ -248,6 +249,51 @@ def q_assign_batches(spark, sf):
     return O.assign_batches(s, 32, ["shuffle_key", "id"]).select("id", "batch_id", "batch_pos")
 
 
+_SHUFFLED_SQL = f"""
+  select id, question, row_number() over (order by md5('42:' || cast(id as varchar)), id) - 1 as idx, count(*) over () as n
+  from ({S.SAMPLES}) s"""
+
+
+def _stored_shuffle(spark, sf) -> str:
+    """The samples' whole seeded shuffle, stored once."""
+    path = scratch_path(spark, "shuffled")
+    OR.store_shuffled(FX.vqa_samples(spark, sf).select("id", "question"), path)
+    return path
+
+
+@register("stored_shuffle", f"select id, idx as position from ({_SHUFFLED_SQL}) x")
+def q_stored_shuffle(spark, sf):
+    return OR.read_ordered(spark, _stored_shuffle(spark, sf)).select("id", "position")
+
+
+@register("stored_sample", f"""select id, question, idx as "index" from ({_SHUFFLED_SQL}) x where idx = n * 3 // 4""")
+def q_stored_sample(spark, sf):
+    """A sample far into the shuffled order: one file is opened."""
+    path = _stored_shuffle(spark, sf)
+    return OR.get_row(spark, path, OR.count(spark, path) * 3 // 4).select("id", "question", "index")
+
+
+@register("stored_batch", f"""
+select id, question, idx - n // 64 * 32 as batch_pos from ({_SHUFFLED_SQL}) x where idx // 32 = n // 64""")
+def q_stored_batch(spark, sf):
+    """A batch from the middle of the shuffled order."""
+    path = _stored_shuffle(spark, sf)
+    return OR.get_batch(spark, path, OR.count(spark, path) // 64, 32).select("id", "question", "batch_pos")
+
+
+@register("prepare_dataset_all", f"""
+select id, idx as position from ({_SHUFFLED_SQL}) x""")
+def q_prepare_dataset_all(spark, sf):
+    """All prepared rows in shuffled order; the numbers are those of the rows
+    as they come (partitions in order, rows within them)."""
+    out = P.prepare_dataset(_samples_with_path(spark, sf))
+    path = scratch_path(spark, "prepared")
+    out.select("id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    first = OR.first_positions(rows, "p").select("p", "first")
+    return rows.join(first, "p").select("id", (F.col("first") + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).alias("position"))
+
+
 @register("preview_topk", f"""
 select id, {_preview_sql('question')} as question_preview from ({S.SAMPLES}) s order by id limit 5""")
 def q_preview_topk(spark, sf):
