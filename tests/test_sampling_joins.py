@@ -155,11 +155,16 @@ def test_map_batches_and_single_predict(spark):
 
 
 def test_qa_pairs_join_equals_window(spark):
-    from vqaspark.operators.prepare import _lead_pairs, qa_pairs
+    from pyspark.sql import Window
+
+    from vqaspark.operators.prepare import qa_pairs
     from vqaspark.sources.tables import read_table
     conv = read_table(spark, SF01, "conversations")
     a = sorted(map(tuple, qa_pairs(conv).collect()))
-    b = sorted(map(tuple, _lead_pairs(conv, "conv_id", "turn").collect()))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    following = conv.select("conv_id", "turn", "role", F.col("text").alias("question"), F.lead("role").over(w).alias("n"),
+                            F.lead("text").over(w).alias("answer")).where("role = 'user' and n = 'assistant'")
+    b = sorted(map(tuple, following.select("conv_id", "turn", "question", "answer").collect()))
     assert a == b and len(a) == 233
     # gaps, repeats and dense conversations side by side
     rows = [(1, t, r, f"{t}{r}") for t, r in [(0, "user"), (2, "assistant"), (5, "user"), (9, "assistant")]]

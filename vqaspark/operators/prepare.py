@@ -133,38 +133,37 @@ def resolve_max_samples(max_samples: int | None) -> int | None:
     return max_samples if max_samples else None
 
 
-def qa_pairs(conversations: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+TURN_RANGE = 4096
+
+
+def qa_pairs(conversations: DataFrame, key: str = "conv_id", order: str = "turn", turn_range: int = TURN_RANGE) -> DataFrame:
     """M8: a user turn followed by an assistant turn becomes (question, answer).
 
-    Numbering is checked per conversation (two map-side combined counts).
-    Where turns are consecutive without repeats, as chat logs are, "the next
-    turn" is ``turn + 1``: an equi-join on ``(conversation, turn)``, over which
-    a conversation with a huge number of turns still spreads.  The other
-    conversations use ``lead`` (any numbering; a conversation per task).
-    Rows with a null conversation or turn pair with nothing.
+    Any numbering of turns will do.  A conversation is cut into ranges of
+    ``turn_range`` turn numbers, ``lead`` runs inside a range, and the first row
+    of each range is handed to the range before it, so that a conversation of
+    any length spreads over the cluster.  Conversations within one range, as
+    chat logs are, hand on nothing; which ones are longer is read from their
+    numbers alone.  Turns must be unique in a conversation for a defined order;
+    rows with a null conversation or turn pair with nothing.
     """
-    c = conversations.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    turns = c.groupBy(key, order).agg(F.count(F.lit(1)).alias("_n"))
-    span = turns.groupBy(key).agg((F.max(order) - F.min(order) + 1 == F.count(F.lit(1))).alias("_step"),
-                                  (F.max("_n") == 1).alias("_once"))
-    odd = span.where(~(F.col("_step") & F.col("_once"))).select(key)
-    users = (c.where(F.col("role") == "user")
-             .select(key, order, F.col("text").alias("question")))
-    answers = (c.where(F.col("role") == "assistant")
-               .select(key, (F.col(order) - 1).alias(order), F.col("text").alias("answer")))
-    dense = (users.join(answers, [key, order]).join(odd, key, "left_anti")
-             .select(key, order, "question", "answer"))
-    return dense.unionByName(_lead_pairs(c.join(odd, key, "left_semi"), key, order))
-
-
-def _lead_pairs(conversations: DataFrame, key: str, order: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(order)
-    return (conversations
-            .select(key, order, "role", F.col("text").alias("question"),
-                    F.lead("role").over(w).alias("_next_role"),
-                    F.lead("text").over(w).alias("answer"))
-            .where((F.col("role") == "user") & (F.col("_next_role") == "assistant"))
-            .select(key, order, "question", "answer"))
+    c = (conversations.where(F.col(key).isNotNull() & F.col(order).isNotNull())
+         .select(F.col(key).alias("_k"), F.col(order).alias("_o"), "role", "text",
+                 F.floor(F.col(order) / F.lit(turn_range)).alias("_r")))
+    spans = c.groupBy("_k").agg(F.min("_r").alias("_a"), F.max("_r").alias("_b"))
+    long = spans.where("_a < _b").select("_k", "_a")
+    heads = (c.join(long, "_k").where("_r > _a").groupBy("_k", "_r")
+             .agg(F.min_by(F.struct("role", "text"), "_o").alias("_h"))
+             .unionByName(long.select("_k", F.col("_a").alias("_r"), F.lit(None).cast("struct<role:string,text:string>").alias("_h"))))
+    before = F.lag("_r").over(Window.partitionBy("_k").orderBy("_r"))            # a row per range of a long conversation
+    handed = (heads.withColumn("_r", before).where(F.col("_r").isNotNull())
+              .select("_k", F.lit(None).cast(c.schema["_o"].dataType).alias("_o"), "_h.role", "_h.text", "_r", F.lit(1).alias("_last")))
+    turns = c.withColumn("_last", F.lit(0)).unionByName(handed)
+    w = Window.partitionBy("_k", "_r").orderBy("_last", "_o")
+    return (turns.select("_k", "_o", "role", "_last", F.col("text").alias("question"),
+                         F.lead(F.struct("role", "text")).over(w).alias("_n"))
+            .where((F.col("_last") == 0) & (F.col("role") == "user") & (F.col("_n.role") == "assistant"))
+            .select(F.col("_k").alias(key), F.col("_o").alias(order), "question", F.col("_n.text").alias("answer")))
 
 
 # --------------------------------------------------------------------- filters
