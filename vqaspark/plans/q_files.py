@@ -8,12 +8,13 @@ import os
 from pyspark.sql import functions as F
 
 from vqaspark.operators import joins as J
+from vqaspark.operators import predict as PR
 from vqaspark.operators import prepare as P
 from vqaspark.plans import fixtures as FX
 from vqaspark.plans import sql as S
 from vqaspark.plans.q_joins import _REQ_PATH_SQL, requests_with_paths
 from vqaspark.plans.q_metrics import q_all_metrics
-from vqaspark.plans.q_predict import q_compare_from_requests, q_predict_requests
+from vqaspark.plans.q_predict import TEACHER, first_words_sql, q_compare_from_requests, q_predict_requests
 from vqaspark.plans.registry import ORACLE, register
 from vqaspark.session import scratch_path
 from vqaspark.sources import files as FI
@@ -55,6 +56,61 @@ def q_requests_read(spark, sf):
     return w.select(*cols).unionByName(lst.select(*cols))
 
 
+def _object_files(rows, shard, value, path) -> str:
+    """A file per shard with one JSON object or list over many lines."""
+    (rows.groupBy(shard.alias("shard")).agg(value.alias("o"))
+         .select("shard", F.to_json("o", {"pretty": "true"}).alias("value")).write.partitionBy("shard").text(path))
+    return path
+
+
+@register("annotations_multiline", ORACLE["annotations_explode"])
+def q_annotations_multiline(spark, sf):
+    """Annotation files of one large object over many lines, read by byte
+    ranges."""
+    path = scratch_path(spark, "annotation-objects")
+    s = FX.vqa_samples(spark, sf).join(FX.image_lookup(spark, sf), "image_id", "left")
+    entry = F.struct(F.col("id").cast("string"), F.struct("image_id", "question", "answer"))
+    named = F.array_distinct(F.collect_list(F.when(F.col("filename").isNotNull(), F.struct(F.col("image_id").cast("string"), F.col("filename")))))
+    _object_files(s, F.expr("image_id div 100"), F.struct(F.map_from_entries(named).alias("images"),
+                                                          F.map_from_entries(F.collect_list(entry)).alias("annotations")), path)
+    ann = FI.read_annotation_map(spark, path, multi_line=True)
+    return ann.select(F.col("ann_id").cast("bigint").alias("ann_id"), "image_id", "question", "answer",
+                      P.image_path_column(F.col("image_id"), F.col("filename"), FX.IMAGES_ROOT).alias("image_path"))
+
+
+_REQUEST_POSITIONS = f"""
+select image_id // 100 as shard, row_number() over (partition by image_id // 100 order by id) - 1 as position, id, image_path, question
+from ({_REQ_PATH_SQL}) r"""
+
+
+def _request_files(spark, sf, wrapped: bool) -> str:
+    """Request files of one list, or of one object that holds it."""
+    path = scratch_path(spark, "request-objects")
+    listed = F.sort_array(F.collect_list(F.struct("id", "image_id", "image_path", "question")))
+    return _object_files(requests_with_paths(spark, sf), F.expr("image_id div 100"),
+                         F.struct(listed.alias("annotations")) if wrapped else listed, path)
+
+
+@register("requests_positions", f"""
+select 'wrapped' as layout, * from ({_REQUEST_POSITIONS}) a union all select 'list' as layout, * from ({_REQUEST_POSITIONS}) b""")
+def q_requests_positions(spark, sf):
+    """Both layouts of request files over many lines: each request with its
+    place in its file (its ``sample_id``)."""
+    both = [FI.read_requests(spark, _request_files(spark, sf, w)).withColumn("layout", F.lit("wrapped" if w else "list")) for w in (True, False)]
+    return both[0].unionByName(both[1]).select(
+        "layout", F.regexp_extract("sample_id.file", r"/shard=(\d+)/", 1).cast("bigint").alias("shard"),
+        F.col("sample_id.position").alias("position"), "id", "image_path", "question")
+
+
+@register("predict_from_requests", f"""
+select id, image_id, image_path, question, {first_words_sql('question', 3)} as predicted_answer,
+       cast(null as varchar) as reference_answer
+from ({_REQ_PATH_SQL}) r where image_path <> '' and question <> ''""")
+def q_predict_from_requests(spark, sf):
+    """Prediction straight from request files."""
+    return PR.predict_from_requests(spark, _request_files(spark, sf, wrapped=True), TEACHER)
+
+
 PAGE_BUCKETS = 7
 PAGES_PER_FILE = 25
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from vqaspark.operators.sampling import with_index
 from vqaspark.sources.headers import file_system, read_headers
+from vqaspark.sources.json_objects import read_entries
 
 ANNOTATION = T.StructType([
     T.StructField("image_id", T.LongType()),
@@ -41,46 +42,57 @@ REQUEST_FILE = T.StructType(REQUEST.fields + [
 
 # ------------------------------------------------------------------ readers
 
-def read_annotation_map(spark: SparkSession, path: str, multi_line: bool = False,
-                        num_partitions: int | None = None) -> DataFrame:
+def read_annotation_map(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Files of ``{"images": {id: filename}, "annotations": {ann_id:
     {image_id, question, answer}}}`` objects (one per line, or one per file
-    with ``multi_line=True``).
+    with ``multi_line=True``, whose files are read by byte ranges, by as many
+    tasks as their length gives).
 
     One row per annotation: ``file``, ``ann_id``, ``image_id``, ``question``,
     ``answer`` and ``filename``, looked up in the object's own image map (files
-    of different splits reuse image ids).  One scan; a malformed file fails
-    the read.  A multi-line file is read by one task, so the exploded rows are
-    re-spread over ``num_partitions`` before any further work.
+    of different splits reuse image ids).  A malformed file fails the read.
     """
-    raw = (spark.read.schema(ANNOTATION_FILE).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
-           .select(F.col("_metadata.file_path").alias("file"), "images", "annotations"))
-    ann = (raw.select("file", "images", F.explode("annotations").alias("ann_id", "a"))
-              .select("file", "ann_id", "a.image_id", "a.question", "a.answer",
-                      F.try_element_at("images", F.col("a.image_id").cast("string")).alias("filename")))
     if multi_line:
-        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ann = ann.repartition(n)
-    return ann
+        entries = read_entries(spark, path)
+        one = F.concat(F.lit("{"), F.col("text"), F.lit("}"))
+        fail = {"mode": "FAILFAST"}
+        ann = (entries.where("section = 'annotations'")
+               .select("file", F.explode(F.from_json(one, T.MapType(T.StringType(), ANNOTATION), fail)).alias("ann_id", "a"))
+               .select("file", "ann_id", "a.image_id", "a.question", "a.answer"))
+        images = (entries.where("section = 'images'")
+                  .select("file", F.explode(F.from_json(one, T.MapType(T.StringType(), T.StringType()), fail)).alias("_image", "filename")))
+        return (ann.withColumn("_image", F.col("image_id").cast("string")).join(images, ["file", "_image"], "left").drop("_image"))
+    raw = (spark.read.schema(ANNOTATION_FILE).option("mode", "FAILFAST").json(path)
+           .select(F.col("_metadata.file_path").alias("file"), "images", "annotations"))
+    return (raw.select("file", "images", F.explode("annotations").alias("ann_id", "a"))
+               .select("file", "ann_id", "a.image_id", "a.question", "a.answer",
+                       F.try_element_at("images", F.col("a.image_id").cast("string")).alias("filename")))
 
 
 def read_requests(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Request files in either layout -- ``{"annotations": [...]}`` or a
-    bare list of request objects (Spark reads a top-level array as rows).
-
-    ``sample_id`` = file and position keeps requests apart that ask about one
-    image: (``file``, ``position``) orders them as they stand in the file.
-    Of a list, rows are numbered in the order of the file's one task.  ``id`` is the
-    file's own, else ``image_id`` (not unique).  A malformed file fails the
-    read.  One scan."""
-    raw = (spark.read.schema(REQUEST_FILE).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
-           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
-                   F.monotonically_increasing_id().alias("_row"), "*"))
+    bare list of request objects.
+
+    Files of one object or list each (``multi_line``) are read by byte ranges,
+    by as many tasks as their length gives; ``sample_id`` = (file, position in
+    the file).  Otherwise every line holds an object, and ``sample_id`` orders
+    the requests of a file as they stand in it.  It keeps requests apart that
+    ask about one image.  ``id`` is the file's own, else ``image_id`` (not
+    unique).  A malformed file fails the read."""
     cols = [f.name for f in REQUEST.fields]
-    one = F.array(F.struct(*[F.col(c).alias(c) for c in cols]))
-    out = raw.select("file", "_block", "_row", F.posexplode(F.coalesce("annotations", one)).alias("_at", "r"))
-    out = out.select(F.struct("file", "_block", "_row", "_at").alias("sample_id"), "file",
-                     *[F.col(f"r.{c}").alias(c) for c in cols])
+    if multi_line:
+        entries = read_entries(spark, path).where("section in ('', 'annotations')")
+        out = entries.select(F.struct("file", "position").alias("sample_id"), "file",
+                             F.from_json("text", REQUEST, {"mode": "FAILFAST"}).alias("r"))
+        out = out.select("sample_id", "file", *[F.col(f"r.{c}").alias(c) for c in cols])
+    else:
+        raw = (spark.read.schema(REQUEST_FILE).option("mode", "FAILFAST").json(path)
+               .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_row"), "*"))
+        one = F.array(F.struct(*[F.col(c).alias(c) for c in cols]))
+        out = raw.select("file", "_block", "_row", F.posexplode(F.coalesce("annotations", one)).alias("_at", "r"))
+        out = out.select(F.struct("file", "_block", "_row", "_at").alias("sample_id"), "file",
+                         *[F.col(f"r.{c}").alias(c) for c in cols])
     # the list form documents ``id``; the dict form ``image_id``
     return out.withColumn("id", F.coalesce("id", "image_id"))
 
