@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TILE_OUT = "sample_id {}, side string, pos bigint, best double"
 
@@ -110,9 +112,6 @@ def bertscore(vectors: DataFrame, block: int = 256, group_by: str | None = None,
 
 # ------------------------------------------------------------ text -> vectors
 
-_VEC_OUT = "sample_id bigint, side string, pos bigint, vector array<double>"
-
-
 class HashingEncoder:
     """Deterministic stand-in for a contextual encoder: lower-cased word
     tokens, each mapped to a fixed pseudo-random unit vector made from the
@@ -160,26 +159,28 @@ def text_token_vectors(df: DataFrame, encoder_factory, id_col: str = "sample_id"
                        pred_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
     """Encode predictions and references into the token-vector table that
     ``bertscore`` reads (one row per token).  The encoder is built once per
-    Python worker and sees Arrow batches of texts."""
+    Python worker and sees Arrow batches of texts.  Ids keep their type."""
     from vqaspark.operators.predict import _factory_key, _load
     key = _factory_key(encoder_factory)
-    texts = df.select(F.col(id_col).cast("bigint").alias("sample_id"),
+    texts = df.select(F.col(id_col).alias("sample_id"),
                       F.explode(F.array(F.struct(F.lit("pred").alias("side"), F.col(pred_col).alias("text")),
                                         F.struct(F.lit("ref").alias("side"), F.col(ref_col).alias("text"))))
                        .alias("t")).select("sample_id", "t.side", "t.text")
+    out = T.StructType([texts.schema["sample_id"], T.StructField("side", T.StringType()), T.StructField("pos", T.LongType()),
+                        T.StructField("vector", T.ArrayType(T.DoubleType()))])
 
     def run(batches):
         enc = _load(encoder_factory, key)
-        for pdf in batches:
-            rows = {"sample_id": [], "side": [], "pos": [], "vector": []}
-            for sid, side, (words, mat) in zip(pdf["sample_id"], pdf["side"], enc(list(pdf["text"]))):
-                for i in range(len(words)):
-                    rows["sample_id"].append(int(sid))
-                    rows["side"].append(side)
-                    rows["pos"].append(i)
-                    rows["vector"].append(mat[i].tolist())
-            yield pd.DataFrame(rows)
-    return texts.mapInPandas(run, _VEC_OUT)
+        for b in batches:
+            found = enc(b.column(2).to_pylist())
+            n = np.array([len(words) for words, _ in found], np.int64)
+            of = np.repeat(np.arange(len(n)), n)
+            pos = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            vectors = [v for words, mat in found for v in mat[:len(words)].tolist()]
+            take = pa.array(of)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(pos, pa.int64()),
+                                              pa.array(vectors, pa.list_(pa.float64()))], names=out.names)
+    return texts.mapInArrow(run, out)
 
 
 def _greedy_prf(p: np.ndarray, r: np.ndarray, chunk: int):
@@ -205,22 +206,20 @@ def bertscore_from_text(df: DataFrame, encoder_factory, id_col: str = "sample_id
                         chunk: int = 2048, digits: int | None = 6) -> DataFrame:
     """Per-pair BERTScore from text: each row is encoded (the encoder sees
     the batch's texts at once) and matched in place -- no token table, no
-    shuffle.  Pairs with an empty side score 0."""
+    shuffle.  Pairs with an empty side score 0; ids of any type, null ones too,
+    come out as they are."""
     from vqaspark.operators.predict import _factory_key, _load
     key = _factory_key(encoder_factory)
-    src = df.select(F.col(id_col).cast("bigint").alias("sample_id"),
-                    F.col(pred_col).alias("_p"), F.col(ref_col).alias("_r"))
+    src = df.select(F.col(id_col).alias("sample_id"), F.col(pred_col).alias("_p"), F.col(ref_col).alias("_r"))
+    names = ["precision", "recall", "f1"]
+    out = T.StructType([src.schema["sample_id"], *[T.StructField(c, T.DoubleType()) for c in names]])
 
     def run(batches):
         enc = _load(encoder_factory, key)
-        for pdf in batches:
-            ep = enc(list(pdf["_p"]))
-            er = enc(list(pdf["_r"]))
-            res = [_greedy_prf(a[1], b[1], chunk) for a, b in zip(ep, er)]
-            out = pd.DataFrame({"sample_id": pdf["sample_id"].astype("int64"),
-                                "precision": [x[0] for x in res], "recall": [x[1] for x in res],
-                                "f1": [x[2] for x in res]})
+        for b in batches:
+            pairs = zip(enc(b.column(1).to_pylist()), enc(b.column(2).to_pylist()))
+            res = np.array([_greedy_prf(x[1], y[1], chunk) for x, y in pairs], np.float64).reshape(-1, 3)
             if digits is not None:
-                out[["precision", "recall", "f1"]] = out[["precision", "recall", "f1"]].astype("float64").round(digits)
-            yield out
-    return src.mapInPandas(run, "sample_id bigint, precision double, recall double, f1 double")
+                res = res.round(digits)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(res[:, i]) for i in range(3)]], names=out.names)
+    return src.mapInArrow(run, out)

@@ -278,21 +278,32 @@ def word_ids(tok: Column, vocab_size: int = 1 << 20) -> Column:
 
 def distill_examples(df: DataFrame, teacher_col: str = "teacher_answer",
                      question_col: str = "question", max_length: int = 512,
-                     pad_id: int = 0, template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
-    """M6: prompt (user turn, generation prompt) + teacher answer; token ids by
-    the pluggable word tokenizer; labels = ids with the prompt masked to -100;
-    padded to ``max_length`` but never truncated (as the reference)."""
+                     pad_id: int = 0, template: ChatTemplate = DEFAULT_TEMPLATE, tokenizer=None) -> DataFrame:
+    """M6: prompt (user turn, generation prompt) + teacher answer; token ids;
+    labels = ids with the prompt masked to -100; padded to ``max_length`` but
+    never truncated (as the reference).
+
+    ``tokenizer`` is a factory as in ``operators.tokenize``.  The whole text is
+    encoded once; tokens that begin before the prompt's last character are
+    masked, so a token over the boundary counts as prompt.  Without one, words
+    are the tokens, and their ids come from md5."""
     prompt = template.render(vqa_messages(F.col(question_col)), True)
     full = F.concat(prompt, F.coalesce(F.col(teacher_col), F.lit("")))
-    ids = word_ids(T.split_words(full))
-    prompt_len = F.size(T.split_words(prompt))
+    if tokenizer is None:
+        ids = word_ids(T.split_words(full))
+        prompt_len = F.size(T.split_words(prompt))
+        out = df.withColumn("full_text", full)
+    else:
+        from vqaspark.operators.tokenize import tokenize
+        out = tokenize(df.withColumn("full_text", full).withColumn("_prompt_chars", F.char_length(prompt)), "full_text", tokenizer,
+                       "_tokens", "_prompt_chars").drop("_prompt_chars")
+        ids, prompt_len = F.col("_tokens.ids").cast("array<bigint>"), F.col("_tokens.n_prefix")
     pad = F.greatest(F.lit(0), F.lit(max_length) - F.size(ids))
     # no lambda: a per-row value inside one would be re-evaluated per token
     labels = F.concat(F.array_repeat(F.lit(-100).cast("bigint"), F.least(prompt_len, F.size(ids))),
                       F.slice(ids, prompt_len + 1, F.greatest(F.size(ids) - prompt_len, F.lit(0))))
-    return (df.withColumn("full_text", full)
-              .withColumn("prompt_len", prompt_len)
+    return (out.withColumn("prompt_len", prompt_len)
               .withColumn("input_ids", F.concat(ids, F.array_repeat(F.lit(pad_id).cast("bigint"), pad)))
               .withColumn("labels", F.concat(labels, F.array_repeat(F.lit(-100).cast("bigint"), pad)))
               .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size(ids)),
-                                                     F.array_repeat(F.lit(0), pad))))
+                                                     F.array_repeat(F.lit(0), pad))).drop("_tokens"))

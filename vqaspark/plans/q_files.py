@@ -211,6 +211,16 @@ def q_history_sink(spark, sf):
     return spark.read.parquet(path).select("run_id", "step", "epoch", "loss", "eval_loss")
 
 
+@register("history_replay", f"select run_id, step, epoch, loss, eval_loss from ({S.TRAIN_LOG}) l")
+def q_history_replay(spark, sf):
+    """History appended in two batches, the first one twice: rows stand once."""
+    path = scratch_path(spark, "history-batches")
+    log = FX.train_log(spark, sf)
+    for part in (0, 1, 0):
+        FI.append_history(log.where(F.col("run_id") % 2 == part), path, f"half-{part}")
+    return FI.read_history(spark, path).select("run_id", "step", "epoch", "loss", "eval_loss")
+
+
 @register("write_partitioned", f"select id, image_id, question, answer, split from ({S.DATASET}) d")
 def q_write_partitioned(spark, sf):
     path = scratch_path(spark, "splits")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vqaspark.operators import predict as PR
 from vqaspark.operators import prepare as P
 from vqaspark.operators.models import FirstWordsModel
+from vqaspark.operators.tokenize import FileTokenizer
 from vqaspark.plans import fixtures as FX
 from vqaspark.plans import sql as S
 from vqaspark.plans.q_joins import _REQ_PATH_SQL, requests_with_paths
@@ -113,6 +114,16 @@ def q_distill_examples(spark, sf):
         F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("input_sum"))
 
 
+@register("distill_tokenized")
+def q_distill_tokenized(spark, sf):
+    """Distillation examples with a tokenizer file's ids; no SQL spells its
+    merges (tested against the library)."""
+    import public_tokenizers
+    t = PR.predict_ok(FX.vqa_samples(spark, sf), TEACHER, out="teacher_answer")
+    d = P.distill_examples(t, tokenizer=FileTokenizer(public_tokenizers.path("byte_bpe_50k.json")))
+    return d.select("id", "prompt_len", "input_ids", "labels")
+
+
 @register("synthetic_labels", f"""
 select id, question, answer, 'labelled' as source from ({S.DATASET}) d where split = 'train'
 union all

@@ -8,6 +8,10 @@ write itself, not from a second job.
 
 from __future__ import annotations
 
+import os
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -193,6 +197,50 @@ def history_sink(df: DataFrame, path: str, mode: str = "append", run_col: str |
     return int(obs.get["n"])
 
 
+_COMMITS = "_commits"      # hidden from readers of the folder
+
+
+def _committed(spark: SparkSession, path: str) -> dict[str, int]:
+    """Committed batches of a history and their rows: a row per batch."""
+    try:
+        rows = spark.read.schema("batch string, rows long").parquet(os.path.join(path, _COMMITS)).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["batch"]: r["rows"] for r in rows}
+
+
+def append_history(df: DataFrame, path: str, batch: str, run_col: str | None = "run_id") -> int:
+    """S11, safe to run again: append the history rows of ``batch`` (a name of
+    letters, digits, ``-`` and ``_``) once and return their number.
+
+    The rows go to a folder of the batch, which a repeated attempt overwrites;
+    the commit record comes last.  A batch with a record is left as it is, so
+    a retried or replayed job adds nothing.  One writer per batch at a time;
+    different batches may be written side by side."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
+        raise ValueError("a batch is named by letters, digits, - and _")
+    spark = df.sparkSession
+    done = _committed(spark, path)
+    if batch in done:
+        return done[batch]
+    n = history_sink(df, os.path.join(path, f"batch={batch}"), mode="overwrite", run_col=run_col)
+    (spark.createDataFrame([(batch, n)], "batch string, rows long").coalesce(1)
+          .write.mode("overwrite").parquet(os.path.join(path, _COMMITS, f"commit={batch}")))
+    return n
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The committed batches of a history, with their ``batch``; what an
+    attempt left without a commit is not read."""
+    done = sorted(_committed(spark, path))
+    if not done:
+        return spark.createDataFrame([], T.StructType([*HISTORY_SCHEMA.fields, T.StructField("batch", T.StringType())]))
+    folders = [os.path.join(path, f"batch={b}") for b in done]
+    return (spark.read.option("basePath", path).parquet(*folders).withColumn("batch", F.col("batch").cast("string")))
+
+
 def write_annotation_shards(samples: DataFrame, lookup: DataFrame, path: str,
                             rows_per_shard: int = 50000) -> None:
     """Write samples in the annotation-map layout as JSON Lines: each line
