@@ -82,12 +82,11 @@ def align_predictions(preds: DataFrame, refs: DataFrame, key, check: bool = True
                 .where(~((F.coalesce("_p", F.lit(0)) == 1) & (F.coalesce("_r", F.lit(0)) == 1)))
                 .limit(1).count())
         if bad:
-            raise ValueError("Predictions and references must have same length "
-                             "and one row per key")
+            raise ValueError(ALIGN_ERROR)
     return preds.select(*key, pred_col).join(refs.select(*key, ref_col), key, "inner")
 
 
-ALIGN_ERROR = "Predictions and references must have same length and one row per key"
+ALIGN_ERROR = "cannot align: both sides need one row per key, and the same keys"
 
 
 def _align_lazy(preds: DataFrame, refs: DataFrame, key, pred_col: str, ref_col: str) -> DataFrame:

@@ -110,6 +110,45 @@ def bertscore(vectors: DataFrame, block: int = 256, group_by: str | None = None,
                  F.round(F.avg("f1"), 6).alias("bertscore_f1"))
 
 
+def idf_weights(vectors: DataFrame, token_col: str = "token", sample_col: str = "sample_id", side_col: str = "side") -> DataFrame:
+    """(token, idf): log((N + 1) / (d + 1)) of N references, of which d hold
+    the token; tokens of predictions alone have d = 0.  One row per distinct
+    token; counts are combined before the shuffle."""
+    is_ref = F.col(side_col) == "ref"
+    held = (vectors.where(F.col(token_col).isNotNull()).groupBy(F.col(token_col).alias("token"), F.col(sample_col).alias("s"))
+            .agg(F.max(is_ref).alias("in_ref")).groupBy("token").agg(F.count_if("in_ref").alias("d")))
+    n = vectors.where(is_ref).select(F.count_distinct(sample_col)).first()[0]
+    return held.select("token", F.log((F.lit(n) + 1) / (F.col("d") + 1)).alias("idf"))
+
+
+def bertscore_weighted(vectors: DataFrame, token_col: str = "token", block: int = 256, digits: int | None = 6,
+                       baseline: tuple[float, float, float] | None = None, **cols) -> DataFrame:
+    """Per sample precision, recall and F1 with every token's best match
+    weighted by its inverse document frequency among the references.
+
+    ``baseline`` (precision, recall, F1) rescales x to (x - b) / (1 - b).
+    Tokens without a text weigh nothing; a side whose tokens weigh nothing
+    scores 0 before rescaling, as an empty one does.  Sample ids may have any
+    type, but not be null."""
+    sample, side, pos = (F.col(cols.get(k, d)) for k, d in (("sample_col", "sample_id"), ("side_col", "side"), ("pos_col", "pos")))
+    best = token_best_matches(vectors, block, **cols)
+    tokens = vectors.select(sample.alias("sample_id"), side.alias("side"), pos.cast("bigint").alias("pos"), F.col(token_col).alias("token"))
+    idf = idf_weights(vectors, token_col, cols.get("sample_col", "sample_id"), cols.get("side_col", "side"))
+    w = best.join(tokens, ["sample_id", "side", "pos"]).join(idf, "token")
+
+    def mean(name):
+        mine = F.col("side") == name
+        return F.sum(F.when(mine, F.col("idf") * F.col("best"))) / F.nullif(F.sum(F.when(mine, F.col("idf"))), F.lit(0.0))
+    s = w.groupBy("sample_id").agg(mean("pred").alias("precision"), mean("ref").alias("recall"))
+    ids = vectors.select(sample.alias("sample_id")).where("sample_id is not null").distinct()
+    s = ids.join(s, "sample_id", "left").select("sample_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision", "recall")])
+    total = F.col("precision") + F.col("recall")
+    s = s.withColumn("f1", F.when(total == 0, F.lit(0.0)).otherwise(F.lit(2.0) * F.col("precision") * F.col("recall") / total))
+    for c, b in zip(("precision", "recall", "f1"), baseline or (0.0, 0.0, 0.0)):
+        s = s.withColumn(c, (F.col(c) - F.lit(b)) / F.lit(1.0 - b))
+    return s if digits is None else s.select("sample_id", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")])
+
+
 # ------------------------------------------------------------ text -> vectors
 
 class HashingEncoder:

@@ -13,7 +13,7 @@ METRIC_NAMES = ("exact_match", "partial_match", "rouge_l", "bertscore_f1")
 def check_metric(name: str) -> str:
     """Unknown metric names fail fast, on the driver, before any job."""
     if name not in METRIC_NAMES:
-        raise ValueError(f"Unknown metric: {name}; available: {list(METRIC_NAMES)}")
+        raise ValueError(f"no metric {name!r}; there are {', '.join(METRIC_NAMES)}")
     return name
 
 

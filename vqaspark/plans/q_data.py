@@ -70,6 +70,26 @@ def q_length_profile(spark, sf):
     return ST.length_profile(FX.vqa_samples(spark, sf))
 
 
+@register("merged_sketches", f"""
+select split, count(*) as num_samples, true as images_near, true as median_near,
+       cast(max(len({S.words('question')})) as bigint) as question_words_max
+from ({S.DATASET}) d group by split""")
+def q_merged_sketches(spark, sf):
+    """Sketches of two runs, stored and merged, beside one exact pass: image
+    counts within 5 %, medians within 2 % of the ranks."""
+    path = scratch_path(spark, "sketches")
+    d = FX.vqa_dataset(spark, sf)
+    for run in (0, 1):
+        ST.split_sketches(d.where(F.col("id") % 2 == run)).write.parquet(f"{path}/run={run}")
+    got = ST.merge_sketches(spark.read.parquet(path))
+    words = T.word_count("question")
+    exact = d.groupBy("split").agg(F.count_distinct("image_id").alias("e"), F.percentile(words, [0.48, 0.52]).alias("m"))
+    return got.join(exact, "split").select(
+        "split", "num_samples", (F.abs(F.col("unique_images") / F.col("e") - 1) <= 0.05).alias("images_near"),
+        ((F.col("question_words_p50") >= F.floor(F.col("m")[0])) & (F.col("question_words_p50") <= F.ceil(F.col("m")[1]))).alias("median_near"),
+        "question_words_max")
+
+
 @register("qa_pairs", S.QA)
 def q_qa_pairs(spark, sf):
     return FX.qa(spark, sf)

@@ -3,6 +3,8 @@ registry join."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vqaspark.operators import joins as J
@@ -10,6 +12,7 @@ from vqaspark.operators.metrics.exact import exact_match
 from vqaspark.plans import fixtures as FX
 from vqaspark.plans import sql as S
 from vqaspark.plans.registry import register
+from vqaspark.sources import buckets as BK
 
 _REQ_PATH_SQL = f"""
 select r.id, r.image_id, r.question,
@@ -67,6 +70,31 @@ def q_compare_models(spark, sf):
     return J.compare_models(t, s, FX.ITEM_KEY)
 
 
+def _stored(spark, sf, *sides):
+    """Sides of the item answers, each stored by the key."""
+    p = FX.item_preds(spark, sf)
+    tag = uuid.uuid4().hex[:8]
+    return [BK.store_bucketed(p.select(*FX.ITEM_KEY, c.alias(n)), f"side_{n}_{tag}", FX.ITEM_KEY, 8)
+            for n, c in sides]
+
+
+@register("align_stored", f"""
+select {_KEY}, teacher_answer as prediction, reference_answer as reference from ({S.ITEM_PREDS}) p""")
+def q_align_stored(spark, sf):
+    """Predictions and references stored by the key: checked and aligned
+    without a shuffle."""
+    preds, refs = _stored(spark, sf, ("prediction", F.col("teacher_answer")), ("reference", F.col("reference_answer")))
+    return J.align_predictions(preds, refs, FX.ITEM_KEY, check="lazy")
+
+
+@register("compare_stored", f"""
+select {_KEY}, teacher_answer, student_answer, coalesce(lower(teacher_answer) = lower(student_answer), false) as match
+from ({S.ITEM_PREDS}) p""")
+def q_compare_stored(spark, sf):
+    t, s = _stored(spark, sf, ("teacher_answer", F.col("teacher_answer")), ("student_answer", F.col("student_answer")))
+    return J.compare_models(t, s, FX.ITEM_KEY)
+
+
 _LONG_SQL = f"""
 select {_KEY}, '7B-trained' as model_id, teacher_answer as answer, reference_answer from ({S.ITEM_PREDS}) p
 union all

@@ -173,6 +173,28 @@ def q_bertscore(spark, sf):
     return B.bertscore(FX.token_vectors(spark, sf))
 
 
+@register("bertscore_weighted", f"""
+with {_bert_sql()},
+tok as (select vec_id // 32 as sample_id, case when vec_id % 2 = 0 then 'pred' else 'ref' end as side, vec_id as pos,
+               cast(label as varchar) as token from embeddings),
+refs as (select count(distinct sample_id) as n from tok where side = 'ref'),
+idf as (select token, ln((max(refs.n) + 1) / (count(distinct sample_id) filter (where side = 'ref') + 1)) as w
+        from tok cross join refs group by token),
+wp as (select pb.sample_id, sum(best * w) / nullif(sum(w), 0) as precision from pb join tok on tok.sample_id = pb.sample_id and tok.pos = ppos
+       join idf using (token) group by pb.sample_id),
+wr as (select rb.sample_id, sum(best * w) / nullif(sum(w), 0) as recall from rb join tok on tok.sample_id = rb.sample_id and tok.pos = rpos
+       join idf using (token) group by rb.sample_id),
+x as (select i.sample_id, coalesce(wp.precision, 0.0) as p, coalesce(wr.recall, 0.0) as r from (select distinct sample_id from tv) i
+      left join wp on wp.sample_id = i.sample_id left join wr on wr.sample_id = i.sample_id)
+select sample_id, round((p - 0.1) / 0.9, 6) as precision, round((r - 0.1) / 0.9, 6) as recall,
+       round((case when p + r = 0 then 0.0 else 2 * p * r / (p + r) end - 0.2) / 0.8, 6) as f1 from x""")
+def q_bertscore_weighted(spark, sf):
+    """Matches weighted by inverse document frequency, rescaled by a baseline;
+    a token's text is its label."""
+    e = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("pos"), F.col("label").cast("string").alias("token"))
+    return B.bertscore_weighted(FX.token_vectors(spark, sf).join(e, "pos"), baseline=(0.1, 0.1, 0.2))
+
+
 @register("bertscore_text")
 def q_bertscore_text(spark, sf):
     """BERTScore from text (question vs answer of every QA pair) with the
