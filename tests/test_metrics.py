@@ -12,6 +12,7 @@ from vqaspark.operators.metrics import partial as PM
 from vqaspark.operators.metrics import rouge as RG
 from vqaspark.operators.metrics.bleu import bleu
 
+# The three documented sentence pairs.
 PRED = ["hai chú mèo", "một chiếc ghế", "ba con chó"]
 REF = ["hai con mèo", "một cái ghế", "ba chú chó"]
 

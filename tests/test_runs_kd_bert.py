@@ -120,3 +120,23 @@ def test_bertscore_one_sided_samples_string_ids_and_groups(spark):
     assert R.evaluate(df, "rouge_l", group_by="grp").count() == 2
     with pytest.raises(ValueError):
         R.evaluate(df, "no such metric")
+
+
+def test_logits_of_different_lengths_are_aligned(spark, monkeypatch):
+    import math
+
+    from vqaspark.operators.metrics import kd as KD
+    monkeypatch.setattr(KD, "TOKEN_RANGE", 3)
+    schema = "sample_id string, pos long, label int, {} array<double>"
+    t = [("a", p, -100 if p < 2 else p % 2, [float(p), 1.0, 0.5]) for p in range(12)] + [("b", 0, 1, [1.0, 2.0, 3.0]), (None, 0, 1, [1.0]), ("c", 1, None, [1.0])]
+    s = [("a", p * 7, -100 if p == 5 else 0, [0.1 * p, 1.0]) for p in range(9)] + [("b", 4, -100, [1.0, 1.0]), ("d", 0, 0, [1.0])]
+    out = KD.align_logits(spark.createDataFrame(t, schema.format("teacher_logits")), spark.createDataFrame(s, schema.format("student_logits")))
+    got = {r.token: (r.label, r.teacher_logits, r.student_logits) for r in out.collect()}
+    mine, other = [x for x in t if x[0] == "a" and x[2] != -100], [x for x in s if x[0] == "a" and x[2] != -100]
+    assert got == {k: (x[2], x[3], y[3]) for k, (x, y) in enumerate(zip(mine, other))} and len(got) == 8
+
+    def softmax(v):
+        e = [math.exp(x) for x in v]
+        return [x / sum(e) for x in e]
+    want = sum(sum(p * math.log(p / q) for p, q in zip(softmax(a[:2]), softmax(b))) for _, a, b in got.values()) / 8
+    assert abs(KD.kd_kl_loss(out, digits=None).first()["kd_loss"] - want) < 1e-9

@@ -8,7 +8,7 @@ summed over tokens, divided by the number of tokens of the group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,6 +50,36 @@ def _prepare(df: DataFrame, teacher: str, student: str, label: str | None, mask_
     return out
 
 
+TOKEN_RANGE = 4096
+
+
+def _numbered(df: DataFrame, sample: str, pos: str, keep: dict, label: str, mask_value: int) -> DataFrame:
+    """Answer tokens numbered from 0 in each sample by ``pos``.  Positions are
+    cut into ranges, each numbered by itself, and ranges get the counts of
+    those before them, so that a sample of any length spreads over tasks."""
+    rows = (df.where(F.col(label) != mask_value)
+            .select(F.col(sample).alias("sample_id"), F.col(pos).alias("_pos"), F.floor(F.col(pos) / F.lit(TOKEN_RANGE)).alias("_r"),
+                    *[F.col(c).alias(n) for c, n in keep.items()]))
+    before = Window.partitionBy("sample_id").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    first = (rows.groupBy("sample_id", "_r").agg(F.count(F.lit(1)).alias("_n"))
+             .select("sample_id", "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")))
+    k = F.row_number().over(Window.partitionBy("sample_id", "_r").orderBy("_pos")) - 1
+    return rows.withColumn("_k", k).join(first, ["sample_id", "_r"]).select("sample_id", (F.col("_first") + F.col("_k")).alias("token"), *keep.values())
+
+
+def align_logits(teacher: DataFrame, student: DataFrame, sample_col: str = "sample_id", pos_col: str = "pos", label_col: str = "label",
+                 teacher_col: str = "teacher_logits", student_col: str = "student_logits", mask_value: int = -100) -> DataFrame:
+    """Pair the answer tokens (label not masked, nor null) of teacher and
+    student, which may have prompts and answers of different lengths: the k-th
+    with the k-th of a sample, both cut to the shorter.  Gives ``sample_id``,
+    ``token`` (k, from 0), ``label`` (the teacher's), ``teacher_logits`` and
+    ``student_logits`` for the losses, which cut the vocabularies.  Positions
+    must be unique in a sample of each side."""
+    t = _numbered(teacher, sample_col, pos_col, {label_col: "label", teacher_col: "teacher_logits"}, label_col, mask_value)
+    s = _numbered(student, sample_col, pos_col, {student_col: "student_logits"}, label_col, mask_value)
+    return t.join(s, ["sample_id", "token"])
+
+
 def kd_kl_loss(df: DataFrame, teacher: str = "teacher_logits", student: str = "student_logits",
                group_by="sample_id", label: str | None = "label", mask_value: int = -100,
                temperature: float = 1.0, digits: int | None = 6) -> DataFrame:

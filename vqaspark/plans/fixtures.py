@@ -21,9 +21,11 @@ SPLIT_SEED = 42
 
 
 def sample_id(conv_id, turn):
-    """One bigint per conversation turn: conv_id in the high bits, turn in the
-    low 20 (up to 1,048,575 turns per conversation)."""
-    return F.shiftleft(F.col(conv_id), 20) + F.col(turn)
+    """One bigint per conversation turn: conv_id in the high 43 bits, turn in
+    the low 20.  Numbers beyond that raise: no two turns share an id."""
+    c, t = F.col(conv_id), F.col(turn)
+    fits = c.isNull() | t.isNull() | ((t >= 0) & (t < 1 << 20) & (c >= 0) & (c < 1 << 43))
+    return F.when(fits, F.shiftleft(c, 20) + t).otherwise(F.raise_error(F.lit("a turn or conversation number has no id here")).cast("bigint"))
 
 
 def qa(spark: SparkSession, sf: str) -> DataFrame:

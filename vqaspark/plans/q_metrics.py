@@ -110,10 +110,20 @@ def long_pairs(spark, sf):
                     F.array_join(F.filter(words, lambda w, i: i % 5 != 4), " ").alias("prediction"))
 
 
-@register("rouge_l_long")
+_LONG_SQL = f"""
+with w as (select doc_id, text, {S.words('text')} as words from documents),
+     t as (select doc_id, len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as r,
+                  len(regexp_extract_all(lower(array_to_string(list_filter(words, lambda x, i: i % 5 <> 0), ' ')), '[\\p{{L}}\\p{{N}}]+')) as p
+           from w)
+select doc_id, round(case when coalesce(p, 0) = 0 or coalesce(r, 0) = 0 then 0.0 else 2.0 * p / (p + r) end, 6) as rouge_l from t"""
+
+
+@register("rouge_l_long", _LONG_SQL)
 def q_rouge_l_long(spark, sf):
-    """Full-document ROUGE-L (texts up to ~20k words); checked against a
-    plain DP on a small fixture in tests, no SQL oracle."""
+    """Full-document ROUGE-L (texts up to ~20k words).  The prediction is part
+    of the reference in its order, so the oracle knows their longest common
+    subsequence without one; other pairs are checked against a plain DP in
+    tests."""
     s = RG.rouge_l_scores(long_pairs(spark, sf), "prediction", "reference", tokenizer="unicode", stem=False)
     return s.select("doc_id", F.round("rouge_l", 6).alias("rouge_l"))
 
@@ -369,6 +379,30 @@ def q_kd_kl_loss(spark, sf):
     return KD.kd_kl_loss(FX.logits(spark, sf))
 
 
+_ALIGNED_SQL = """
+select t.sample_id, t.label, t.l as tl, s.l as sl from (
+  select vec_id // 32 as sample_id, label, cast(embedding as double[]) as l,
+         row_number() over (partition by vec_id // 32 order by vec_id) as k from embeddings where vec_id % 5 <> 0) t join (
+  select vec_id // 32 as sample_id, cast(list_slice(embedding, 1, 48) as double[]) as l,
+         row_number() over (partition by vec_id // 32 order by vec_id) as k from embeddings where vec_id % 3 <> 0) s
+  on t.sample_id = s.sample_id and t.k = s.k"""
+
+
+@register("kd_aligned", f"""
+select sample_id, count(*) as num_tokens, round(sum({_kl_sql(1.0)}) / count(*), 6) as kd_loss
+from (select sample_id, label, tl[1:48] as tl, sl from ({_ALIGNED_SQL}) y) l group by sample_id""")
+def q_kd_aligned(spark, sf):
+    """Teacher and student of different prompts, answer lengths and
+    vocabularies: answer tokens are paired in order, both cut to the shorter."""
+    e = read_table(spark, sf, "embeddings").select(F.expr("vec_id div 32").alias("sample_id"), F.col("vec_id").alias("pos"), "label", "embedding")
+
+    def side(prompt, logits, name):
+        return e.select("sample_id", "pos", F.when(prompt, -100).otherwise(F.col("label")).alias("label"), logits.alias(name))
+    teacher = side(F.col("pos") % 5 == 0, F.col("embedding"), "teacher_logits")
+    student = side(F.col("pos") % 3 == 0, F.slice("embedding", 1, 48), "student_logits")
+    return KD.kd_kl_loss(KD.align_logits(teacher, student))
+
+
 def _combined_sql(temp=4.0, alpha=0.5):
     sx, slse = _lsm("sl", "s", 1.0)
     ce = f"(-(sl[label + 1] - {slse}))"

@@ -10,6 +10,7 @@ intermediate table.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -74,7 +75,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One machine and its threads; ``local-cluster[...]`` has executors of its own."""
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
