@@ -88,13 +88,17 @@ def test_phrase_counts_against_brute_force(spark, edge, texts):
             s = [None, None, *words(t), 0]
             want.update(zip(s[1:], s[2:]))
             want.update(zip(s, s[1:], s[2:]))
-    keys, counts = {}, {}
+    keys, counts, at = {}, {}, {}
     for r in blocks.collect():
-        one, two, _ = lm_score._phrases_of(r.asDict())
-        keys[r.block] = np.unique(np.concatenate([one, two]))
-    for r in lm_score.phrase_counts(blocks, 5).collect():
-        cuts = lm_score._cuts(keys[r.block], 5)
-        counts.update(zip(keys[r.block][cuts[r.owner]:cuts[r.owner + 1]].tolist(), lm_score._unplanes(r.counts).tolist()))
+        _, _, _, keys[r.block], own = lm_score._phrases_of(r.asDict(), 56)
+        at[r.block] = own.astype(np.int64)
+    for r in lm_score.phrase_counts(blocks, 5, 56).collect():
+        cuts = lm_score._cuts(keys[r.block], 5, 56)
+        shared = np.unpackbits(lm_score._u(r.shared, np.uint8), count=int(cuts[r.owner + 1] - cuts[r.owner]))
+        at[r.block][cuts[r.owner] + np.flatnonzero(shared)] += lm_score._u(r.counts, "<u4")
+    for block, n in at.items():
+        for k, x in zip(keys[block].tolist(), n.tolist()):
+            assert counts.setdefault(k, x) == x            # blocks agree on what they share
     assert sorted(n for n in counts.values() if n) == sorted(want.values())
 
 

@@ -32,6 +32,8 @@ fixed size.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 
 from vqaspark.llm.base import Words, hash_binary, mix64, slices, text_slices, write_scratch
 from vqaspark.llm.huffman import canonical, code_lengths
+from vqaspark.session import scratch_path
 
 TRAIN_MODULUS, HELD_OUT = 7, 2
 BLOCK_BYTES = 16 << 20       # text of a block
@@ -57,7 +60,7 @@ EXPERTS = np.array([[0.50, 0.48, 0.02], [0.30, 0.60, 0.10], [0.20, 0.75, 0.05],
                     [0.25, 0.45, 0.30], [0.10, 0.20, 0.70], [0.02, 0.03, 0.95]])
 
 OWNED_PHRASES = 1 << 20      # (block, phrase) pairs an owner gets, at most about
-PHRASE_BITS = 56             # of a phrase's hash
+SPARE_BITS = 10              # of a phrase's hash beyond the logarithm of their number: 1 in 1,024 meets another
 SCORE_SLICE = 1 << 18        # tokens scored at once
 PRIOR = 8.0                  # tokens that the weights a text starts with count for
 
@@ -107,7 +110,7 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
             row = {"block": (part << 20) + seq, "n_types": len(order), "n_train": int((~out).sum()), "n_words": len(tokens),
                    "docs": docs_col.fill_null(0).to_numpy().astype("<i8").tobytes(),
                    "no_id": np.asarray(docs_col.is_null()).astype(np.uint8).tobytes(), "held": out.astype(np.uint8).tobytes(),
-                   "counts": counts.astype("<i8").tobytes(), "tokens": _z(tokens), "hashes": order.astype("<u8").tobytes(),
+                   "counts": counts.astype("<i8").tobytes(), "tokens": _z(tokens), "hashes": _ascending(order),
                    "words": _z(data), "lengths": _z(lengths), "train": _z(train.astype("<u4"))}
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK_PA)
 
@@ -128,12 +131,37 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
-def _split(owner: np.ndarray):
-    order = np.argsort(owner, kind="stable")
-    o = owner[order]
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(o)) + 1, [len(o)]]) if len(o) else np.zeros(1, np.int64)
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        yield int(o[lo]), order[lo:hi]
+def store_blocks(blocks: DataFrame) -> DataFrame:
+    """Write the blocks dealt by their number: what comes back for a block
+    meets it where it lies, and the blocks themselves are never shuffled."""
+    spark = blocks.sparkSession
+    name = f"op1_blocks_{uuid.uuid4().hex[:12]}"
+    (blocks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("compression", "uncompressed")
+           .option("path", scratch_path(spark, "op1-blocks")).saveAsTable(name))
+    return spark.table(name)
+
+
+def _cuts(keys: np.ndarray, owners: int, bits: int) -> np.ndarray:
+    """Where sorted keys pass from one owner to the next (owners have ranges)."""
+    step = -(-(1 << bits) // owners)
+    return np.append(np.searchsorted(keys, np.array([o * step for o in range(owners)], np.uint64)), len(keys))
+
+
+def _planes(a: np.ndarray) -> bytes:
+    return _z(np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8).T)
+
+
+def _unplanes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(_u(b, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _ascending(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _keys(b: bytes) -> np.ndarray:
+    return np.cumsum(_unplanes(b), dtype=np.uint64)
 
 
 def _ragged(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -153,18 +181,20 @@ def count_types(blocks: DataFrame, owners: int) -> DataFrame:
     def send(batches):
         for b in batches:
             for r in b.to_pylist():
-                h, length, train = np.frombuffer(r["hashes"], "<u8"), _u(r["lengths"], "<i4").astype(np.int64), _u(r["train"], "<u4")
+                h, length, train = _keys(r["hashes"]), _u(r["lengths"], "<i4").astype(np.int64), _u(r["train"], "<u4")
                 data = _u(r["words"], np.uint8)
-                start = np.cumsum(length) - length
-                for o, i in _split((h % np.uint64(owners)).astype(np.int64)):
+                at = np.concatenate([[0], np.cumsum(length)])
+                cuts = _cuts(h, owners, 64)
+                for o in np.flatnonzero(np.diff(cuts)):
+                    i = slice(cuts[o], cuts[o + 1])
                     yield pa.RecordBatch.from_pylist([{
-                        "owner": o, "block": r["block"], "hashes": h[i].tobytes(), "words": _z(_ragged(data, start[i], length[i])),
+                        "owner": int(o), "block": r["block"], "hashes": _ascending(h[i]), "words": _z(data[at[i.start]:at[i.stop]]),
                         "lengths": _z(length[i].astype("<i4")), "train": _z(train[i])}], schema=_SENT)
 
     def merge(key, t):
         hs, ls, ts, ds = [], [], [], []
         for m in t.to_pylist():
-            hs.append(np.frombuffer(m["hashes"], "<u8"))
+            hs.append(_keys(m["hashes"]))
             ls.append(_u(m["lengths"], "<i4").astype(np.int64))
             ts.append(_u(m["train"], "<u4"))
             ds.append(_u(m["words"], np.uint8))
@@ -438,7 +468,12 @@ def spell(speller: Speller, mixer: Mixer, tables, data, lengths, ends: int = 0)
 _START_KEY, _END_KEY = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 
 
-def phrase_keys(hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray):
+def phrase_bits(n_tokens: int) -> int:
+    """Bits of the phrases' hashes in a corpus; they grow with it."""
+    return min((2 * n_tokens).bit_length() + SPARE_BITS, 63)
+
+
+def phrase_keys(hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray, bits: int):
     """Hashes of (last word, token) and (last two words, token) at every token
     of the texts, their ends included, and the first position of each text."""
     last = np.cumsum(counts + 1) - 1
@@ -456,61 +491,56 @@ def phrase_keys(hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray):
 
     one = follow(h, 1)
     two = follow(one, 2)
-    shift = np.uint64(64 - PHRASE_BITS)
+    shift = np.uint64(64 - bits)
     return one >> shift, two >> shift, first
 
 
-def _phrases_of(r: dict):
-    return phrase_keys(np.frombuffer(r["hashes"], "<u8"), _u(r["tokens"], "<u4"), np.frombuffer(r["counts"], "<i8"))
+def _phrases_of(r: dict, bits: int):
+    """A block's phrases at its tokens, the first position of each text, the
+    distinct phrases, and how often its own training texts have each."""
+    one, two, first = phrase_keys(_keys(r["hashes"]), _u(r["tokens"], "<u4"), np.frombuffer(r["counts"], "<i8"), bits)
+    trained = np.repeat(np.frombuffer(r["held"], np.uint8) == 0, np.diff(np.append(first, len(one))))
+    keys = np.unique(np.concatenate([one, two]))
+    seen = np.sort(np.concatenate([one[trained], two[trained]]))
+    return one, two, first, keys, np.diff(np.append(np.searchsorted(seen, keys), len(seen)))
 
 
-def _cuts(keys: np.ndarray, owners: int) -> np.ndarray:
-    """Where sorted keys pass from one owner to the next (owners have ranges)."""
-    return np.searchsorted(keys, np.arange(owners + 1, dtype=np.uint64) * np.uint64((1 << PHRASE_BITS) // owners + 1))
-
-
-def _planes(a: np.ndarray) -> bytes:
-    return _z(np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8).T)
-
-
-def _unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(_u(b, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-
-
-def phrase_counts(blocks: DataFrame, owners: int) -> DataFrame:
-    """(block, owner, counts): training counts of the block's distinct phrases
-    in the owner's range, in the order of their hashes."""
+def phrase_counts(blocks: DataFrame, owners: int, bits: int) -> DataFrame:
+    """(block, owner, shared, counts): of the block's distinct phrases in the
+    owner's range, in the order of their hashes, which are also in training
+    texts of other blocks (a bit each), and how often there.  The block knows
+    its own, so nothing is sent back for the others."""
     sent_pa = pa.schema([("owner", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("train", pa.binary())])
-    out_pa = pa.schema([("block", pa.int64()), ("owner", pa.int64()), ("counts", pa.binary())])
+    out_pa = pa.schema([("block", pa.int64()), ("owner", pa.int64()), ("shared", pa.binary()), ("counts", pa.binary())])
 
     def send(batches):
         for b in batches:
             for r in b.to_pylist():
-                one, two, first = _phrases_of(r)
-                trained = np.repeat(np.frombuffer(r["held"], np.uint8) == 0, np.diff(np.append(first, len(one))))
-                keys = np.unique(np.concatenate([one, two]))
-                seen = np.sort(np.concatenate([one[trained], two[trained]]))
-                at = np.searchsorted(seen, keys)
-                train = np.diff(np.append(at, len(seen)))
-                cuts = _cuts(keys, owners)
+                _, _, _, keys, train = _phrases_of(r, bits)
+                cuts = _cuts(keys, owners, bits)
                 for o in np.flatnonzero(np.diff(cuts)):
                     i = slice(cuts[o], cuts[o + 1])
                     yield pa.RecordBatch.from_pylist([{
-                        "owner": int(o), "block": r["block"], "keys": _planes(np.diff(keys[i], prepend=np.uint64(0))),
-                        "train": _z(train[i].astype("<u4"))}], schema=sent_pa)
+                        "owner": int(o), "block": r["block"], "keys": _ascending(keys[i]), "train": _z(train[i].astype("<u4"))}], schema=sent_pa)
 
     def merge(key, t):
         sent = t.select(["block", "keys", "train"]).to_pylist()
-        keys = [np.cumsum(_unplanes(m["keys"]), dtype=np.uint64) for m in sent]
+        keys = [_keys(m["keys"]) for m in sent]
+        train = [_u(m["train"], "<u4").astype(np.int64) for m in sent]
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([_u(m["train"], "<u4") for m in sent]))
+        total = np.bincount(inverse, weights=np.concatenate(train)).astype(np.int64)
         mine = np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
-        return pa.Table.from_pylist([{"block": m["block"], "owner": key[0].as_py(), "counts": _planes(total[i])}
-                                     for m, i in zip(sent, mine)], schema=out_pa)
+        rows = []
+        for m, i, own in zip(sent, mine, train):
+            more = total[i] - own
+            if more.any():
+                rows.append({"block": m["block"], "owner": key[0].as_py(), "shared": _z(np.packbits(more > 0)),
+                             "counts": _z(more[more > 0].astype("<u4"))})
+        return pa.Table.from_pylist(rows, schema=out_pa)
 
     sent = blocks.select("block", "hashes", "tokens", "counts", "held").mapInArrow(
         send, "owner long, block long, keys binary, train binary")
-    return sent.groupBy("owner").applyInArrow(merge, "block long, owner long, counts binary")
+    return sent.groupBy("owner").applyInArrow(merge, "block long, owner long, shared binary, counts binary")
 
 
 def _start_weights() -> np.ndarray:
@@ -552,19 +582,22 @@ def sequence_weights(p: np.ndarray, gate: np.ndarray, doc: np.ndarray) -> np.nda
 # -- scoring ------------------------------------------------------------------
 
 def _answers(owned: DataFrame, blocks: DataFrame, owners: int, speller, mixer, tables) -> DataFrame:
-    """(block, hashes, counts, spelled) messages from owners to blocks."""
+    """(block, owner, counts, spelled) of the block's words in the owner's
+    range, in the order of their hashes."""
     asks_pa = pa.schema([("owner", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary())])
 
     def ask(batches):
         for b in batches:
             for r in b.to_pylist():
-                h = np.frombuffer(r["hashes"], "<u8")
-                for o, i in _split((h % np.uint64(owners)).astype(np.int64)):
-                    yield pa.RecordBatch.from_pylist([{"owner": o, "block": r["block"], "hashes": h[i].tobytes()}], schema=asks_pa)
+                h = _keys(r["hashes"])
+                cuts = _cuts(h, owners, 64)
+                for o in np.flatnonzero(np.diff(cuts)):
+                    yield pa.RecordBatch.from_pylist([{"owner": int(o), "block": r["block"], "hashes": _ascending(h[cuts[o]:cuts[o + 1]])}],
+                                                     schema=asks_pa)
 
-    out_pa = pa.schema([("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary()), ("spelled", pa.binary())])
+    out_pa = pa.schema([("block", pa.int64()), ("owner", pa.int64()), ("counts", pa.binary()), ("spelled", pa.binary())])
 
-    def answer(_, own, asked):
+    def answer(key, own, asked):
         if not own.num_rows:
             return pa.Table.from_pylist([], schema=out_pa)
         r = own.to_pylist()[0]
@@ -574,13 +607,13 @@ def _answers(owned: DataFrame, blocks: DataFrame, owners: int, speller, mixer, t
             s[i] = spell(speller, mixer.value, tables.value, data, length)
         rows = []
         for q in asked.to_pylist():
-            at = np.searchsorted(h, np.frombuffer(q["hashes"], "<u8"))
-            rows.append({"block": q["block"], "hashes": q["hashes"], "counts": _z(counts[at]), "spelled": s[at].tobytes()})
+            at = np.searchsorted(h, _keys(q["hashes"]))
+            rows.append({"block": q["block"], "owner": key[0].as_py(), "counts": _z(counts[at]), "spelled": s[at].tobytes()})
         return pa.Table.from_pylist(rows, schema=out_pa)
 
     asks = blocks.select("block", "hashes").mapInArrow(ask, "owner long, block long, hashes binary")
     return owned.select("owner", "hashes", "words", "lengths", "counts").groupBy("owner").cogroup(
-        asks.groupBy("owner")).applyInArrow(answer, "block long, hashes binary, counts binary, spelled binary")
+        asks.groupBy("owner")).applyInArrow(answer, "block long, owner long, counts binary, spelled binary")
 
 
 def past_share(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -614,12 +647,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     crc = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("t"),
                        (crc % TRAIN_MODULUS == HELD_OUT).alias("held"))
-    blocks = write_scratch(pack_blocks(slim), "op1-blocks", compression="uncompressed")
+    blocks = store_blocks(pack_blocks(slim))
     sums = blocks.agg(F.sum("n_types").alias("types"), F.sum("n_train").alias("ends"),
                       F.sum(F.col("n_words") + F.length("held")).alias("tokens")).first()
     ends = int(sums["ends"] or 0)
     owners = int((sums["types"] or 0) // OWNED) + 1
     phrase_owners = int(2 * (sums["tokens"] or 0) // OWNED_PHRASES) + 1
+    bits = phrase_bits(int(sums["tokens"] or 0))
     owned = write_scratch(count_types(blocks, owners), "op1-words", compression="uncompressed")
     sums = owned.agg(F.sum("n_known").alias("v"), F.sum("n_tokens").alias("n")).first()
     n_all = int(sums["n"] or 0) + ends
@@ -630,8 +664,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     trained = train_mixer(owned, speller, shared)
     mixer = spark.sparkContext.broadcast(trained)
     end_spelled = float(spell(speller, trained, tables, np.zeros(0, np.uint8), np.zeros(0, np.int64), 1)[0])
-    answers = (_answers(owned, blocks, owners, speller, mixer, shared).withColumn("owner", F.lit(None).cast("long"))
-               .unionByName(phrase_counts(blocks, phrase_owners), allowMissingColumns=True))
+    answers = _answers(owned, blocks, owners, speller, mixer, shared).unionByName(
+        phrase_counts(blocks, phrase_owners, bits), allowMissingColumns=True)
     whole = n_all + v_all + 1
 
     schema = (f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
@@ -643,22 +677,23 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         if not own.num_rows:
             return pa.Table.from_pylist([], schema=out_pa)
         r = own.to_pylist()[0]
-        h, n = np.frombuffer(r["hashes"], "<u8"), np.frombuffer(r["counts"], "<i8")
+        h, n = _keys(r["hashes"]), np.frombuffer(r["counts"], "<i8")
         c, s = np.zeros(len(h), np.int64), np.zeros(len(h), np.float32)
         lengths = _u(r["lengths"], "<i4")
         tokens = _u(r["tokens"], "<u4")
-        one, two, first = phrase_keys(h, tokens, n)
-        keys, inverse = np.unique(np.concatenate([one, two]), return_inverse=True)
-        followed, cuts = np.zeros(len(keys), np.int64), _cuts(keys, phrase_owners)
+        one, two, first, keys, followed = _phrases_of(r, bits)
+        cuts, word_cuts = _cuts(keys, phrase_owners, bits), _cuts(h, owners, 64)
         for m in got.to_pylist():
-            if m["owner"] is None:
-                at = np.searchsorted(h, np.frombuffer(m["hashes"], "<u8"))
-                c[at], s[at] = _u(m["counts"], "<i8"), _f4(m["spelled"])
+            o = m["owner"]
+            if m["spelled"] is not None:
+                i = slice(word_cuts[o], word_cuts[o + 1])
+                c[i], s[i] = _u(m["counts"], "<i8"), _f4(m["spelled"])
             else:
-                followed[cuts[m["owner"]]:cuts[m["owner"] + 1]] = _unplanes(m["counts"])
-        n_one, n_two = followed[inverse[:len(one)]], followed[inverse[len(one):]]
+                shared = np.flatnonzero(np.unpackbits(_u(m["shared"], np.uint8), count=int(cuts[o + 1] - cuts[o])))
+                followed[cuts[o] + shared] += _u(m["counts"], "<u4")
+        n_one, n_two = followed[np.searchsorted(keys, one)], followed[np.searchsorted(keys, two)]
         trained = np.frombuffer(r["held"], np.uint8) == 0
-        del one, two, keys, inverse, followed
+        del one, two, keys, followed
         base = np.log10((c + 1) / whole)
         # The corpus expert: known words by count, the rest shares what one unseen word would get.
         spelled = 10.0 ** np.maximum(s.astype(np.float64), -280)
