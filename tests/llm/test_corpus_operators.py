@@ -373,5 +373,5 @@ def test_pipeline_stages_on_edges(spark, edge, empty):
 
 def test_registry_has_each_operator():
     found, sql = load_all()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 14))
     assert set(sql) <= set(found) and len(SCHEMA) == 9

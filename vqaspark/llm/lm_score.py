@@ -496,13 +496,31 @@ def phrase_keys(hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray, bits
 
 
 def _phrases_of(r: dict, bits: int):
-    """A block's phrases at its tokens, the first position of each text, the
-    distinct phrases, and how often its own training texts have each."""
+    """The numbers of the pair and of the triple at each of a block's tokens,
+    the first position of each text, the distinct phrases in order, and how
+    often the block's own training texts have each."""
     one, two, first = phrase_keys(_keys(r["hashes"]), _u(r["tokens"], "<u4"), np.frombuffer(r["counts"], "<i8"), bits)
     trained = np.repeat(np.frombuffer(r["held"], np.uint8) == 0, np.diff(np.append(first, len(one))))
-    keys = np.unique(np.concatenate([one, two]))
-    seen = np.sort(np.concatenate([one[trained], two[trained]]))
-    return one, two, first, keys, np.diff(np.append(np.searchsorted(seen, keys), len(seen)))
+    keys, at = _numbered(np.concatenate([one, two]), bits)
+    return at[:len(one)], at[len(one):], first, keys, np.bincount(at[np.concatenate([trained, trained])], minlength=len(keys))
+
+
+def _numbered(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of ``bits`` bits in order, and the number of each value
+    among them.  Where value and place fit in one word, one plain sort does."""
+    place = max(len(values) - 1, 1).bit_length()
+    if bits + place > 64:
+        return np.unique(values, return_inverse=True)
+    both = values << np.uint64(place)
+    both |= np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    key = both >> np.uint64(place)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    at = np.empty(len(key), np.int32 if len(key) < 1 << 31 else np.int64)
+    both &= np.uint64((1 << place) - 1)
+    at[both.view(np.int64)] = np.cumsum(new) - 1
+    return key[new], at
 
 
 def phrase_counts(blocks: DataFrame, owners: int, bits: int) -> DataFrame:
@@ -527,7 +545,7 @@ def phrase_counts(blocks: DataFrame, owners: int, bits: int) -> DataFrame:
         sent = t.select(["block", "keys", "train"]).to_pylist()
         keys = [_keys(m["keys"]) for m in sent]
         train = [_u(m["train"], "<u4").astype(np.int64) for m in sent]
-        _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        _, inverse = _numbered(np.concatenate(keys), bits)
         total = np.bincount(inverse, weights=np.concatenate(train)).astype(np.int64)
         mine = np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
         rows = []
@@ -691,7 +709,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             else:
                 shared = np.flatnonzero(np.unpackbits(_u(m["shared"], np.uint8), count=int(cuts[o + 1] - cuts[o])))
                 followed[cuts[o] + shared] += _u(m["counts"], "<u4")
-        n_one, n_two = followed[np.searchsorted(keys, one)], followed[np.searchsorted(keys, two)]
+        n_one, n_two = followed[one], followed[two]
         trained = np.frombuffer(r["held"], np.uint8) == 0
         del one, two, keys, followed
         base = np.log10((c + 1) / whole)
