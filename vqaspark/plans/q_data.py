@@ -82,12 +82,12 @@ def q_merged_sketches(spark, sf):
     for run in (0, 1):
         ST.split_sketches(d.where(F.col("id") % 2 == run)).write.parquet(f"{path}/run={run}")
     got = ST.merge_sketches(spark.read.parquet(path))
-    words = T.word_count("question")
-    exact = d.groupBy("split").agg(F.count_distinct("image_id").alias("e"), F.percentile(words, [0.48, 0.52]).alias("m"))
+    n, m, words = F.count(F.lit(1)), F.col("question_words_p50"), T.word_count("question")
+    exact = d.join(got.select("split", "question_words_p50"), "split").groupBy("split").agg(
+        F.count_distinct("image_id").alias("images"), (F.count_if(words < m) / n).alias("below"), (F.count_if(words <= m) / n).alias("up_to"))
     return got.join(exact, "split").select(
-        "split", "num_samples", (F.abs(F.col("unique_images") / F.col("e") - 1) <= 0.05).alias("images_near"),
-        ((F.col("question_words_p50") >= F.floor(F.col("m")[0])) & (F.col("question_words_p50") <= F.ceil(F.col("m")[1]))).alias("median_near"),
-        "question_words_max")
+        "split", "num_samples", (F.abs(F.col("unique_images") / F.col("images") - 1) <= 0.05).alias("images_near"),
+        ((F.col("below") <= 0.52) & (F.col("up_to") >= 0.48)).alias("median_near"), "question_words_max")
 
 
 @register("qa_pairs", S.QA)
