@@ -5,9 +5,10 @@ the pattern is blocked or allowed again.  ``lead`` turns the entries of a
 pattern into validity intervals, and every capture is joined with the
 intervals that were valid when it was fetched.
 
-Patterns are hosts (which cover their subdomains) or host/path prefixes, so a
-capture meets a bounded set of keys: its host and parent domains, and its
-path's leading segments, as deep as the deepest entry.  Both sides of the equi-join also carry a time
+Patterns are hosts (which cover their subdomains, a top-level domain all of
+its hosts) or host/path prefixes, brought to one spelling first.  So a capture
+meets a bounded set of keys: its host and parent domains, and its path's
+leading segments, as deep as the deepest entry.  Both sides of the equi-join also carry a time
 bucket: intervals are cut into buckets, and a capture only meets the intervals
 of its own.  A hot host is a hot key of the captures alone, whose rows any
 skewed join partition can split; nothing is gathered by host.
@@ -26,16 +27,28 @@ MAX_LABELS = 6                           # domain labels and
 MAX_SEGMENTS = 3                         # path segments of the derived list's patterns (a caller's may have any number)
 
 HOST = "(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+DOTS = "^\\.+|\\.+$"
 PATH = "(?i)^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)"
 
 
+def normal(pattern: Column) -> Column:
+    """One spelling of a pattern: host in lower case without dots at its ends,
+    path without empty segments or a closing slash (its case counts); null for
+    a pattern without a host."""
+    parts = F.split(pattern, "/")
+    host = F.regexp_replace(F.lower(F.trim(parts[0])), DOTS, "")
+    path = F.filter(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), lambda s: s != "")
+    return F.when(host != "", F.array_join(F.concat(F.array(host), path), "/"))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(pattern, action, valid_from, valid_to): entries of a pattern by day;
     each holds until the day before the next, the last for good (null).
 
-    Entries with a null pattern, action or day say nothing.  Of several on one
-    day, ``block`` wins over anything else."""
-    one = (entries.where("pattern is not null and action is not null and day is not null")
+    Entries with a null pattern, action or day, or without a host, say nothing.
+    Entries that differ in spelling alone (``normal``) are of one pattern; of
+    several on one day, ``block`` wins over anything else."""
+    one = (entries.withColumn("pattern", normal(F.col("pattern"))).where("pattern is not null and action is not null and day is not null")
            .groupBy("pattern", "day").agg(F.max(F.col("action") == "block").alias("b")))
     nxt = F.lead("day").over(Window.partitionBy("pattern").orderBy("day"))
     return one.select("pattern", F.when(F.col("b"), "block").otherwise("allow").alias("action"),
@@ -43,24 +56,23 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, HOST, 1))
+    return F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), DOTS, "")
 
 
 def depth_of(entries: DataFrame) -> tuple[int, int]:
     """Most domain labels and most path segments of any pattern."""
-    parts = F.split("pattern", "/")
+    parts = F.split(normal(F.col("pattern")), "/")
     d = entries.agg(F.max(F.size(F.split(parts[0], "\\."))).alias("n"), F.max(F.size(parts) - 1).alias("m")).first()
     return max(d["n"] or 0, 1), max(d["m"] or 0, 0)
 
 
 def keys_of(url: Column, max_labels: int, max_segments: int) -> Column:
     """Patterns of up to so many labels and path segments that cover a URL: its
-    host, parent domains of two labels or more, and its host with leading path
-    segments.  With the depth of a list, these are all that the list can have."""
+    host, all its parent domains, and its host with leading path segments.  With the depth of a list, these are all that the list can have."""
     host = host_of(url)
     labels = F.split(host, "\\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.greatest(n - F.lit(max_labels), F.lit(0)), F.greatest(n - 2, F.lit(0))),
+    domains = F.transform(F.sequence(F.greatest(n - F.lit(max_labels), F.lit(0)), F.greatest(n - 1, F.lit(0))),
                           lambda i: F.array_join(F.slice(labels, i + 1, F.greatest(n - i, F.lit(1))), "."))
     segments = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda s: s != "")
     paths = F.transform(F.sequence(F.lit(0), F.least(F.size(segments), F.lit(max_segments))),
@@ -79,7 +91,8 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     Null or malformed URLs and null days meet no entry: 0, null, false.  Rows that
     repeat an id with the same url and day each get the same result; an empty
     list blocks nothing; other columns are not read.  Keys go as deep as the
-    entries do, so no entry is out of reach of a long host or path."""
+    entries do and both sides are spelled alike, so no entry is out of reach of a
+    long host or path, another case, or a closing dot or slash."""
     c = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("u"), F.col(day_col).cast("int").alias("t"))
     # A capture of one url and day is looked up once, however often it was crawled.
     distinct = c.where("u is not null and t is not null").select("u", "t").distinct()
@@ -120,7 +133,9 @@ def derived_list(pages: DataFrame) -> DataFrame:
     pick = F.conv(F.substring(shuffle_key(F.col("pattern"), 1), 1, 7), 16, 10).cast("long") % 10
     some = hosts.withColumn("k", pick).where("k < 4")
     first = some.select("pattern", F.lit("block").alias("action"), day_of(F.col("pattern"), 2).alias("day"))
-    then = some.where("k < 3").select("pattern", F.lit("allow").alias("action"), day_of(F.col("pattern"), 3).alias("day"))
+    # Another spelling, as lists by hand have: a host in capitals, a path with a closing slash.
+    other = F.when(F.col("pattern").contains("/"), F.concat("pattern", F.lit("/"))).otherwise(F.upper("pattern"))
+    then = some.where("k < 3").select(other.alias("pattern"), F.lit("allow").alias("action"), day_of(F.col("pattern"), 3).alias("day"))
     again = some.where("k < 1").select("pattern", F.lit("block").alias("action"), day_of(F.col("pattern"), 4).alias("day"))
     return first.unionByName(then).unionByName(again)
 
@@ -136,13 +151,13 @@ def _sql_day(key: str, seed: int) -> str:
 
 _KEYS = f"""
 select page_id, url, unnest(list_distinct(list_concat(
-    list_filter(list_transform(range(greatest(n - {MAX_LABELS}, 0), greatest(n - 2, 0) + 1),
+    list_filter(list_transform(range(greatest(n - {MAX_LABELS}, 0), greatest(n - 1, 0) + 1),
         lambda i: array_to_string(labels[i + 1:], '.')), lambda d: d <> ''),
     list_filter(list_transform(range(0, least(len(segments), {MAX_SEGMENTS}) + 1),
         lambda i: host || '/' || array_to_string(segments[1:i], '/')), lambda p: not ends_with(p, '/'))))) as pattern
 from (select page_id, url, host, string_split(host, '.') as labels, len(string_split(host, '.')) as n,
              list_filter(string_split(regexp_extract(url, '{PATH}', 1), '/'), lambda s: s <> '') as segments
-      from (select page_id, url, lower(regexp_extract(url, '{HOST}', 1)) as host from pages) h where host <> '') x
+      from (select page_id, url, regexp_replace(lower(regexp_extract(url, '{HOST}', 1)), '{DOTS}', '', 'g') as host from pages) h where host <> '') x
 """
 
 ORACLE = f"""
@@ -151,10 +166,13 @@ picked as (select pattern, cast('0x' || substr(md5('1:' || pattern), 1, 7) as bi
            from (select distinct pattern from k) d),
 entries as (
   select pattern, 'block' as action, {_sql_day('pattern', 2)} as day from picked where k < 4
-  union all select pattern, 'allow', {_sql_day('pattern', 3)} from picked where k < 3
+  union all select case when contains(pattern, '/') then pattern || '/' else upper(pattern) end, 'allow',
+                   {_sql_day('pattern', 3)} from picked where k < 3
   union all select pattern, 'block', {_sql_day('pattern', 4)} from picked where k < 1),
+spelled as (select rtrim(case when contains(pattern, '/') then pattern else lower(pattern) end, '/') as pattern, action, day
+            from entries),
 one as (select pattern, day, case when bool_or(action = 'block') then 'block' else 'allow' end as action
-        from entries group by pattern, day),
+        from spelled group by pattern, day),
 iv as (select pattern, action, day as valid_from, lead(day) over (partition by pattern order by day) as valid_to from one),
 c as (select page_id, url, {_sql_day('page_id', 5)} as fetch_day from pages),
 hit as (select c.page_id, iv.pattern, iv.action,
