@@ -204,6 +204,15 @@ def write_scratch(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_ROWS = 1 << 20     # rows of a few numbers that may be broadcast (some tens of MB)
+
+
+def small(stored: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A stored table of a few numbers a row, marked for broadcast if it has at
+    most so many rows (counted from the files); beyond, Spark picks the join."""
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 @contextmanager
 def arrow_rows(spark, rows: int):
     """Hand at most ``rows`` rows to Python at once in the jobs run inside:

@@ -23,7 +23,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vqaspark.llm.base import parts, slices, write_scratch
+from vqaspark.llm.base import parts, slices, small, write_scratch
 from vqaspark.session import scratch_path
 
 MAX_BITS = 18            # longest code; 2^18 decoding entries
@@ -164,7 +164,7 @@ def count_ids(ids: DataFrame, ids_col: str = "ids") -> np.ndarray:
 
 _DOC = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("doc", T.LongType()), T.StructField("n_tokens", T.LongType()),
                      T.StructField("bits", T.BinaryType()), T.StructField("checks", T.BinaryType())])
-_BLOCK = ("part int, seq int, n_docs int, n_tokens long, docs binary, no_id binary, counts binary, "
+_BLOCK = ("part int, seq int, before long, n_docs int, n_tokens long, docs binary, no_id binary, counts binary, "
           "word_offsets binary, check_offsets binary, checks binary, bits binary")
 
 
@@ -209,14 +209,14 @@ def write_ids(ids: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     ordered = coded.repartition(n_parts, "part").sortWithinPartitions("part", "doc", "n_tokens", "bits")
 
     def blocks(batches):
-        part, seq, held, n = None, 0, [], 0
+        part, seq, before, held, n = None, 0, 0, [], 0
 
         def close():
             docs = pa.concat_arrays([h.column(1) for h in held])
             counts = np.concatenate([h.column(2).to_numpy() for h in held])
             size = np.concatenate([pc.binary_length(h.column(3)).to_numpy() for h in held]).astype(np.int64)
             n_checks = np.concatenate([pc.binary_length(h.column(4)).to_numpy() for h in held]).astype(np.int64)
-            row = [part, seq, len(docs), int(counts.sum()),
+            row = [part, seq, before, len(docs), int(counts.sum()),
                    pc.fill_null(docs, 0).to_numpy().astype("<i8").tobytes(),
                    np.asarray(docs.is_null()).astype(np.uint8).tobytes(), counts.astype("<i8").tobytes(),
                    np.cumsum(size // 4).astype("<i8").tobytes(), np.cumsum(n_checks // 4).astype("<i8").tobytes(),
@@ -224,7 +224,7 @@ def write_ids(ids: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                    b"".join(x for h in held for x in h.column(3).to_pylist())]
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema=schema)
 
-        schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64())]
+        schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int32()), ("n_tokens", pa.int64())]
                            + [(c, pa.binary()) for c in ("docs", "no_id", "counts", "word_offsets", "check_offsets",
                                                          "checks", "bits")])
         for b in batches:
@@ -234,13 +234,13 @@ def write_ids(ids: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 if part != p[a]:
                     if held:
                         yield close()
-                    part, seq, held, n = int(p[a]), 0, [], 0
+                    part, seq, before, held, n = int(p[a]), 0, 0, [], 0
                 for lo, hi in slices(b.column(2).to_numpy()[a:z], BLOCK_TOKENS):
                     held.append(b.slice(a + lo, hi - lo))
                     n += int(pc.sum(held[-1].column(2)).as_py() or 0)
                     if n >= BLOCK_TOKENS:
                         yield close()
-                        seq, held, n = seq + 1, [], 0
+                        seq, before, held, n = seq + 1, before + n, [], 0
         if held:
             yield close()
 
@@ -259,15 +259,11 @@ def read_ids(spark, path: str, out_id: str = "doc_id") -> DataFrame:
     for r in code_rows:
         lengths[r["symbol"]] = r["bits"]
     code = Code(lengths)
-    # Tokens before each block: sums over blocks of a part, then over parts (a
-    # row per written file, so the one unpartitioned window stays small).
-    sizes = blocks.select("part", "seq", "n_tokens")
-    before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    in_part = sizes.withColumn("in_part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).drop("n_tokens")
+    # Each block holds the tokens before it in its part; those of earlier parts are a row per part,
+    # summed in one window (a part is a task's share of the ids, so these rows are few).
     all_before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    of_part = (sizes.groupBy("part").agg(F.sum("n_tokens").alias("t"))
-               .select("part", F.coalesce(F.sum("t").over(all_before), F.lit(0)).alias("of_part")))
-    starts = in_part.join(of_part, "part").select("part", "seq", (F.col("in_part") + F.col("of_part")).alias("first"))
+    of_part = write_scratch(blocks.groupBy("part").agg(F.sum("n_tokens").alias("t")).select(
+        "part", F.coalesce(F.sum("t").over(all_before), F.lit(0)).alias("of_part")), "op4-parts")
 
     def decode(batches):
         for b in batches:
@@ -288,8 +284,7 @@ def read_ids(spark, path: str, out_id: str = "doc_id") -> DataFrame:
                         [docs.slice(lo, hi - lo), pa.array(r["first"] + offsets[lo:hi]), pa.array(n[lo:hi]),
                          _cut(part, offsets[lo:hi + 1] - offsets[lo])], names=[out_id, "start", "n_tokens", "ids"])
 
-    # The few numbers of ``starts`` meet their blocks without moving the blocks.
-    placed = blocks.join(F.broadcast(starts), ["part", "seq"])
+    placed = blocks.join(small(of_part), "part").withColumn("first", F.col("before") + F.col("of_part"))
     return placed.select("counts", "word_offsets", "check_offsets", "checks", "bits", "docs", "no_id", "first").mapInArrow(
         decode, f"{out_id} long, start long, n_tokens long, ids binary")
 
