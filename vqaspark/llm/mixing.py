@@ -8,18 +8,21 @@ source takes block ``permutation(n)`` of the source, a pseudorandom permutation
 of its blocks (a Feistel network with cycle walking), newly keyed
 for each pass over the source.  Slots meet blocks by an equi-join on (source,
 block).  The last slot of a source is cut to the words that are left, so every
-source gives exactly its target, rounded.
+source gives exactly its target, rounded.  ``mix_blocks`` writes the mix as
+packed blocks by (shard, slot) with the table of the shards' draws;
+``mix_documents`` and ``mix_counts`` are views of the same plan.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import os
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vqaspark.llm.base import Words, parts, text_slices, write_scratch
+from vqaspark.llm.base import Words, parts, small, text_slices, write_scratch
 
 WEIGHTS = (5.0, 2.0, 1.0)    # of the sources in code point order, repeating
 SHARE = 1.5                  # words of the mix over words of the input
@@ -65,15 +68,23 @@ def _hash(*cols) -> Column:
     return F.xxhash64(*cols)
 
 
+def _halves(size: Column) -> tuple[Column, Column]:
+    """Sizes of the low and the high half of the network."""
+    bits = F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(2)).cast("double"))), F.lit(2)).cast("int")
+    return F.pow(F.lit(2.0), F.floor(bits / 2)).cast("long"), F.pow(F.lit(2.0), bits - F.floor(bits / 2)).cast("long")
+
+
+def _walk(n: Column, size: Column, step) -> Column:
+    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), step(n), lambda acc, _: F.when(acc >= size, step(acc)).otherwise(acc))
+
+
 def permuted(n: Column, size: Column, source: Column, turn: Column, seed: int) -> Column:
     """Image of ``n`` under a pseudorandom permutation of 0 .. size - 1.
 
     A Feistel network over two unequal halves permutes 0 .. 2^b - 1 with the
     smallest 2^b >= size; values outside are sent through it again until they
     fall inside (each try succeeds with probability over 1/2; 64 are made)."""
-    bits = F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(2)).cast("double"))), F.lit(2)).cast("int")
-    low = F.pow(F.lit(2.0), F.floor(bits / 2)).cast("long")
-    high = F.pow(F.lit(2.0), bits - F.floor(bits / 2)).cast("long")
+    low, high = _halves(size)
 
     def rounds(x):
         left, right = F.floor(x / low).cast("long"), F.pmod(x, low)
@@ -82,8 +93,21 @@ def permuted(n: Column, size: Column, source: Column, turn: Column, seed: int) -
             right = F.pmod(right + F.pmod(_hash(left, source, turn, F.lit(seed), F.lit(2 * r + 1)), low), low)
         return left * low + right
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), rounds(n),
-                       lambda acc, _: F.when(acc >= size, rounds(acc)).otherwise(acc))
+    return _walk(n, size, rounds)
+
+
+def place_of(block: Column, size: Column, source: Column, turn: Column, seed: int) -> Column:
+    """The ``n`` whose ``permuted`` image is ``block``: the network backwards."""
+    low, high = _halves(size)
+
+    def back(x):
+        left, right = F.floor(x / low).cast("long"), F.pmod(x, low)
+        for r in (1, 0):
+            right = F.pmod(right - F.pmod(_hash(left, source, turn, F.lit(seed), F.lit(2 * r + 1)), low), low)
+            left = F.pmod(left - F.pmod(_hash(right, source, turn, F.lit(seed), F.lit(2 * r)), high), high)
+        return left * low + right
+
+    return _walk(block, size, back)
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
@@ -112,24 +136,21 @@ def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, shard_words: in
     shards = F.greatest(F.ceil(F.sum(t).over(Window.partitionBy()) / F.lit(shard_words)), F.lit(1)).cast("long")
     s = (per_source.where("source_size > 0").withColumn("t", t).withColumn("shards", shards)
          .withColumn("blocks", F.ceil(F.col("source_size") / F.lit(block_words)).cast("long")).where("t > 0"))
-    # Slot numbers in runs, so that a large source is spread over tasks before it is unrolled.
-    run = 4096
+    key = F.coalesce("source", F.lit("\0null"))
     last_turn = F.floor((F.col("t") - 1) / F.col("source_size")).cast("long")
     s = s.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), last_turn)))
     s = s.withColumn("words", F.least(F.col("t") - F.col("turn") * F.col("source_size"), F.col("source_size")))
+    # All blocks are full but the source's last one; before slot n lie n blocks, less what the
+    # short one misses if it was drawn before.
+    s = s.withColumn("sn", place_of(F.col("blocks") - 1, F.col("blocks"), key, F.col("turn"), seed))
+    # Slot numbers in runs, so that a large source is spread over tasks before it is unrolled.
+    run = 4096
     s = s.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / F.lit(run)).cast("long"))))
     s = s.repartition(parts(per_source.sparkSession, 0, 1), "source", "turn", "run")
     s = s.withColumn("nth", F.explode(F.sequence(F.col("run") * run, F.least(F.col("blocks"), (F.col("run") + 1) * run) - 1)))
-    key = F.coalesce("source", F.lit("\0null"))
-    block = permuted(F.col("nth"), F.col("blocks"), key, F.col("turn"), seed)
-    s = s.withColumn("block", block)
-    # All blocks are full but the source's last one; before slot n lie n blocks, less what the
-    # short one misses if it was drawn before.
+    s = s.withColumn("block", permuted(F.col("nth"), F.col("blocks"), key, F.col("turn"), seed))
     short = F.col("source_size") - (F.col("blocks") - 1) * F.lit(block_words)
-    size = F.when(F.col("block") == F.col("blocks") - 1, short).otherwise(F.lit(block_words))
-    where_short = s.where(F.col("block") == F.col("blocks") - 1).select(
-        F.col("source").alias("ss"), F.col("turn").alias("st"), F.col("nth").alias("sn"))
-    s = s.join(F.broadcast(where_short), s["source"].eqNullSafe(F.col("ss")) & (s["turn"] == F.col("st")))   # 1 or 2 rows a source
+    size = F.when(F.col("nth") == F.col("sn"), short).otherwise(F.lit(block_words))
     begun = F.col("nth") * F.lit(block_words) - F.when(F.col("sn") < F.col("nth"), F.lit(block_words) - short).otherwise(F.lit(0))
     take = F.least(size, F.col("words") - begun)
     slot = F.col("turn") * F.col("blocks") + F.col("nth")
@@ -138,22 +159,32 @@ def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, shard_words: in
                     slot.alias("slot"), "turn", "block", "take"))
 
 
-def plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, seed: int):
+def shard_counts(drawn: DataFrame) -> DataFrame:
+    """(shard, source, slots, words): what every output shard drew of every
+    source.  The slots of a source over all shards are its blocks in the mix,
+    the words its target."""
+    return drawn.groupBy("shard", "source").agg(F.count(F.lit(1)).alias("slots"), F.sum("take").alias("words"))
+
+
+def plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, seed: int, shard_words: int = SHARD_WORDS):
+    """(documents with their words' places, sources, draws, word ranges drawn).
+    ``k`` numbers the rows of one id and size by (source, place)."""
     sizes = write_scratch(sized(docs, id_col, text_col, source_col), "op8-sizes")
     per = write_scratch(targets(sizes).coalesce(1), "op8-targets")
     placed = write_scratch(_in_order(sizes), "op8-placed")
     lo = F.floor(F.col("offset") / F.lit(block_words)).cast("long")
     hi = F.floor((F.col("offset") + F.col("size") - 1) / F.lit(block_words)).cast("long")
-    pieces = (placed.where("size > 0").withColumn("block", F.explode(F.sequence(lo, hi)))
+    nth = F.row_number().over(Window.partitionBy("doc", "size").orderBy(F.col("source").asc_nulls_last(), "offset"))
+    pieces = (placed.where("size > 0").withColumn("k", nth).withColumn("block", F.explode(F.sequence(lo, hi)))
               .withColumn("from_block", F.greatest(F.col("offset"), F.col("block") * block_words) - F.col("block") * block_words)
               .withColumn("to_block", F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block_words)
                           - F.col("block") * block_words))
-    drawn = slots(per, block_words, seed=seed)
+    drawn = slots(per, block_words, shard_words, seed)
     same = pieces["source"].eqNullSafe(drawn["source"]) & (pieces["block"] == drawn["block"])
     got = (pieces.join(drawn, same).withColumn("n", F.least("to_block", "take") - F.col("from_block")).where("n > 0")
-           .select("doc", pieces["source"], "size", "offset", "shard", "slot", "turn",
+           .select("doc", pieces["source"], "size", "k", "offset", "shard", "slot", "turn",
                    (pieces["block"] * block_words + F.col("from_block") - F.col("offset")).alias("word"), "n"))
-    return placed, per, got
+    return placed, per, drawn, got
 
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -165,38 +196,80 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source is a source of its own, after all others; an empty table gives an
     empty result.  Rows that repeat an id with the same source and size share
     their words evenly in order; other columns are not read."""
-    placed, per, got = plan(docs, id_col, text_col, source_col, block_words, seed)
+    placed, per, _, got = plan(docs, id_col, text_col, source_col, block_words, seed)
     taken = got.groupBy("doc", "source", "size", "offset").agg(F.sum("n").alias("taken"))
     key = ["doc", "source", "size", "offset"]
     a, b = placed.alias("a"), taken.alias("b")
     on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
     out = a.join(b, on[0] & on[1] & on[2] & on[3], "left").select(
         *[F.col(f"a.{c}").alias(c) for c in key], F.coalesce("taken", F.lit(0)).alias("taken"))
-    out = out.join(F.broadcast(per.withColumnRenamed("source", "s")), out["source"].eqNullSafe(F.col("s")))  # a row per source
+    out = out.join(small(per).withColumnRenamed("source", "s"), out["source"].eqNullSafe(F.col("s")))  # a row per source
     return out.select(F.col("doc").alias(id_col), F.col("size"), F.col("source_size"), F.col("target"), F.col("taken"))
 
 
+def _meet(rows: DataFrame, cuts: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """Rows with the cuts of their place among rows of the same id and size."""
+    size = F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long")
+    named = rows.withColumn("__id", F.col(id_col).cast("long")).withColumn("__n", size).where("__n > 0")
+    order = [F.col(source_col).cast("string").asc_nulls_last(), text_col]
+    named = named.withColumn("__k", F.row_number().over(Window.partitionBy("__id", "__n").orderBy(*order)))
+    c = cuts.select(*[F.col(x).alias(f"__{x}_of") if x in ("doc", "size", "k") else F.col(x) for x in cuts.columns])
+    return named.join(c, F.col("__id").eqNullSafe(F.col("__doc_of")) & (F.col("__n") == F.col("__size_of")) & (F.col("__k") == F.col("__k_of")))
+
+
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                   size_col: str | None = "n_chars", block_words: int = BLOCK_WORDS, seed: int = 42) -> DataFrame:
     """The mix as rows like the input's: for each document and pass over its
     source, a row with the words taken from it (in text order, separated as in
     the text where they are neighbours, else by a line break).  A document
     taken whole keeps its text untouched; ``size_col``, if there, is set to
-    the new number of characters.  Rows that repeat an id are told apart by
-    the order of their texts."""
-    spark = docs.sparkSession
+    the new number of characters.  Rows of one id and size are told apart
+    by the order of their sources and texts: each gives the words of its own place."""
     names = docs.columns
     renamed = docs.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)])
     at = {c: f"__c{names.index(c)}" for c in (id_col, text_col, source_col)}
-    placed, _, got = plan(renamed, at[id_col], at[text_col], at[source_col], block_words, seed)
-    del placed, spark
-    # Ids are unique in a documents table; of rows that repeat one, each range of words goes to all.
-    cuts = got.groupBy("doc", "turn").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("cuts"))
-    joined = renamed.join(cuts, renamed[at[id_col]].cast("long").eqNullSafe(cuts["doc"])).drop("doc", "turn")
-    ti = joined.columns.index(at[text_col])
-    ci = joined.columns.index("cuts")
-    keep = [i for i in range(len(joined.columns)) if i != ci]
-    schema = T.StructType([joined.schema.fields[i] for i in keep])
+    _, _, _, got = plan(renamed, at[id_col], at[text_col], at[source_col], block_words, seed)
+    cuts = got.groupBy("doc", "size", "k", "turn").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("cuts"))
+    met = _meet(renamed, cuts, at[id_col], at[text_col], at[source_col])
+    out = _cut_words(met.select(*renamed.columns, "cuts"), at[text_col])
+    if size_col in names:
+        c = f"__c{names.index(size_col)}"
+        out = out.withColumn(c, F.length(at[text_col]).cast(out.schema[c].dataType))
+    return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)])
+
+
+def mix_blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Write the mix as packed blocks and return (blocks, counts) as stored.
+
+    ``blocks``, under ``path``/blocks, has a row per slot: ``shard``, ``source``,
+    ``slot``, ``n_words``, ``docs`` (ids in block order) and ``text`` (their
+    words; a line break between documents).  Files are ranges of (shard, place),
+    where ``place`` is a hash of the slot, so a reader finds the sources mixed.
+    ``counts``, under ``path``/counts, is ``shard_counts``.  Rows of one id
+    and size lie in the order of their sources and texts; texts without words
+    and an empty table give no block; null ids stay null in ``docs``."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("t"), F.col(source_col).cast("string").alias("src"))
+    _, _, drawn, got = plan(slim, "doc", "t", "src", block_words, seed, shard_words)
+    cuts = got.groupBy("doc", "size", "k", "offset").agg(F.collect_list(F.struct("word", "n", "shard", "slot")).alias("cuts"))
+    met = _meet(slim, cuts, "doc", "t", "src").select("doc", F.col("src").alias("source"), "offset", "t", "cuts")
+    inside = F.sort_array(F.collect_list(F.struct("offset", "doc", "t", "n")))     # at most block_words words
+    blocks = (_cut_pieces(met).groupBy("shard", "source", "slot").agg(inside.alias("p"))
+              .select("shard", "source", "slot", F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n_words"),
+                      F.col("p.doc").alias("docs"), F.array_join("p.t", "\n").alias("text")))
+    place = _hash("source", "slot", F.lit(seed + 2))
+    spark = docs.sparkSession
+    blocks.withColumn("place", place).repartitionByRange(parts(spark, 0, 1), "shard", "place").sortWithinPartitions(
+        "shard", "place", "source", "slot").drop("place").write.parquet(os.path.join(path, "blocks"))
+    shard_counts(drawn).write.parquet(os.path.join(path, "counts"))
+    return spark.read.parquet(os.path.join(path, "blocks")), spark.read.parquet(os.path.join(path, "counts"))
+
+
+def _cut_words(rows: DataFrame, text_col: str) -> DataFrame:
+    """Rows whose text is cut to the word ranges of their ``cuts``, which go."""
+    ti, ci = rows.columns.index(text_col), rows.columns.index("cuts")
+    keep = [i for i in range(len(rows.columns)) if i != ci]
+    schema = T.StructType([rows.schema.fields[i] for i in keep])
 
     def cut(batches):
         for b in batches:
@@ -209,14 +282,30 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 cols = [pa.array(texts, pa.string()) if j == ti else b.column(j).slice(lo, len(part)) for j in keep]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    out = joined.mapInArrow(cut, schema)
-    if size_col in names:
-        c = f"__c{names.index(size_col)}"
-        out = out.withColumn(c, F.length(at[text_col]).cast(schema[c].dataType))
-    return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)])
+    return rows.mapInArrow(cut, schema)
+
+
+def _cut_pieces(rows: DataFrame) -> DataFrame:
+    """A row per word range: a text is read once, however many blocks it fills."""
+    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("source", T.StringType()), T.StructField("slot", T.LongType()),
+                           T.StructField("offset", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("t", T.StringType()),
+                           T.StructField("n", T.LongType())])
+
+    def cut(batches):
+        for b in batches:
+            for lo, part in text_slices(b.column("t")):
+                w = Words(part)
+                raw = w.buf.tobytes()
+                docs, sources, offsets, cuts = (b.column(c).slice(lo, len(part)).to_pylist() for c in ("doc", "source", "offset", "cuts"))
+                found = [(r["shard"], sources[i], r["slot"], offsets[i], docs[i], _extract(raw, w, i, [r], whole=False), r["n"])
+                         for i, ranges in enumerate(cuts) for r in ranges]
+                yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], t) for j, t in enumerate(
+                    (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()))], names=schema.names)
+
+    return rows.mapInArrow(cut, schema)
 
 
-def _extract(raw: bytes, w: Words, i: int, ranges: list[dict]) -> str:
+def _extract(raw: bytes, w: Words, i: int, ranges: list[dict], whole: bool = True) -> str:
     a, z = int(w.first[i]), int(w.first[i + 1])
     spans = []
     for r in ranges:
@@ -225,6 +314,6 @@ def _extract(raw: bytes, w: Words, i: int, ranges: list[dict]) -> str:
             spans[-1][1] = hi
         elif lo < hi:
             spans.append([lo, hi])
-    if spans == [[a, z]]:
+    if whole and spans == [[a, z]]:
         return raw[int(w.offsets[i]):int(w.offsets[i + 1])].decode("utf-8")
     return "\n".join(raw[int(w.starts[lo]):int(w.ends[hi - 1])].decode("utf-8") for lo, hi in spans)
