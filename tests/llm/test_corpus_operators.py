@@ -259,6 +259,54 @@ def test_mixed_documents(spark, edge):
     assert got == Counter({k: v for k, v in counts.items() if v})
 
 
+def test_mixed_rows_of_one_id(spark):
+    """Rows that share id, source and size each give their own words, none twice a pass."""
+    a, b = " ".join(f"a{i}" for i in range(100)), " ".join(f"b{i}" for i in range(100))
+    docs = spark.createDataFrame([(1, a, "s", 0), (1, b, "s", 0), (None, a + " z", "s", 0), (2, "c", "u", 0)],
+                                 "doc_id long, text string, source string, n_chars int")
+    per = mixing.mix_counts(docs, block_words=16)
+    total = per.agg(F.sum("taken")).first()[0]
+    out = mixing.mix_documents(docs, block_words=16).collect()
+    seen = Counter(w for r in out for w in WORD.findall(r.text))
+    assert sum(seen.values()) == total and all(n <= 4 for n in seen.values())
+    assert all(1 <= seen[f"{x}{i}"] <= 2 for x in "b" for i in range(100))
+
+
+@pytest.mark.parametrize("block,shard", [(16, 200), (1024, 1 << 20)])
+def test_mixed_blocks_add_up(spark, edge, empty, tmp_path, block, shard):
+    """Blocks, shard counts and taken words agree, and blocks hold the texts' words in order."""
+    blocks, counts = mixing.mix_blocks(edge, str(tmp_path / "mix"), block_words=block, shard_words=shard)
+    rows = blocks.collect()
+    drawn = {(r.shard, r.source): (r.slots, r.words) for r in counts.collect()}
+    got = {}
+    for r in rows:
+        n, w = got.get((r.shard, r.source), (0, 0))
+        got[r.shard, r.source] = n + 1, w + r.n_words
+        assert len(WORD.findall(r.text)) == r.n_words <= block and len(r.docs) >= 1
+    assert got == drawn and len({(r.source, r.slot) for r in rows}) == len(rows)
+    if shard == 200:
+        assert len({r.shard for r in rows}) > 5
+    taken, target = Counter(), {}
+    for r in mixing.mix_counts(edge, block_words=block).select("taken", "target", "source_size").collect():
+        target[r.source_size, r.target] = 0
+    for r in rows:
+        taken[r.source] += r.n_words
+    assert sorted(taken.values()) == sorted(math.floor(t + 0.5) for s, t in target if s)
+    text = Counter(w for r in edge.collect() for w in WORD.findall(r.text or ""))
+    assert set(w for r in rows for w in WORD.findall(r.text)) <= set(text)
+    counted = Counter(w for r in rows for w in WORD.findall(r.text))
+    assert all(counted[w] <= 2 * n for w, n in text.items())
+    none = mixing.mix_blocks(empty, str(tmp_path / "none"))
+    assert none[0].count() == none[1].count() == 0
+
+
+def test_place_of_undoes_the_permutation(spark):
+    for n in (1, 2, 3, 17, 1000):
+        size, key, turn = F.lit(n).cast("long"), F.lit("s"), F.lit(1).cast("long")
+        got = spark.range(n).select("id", mixing.permuted(F.col("id"), size, key, turn, 42).alias("b"))
+        assert got.where(mixing.place_of(F.col("b"), size, key, turn, 42) != F.col("id")).count() == 0
+
+
 # -- URL filters --------------------------------------------------------------
 
 def test_url_filters_over_time(spark):
@@ -294,6 +342,20 @@ def test_url_filters_long_hosts_and_deep_paths(spark):
         (6, 1, "g.org/1/2/3/4", False), (7, 0, None, False)]
 
 
+def test_url_filters_spellings(spark):
+    entries = spark.createDataFrame([(p, "block", 10) for p in ("ru", "Example.com", "a.com/x/", "b.com/", ".c.com", "d.com.", "/x", "", "E.com//P/")],
+                                    "pattern string, action string, day int")
+    urls = ["http://foo.ru./", "http://EXAMPLE.com", "http://a.com/x", "http://a.com//x/y", "http://b.com/z", "http://w.c.com", "http://d.com./q",
+            "http://e.com/P/1", "http://e.com/p", "http://ru/", "http://.../", "http://nothing.org/x"]
+    out = url_filters.filter_urls(spark.createDataFrame([(i, u, 12) for i, u in enumerate(urls)], "page_id long, url string, fetch_day int"), entries)
+    assert [(r.n_active, r.rule) for r in sorted(out.collect())] == [
+        (1, "ru"), (1, "example.com"), (1, "a.com/x"), (1, "a.com/x"), (1, "b.com"), (1, "c.com"), (1, "d.com"), (1, "e.com/P"), (0, None),
+        (1, "ru"), (0, None), (0, None)]
+    mixed = spark.createDataFrame([("A.org/", "block", 10), ("a.org", "allow", 10), ("a.org.", "allow", 20)], "pattern string, action string, day int")
+    assert sorted((r.pattern, r.action, r.valid_from, r.valid_to) for r in url_filters.intervals(mixed).collect()) == [
+        ("a.org", "allow", 20, None), ("a.org", "block", 10, 20)]
+
+
 def test_url_filters_against_oracle(spark):
     import duckdb
     sf = "/root/testdata/sf0.01"
