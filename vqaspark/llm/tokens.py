@@ -7,14 +7,16 @@ slice is encoded once (with a bounded cache per Python worker).
 Texts of more than ``LEAF_CHARS`` are encoded by *tree concatenation*: the
 text is halved until the leaves are short, leaves are rows that Spark deals to
 all executors, and neighbours are joined by re-encoding a window around the
-cut.  The window grows until the tokens on both of its sides agree exactly
-with what the halves had there.
+cut.  The window grows until it shares a token at the same place with either
+half (``_anchors``); white space is not needed.  Inner nodes of the tree are
+rows too, ``FAN`` children each, so the joins of one text run in many tasks.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from array import array
 
 import numpy as np
@@ -28,6 +30,7 @@ from vqaspark.llm.base import Words, map_text, parts, slices, text_bytes
 
 LEAF_CHARS = 65_536      # longer texts are halved
 WINDOW_CHARS = 64        # first window on each side of a cut; doubles until both sides agree
+FAN = 64                 # neighbours joined into one row of the tree's next level
 CACHE_PIECES = 300_000   # pieces remembered per Python worker (some 60 MB)
 
 # Fixed value: the splitting pattern of the tokenizer file.
@@ -117,6 +120,12 @@ class WordEncoder:
                 "NFC", "Replace", "Lowercase"]:
             raise ValueError(f"{path}: not a tokenizer that lowers case and splits words from marks")
         self.byte_char = _byte_chars()
+        self.ends_piece = np.zeros(self.tok.get_vocab_size(), bool)
+        for token, i in self.tok.get_vocab().items():
+            self.ends_piece[i] = token.endswith("</w>")
+        #: Characters beside a cut or a window's end that may split otherwise in the whole text:
+        #: a contraction or a special token may lie across.
+        self.margin = max([4, *(len(t.content) + 4 for t in self.tok.get_added_tokens_decoder().values())])
         self.known: dict[bytes, bytes] = {}
 
     def _piece(self, piece: bytes) -> bytes:
@@ -128,6 +137,12 @@ class WordEncoder:
             out = [t.id for t in self.model.tokenize(s)]
         return array("I", out).tobytes()
 
+    def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of one text, and the characters where each token starts and ends."""
+        e = self.tok.encode(text, add_special_tokens=False)
+        at = np.asarray(e.offsets, np.int64).reshape(-1, 2)
+        return np.asarray(e.ids, np.uint32), at[:, 0], at[:, 1]
+
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, and each text's n + 1 offsets."""
         w = Pieces(col)
@@ -214,61 +229,101 @@ def halves(text: str, leaf: int = LEAF_CHARS) -> list[str]:
     return halves(text[:mid], leaf) + halves(text[mid:], leaf)
 
 
-_HARD = " \t\n\x0b\x0c\r"
-
-
-def _cut_left(text: str, window: int) -> int:
-    """Start of the window in the left half: after white space, 0 at the latest."""
-    for i in range(max(len(text) - window, 0), len(text)):
-        if text[i] in _HARD:
-            return i + 1
-    return -1 if window < len(text) else 0
-
-
-def _cut_right(text: str, window: int) -> int:
-    """End of the window in the right half: before white space, or its end."""
-    for i in range(min(window, len(text)) - 1, -1, -1):
-        if text[i] in _HARD:
-            return i
-    return -1 if window < len(text) else len(text)
-
-
-def join_halves(left: tuple[str, np.ndarray], right: tuple[str, np.ndarray], encode_one,
+def _stands(c: str) -> bool:
+    """Whether normalisation joins nothing before this character to it: ASCII,
+    letters of Latin, Greek and Cyrillic, kana, CJK ideographs, Hangul syllables."""
+    return c < "\x7f" or (c < "\u0530" or "\u3041" <= c < "\ud7a4") and unicodedata.category(c)[0] == "L"
+
+
+def _one_run(text: str) -> bool:
+    """Letters alone, or ASCII marks alone, before and after normalisation."""
+    low = unicodedata.normalize("NFC", text).lower()
+    return low.isalpha() or text.isascii() and low.isprintable() and not any(c.isalnum() or c == " " for c in low)
+
+
+def _anchors(half, window, shift: int, text: str, lo: int, hi: int, enc: "WordEncoder") -> np.ndarray:
+    """Pairs (token of the half's part, token of the window) that prove that
+    both sequences may be spliced there.
+
+    ``half`` and ``window`` are ``spans``; the half's part begins ``shift``
+    characters into ``text``, the window's.  Both have the same token at the same characters, between
+    ``lo`` and ``hi``, and nothing composes over its ends.  Where the token
+    ends a piece, the next one starts at the same character in both, and
+    the splitting pattern looks at nothing before a piece.  Inside a piece of
+    letters (or of marks), the piece ends alike in both, and a sequence of
+    tokens is the byte-pair encoding of a piece if every two neighbours are the
+    encoding of theirs: those up to the token are so in one, those after it in
+    the other.  An apostrophe near by may be a contraction; such tokens do not
+    count."""
+    ids, a, z = half[0], half[1] + shift, half[2] + shift
+    whole = np.ones(len(ids), bool)                    # not a part of a character
+    whole[1:] &= a[1:] >= z[:-1]
+    whole[:-1] &= z[:-1] <= a[1:]
+    ok = np.flatnonzero(whole & (a >= lo) & (z <= hi) & (z > a))
+    place = {(int(s), int(e)): (k, int(i)) for k, (i, s, e) in enumerate(zip(*window))}
+    found = []
+    for k in ok.tolist():
+        s, e = int(a[k]), int(z[k])
+        at, i = place.get((s, e), (-1, -1))
+        if i != int(ids[k]) or not _stands(text[s]) or e < len(text) and not _stands(text[e]):
+            continue
+        if enc.ends_piece[i] or _one_run(text[s:e]) and "'" not in text[max(s - 3, 0):e + 1]:
+            found.append((k, at))
+    return np.asarray(found, np.int64).reshape(-1, 2)
+
+
+def _agree(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the common prefix."""
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[:n] != y[:n])
+    return int(differ[0]) if len(differ) else n
+
+
+def join_halves(left: tuple[str, np.ndarray], right: tuple[str, np.ndarray], enc: "WordEncoder",
                 window: int = WINDOW_CHARS) -> tuple[str, np.ndarray]:
     """Ids of left + right text from the ids of both.
 
-    The text in the window is encoded as it stands in the joined text; outside
-    it each half keeps its ids.  The window is accepted when it begins and ends
-    at white space (nothing merges across it) and when each half's own ids
-    around there agree exactly with its window part encoded alone; else it
-    grows, at last to both halves."""
+    The window around the cut is encoded as it stands in the joined text, and
+    its part in each half alone; the tokens that this part shares with the
+    half's own ids, counted from the cut's far side, have known places.  The
+    window is accepted if it has an anchor (``_anchors``) among them on either
+    side, or reaches that half's end; else it doubles, at last to both halves."""
     (lt, li), (rt, ri) = left, right
     w = window
     while True:
-        a, b = _cut_left(lt, w), _cut_right(rt, w)
-        if a >= 0 and b >= 0:
-            tail, head = encode_one(lt[a:]), encode_one(rt[:b])
-            if (a == 0 or len(tail) <= len(li) and np.array_equal(li[len(li) - len(tail):], tail)) and (
-                    b == len(rt) or len(head) <= len(ri) and np.array_equal(ri[:len(head)], head)):
-                mid = encode_one(lt[a:] + rt[:b])
-                before = li[:len(li) - len(tail)] if a else li[:0]
-                after = ri[len(head):] if b < len(rt) else ri[:0]
-                return lt + rt, np.concatenate([before, mid, after]).astype(np.uint32)
-        if w >= max(len(lt), len(rt)):
-            return lt + rt, encode_one(lt + rt)
+        a, b = max(len(lt) - w, 0), min(w, len(rt))
+        text, cut = lt[a:] + rt[:b], len(lt) - a
+        mid = enc.spans(text)
+        before, first, last, after = li[:0], 0, len(mid[0]), ri[:0]
+        good = True
+        if a:
+            tail = enc.spans(lt[a:])
+            n = len(tail[0])
+            known = _agree(tail[0][::-1], li[::-1])
+            got = _anchors(tail, mid, 0, text, enc.margin, cut - enc.margin, enc)
+            got = got[got[:, 0] >= n - known]
+            good = len(got) > 0
+            if good:
+                before, first = li[:len(li) - (n - int(got[0, 0]))], int(got[0, 1])
+        if good and b < len(rt):
+            head = enc.spans(rt[:b])
+            known = _agree(head[0], ri)
+            got = _anchors(head, mid, cut, text, cut + enc.margin, len(text) - enc.margin, enc)
+            got = got[got[:, 0] < known]
+            good = len(got) > 0
+            if good:
+                after, last = ri[int(got[-1, 0]) + 1:], int(got[-1, 1]) + 1
+        if good:
+            return lt + rt, np.concatenate([before, mid[0][first:last], after]).astype(np.uint32)
         w *= 2
 
 
-def concatenate(leaves: list[tuple[str, np.ndarray]], encode_one, window: int = WINDOW_CHARS) -> np.ndarray:
-    """Join neighbours level by level."""
+def concatenate(leaves: list[tuple[str, np.ndarray]], enc: "WordEncoder", window: int = WINDOW_CHARS) -> tuple[str, np.ndarray]:
+    """Join neighbours level by level: the whole text and its ids."""
     while len(leaves) > 1:
-        pairs = [join_halves(leaves[i], leaves[i + 1], encode_one, window) for i in range(0, len(leaves) - 1, 2)]
+        pairs = [join_halves(leaves[i], leaves[i + 1], enc, window) for i in range(0, len(leaves) - 1, 2)]
         leaves = pairs + ([leaves[-1]] if len(leaves) % 2 else [])
-    return leaves[0][1]
-
-
-def _one(enc: WordEncoder):
-    return lambda text: enc.encode(pa.array([text], pa.string()))[0]
+    return leaves[0]
 
 
 def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, leaf: int = LEAF_CHARS) -> DataFrame:
@@ -306,15 +361,19 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, lea
               .repartition(parts(spark, 0, 1), "__d", "leaf"))      # leaves in parallel on all executors
     encoded = map_text(leaves, "part", whole, fields).drop("n_tokens")
 
-    def join_tree(key, table):
+    def join_nodes(key, table):
         table = table.sort_by("leaf")
-        enc = _one(encoder(path))
-        ids = concatenate([(t, np.frombuffer(i, "<u4")) for t, i in zip(
-            table.column("part").to_pylist(), table.column("ids").to_pylist())], enc)
-        return pa.table({"__d": [key[0].as_py()], "n_tokens": pa.array([len(ids)], pa.int64()),
+        text, ids = concatenate([(t, np.frombuffer(i, "<u4")) for t, i in zip(
+            table.column("part").to_pylist(), table.column("ids").to_pylist())], encoder(path))
+        return pa.table({"__d": [key[0].as_py()], "leaf": pa.array([key[1].as_py()], pa.int32()), "part": pa.array([text], pa.string()),
                          "ids": pa.array([ids.astype("<u4").tobytes()], pa.binary())})
 
-    joined = encoded.groupBy("__d").applyInArrow(join_tree, "__d string, n_tokens long, ids binary")
+    # A string of Spark has under 2^31 bytes, so under 2^16 leaves of the default length: two levels, then the root.
+    for wide in (FAN, FAN, None):
+        node = F.floor(F.col("leaf") / wide).cast("int") if wide else F.lit(0)
+        encoded = encoded.withColumn("node", node).groupBy("__d", "node").applyInArrow(
+            join_nodes, "__d string, leaf int, part string, ids binary")
+    joined = encoded.select("__d", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
     long = (long_rows.select(*[F.col(f"`{c}`") for c in kept], digest.alias("__d"))
             .join(joined, "__d").select(*[F.col(f"`{c}`") for c in kept], "n_tokens", "ids"))
     return short.unionByName(long) if kept else short.union(long)
