@@ -54,11 +54,42 @@ def test_bpe_matches_library(spark, edge, empty, texts):
 @pytest.mark.parametrize("leaf", [5, 37, 1000])
 def test_tree_concatenation(leaf):
     enc = tokens.encoder(tokens.tokenizer_path())
-    one = tokens._one(enc)
+    one = lambda t: enc.encode(pa.array([t], pa.string()))[0]
     for t in ["", "abc", "a b  c", "x" * 300, "the quick brown fox's 12 jumps " * 20, "é" * 50 + " é" * 20, "ab" * 60 + " cd" * 40,
               "no<|endoftext|>space " * 9]:
         parts = [(p, one(p)) for p in tokens.halves(t, leaf)]
-        assert tokens.concatenate(parts, one, window=2).tolist() == library().encode(t, add_special_tokens=False).ids
+        assert tokens.concatenate(parts, enc, window=2)[1].tolist() == library().encode(t, add_special_tokens=False).ids
+
+
+def test_tree_of_unsplit_text():
+    """Windows stay small where no white space is near the cut, and ids are the library's."""
+    import random
+    enc, lib, r = tokens.encoder(tokens.tokenizer_path()), library(), random.Random(5)
+    read = []
+
+    class Counting:
+        margin, ends_piece = enc.margin, enc.ends_piece
+
+        def spans(self, text):
+            read.append(len(text))
+            return enc.spans(text)
+
+    t = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000))
+    leaves = [(p, enc.encode(pa.array([p]))[0]) for p in tokens.halves(t)]
+    assert tokens.concatenate(leaves, Counting())[1].tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert len(leaves) == 8 and sum(read) < 20_000 and max(read) < 2_000
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghijklmnopqrstuvwxyz", "ab'srevl!", "aE\u0301\u0323\u0308eo", "1a2!'", "é日本のç\u3099か한",
+                                      "İſKΣσς'a", "!?#-\"'", "\u1112\u1161\u11ab가a", " ab\u00a0\u2003c", "a\u0345\u0313αι"])
+def test_tree_on_hard_alphabets(alphabet):
+    import random
+    enc, lib = tokens.encoder(tokens.tokenizer_path()), library()
+    for seed in range(25):
+        r = random.Random(seed)
+        t = "".join(r.choice(["<|endoftext|>"] if r.random() < 0.01 else alphabet) for _ in range(r.randint(100, 1500)))
+        leaves = [(p, enc.encode(pa.array([p], pa.string()))[0]) for p in tokens.halves(t, r.choice([60, 150, 400]))]
+        assert tokens.concatenate(leaves, enc, window=r.choice([16, 40, 64]))[1].tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
 def test_tree_through_spark(spark, edge, texts):
