@@ -41,7 +41,7 @@ def encode(spark, docs, sf_dir):
 STAGES = [("quality_classifier", classify), ("quality_rules", rules), ("near_duplicates", near_duplicates),
           ("mix_sources", mix), ("bpe_encode", encode)]
 
-#: Trained models and hash-based draws are not SQL; tests compare each stage with brute force.
+#: Trained models and hash-based draws are not SQL; tests hold the operators against brute force and the stages on edge rows.
 ORACLE_SQL = None
 
 
