@@ -65,6 +65,31 @@ def test_stream_prepare_equals_batch(spark, tmpdir_fresh):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, b.select("id", "text").collect()))
 
 
+def test_table_stream_reads_a_file_or_a_folder_of_files(spark, tmpdir_fresh):
+    import shutil
+
+    from vqaspark.plans.q_stream import q_stream_prepare
+    rows = [(c, t, ["user", "assistant"][t % 2], [f"text {c} {t}", "", None][c % 3]) for c in range(9) for t in range(4)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    folder, file = (os.path.join(tmpdir_fresh, x) for x in ("folder", "file"))
+    conv.repartition(3).write.parquet(os.path.join(folder, "conversations.parquet"))
+    conv.coalesce(1).write.parquet(os.path.join(tmpdir_fresh, "one"))
+    os.makedirs(file)
+    part = next(n for n in os.listdir(os.path.join(tmpdir_fresh, "one")) if n.startswith("part-"))
+    shutil.copy(os.path.join(tmpdir_fresh, "one", part), os.path.join(file, "conversations.parquet"))
+    want = [(c << 20) + t for c, t, role, text in rows if role == "user" and text]
+    for root in (folder, file, f"file://{folder}"):
+        got = q_stream_prepare(spark, root).collect()
+        assert sorted(r.id for r in got) == want
+    # batches are bounded in bytes; a larger file is one of its own
+    s = ST.table_stream(spark, folder, "conversations", max_bytes_per_trigger=1)
+    seen = []
+    q = (s.writeStream.foreachBatch(lambda df, i: seen.append(df.count())).trigger(availableNow=True)
+          .option("checkpointLocation", os.path.join(tmpdir_fresh, "ck")).start())
+    q.awaitTermination()
+    assert len(seen) == 3 and sum(seen) == len(rows)
+
+
 def test_running_exact_match(spark, tmpdir_fresh):
     src = os.path.join(tmpdir_fresh, "p")
     spark.createDataFrame([(i, "a" if i % 4 else "b", "a") for i in range(40)],

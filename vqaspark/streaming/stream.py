@@ -1,7 +1,7 @@
 """Structured Streaming versions of preparation and metrics.
 
 Sources are file streams (``readStream`` over parquet, explicit schema,
-``maxFilesPerTrigger``).  Queries run with ``trigger(availableNow=True)``:
+``maxFilesPerTrigger`` or ``maxBytesPerTrigger``).  Queries run with ``trigger(availableNow=True)``:
 everything present is processed in bounded micro-batches and the query
 stops; the sink is then readable as a batch table.  Sinks are exactly-once:
 the file sink with a checkpoint, or ``foreachBatch`` writes keyed by batch id
@@ -21,23 +21,30 @@ from pyspark.sql.streaming import StreamingQueryListener
 from vqaspark.functions.text import normalize_answer
 from vqaspark.operators.prepare import DEFAULT_TEMPLATE, vqa_messages
 from vqaspark.session import scratch_path
+from vqaspark.sources.tables import is_folder, ntz_as_utc, table_path
 
 
 def file_stream(spark: SparkSession, directory: str, glob: str = "*.parquet",
-                schema: T.StructType | None = None, max_files_per_trigger: int = 1) -> DataFrame:
+                schema: T.StructType | None = None, max_files_per_trigger: int = 1,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
     """S3: stream the parquet files of ``directory`` matching ``glob``.  The
-    schema is taken from the files' footers when not given (no data read)."""
+    schema is taken from the files' footers when not given (no data read).
+    A micro-batch is bounded by files, or by bytes if given (a larger file is
+    a batch of its own)."""
     if schema is None:
         schema = spark.read.option("pathGlobFilter", glob).parquet(directory).schema
-    return (spark.readStream.schema(schema)
-                 .option("maxFilesPerTrigger", max_files_per_trigger)
+    bound = (("maxFilesPerTrigger", max_files_per_trigger) if max_bytes_per_trigger is None
+             else ("maxBytesPerTrigger", max_bytes_per_trigger))
+    return (spark.readStream.schema(schema).option(*bound)
                  .option("pathGlobFilter", glob).parquet(directory))
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
-    df = file_stream(spark, sf_dir, f"{name}.parquet", max_files_per_trigger=max_files_per_trigger)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_bytes_per_trigger: int = 1 << 30) -> DataFrame:
+    """A table as a stream, be it one file or a folder of files."""
+    path = table_path(sf_dir, name)
+    directory, glob = (path, "*") if is_folder(spark, path) else (sf_dir, f"{name}.parquet")
+    df = file_stream(spark, directory, glob, max_bytes_per_trigger=max_bytes_per_trigger)
     if name == "events":
-        from vqaspark.sources.tables import ntz_as_utc
         df = df.withColumn("ts", ntz_as_utc("ts"))
     return df
 
