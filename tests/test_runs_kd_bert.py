@@ -91,6 +91,20 @@ def test_bertscore_from_text_with_encoder(spark):
     assert m["exact_match"] == 0.5 and m["bertscore_f1"] == pytest.approx((1.0 + s[2]) / 2, abs=1e-6)
 
 
+def test_bertscore_encodes_bounded_bytes_of_text_at_once(spark, monkeypatch):
+    import pyarrow as pa
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words[i % 7:i % 7 + i % 30]) or None for i in range(200)]
+    b = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts), pa.array(texts[::-1])], names=["i", "p", "r"])
+    monkeypatch.setattr(B, "TEXT_BYTES", 300)
+    cut = list(B._text_slices([b, b.slice(0, 0)], [1, 2]))
+    assert pa.Table.from_batches(cut).equals(pa.Table.from_batches([b])) and len(cut) > 20
+    assert all(c.num_rows == 1 or sum(len(t or "") for t in c["p"].to_pylist() + c["r"].to_pylist()) <= 300 for c in cut)
+    # tiles of a similarity matrix in both directions give its maxima
+    p, r = (np.random.default_rng(i).normal(size=(n, 8)) for i, n in ((1, 23), (2, 17)))
+    assert B._greedy_prf(p, r, 5) == pytest.approx(B._greedy_prf(p, r, 100), abs=1e-12)
+
+
 def test_bertscore_from_text_equals_token_table_path(spark):
     df = spark.createDataFrame([(1, "hai con mèo đen", "hai con mèo"), (2, "một cái ghế", "ba chú chó nhỏ"),
                                 (3, "", "x")], "sample_id long, prediction string, reference string")
