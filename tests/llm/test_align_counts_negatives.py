@@ -128,6 +128,20 @@ def test_alignment_of_rows_with_clashing_names(spark, edge, empty):
     assert align.align_documents(empty).count() == 0
 
 
+def test_groups_are_spelled_at_once():
+    r = np.random.default_rng(3)
+    na, nb = r.integers(1, 4, 60), r.integers(1, 4, 60)
+    i, j = np.cumsum(na), np.cumsum(nb)
+    a, b = r.integers(0, 1000, i[-1]), r.integers(0, 1000, j[-1])
+    data, ends = align.spell(a, b, i, j, align.Marks(1000))
+    want = [",".join(map(str, a[x - n:x])) + "|" + ",".join(map(str, b[y - m:y])) + ";" for x, n, y, m in zip(i, na, j, nb)]
+    assert data.tobytes().decode() == "".join(want)
+    assert np.diff(ends[i + j], prepend=0).tolist() == [len(w) for w in want]
+    none = np.zeros(0, np.int64)
+    data, ends = align.spell(none, none, none, none, align.Marks(1000))
+    assert len(data) == 0 and ends.tolist() == [0]
+
+
 def test_many_links_of_one_group_are_counted():
     a, b = np.array([5, 5, 6] * 40), np.array([7, 8] * 60)
     group, pair, times = align.links(a, b, np.array([len(a)]), np.array([len(b)]))

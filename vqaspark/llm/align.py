@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vqaspark.llm.base import arrow_rows, per_text, text_bytes, text_slices, write_scratch
+from vqaspark.llm.base import arrow_rows, give_back, per_text, slices, text_bytes, text_slices, write_scratch
 from vqaspark.llm.tokens import tokenizer_path
 
 BLOCK_BYTES = 8 << 20    # text of one block; one longer text is a block
@@ -95,9 +95,10 @@ class PieceTokens:
 _LOADED: dict[tuple, tuple] = {}
 
 
-def loaded(paths: tuple[str, str]) -> tuple[ByteTokens, PieceTokens]:
+def loaded(paths: tuple[str, str]) -> tuple[ByteTokens, PieceTokens, "Marks"]:
     if paths not in _LOADED:
-        _LOADED[paths] = ByteTokens(paths[0]), PieceTokens(paths[1])
+        left, right = ByteTokens(paths[0]), PieceTokens(paths[1])
+        _LOADED[paths] = left, right, Marks(max(len(left.length), len(right.length)))
     return _LOADED[paths]
 
 
@@ -140,14 +141,34 @@ def links(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[n
     return group, pair, times
 
 
-def spell(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[str]:
-    """Each group as ``a1,a2|b1``."""
-    x, y = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    out, i0, j0 = [], 0, 0
-    for i1, j1 in zip(i.tolist(), j.tolist()):
-        out.append(f"{x[i0]}|{y[j0]}" if i1 - i0 == 1 == j1 - j0 else ",".join(x[i0:i1]) + "|" + ",".join(y[j0:j1]))
-        i0, j0 = i1, j1
-    return out
+def spell(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, marks: "Marks") -> tuple[np.ndarray, np.ndarray]:
+    """The groups as bytes, each ``a1,a2|b1;``, and where each token's id and
+    the mark behind it end (A ids and B ids group by group)."""
+    i0, j0 = np.append(0, i[:-1]).astype(np.int64), np.append(0, j[:-1]).astype(np.int64)
+    x, y = a + marks.comma, b + marks.comma
+    x[i - 1] += marks.bar - marks.comma
+    y[j - 1] += marks.end - marks.comma
+    item = np.empty(len(a) + len(b), np.int64)
+    item[np.arange(len(a)) + np.repeat(j0, i - i0)] = x
+    item[np.arange(len(b)) + np.repeat(i, j - j0)] = y
+    return _large_bytes(marks.text.take(pa.array(item)))
+
+
+class Marks:
+    """Ids in decimal, each with a comma, a bar and a semicolon behind it."""
+
+    def __init__(self, size: int):
+        self.text = pa.array([f"{x}{m}" for m in ",|;" for x in range(size)], pa.large_binary())
+        self.comma, self.bar, self.end = 0, size, 2 * size
+
+
+def _large_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large binary array and n + 1 offsets into them, from 0."""
+    if len(arr) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offs, data = arr.buffers()
+    o = np.frombuffer(offs, np.int64)[arr.offset:arr.offset + len(arr) + 1]
+    return (np.frombuffer(data, np.uint8)[o[0]:o[-1]] if data is not None else np.zeros(0, np.uint8)), o - o[0]
 
 
 # -- segments -----------------------------------------------------------------
@@ -238,30 +259,37 @@ class Block:
         n = len(uniq)
         self.n_a, self.n_b, self.n_groups = (np.zeros(n, np.int64) for _ in range(3))
         self.good = np.ones(n, bool)
-        self.spelled: list[str] = []
         self._parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self._spelled: list[np.ndarray] = []
+        size = np.zeros(n + 1, np.int64)                       # bytes of each segment's spelled groups
         for lo, hi, joined in [(0, alone, True), (alone, n, False)]:
             for x in range(lo, hi, ENCODE_AT_ONCE):
-                self._add(uniq.slice(x, min(ENCODE_AT_ONCE, hi - x)), x, joined, *loaded(paths))
+                m = min(ENCODE_AT_ONCE, hi - x)
+                size[x + 1:x + m + 1] = self._add(uniq.slice(x, m), x, joined, *loaded(paths))
+        self.spelled = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.cumsum(size)), pa.py_buffer(
+            np.concatenate([np.zeros(0, np.uint8), *self._spelled]))])
         owner, pair, self.mult = (np.concatenate([np.zeros(0, np.int64), *(p[i] for p in self._parts)]) for i in range(3))
-        del self._parts
+        del self._parts, self._spelled
         self.at = np.searchsorted(owner, np.arange(n + 1))
         self.n_links = per_text(self.mult, self.at)
         self.pairs = _distinct(pair)
         self.pair_at = np.searchsorted(self.pairs, pair).astype(np.int32)
 
-    def _add(self, part: pa.Array, lo: int, joined: bool, left: ByteTokens, right: PieceTokens) -> None:
-        """Encode and align some segments, in one string if they allow it."""
-        text, at = part.to_pylist(), text_bytes(part)[1]
-        good = np.ones(len(text), bool)
-        ids = [_in_one(part, t, t.encode_joined("".join(text))) if joined else None for t in (left, right)]
+    def _add(self, part: pa.Array, lo: int, joined: bool, left: ByteTokens, right: PieceTokens, marks: Marks) -> np.ndarray:
+        """Encode and align some segments, in one string if they allow it.
+        Returns the bytes of each one's spelled groups (0: not spelled by both)."""
+        buf, at = text_bytes(part)
+        good = np.ones(len(part), bool)
+        whole = buf.tobytes().decode() if joined else ""
+        ids = [_in_one(part, t, t.encode_joined(whole)) if joined else None for t in (left, right)]
         if any(x is None for x in ids):
+            text = part.to_pylist()
             ids = [t.encode(text) for t in (left, right)]
             good = _spells(part, ids[0], left.bytes) & _spells(part, ids[1], right.bytes)
             ids = [np.fromiter(chain.from_iterable([i for i, g in zip(x, good) if g]), np.int64) for x in ids]
         a, b = ids
         own = lo + np.flatnonzero(good)
-        self.good[lo:lo + len(text)] = good
+        self.good[lo:lo + len(part)] = good
         ends, i, j = align(a, b, left.length, right.length)
         close = np.cumsum(np.diff(at)[good])                                  # where segments end
         owner = np.searchsorted(close, ends, side="left")
@@ -270,11 +298,11 @@ class Block:
         self.n_groups[own] = np.bincount(owner, minlength=len(own))
         group, pair, times = links(a, b, i, j)
         self._parts.append((own[owner[group]], pair, times))
-        spelled = iter(spell(a, b, i, j))
-        self.spelled += [";".join(islice(spelled, k)) for k in self.n_groups[lo:lo + len(text)].tolist()]
-
-    def spans(self):
-        return zip(self.first[:-1].tolist(), self.first[1:].tolist())
+        data, ends = spell(a, b, i, j, marks)
+        self._spelled.append(data)
+        size = np.zeros(len(part), np.int64)
+        size[good] = np.diff(ends[i[last] + j[last]], prepend=0)
+        return size
 
     def valid(self) -> np.ndarray:
         """Texts with tokens: not empty, and spelled by both tokenizers."""
@@ -287,9 +315,13 @@ class Block:
 
     def groups(self, valid: np.ndarray):
         """Each text's groups, one text at a time."""
-        spelled = self.spelled
-        for (x, y), ok in zip(self.spans(), valid):
-            yield ";".join([spelled[c] for c in self.codes[x:y].tolist()]).encode() if ok else b""
+        size = np.diff(_large_bytes(self.spelled)[1])
+        size = per_text(size[self.codes], self.first)
+        for lo, hi in slices(size):
+            data = _large_bytes(self.spelled.take(pa.array(self.codes[self.first[lo]:self.first[hi]])))[0]
+            ends = np.cumsum(size[lo:hi])
+            for x, y, ok in zip((ends - size[lo:hi]).tolist(), ends.tolist(), valid[lo:hi]):
+                yield data[x:y - 1].tobytes() if ok else b""        # without the last semicolon
 
     def distinct(self, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each valid text's distinct segments: text, segment, times."""
@@ -361,9 +393,11 @@ def _aligned(docs: DataFrame, paths: tuple[str, str], keep_groups: bool) -> Data
                     held, size = [], 0
                     yield from one(cols, text, number)
                     number += 1
-                    pa.default_memory_pool().release_unused()
+                    give_back()
         if held:
             yield from one(*_merged(held), number)
+        held.clear()
+        give_back()
 
     def _merged(held):
         return [pa.concat_arrays([c[i] for c, _ in held]) for i in range(len(held[0][0]))], pa.concat_arrays([t for _, t in held])
