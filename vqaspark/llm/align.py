@@ -144,7 +144,7 @@ def links(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[n
 def spell(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, marks: "Marks") -> tuple[np.ndarray, np.ndarray]:
     """The groups as bytes, each ``a1,a2|b1;``, and where each token's id and
     the mark behind it end (A ids and B ids group by group)."""
-    i0, j0 = np.append(0, i[:-1]).astype(np.int64), np.append(0, j[:-1]).astype(np.int64)
+    i0, j0 = np.append(0, i)[:-1].astype(np.int64), np.append(0, j)[:-1].astype(np.int64)
     x, y = a + marks.comma, b + marks.comma
     x[i - 1] += marks.bar - marks.comma
     y[j - 1] += marks.end - marks.comma
