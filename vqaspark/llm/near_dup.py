@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vqaspark.llm.base import Words, hash_binary, map_text, mix64, slices, write_scratch
+from vqaspark.llm.base import SLICE_BYTES, Words, give_back, hash_binary, map_text, mix64, slices, write_scratch
 
 BANDS, ROWS = 36, 5      # a pair of similarity 0.8 shares no band with probability 6e-7
 CHECKED = 96             # MinHash values kept (16 bits each) for the sequential test
@@ -178,7 +178,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFr
     slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("__t"))
     fields = [T.StructField("n_shingles", T.LongType()), T.StructField("d", T.BinaryType()),
               T.StructField("sig", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]
-    return map_text(slim, "__t", sketch, fields).drop("__t")
+    return map_text(slim, "__t", sketch, fields, SLICE_BYTES // 4).drop("__t")
 
 
 def _rows(a: np.ndarray) -> pa.Array:
@@ -203,6 +203,7 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, tex
                 s = [np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, CHECKED) for i in (2, 3)]
                 keep = pa.array(_survives(s[0], s[1], need))
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["p", "x"])
+        give_back()
 
     left = write_scratch(with_sig.mapInArrow(test, "p long, x long"), "op10-pairs")
 
@@ -220,6 +221,7 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, tex
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep),
                                               pa.array(score, pa.float64()).filter(keep)], names=["p", "x", "shared"])
+        give_back()
 
     return both.mapInArrow(exact, "p long, x long, shared double")
 
@@ -237,7 +239,8 @@ def _with_sets(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
         return [pa.Array.from_buffers(pa.binary(), len(col), [
             None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(data)])]
 
-    sets = map_text(text, "__t", full, [T.StructField("s", T.BinaryType())]).drop("__t").dropDuplicates(["rep", "s"])
+    sets = map_text(text, "__t", full, [T.StructField("s", T.BinaryType())],
+                    SLICE_BYTES // 4).drop("__t").dropDuplicates(["rep", "s"])
     return (pairs.select("p", "x").join(sets.withColumnRenamed("rep", "p").withColumnRenamed("s", "sp"), "p")
             .join(sets.withColumnRenamed("rep", "x").withColumnRenamed("s", "sx"), "x").select("p", "x", "sp", "sx"))
 
