@@ -182,6 +182,56 @@ def test_near_duplicates_lose_no_component(spark, k, seed):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_near_duplicates_large_clusters_list_links_only(spark, monkeypatch):
+    """Copies of one text that drifted apart: what is left after the pivots is
+    decided in tiles; no other pairs of a cluster than links are listed."""
+    r, base, rows = random.Random(5), prose(77, 400).split(), []
+    for i in range(120):
+        w = list(base)
+        for j in r.sample(range(len(w)), r.randint(13, 16)):
+            w[j] = f"new{r.randrange(6)}"
+        rows.append((i * 7 + 1, " ".join(w)))
+    listed, verify = [], near_dup._verify
+
+    def noted(pairs, *a):
+        listed.append(pairs.count())
+        return verify(pairs, *a)
+
+    monkeypatch.setattr(near_dup, "_verify", noted)
+    monkeypatch.setattr(near_dup, "FEW", 2)
+    monkeypatch.setattr(near_dup, "TILE", 40, raising=False)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()
+    want, _ = brute_components(rows, 2)
+    assert {x.doc_id: x.component_id for x in got} == want and len(set(want.values())) > 20
+    assert sum(listed[2:]) < len(rows), listed          # after two rounds of pivots
+
+
+def test_links_of_a_cluster_against_brute_force(spark, monkeypatch):
+    """All members of a cluster, some with two texts (also the centre), others without a shingle in common."""
+    monkeypatch.setattr(near_dup, "TILE", 3)
+    rows = drifted(1, 40, 7) + [(9, "a b c d"), (9, "e f"), (10, "e f"), (11, "e f g h i j"), (12, "a b c d e")]
+    rows += [(rows[0][0], rows[5][1] + " tail"), (rows[3][0], rows[8][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids, o = sorted({i for i, _ in rows}), rows[0][0]
+    pairs = near_dup.write_scratch(spark.createDataFrame([(o, i) for i in ids], "p long, x long"), "t")
+    info = near_dup.write_scratch(near_dup._measured(pairs, docs, "doc_id", "text", 2, (80, 100)), "t")
+    sets = defaultdict(list)
+    for i, t in rows:
+        w = words(t)
+        sets[i].append({tuple(w[j:j + 2]) for j in range(max(1, len(w) - 1))})
+
+    def linked(i, j):
+        return any(100 * len(a & b) >= 80 * len(a | b) for a in sets[i] for b in sets[j])
+
+    near = {x.x for x in info.where("linked").collect()}
+    assert near == {i for i in ids if linked(o, i)} and info.count() == 2 * sum(len({frozenset(a) for a in sets[i]}) for i in ids)
+    c = F.when(F.col("x").isin(*near), o).otherwise(F.col("x"))        # the others are still alone
+    got = {(x.p, x.x) for x in near_dup._joining(info.withColumn("c", c), (80, 100)).collect()}
+    want = {(i, j) for i in ids for j in ids if i < j and linked(i, j) and not (i in near and j in near)}
+    as_components = lambda ps: {(min(a, b), max(a, b)) for a, b in ((o if i in near else i, o if j in near else j) for i, j in ps)}
+    assert got <= want and as_components(got) == as_components(want) and len(want) > 5
+
+
 def test_sequential_test_keeps_similar_pairs():
     need = near_dup.least_matches(0.8)
     assert [n for n, _ in need] == list(range(16, 97, 16)) and all(m < n * 0.8 for n, m in need)

@@ -10,21 +10,21 @@ posterior probability that its similarity reaches the threshold is below
 
 Each bucket first tests its members against one pivot (its smallest id), which
 connects groups of copies.  Of buckets that still hold several components,
-those of up to ``FEW`` members test their unconnected pairs.  Larger ones never
-list their pairs: together with the buckets they share members with, they
-measure their members exactly against one centre (the best linked of them
-all).  For the rest a bound holds: let x not be linked with the centre o, let a = |x & o| for each member, and let x and y share w
-shingles outside o.  Then |x & y| <= min(a_x, a_y) + w, so a link needs
-
-    w >= 0.8 / 1.8 * (|x| + |y|) - min(a_x, a_y).
-
-Pairs with a positive right side must share one of their rarest shingles
-outside o (a prefix filter, as |y| >= 0.8 |x|); for the others the sizes leave
-a narrow window.  Both are equi-joins within a centre's members, with a
-sharper bound from folded bitmaps of what each member lacks of o and has
-outside of it as part of the join's condition.  So no link
-that could join two components goes untested, and copies that drifted from
-their original are not compared with all the other copies.
+those of up to ``FEW`` members test their unconnected pairs.  Larger ones,
+together with the buckets they share members with, measure their members
+exactly against one centre (the best linked of them all) and keep what each
+member x differs in, D(x): the shingles that only one of x and the centre has.
+Two members differ in D(x) ^ D(y) (symmetric difference) and are linked if
+
+    (1 + t) * |D(x) ^ D(y)| <= (1 - t) * (|x| + |y|).
+
+So pairs are decided inside tiles of two blocks of members without their full
+sets: by size, by the parities of D(x) in a short bitmap (the exclusive or of
+two bitmaps has at most |D(x) ^ D(y)| bits), and what is left exactly.  Members
+linked with the centre are in one component and only meet the others.  No link
+that could join two components goes untested; only links leave a tile, at most
+one for two components.  The pairs of a cluster still grow with the square of
+its members, at some nanoseconds each.
 """
 
 from __future__ import annotations
@@ -33,17 +33,19 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vqaspark.llm.base import SLICE_BYTES, Words, give_back, hash_binary, map_text, mix64, slices, write_scratch
+from vqaspark.llm.base import SLICE_BYTES, Words, give_back, hash_binary, map_text, mix64, slices, text_bytes, write_scratch
 
 BANDS, ROWS = 36, 5      # a pair of similarity 0.8 shares no band with probability 6e-7
 CHECKED = 96             # MinHash values kept (16 bits each) for the sequential test
 BATCH = 16
 FEW = 16                 # members of a bucket whose unconnected pairs are simply tested
-FOLD = 8                 # 64-bit words of a folded bitmap
+TILE = 4096              # members in a block of a tile, about
+TILE_BYTES = 16 << 20    # and bytes of what they differ in
+TILE_PAIRS = 1 << 16     # pairs of a tile handled at once
 MISS = 1e-7              # chosen probability of dropping a true pair after a batch
 
 _A = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
@@ -246,82 +248,117 @@ def _with_sets(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
 
 
 def _measured(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """(o, x, size, a, whole, linked, lacks, has, outside) for centres p = o:
-    sizes of x, of its part in o and of o; folded bitmaps of o's shingles that
-    x lacks and of x's shingles outside o; and the latter themselves."""
+    """(o, variant, x, size, linked, diff) for centres p = o: a hash of the
+    centre's set (a repeated id has several), the size of x, and the shingles
+    that only one of both has, ascending."""
     num, den = threshold
 
-    def fold(v):
-        bits = np.zeros(64 * FOLD, np.uint8)
-        bits[v % np.uint64(64 * FOLD)] = 1
-        return np.packbits(bits).view(np.int64).tolist()
-
     def measure(batches):
         for b in batches:
-            rows = []
-            for i, x, s, t in zip(*(b.column(c).to_pylist() for c in range(4))):
+            size, linked, diff = [], [], []
+            for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 o, v = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                out = np.setdiff1d(v, o, assume_unique=True)
-                lack = np.setdiff1d(o, v, assume_unique=True)
-                common = len(v) - len(out)
-                rows.append({"o": i, "x": x, "size": len(v), "a": common, "whole": len(o),
-                             "linked": den * common >= num * (len(o) + len(out)), "lacks": fold(lack), "has": fold(out),
-                             "outside": out.view(np.int64).tolist()})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    schema = pa.schema([("o", pa.int64()), ("x", pa.int64()), ("size", pa.int64()), ("a", pa.int64()), ("whole", pa.int64()),
-                        ("linked", pa.bool_()), ("lacks", pa.list_(pa.int64())), ("has", pa.list_(pa.int64())),
-                        ("outside", pa.list_(pa.int64()))])
-    return _with_sets(pairs, docs, id_col, text_col, k).mapInArrow(
-        measure, "o long, x long, size long, a long, whole long, linked boolean, lacks array<long>, has array<long>, outside array<long>")
-
-
-def _uncertain(info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(p, x) pairs that the bound does not rule out, of members of one centre
-    in different components ``c``, one of them not linked with the centre."""
+                d = np.setxor1d(o, v, assume_unique=True)
+                size.append(len(v))
+                linked.append((num + den) * len(d) <= (den - num) * (len(o) + len(v)))
+                diff.append(d.tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(4), b.column(1), pa.array(size, pa.int64()), pa.array(linked, pa.bool_()),
+                                              pa.array(diff, pa.binary())], names=["o", "variant", "x", "size", "linked", "diff"])
+        give_back()
+
+    return _with_sets(pairs, docs, id_col, text_col, k).withColumn("variant", F.xxhash64("sp")).mapInArrow(
+        measure, "o long, variant long, x long, size long, linked boolean, diff binary")
+
+
+def _joining(info: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(p, x): links between members of one centre in different components
+    ``c``, at least one for any two components that have one.  Members meet in
+    tiles: blocks of those not linked with the centre, and of these with the
+    linked ones."""
+    def blocks(own):
+        rows, size = F.count(F.when(own, 1)) / TILE, F.sum(F.when(own, F.length("diff"))) / TILE_BYTES
+        return F.ceil(F.greatest(rows, size, F.lit(1))).cast("long")
+
+    split = (info.groupBy("o").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), blocks(~F.col("linked")).alias("n_far"),
+                                   blocks(F.col("linked")).alias("n_near")).where("lo <> hi").select("o", "n_far", "n_near"))
+    hashed = F.xxhash64("x", F.lit(1))
+    rows = (info.join(split, "o")
+            .withColumn("block", F.when(F.col("linked"), F.col("n_far") + F.pmod(hashed, "n_near")).otherwise(F.pmod(hashed, "n_far")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("linked"), F.col("n_far") - 1)
+                                                      .otherwise(F.col("n_far") + F.col("n_near") - 1))))
+            .select("o", "variant", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+                    "block", "x", "c", "size", "diff"))
+
+    def links(tile):
+        p, x = _tile_links(tile, threshold)
+        out = pa.table({"p": pa.array(np.minimum(p, x), pa.int64()), "x": pa.array(np.maximum(p, x), pa.int64())})
+        if tile.nbytes > 1 << 20:
+            give_back()
+        return out
+
+    return rows.groupBy("o", "variant", "one", "two").applyInArrow(links, "p long, x long").distinct()
+
+
+def _tile_links(tile: pa.Table, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of linked members of a tile's two blocks, one pair for two components."""
     num, den = threshold
-    facts = ["x", "c", "linked", "size", "a", "n_out", "lacks", "has"]
-    info = info.withColumn("n_out", F.size("outside"))
-
-    def bits(c):
-        return sum((F.bit_count(x) for x in c), F.lit(0))
-
-    def possible():
-        """Whether what both can share, at most, is enough for a link."""
-        lack, lack2, has, has2 = ([F.col(c)[i] for i in range(FOLD)] for c in ("lacks", "lacks2", "has", "has2"))
-        # Folding only merges bits: the union of what they lack is at least this.
-        missing = F.greatest(bits([a.bitwiseOR(b) for a, b in zip(lack, lack2)]),
-                             F.col("whole") - F.col("a"), F.col("whole") - F.col("a2"))
-        both = bits([a.bitwiseAND(b) for a, b in zip(has, has2)])
-        # A shared shingle sets the same bit in both; merged bits hide some of either's.
-        shared = F.least(both + F.col("n_out") - bits(has), both + F.col("n_out2") - bits(has2), F.col("n_out"), F.col("n_out2"))
-        return F.lit(num + den) * (F.col("whole") - missing + shared) >= F.lit(num) * (F.col("size") + F.col("size2"))
-
-    apart = (F.col("c") != F.col("c2")) & ~(F.col("linked") & F.col("linked2"))
-    least = F.ceil(F.lit(num) * F.col("size") / F.lit(den))                    # |y| of a link, at least
-    # 1. Prefix filter on shingles outside the centre, rarest first: those nobody shares come
-    #    first of all, so only their number counts.
-    w = F.ceil((F.lit(num) * (F.col("size") + least) - F.lit(num + den) * F.col("a")) / F.lit(num + den))
-    flat = info.select("o", "x", "n_out", (F.col("n_out") - F.greatest(w, F.lit(1)) + 1).alias("len"), F.explode("outside").alias("sh"))
-    often = flat.groupBy("o", "sh").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    member = Window.partitionBy("o", "x")
-    prefix = (flat.join(often, ["o", "sh"]).withColumn("alone", F.col("n_out") - F.count(F.lit(1)).over(member))
-              .withColumn("r", F.row_number().over(member.orderBy("n", "sh"))).where("alone + r <= len").select("o", "x", "sh"))
-    prefix = write_scratch(prefix.join(info.select("o", "whole", *facts), ["o", "x"]), "op10-prefix")
-    y = prefix.select("o", "sh", *[F.col(c).alias(f"{c}2") for c in facts])
-    one = prefix.join(y, ["o", "sh"]).where(apart & (F.col("x") < F.col("x2")) & possible())
-    # 2. No shingle outside the centre has to be shared: only possible for sizes in a window.
-    step = F.lit(0.005)
-    bucket = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / step)
-    far = info.where("not linked").withColumn("top", F.lit(num + den) * F.col("a") / F.lit(num) - F.col("size"))
-    far = far.where(F.col("top") >= least).select(
-        "o", "whole", *facts, F.explode(F.sequence(
-            F.floor(F.log(F.greatest(least, F.lit(1)).cast("double")) / step), F.floor(F.log(F.col("top")) / step))).alias("b"))
-    y2 = info.select("o", bucket.alias("b"), *[F.col(c).alias(f"{c}2") for c in facts])
-    none = F.lit(num) * (F.col("size") + F.col("size2")) <= F.lit(num + den) * F.least("a", "a2")
-    two = far.join(y2, ["o", "b"]).where(apart & none & possible())
-    pair = [F.least("x", "x2").alias("p"), F.greatest("x", "x2").alias("x")]
-    return one.select(*pair).unionByName(two.select(*pair)).distinct()
+    more, less = num + den, den - num                     # linked: more * differing <= less * sizes
+    tile = tile.take(pa.array(np.argsort(np.asarray(tile["size"]), kind="stable")))
+    x, c, size, block = (np.asarray(tile[n]) for n in ("x", "c", "size", "block"))
+    one, two = tile["one"][0].as_py(), tile["two"][0].as_py()
+    data, offs = text_bytes(tile["diff"].combine_chunks().cast(pa.binary()))
+    codes, offs = np.ascontiguousarray(data).view(np.uint64), offs // 8
+    count = np.diff(offs)
+    row = np.repeat(np.arange(len(x)), count)
+
+    words = max(2, int(6 * less * 2 * size.mean() / more) // 64 + 1)
+    bit = codes % np.uint64(64 * words)
+    parity = np.zeros((words, len(x)), np.uint64)
+    np.bitwise_xor.at(parity, ((bit >> np.uint64(6)).astype(np.int64), row), np.uint64(1) << (bit & np.uint64(63)))
+    uniq, code = np.unique(codes, return_inverse=True)
+    held = row * len(uniq) + code                         # ascending: of each member, what it differs in
+
+    def differing(i, j):
+        """Exact sizes of the symmetric differences of members i and j."""
+        out = count[i] + count[j]
+        i, j = np.where(count[i] <= count[j], i, j), np.where(count[i] <= count[j], j, i)
+        for lo, hi in slices(count[i] * 8, 8 << 20):
+            n = count[i[lo:hi]]
+            pair = np.repeat(np.arange(hi - lo), n)
+            at = np.repeat(offs[i[lo:hi]] - np.cumsum(n) + n, n) + np.arange(len(pair))
+            want = j[lo:hi][pair] * len(uniq) + code[at]
+            pos = np.searchsorted(held, want)
+            hit = held[np.minimum(pos, len(held) - 1)] == want
+            out[lo:hi] -= 2 * np.bincount(pair[hit], minlength=hi - lo)
+        return out
+
+    a, b = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    found = [np.zeros((0, 2), np.int64)]
+    mine, theirs, sb = np.ascontiguousarray(parity[:, a]), np.ascontiguousarray(parity[:, b]), size[b]
+    lo = 0
+    while lo < len(a) and len(b):
+        first = int(np.searchsorted(sb * den, size[a[lo]] * num))          # sizes that a link allows
+        if one == two:
+            first = max(first, lo)
+        hi = min(len(a), lo + max(1, TILE_PAIRS // max(1, len(b) - first)))
+        last = int(np.searchsorted(sb * num, size[a[hi - 1]] * den, side="right"))
+        i, j = a[lo:hi], b[first:last]
+        bits = np.zeros((len(i), len(j)), np.uint16 if words < 1000 else np.uint32)
+        for w in range(words):
+            bits += np.bitwise_count(mine[w, lo:hi, None] ^ theirs[w, None, first:last])
+        may = bits <= less * (size[i][:, None] + size[j]) // more
+        may &= c[i][:, None] != c[j]
+        if one == two:
+            may &= i[:, None] < j
+        p, q = np.nonzero(may)
+        p, q = i[p], j[q]
+        is_link = more * differing(p, q) <= less * (size[p] + size[q])
+        found.append(np.stack([p[is_link], q[is_link]], 1))
+        lo = hi
+    p, q = np.concatenate(found).T
+    both = np.stack([np.minimum(c[p], c[q]), np.maximum(c[p], c[q])], 1)
+    keep = np.unique(both, axis=0, return_index=True)[1]
+    return x[p[keep]], x[q[keep]]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -392,8 +429,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = edges.unionByName(info.where("linked").select(F.col("o").alias("u"), F.col("x").alias("v")))
         comp = components(edges)
         of = info.join(comp.withColumnRenamed("u", "x"), "x", "left").select(*info.columns, F.coalesce("component", "x").alias("c"))
-        split = of.groupBy("o").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("o")
-        more.append(_uncertain(write_scratch(of.join(split, "o"), "op10-centres"), threshold))
+        more.append(_joining(of, threshold))
     last = more[0] if len(more) == 1 else more[0].unionByName(more[1]).distinct()
     last = write_scratch(last, "op10-tried")
     if last.limit(1).count():
